@@ -5,6 +5,7 @@ Every module adds its queries with :func:`registry.query`; importing this packag
 
 from corpusloom.plans import registry
 from corpusloom.plans import (  # noqa: F401  (the imports register the queries)
+    chat,
     corpus,
 )
 

@@ -11,7 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import mix, shards
-from corpusloom.operators.prefix import budget_cutoff, number_rows, up_to
+from corpusloom.operators.prefix import budget_cutoff, up_to
+from corpusloom.plans.fixtures import WORDS, words
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.session import work_dir
 from corpusloom.sources import scan
@@ -292,11 +293,9 @@ def cycle_join(spark, sf):
 
 @query(
     "draw_from_pool",
-    f"""WITH w AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS idx FROM
-          (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')) AS word FROM benchmark)),
-      n AS (SELECT count(*) AS n FROM w)
-    SELECT d.doc_id, w.word FROM documents d CROSS JOIN n
-    JOIN w ON w.idx = CAST(floor({sql_u('pool', 'd.doc_id')} * n.n) AS BIGINT)""",
+    f"""WITH {WORDS}
+    SELECT d.doc_id, w.word FROM documents d CROSS JOIN n_words n
+    JOIN words w ON w.idx = CAST(floor({sql_u('pool', 'd.doc_id')} * n.n) AS BIGINT)""",
 )
 def draw_from_pool(spark, sf):
     pool, n = words(spark, sf)
@@ -304,23 +303,6 @@ def draw_from_pool(spark, sf):
     return out.select("doc_id", "word")
 
 
-def words(spark, sf):
-    """The word pool, densely indexed in word order, and its size."""
-    found = table(spark, sf, "benchmark").select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"))).alias("word")
-    )
-    # the position of a word in a uniform hash order is as good as any other; words are few, so order by word
-    pool = found.distinct()
-    return index_words(pool), pool.count()
-
-
-def index_words(pool):
-    """Dense index in word order: words are bucketed by their first letters, then numbered inside the bucket."""
-    head = (F.ascii("word") * 256 + F.ascii(F.substring("word", 2, 1))).cast("long")
-    rows = number_rows(pool.withColumn("_h", head), ["_h", "word"], "idx")
-    return rows.select("word", (F.col("idx") - 1).alias("idx"))
-
-
 @query("first_available", "SELECT doc_id, lang FROM documents WHERE lang = 'es'")
 def first_available(spark, sf):
     docs = documents(spark, sf).select("doc_id", "lang")
