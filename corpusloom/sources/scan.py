@@ -32,6 +32,15 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType | str = "te
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a table with fewer files than cores to all cores, for work that is heavy per row.
+
+    A table with many files is already spread and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def shard_inventory(docs: DataFrame, shard: str = "shard", text: str = "text") -> DataFrame:
     """Rows and characters per shard."""
     return docs.groupBy(F.col(shard).alias("shard")).agg(
