@@ -7,6 +7,7 @@ from corpusloom.plans import registry
 from corpusloom.plans import (  # noqa: F401  (the imports register the queries)
     chat,
     corpus,
+    evals,
     tokens,
 )
 
