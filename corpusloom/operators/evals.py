@@ -202,10 +202,11 @@ def span_scores(rows: DataFrame, scores: DataFrame, keys: list[str]) -> DataFram
     )
 
 
-def best_option(losses: DataFrame, item: list[str]) -> DataFrame:
-    """Option with the lowest mean loss, ties to the lowest index."""
-    best = losses.groupBy(*item).agg(F.min(F.struct("mean_loss", "option_idx")).alias("_b"))
-    return best.select(*item, F.col("_b.option_idx").alias("option_idx"))
+def best_option(losses: DataFrame, item: list[str], keep: list[str] | None = None) -> DataFrame:
+    """Option with the lowest mean loss, ties to the lowest index; ``keep`` names more columns of that row."""
+    columns = ["option_idx", *(keep or [])]
+    best = losses.groupBy(*item).agg(F.min(F.struct("mean_loss", *columns)).alias("_b"))
+    return best.select(*item, *[F.col(f"_b.{c}").alias(c) for c in columns])
 
 
 def best_letter(scores: DataFrame, problems: DataFrame, key: str) -> DataFrame:

@@ -64,39 +64,42 @@ def prefix_sums(
     partition: Sequence[str] = (),
     rows_per_bucket: int | None = None,
     bounds: Sequence | None = None,
+    lowest: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums along ``order`` (first column numeric, all columns a unique key).
 
-    With ``partition`` the sums restart for every value; a value that holds most rows is still split
+    ``lowest`` gives running minima instead. With ``partition`` the sums restart for every value; a value that holds most rows is still split
     into buckets. Pass narrow rows and join wide columns back where possible.
     """
     if bounds is None:
         bounds = key_bounds(df, F.col(order[0]), rows_per_bucket)
     rows = df
+    gather = F.min if lowest else F.sum
     if not bounds:
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return rows.select("*", *[F.sum(c).over(w).alias(n) for n, c in sums.items()])
+        return rows.select("*", *[gather(c).over(w).alias(n) for n, c in sums.items()])
 
     rows = rows.withColumn("_b", bucket_of(F.col(order[0]), bounds))
     for name, col in sums.items():
         rows = rows.withColumn(f"_v_{name}", col)
     keys = [*partition, "_b"]
-    totals = rows.groupBy(*keys).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    totals = rows.groupBy(*keys).agg(*[gather(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     before = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
+        *keys, *[gather(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
     )
     if not partition:
         offsets = F.broadcast(offsets)  # at most MAX_BUCKETS rows
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select(
-        "*", *[F.sum(f"_v_{n}").over(inside).alias(f"_s_{n}") for n in sums]
+        "*", *[gather(f"_v_{n}").over(inside).alias(f"_s_{n}") for n in sums]
     )
     offsets = offsets.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    both = F.least if lowest else lambda a, b: a + F.coalesce(b, F.lit(0))
     match = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(offsets[f"_k_{k}"]) for k in keys])
     return rows.join(offsets, match).select(
         *[rows[c] for c in df.columns],
-        *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums],
+        *[both(F.col(f"_s_{n}"), F.col(f"_o_{n}")).alias(n) for n in sums],
     )
 
 

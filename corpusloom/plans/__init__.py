@@ -8,6 +8,7 @@ from corpusloom.plans import (  # noqa: F401  (the imports register the queries)
     chat,
     corpus,
     evals,
+    runs,
     tokens,
 )
 

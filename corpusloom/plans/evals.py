@@ -19,7 +19,7 @@ from corpusloom.operators.bpe import vocab_table
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.chat import MERGED, rendered, sql_rendered
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import work_dir
+from corpusloom.session import materialize, work_dir
 
 TOK = tx.ByteTokenizer()
 SHOTS = 3
@@ -145,15 +145,20 @@ def fewshot_sample(spark, sf):
     return evals.fewshot_sample(halves(spark, sf), "idx", SHOTS)
 
 
-def prompts(spark, sf, kind):
-    all_items = items(spark, sf)
+def prepared(spark, sf):
+    """The item table, written once, and the few-shot partners of every item."""
+    all_items = materialize(items(spark, sf), "items")
+    return all_items, evals.fewshot_sample(all_items.select("idx"), "idx", SHOTS)
+
+
+def prompts(spark, sf, kind, base=None):
+    all_items, pairs = base or prepared(spark, sf)
     c = F.col
     blocks = {
         "multiple_choice": evals.mc_block(c("context"), DELIM, c("choices"), c("gold")),
         "schema": evals.mc_block(F.element_at("contexts", (c("gold") + 1).cast("int")), DELIM, F.array("continuation"), F.lit(0)),
         "language_modeling": evals.lm_block(c("context"), DELIM, c("continuation")),
     }
-    pairs = evals.fewshot_sample(all_items.select("idx"), "idx", SHOTS)
     rows = all_items.join(evals.fewshot_prefix(pairs, all_items, "idx", blocks[kind]), "idx")
     built = {
         "multiple_choice": evals.mc_prompts(c("prefix"), c("context"), DELIM, c("choices")),
@@ -205,8 +210,8 @@ def sql_spans(kind: str) -> str:
             FROM toks JOIN common USING (idx))"""
 
 
-def spans(spark, sf, kind):
-    rows = prompts(spark, sf, kind).select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("o"))
+def spans(spark, sf, kind, base=None):
+    rows = prompts(spark, sf, kind, base).select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("o"))
     return evals.explode_spans(rows.select("idx", "gold", evals.spans(F.col("o"), kind).alias("spans")), ["idx", "gold"])
 
 
@@ -216,7 +221,8 @@ def union_sql(make) -> str:
 
 
 def all_spans(spark, sf) -> DataFrame:
-    parts = [spans(spark, sf, k).withColumn("task", F.lit(k)) for k in KINDS]
+    base = prepared(spark, sf)
+    parts = [spans(spark, sf, k, base).withColumn("task", F.lit(k)) for k in KINDS]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -247,11 +253,11 @@ def left_truncate_span(spark, sf):
 
 def token_scores(rows: DataFrame) -> DataFrame:
     """Stand-in for model output: a loss and a predicted id at every position of every option."""
-    at = rows.select("task", "idx", "option_idx", "ids", F.explode(F.sequence(F.lit(0), F.size("ids") - 2)).alias("pos"))
+    at = rows.select("task", "idx", "gold", "option_idx", "ids", F.explode(F.sequence(F.lit(0), F.size("ids") - 2)).alias("pos"))
     keys = ("task", "idx", "option_idx", "pos")
     nxt = F.element_at("ids", F.col("pos") + 2)
     return at.select(
-        *keys, (4 * u("l", *keys)).alias("loss"), F.when(u("p", *keys) < 0.9, nxt).otherwise(F.lit(0)).alias("pred_id")
+        "gold", *keys, (4 * u("l", *keys)).alias("loss"), F.when(u("p", *keys) < 0.9, nxt).otherwise(F.lit(0)).alias("pred_id")
     )
 
 
@@ -271,8 +277,10 @@ SCORED = f"scored AS ({union_sql(sql_scored)})"
 
 
 def scored(spark, sf):
-    rows = all_spans(spark, sf)
-    return evals.span_scores(rows, token_scores(rows), KEYS).join(rows.select(*KEYS, "gold"), KEYS)
+    # the model run reads the spans from a table, and so do the scores that stand in for it
+    rows = materialize(all_spans(spark, sf), "spans")
+    keys = ["task", "idx", "gold", "option_idx"]
+    return evals.span_scores(rows, token_scores(rows), keys)
 
 
 @query(
@@ -291,8 +299,7 @@ OUTCOMES = f"""{SCORED},
 
 def outcomes(spark, sf):
     rows = scored(spark, sf)
-    best = evals.best_option(rows, ["task", "idx"])
-    hit = best.join(rows, KEYS)
+    hit = evals.best_option(rows, ["task", "idx"], keep=["gold", "all_predicted"])
     correct = F.when(F.col("task") == "language_modeling", F.col("all_predicted")).otherwise(F.col("option_idx") == F.col("gold"))
     return hit.select("task", "idx", "option_idx", correct.alias("is_correct"))
 
@@ -578,13 +585,13 @@ def pass_at_k(spark, sf):
 
 @query(
     "running_pass_rate",
-    f"""WITH {SAMPLES}, p AS (SELECT p_partkey, bool_or(is_correct) AS passed FROM samples WHERE sample < 2 GROUP BY p_partkey)
+    f"""WITH {SAMPLES}, p AS (SELECT p_partkey, bool_or(is_correct) AS passed FROM samples GROUP BY p_partkey)
     SELECT p_partkey, CAST(sum(CAST(passed AS INT)) OVER w AS BIGINT) AS n_passed, count(*) OVER w AS n_total,
            round(avg(CAST(passed AS INT)) OVER w, 6) AS pass_rate FROM p
     WINDOW w AS (ORDER BY p_partkey ROWS UNBOUNDED PRECEDING)""",
 )
 def running_pass_rate(spark, sf):
-    passed = evals.passed_items(samples(spark, sf).filter("sample < 2"), "p_partkey")
+    passed = evals.passed_items(samples(spark, sf), "p_partkey")
     return evals.running_pass_rate(passed, "p_partkey").withColumn("pass_rate", F.round("pass_rate", 6))
 
 
