@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_right, insort
 from collections import deque
 
@@ -68,6 +69,17 @@ class Packer:
         self.row_docs: list = []
         self.row_cropped = 0
 
+    def dump(self) -> bytes:
+        """The buffer and the open row as plain data."""
+        return pickle.dumps({**vars(self), "queue": list(self.queue)})
+
+    @classmethod
+    def load(cls, data: bytes) -> Packer:
+        state = pickle.loads(data)
+        packer = cls(state["capacity"], state["buffer"], state["refill"], state["crop"])
+        vars(packer).update(state, queue=deque(state["queue"]))
+        return packer
+
     def push(self, doc_id, ids):
         """Take one sequence; yields the rows that it completes."""
         self.pending.append((doc_id, ids))

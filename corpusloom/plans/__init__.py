@@ -9,6 +9,7 @@ from corpusloom.plans import (  # noqa: F401  (the imports register the queries)
     corpus,
     evals,
     runs,
+    streams,
     tokens,
 )
 
