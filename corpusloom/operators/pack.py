@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.det import draw_index
 from corpusloom.operators.prefix import prefix_sums
 
 DOCS_PER_GROUP = 4096
@@ -134,8 +135,7 @@ class Packer:
 
 def pack_groups(docs: DataFrame, key: str, docs_per_group: int = DOCS_PER_GROUP) -> Column:
     """Group of a row by a hash of its key: as many groups as the data needs, each of about the same size."""
-    n = max(1, -(-docs.count() // docs_per_group))
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("long")
+    return draw_index(max(1, -(-docs.count() // docs_per_group)), "pack", key)
 
 
 def bestfit_pack(

@@ -116,9 +116,42 @@ def top_predictors(spark, sf):
     return rounded(runs.top_predictors(sweep(spark, sf), FEATURES, "core_score"), "r2", "slope").select("feature", "r2", "slope")
 
 
-@query("ridge_fit")
+ALPHAS = [0.0, 0.001, 0.01, 0.1, 1.0]
+SCALED = ["depth / 10.0", "num_iterations / 1000.0", "param_data_ratio / 10.0", "val_bpb"]
+
+
+def sql_ridge() -> str:
+    """Gaussian elimination on the sums of products, one step per CTE."""
+    cols = ["1.0", *SCALED, "core_score"]
+    k = len(cols) - 1
+    sums = [f"sum(CAST({cols[i]} AS DOUBLE) * ({cols[j]})) AS m0_{i}_{j}" for i in range(k) for j in range(k + 1)]
+    sums += ["sum(core_score * core_score) AS yy", "sum(core_score) AS y1", "count(*) AS n"]
+    steps = f"sums AS (SELECT {', '.join(sums)} FROM runs),\n"
+    first = [f"m0_{i}_{j}" + (" + alpha" if i == j and i else "") + f" AS e0_{i}_{j}" for i in range(k) for j in range(k + 1)]
+    steps += f"e0 AS (SELECT *, {', '.join(first)} FROM sums CROSS JOIN (SELECT unnest({ALPHAS}) AS alpha))"
+    for p in range(k):  # clear column p in all other rows
+        cells = []
+        for i in range(k):
+            for j in range(k + 1):
+                e, pivot = f"e{p}_{i}_{j}", f"e{p}_{p}_{j} / e{p}_{p}_{p}"
+                cells.append((pivot if i == p else f"{e} - e{p}_{i}_{p} * {pivot}") + f" AS e{p + 1}_{i}_{j}")
+        steps += f",\ne{p + 1} AS (SELECT *, {', '.join(cells)} FROM e{p})"
+    w = [f"e{k}_{i}_{k}" for i in range(k)]
+    fitted = " + ".join(f"{w[i]} * {w[j]} * m0_{i}_{j}" for i in range(k) for j in range(k))
+    cross = " + ".join(f"{w[i]} * m0_{i}_{k}" for i in range(k))
+    names = ", ".join(f"round({w[i]}, 5) AS w{i}" for i in range(1, k))
+    return f"""WITH {SWEEP}, {steps} SELECT CAST(alpha AS DOUBLE) AS alpha, round({w[0]}, 5) AS intercept, {names},
+      round(1 - (yy - 2 * ({cross}) + ({fitted})) / (yy - y1 * y1 / n), 5) AS r2,
+      round(sqrt({' + '.join(f'{x} * {x}' for x in w[1:])}), 5) AS weight_norm FROM e{k}"""
+
+
+@query("ridge_fit", sql_ridge())
 def ridge_fit(spark, sf):
-    return runs.ridge_fit(sweep(spark, sf), FEATURES, "core_score", [0.0, 0.001, 0.01, 0.1, 1.0])
+    points = sweep(spark, sf).select("core_score", *[F.expr(e).cast("double").alias(f"w{i}") for i, e in enumerate(SCALED, 1)])
+    names = [f"w{i}" for i in range(1, len(SCALED) + 1)]
+    fit = runs.ridge_fit(points, names, "core_score", ALPHAS)
+    fit = fit.select("alpha", "intercept", *[F.col("weights")[i].alias(n) for i, n in enumerate(names)], "r2", "weight_norm")
+    return rounded(fit, "intercept", *names, "r2", "weight_norm", digits=5)
 
 
 ISO = f"""{SWEEP},

@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
+from corpusloom.functions.det import draw_index, u
 from corpusloom.operators import pack
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.plans.runs import STEPS, steps
-from corpusloom.functions.det import u
+from corpusloom.plans.tokens import SHOWN, SQL_DOCS, shown, sql_packed
 from corpusloom.session import work_dir
 from corpusloom.streaming import streams
 
@@ -45,7 +46,7 @@ def byte_ids():
 
 
 def group():
-    return F.pmod(F.xxhash64("doc_id"), F.lit(GROUPS))
+    return draw_index(GROUPS, "pack", "doc_id")
 
 
 @query("stream_shards", "SELECT doc_id, source, length(text) AS n FROM documents")
@@ -56,20 +57,34 @@ def stream_shards(spark, sf):
     return spark.read.parquet(f"{path}/out")
 
 
-@query("stream_pack")
+@query(
+    "stream_pack",
+    f"WITH RECURSIVE {SQL_DOCS}, {sql_packed('bytes', str(GROUPS), T, 64, 16, 'shortest', finish=False)} SELECT {SHOWN} FROM packed",
+)
 def stream_pack(spark, sf):
     path, docs = documents(spark, sf, "stream-pack")
     rows = streams.stream_pack(docs.withColumn("ids", byte_ids()), "doc_id", "ids", group(), T, buffer=64, refill=16)
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
-    return spark.read.schema(pack.PACKED_SCHEMA).parquet(f"{path}/out")
+    return shown(spark.read.schema(pack.PACKED_SCHEMA).parquet(f"{path}/out"))
 
 
-@query("stream_flat_rows")
+@query(
+    "stream_flat_rows",
+    f"""WITH {SQL_DOCS}, g AS (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * {GROUPS}) AS BIGINT) AS pack_group FROM bytes),
+      o AS (SELECT pack_group, ids, sum(len(ids)) OVER (PARTITION BY pack_group ORDER BY key) - len(ids) AS start,
+                   sum(len(ids)) OVER (PARTITION BY pack_group) AS total FROM g),
+      s AS (SELECT pack_group, total, CAST(start AS BIGINT) + unnest(range(len(ids))) AS p, unnest(ids) AS id FROM o),
+      w AS (SELECT *, p // {T} AS row_id FROM s UNION ALL SELECT *, p // {T} - 1 FROM s WHERE p % {T} = 0 AND p > 0),
+      r AS (SELECT pack_group, row_id, list(id ORDER BY p) AS ids, any_value(total) AS total FROM w GROUP BY pack_group, row_id)
+    SELECT pack_group, row_id, md5({fx.sql_join(f'ids[:{T}]')}) AS inputs, md5({fx.sql_join('ids[2:]')}) AS targets
+    FROM r WHERE row_id < (total - 1) // {T}""",
+)
 def stream_flat_rows(spark, sf):
     path, docs = documents(spark, sf, "stream-flat")
     rows = streams.stream_flat_rows(docs.withColumn("ids", byte_ids()), "doc_id", "ids", group(), T)
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
-    return spark.read.schema(streams.FLAT_SCHEMA).parquet(f"{path}/out")
+    out = spark.read.schema(streams.FLAT_SCHEMA).parquet(f"{path}/out")
+    return out.select("pack_group", "row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
 
 
 @query(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as tx
 from corpusloom.operators import bpe, pack
 from corpusloom.plans import fixtures as fx
-from corpusloom.plans.chat import rendered
-from corpusloom.plans.registry import query, table
+from corpusloom.plans.chat import MERGED, rendered, sql_rendered
+from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.session import work_dir
 from corpusloom.sources.scan import spread
 
@@ -256,26 +256,80 @@ def flat_token_rows(spark, sf):
     return rows.select("row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
 
 
-@query("bestfit_pack")
-def bestfit_pack(spark, sf):
+def sql_packed(docs: str, groups: str, width: int, buffer: int, refill: int, crop: str, finish: bool = True) -> str:
+    """Best-fit packing as a recursion: every step admits sequences or places one. ``docs`` has (key, ids)."""
+    cap, big = width + 1, 1 << 32
+    fit = "list_filter(buf, lambda x: x.n <= room)"
+    longest = f"list_max(list_transform({fit}, lambda x: x.n * {big} - x.a))"
+    cropped = {
+        "shortest": f"list_min(list_transform(buf, lambda x: x.n * {big} + x.a)) % {big}",
+        "first": "list_min(list_transform(buf, lambda x: x.a))",
+    }[crop]
+    usable = "total" if finish else f"total // {refill} * {refill}"
+    go_on = "len(buf) > 0 OR nxt < usable" if finish else f"len(buf) >= {buffer} OR nxt < usable"
+    return f"""
+  src AS (SELECT *, len(ids) AS n, row_number() OVER (PARTITION BY grp ORDER BY key) - 1 AS a, count(*) OVER (PARTITION BY grp) AS total
+          FROM (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * ({groups})) AS BIGINT) AS grp FROM {docs})),
+  queues AS (SELECT grp, list({{'n': n, 'a': a}} ORDER BY a) AS q, any_value({usable}) AS usable FROM src GROUP BY grp),
+  pack AS (
+    SELECT grp, 0 AS step, q[1:0] AS buf, CAST(0 AS BIGINT) AS nxt, CAST({cap} AS BIGINT) AS room, CAST(0 AS BIGINT) AS row_id,
+           CAST(-1 AS BIGINT) AS pick, CAST(0 AS BIGINT) AS take, CAST(0 AS BIGINT) AS placed FROM queues
+    UNION ALL
+    SELECT grp, step + 1, CASE WHEN admit THEN list_concat(buf, q[nxt + 1:least(nxt + {refill}, usable)]) ELSE list_filter(buf, lambda x: x.a <> chosen) END,
+           CASE WHEN admit THEN least(nxt + {refill}, usable) ELSE nxt END,
+           CASE WHEN admit THEN room WHEN room = used THEN {cap} ELSE room - used END,
+           CASE WHEN NOT admit AND room = used THEN row_id + 1 ELSE row_id END,
+           CASE WHEN admit THEN -1 ELSE chosen END, CASE WHEN admit THEN 0 ELSE used END, row_id
+    FROM (SELECT *, least(room, list_filter(buf, lambda x: x.a = chosen)[1].n) AS used
+          FROM (SELECT p.*, q.q, q.usable, len(buf) < {buffer} AND nxt < usable AS admit,
+                       CASE WHEN len({fit}) > 0 THEN ({big} - {longest} % {big}) % {big} ELSE {cropped} END AS chosen
+                FROM pack p JOIN queues q USING (grp) WHERE {go_on}))),
+  packed AS (SELECT p.grp AS pack_group, p.placed AS row_id, count(*) AS n_docs, CAST(sum(s.n - p.take) AS BIGINT) AS n_cropped,
+                    flatten(list(s.ids[:p.take] ORDER BY p.step)) AS ids, {fx.sql_join('list(s.key ORDER BY p.step)')} AS docs
+             FROM pack p JOIN src s ON s.grp = p.grp AND s.a = p.pick WHERE p.pick >= 0 GROUP BY p.grp, p.placed HAVING sum(p.take) = {cap})"""
+
+
+SHOWN = f"pack_group, row_id, n_docs, n_cropped, docs, md5({fx.sql_join('ids')}) AS ids"
+SQL_DOCS = f"bytes AS (SELECT doc_id AS key, list_concat([256], {fx.sql_bytes('text')}) AS ids FROM documents)"
+N_GROUPS = f"SELECT (count(*) + {pack.DOCS_PER_GROUP - 1}) // {pack.DOCS_PER_GROUP} FROM documents"
+PACKED = f"{SQL_DOCS}, {sql_packed('bytes', N_GROUPS, T, 1000, 128, 'shortest')}"
+
+
+def shown(packed):
+    return packed.select(
+        "pack_group", "row_id", F.size("doc_ids").cast("long").alias("n_docs"), "n_cropped",
+        fx.joined("doc_ids").alias("docs"), F.md5(fx.joined("ids")).alias("ids"),
+    )
+
+
+def packed(spark, sf):
     docs = byte_docs(spark, sf)
-    return pack.bestfit_pack(docs, "doc_id", "ids", T, pack.pack_groups(docs, "doc_id"))
+    return pack.bestfit_pack(docs, "doc_id", "ids", T, pack.pack_groups(table(spark, sf, "documents"), "doc_id"))
+
+
+@query("bestfit_pack", f"WITH RECURSIVE {PACKED} SELECT {SHOWN} FROM packed")
+def bestfit_pack(spark, sf):
+    return shown(packed(spark, sf))
 
 
-@query("bestfit_pack_conv")
+@query(
+    "bestfit_pack_conv",
+    f"""WITH RECURSIVE {MERGED}, {sql_rendered('merged')}, conv AS (SELECT conv_id AS key, ids FROM rendered),
+      {sql_packed('conv', f'SELECT (count(*) + {pack.DOCS_PER_GROUP - 1}) // {pack.DOCS_PER_GROUP} FROM conv', T, 100, 1, 'first')}
+    SELECT {SHOWN} FROM packed""",
+)
 def bestfit_pack_conv(spark, sf):
-    rows = rendered(spark, sf)
-    return pack.bestfit_pack(rows, "conv_id", "ids", T, pack.pack_groups(rows, "conv_id"), buffer=100, refill=1, crop="first")
+    groups = pack.pack_groups(table(spark, sf, "conversations").select("conv_id").distinct(), "conv_id")
+    return shown(pack.bestfit_pack(rendered(spark, sf), "conv_id", "ids", T, groups, buffer=100, refill=1, crop="first"))
 
 
-@query("packer_udtf")
+@query("packer_udtf", f"WITH RECURSIVE {PACKED} SELECT {SHOWN} FROM packed")
 def packer_udtf(spark, sf):
     docs = byte_docs(spark, sf)
     spark.udtf.register("pack_rows", pack.packer_function(T))
-    docs.select(F.col("doc_id").alias("doc"), "ids", pack.pack_groups(docs, "doc_id").alias("pack_group")).createOrReplaceTempView(
-        "pack_input"
-    )
-    return spark.sql("SELECT * FROM pack_rows(TABLE(pack_input) PARTITION BY pack_group ORDER BY doc)")
+    groups = pack.pack_groups(table(spark, sf, "documents"), "doc_id")
+    docs.select(F.col("doc_id").alias("doc"), "ids", groups.alias("pack_group")).createOrReplaceTempView("pack_input")
+    return shown(spark.sql("SELECT * FROM pack_rows(TABLE(pack_input) PARTITION BY pack_group ORDER BY doc)"))
 
 
 @query(
@@ -288,7 +342,13 @@ def packing_waste(spark, sf):
     return pack.packing_minimum(table(spark, sf, "documents"), F.octet_length("text") + 1, T, "lang")
 
 
-@query("packing_rates")
+@query(
+    "packing_rates",
+    f"""WITH RECURSIVE {PACKED}, s AS (SELECT count(*) AS n_rows, CAST(sum(len(ids)) AS BIGINT) AS n_packed, CAST(sum(n_cropped) AS BIGINT) AS n_cropped FROM packed)
+    SELECT n_rows, n_packed, n_cropped, CAST(1 AS DOUBLE) AS utilization, CAST(0 AS DOUBLE) AS padding, round(n_cropped / (n_packed + n_cropped), 6) AS crop,
+           (SELECT CAST(sum(n) AS BIGINT) FROM src) - n_packed - n_cropped AS n_leftover FROM s""",
+)
 def packing_rates(spark, sf):
     total = table(spark, sf, "documents").agg(F.sum(F.octet_length("text") + 1)).first()[0]
-    return pack.packing_rates(bestfit_pack(spark, sf), total, T)
+    rates = pack.packing_rates(packed(spark, sf), total, T)
+    return rates.withColumns({c: F.round(c, 6) for c in ("utilization", "padding", "crop")})
