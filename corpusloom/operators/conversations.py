@@ -33,6 +33,12 @@ def part(kind: str | Column, text: Column) -> Column:
     return F.struct(kind.alias("type"), text.alias("text"))
 
 
+def tasks(df: DataFrame) -> int:
+    """Tasks of a shuffle whose output is heavy to work on: never fewer than the cores."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def gather_messages(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
     max_tokens: int = MAX_TOKENS,
@@ -43,7 +49,7 @@ def gather_messages(
     a rendered conversation. They are left out before the shuffle, which bounds the gathered group.
     """
     m = plain_message(F.col(role), text)
-    rows = turns.filter(F.col(turn) <= max_tokens).groupBy(conv).agg(
+    rows = turns.filter(F.col(turn) <= max_tokens).repartition(tasks(turns), conv).groupBy(conv).agg(
         F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), m.alias("m")))).alias("_m")
     )
     return rows.select(conv, F.transform("_m", lambda x: x["m"]).alias("messages"))
@@ -147,83 +153,76 @@ def unwrap_struct(df: DataFrame, wrapper: str) -> DataFrame:
 # --- rendering -------------------------------------------------------------------------------------
 
 
-def _const(n: int, *bits: int) -> Column:
-    return F.array(*[F.lit(b) for b in bits]) if n else F.array().cast("array<int>")
+def _when(cond: Column, value: int) -> Column:
+    return F.when(cond, F.array(F.lit(value))).otherwise(F.array().cast("array<int>"))
+
 
+def _parts(m: Column) -> Column:
+    """All parts of all messages in order, with what the markers around them depend on."""
 
-def render_conversation(tok, messages: str | Column = "messages", max_tokens: int = MAX_TOKENS) -> Column:
-    """``struct<ids, mask>`` of a conversation: bos, then every message between its markers.
+    def of_message(x: Column) -> Column:
+        user = x["role"] == "user"
+        last = F.size(x["parts"]) - 1
+        return F.transform(
+            x["parts"],
+            lambda p, i: F.struct(
+                user.alias("user"), (~user & (i == 0)).alias("opens"), (~user & (i == last)).alias("closes"),
+                (~user & (p["type"] == "python")).alias("call"), (~user & (p["type"] == "python_output")).alias("output"),
+            ),
+        )
+
+    return F.flatten(F.transform(m, of_message))
+
+
+def render(df: DataFrame, tok, messages: str = "messages", max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """Add ``ids`` and ``mask`` of every conversation: bos, then every message between its markers.
 
     Supervised (mask 1) are assistant texts, tool calls with their markers and the assistant end marker.
+    Each step is a column of its own, so it is worked out once per row.
     """
-    m = merge_system(messages)
     s = tok.special
-    bad = F.exists(
-        F.zip_with(m, F.sequence(F.lit(0), F.size(m) - 1), lambda x, i: x["role"] != F.when(i % 2 == 0, "user").otherwise("assistant")),
-        lambda wrong: wrong,
-    )
-    flat = F.flatten(F.transform(m, lambda x: F.transform(x["parts"], lambda p: p["text"])))
-    encoded = tok.encode_each(flat)
-    kinds = F.flatten(
-        F.transform(
-            m,
-            lambda x: F.transform(
-                x["parts"],
-                lambda p, i: F.struct(
-                    x["role"].alias("role"),
-                    p["type"].alias("type"),
-                    (i == 0).alias("first"),
-                    (i == F.size(x["parts"]) - 1).alias("last"),
-                ),
-            ),
-        )
-    )
+    m = F.col("_m")
+    expected = lambda i: F.when(i % 2 == 0, "user").otherwise("assistant")
+    wrong = F.exists(F.transform(m, lambda x, i: x["role"] != expected(i)), lambda w: w)
+    checked = F.when(wrong, F.raise_error(F.lit("roles must alternate, starting with the user"))).otherwise(_parts(m))
+    texts = F.flatten(F.transform(m, lambda x: F.transform(x["parts"], lambda p: p["text"])))
 
     def with_markers(k: Column, ids: Column) -> Column:
-        n = F.size(ids)
-        user = k["role"] == "user"
-        python, output = k["type"] == "python", k["type"] == "python_output"
-        one = lambda cond, tid: F.when(cond, F.array(F.lit(tid))).otherwise(F.array().cast("array<int>"))
-        mark = lambda cond, bit: F.when(cond, F.array(F.lit(bit))).otherwise(F.array().cast("array<int>"))
-        bit = F.when(user | output, 0).otherwise(1)
-        a_first, a_last = ~user & k["first"], ~user & k["last"]
-        all_ids = F.concat(
-            one(user, s(tx.USER_START)), one(a_first, s(tx.ASSISTANT_START)),
-            one(~user & python, s(tx.PYTHON_START)), one(~user & output, s(tx.OUTPUT_START)),
+        return F.concat(
+            _when(k["user"], s(tx.USER_START)), _when(k["opens"], s(tx.ASSISTANT_START)),
+            _when(k["call"], s(tx.PYTHON_START)), _when(k["output"], s(tx.OUTPUT_START)),
             ids,
-            one(~user & python, s(tx.PYTHON_END)), one(~user & output, s(tx.OUTPUT_END)),
-            one(user, s(tx.USER_END)), one(a_last, s(tx.ASSISTANT_END)),
-        )
-        mask = F.concat(
-            mark(user | a_first, 0),
-            mark(~user & python, 1), mark(~user & output, 0),
-            F.array_repeat(bit, n),
-            mark(~user & python, 1), mark(~user & output, 0),
-            mark(user, 0), mark(a_last, 1),
+            _when(k["call"], s(tx.PYTHON_END)), _when(k["output"], s(tx.OUTPUT_END)),
+            _when(k["user"], s(tx.USER_END)), _when(k["closes"], s(tx.ASSISTANT_END)),
         )
-        return F.struct(all_ids.alias("ids"), mask.alias("mask"))
-
-    segments = F.zip_with(kinds, encoded, with_markers)
-    ids = F.concat(F.array(F.lit(s(tx.BOS))), F.flatten(F.transform(segments, lambda x: x["ids"])))
-    mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform(segments, lambda x: x["mask"])))
-    out = F.struct(F.slice(ids, 1, max_tokens).alias("ids"), F.slice(mask, 1, max_tokens).alias("mask"))
-    return F.when(bad, F.raise_error(F.lit("roles must alternate, starting with the user"))).otherwise(out)
 
+    def bits(k: Column, ids: Column) -> Column:
+        bit = F.when(k["user"] | k["output"], 0).otherwise(1)
+        inner = F.size(ids) + F.when(k["call"] | k["output"], 2).otherwise(0)
+        return F.concat(
+            _when(k["user"] | k["opens"], 0), F.array_repeat(bit, inner), _when(k["user"], 0), _when(k["closes"], 1)
+        )
 
-def without_last(messages: str = "messages") -> Column:
-    m = F.col(messages)
-    return F.slice(m, 1, F.size(m) - 1)
+    whole = lambda first, segments: F.slice(F.concat(F.array(F.lit(first)), F.flatten(segments)), 1, max_tokens)
+    rows = df.withColumn("_m", merge_system(messages))
+    rows = rows.withColumns({"_k": checked, "_t": texts}).withColumn("_ids", tok.encode_each(F.col("_t")))
+    rows = rows.withColumns(
+        {
+            "ids": whole(s(tx.BOS), F.zip_with("_k", "_ids", with_markers)),
+            "mask": whole(0, F.zip_with("_k", "_ids", bits)),
+        }
+    )
+    return rows.drop("_m", "_k", "_t", "_ids")
 
 
-def render_for_completion(tok, messages: str = "messages", max_tokens: int = MAX_TOKENS) -> Column:
-    """Ids that prime the assistant: the last (assistant) message dropped, the assistant start appended."""
+def render_for_completion(df: DataFrame, tok, messages: str = "messages", max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """Add ``ids`` that prime the assistant: its last message dropped, the assistant start appended."""
     m = F.col(messages)
-    last = F.element_at(m, -1)["role"]
-    ids = render_conversation(tok, without_last(messages), max_tokens)["ids"]
-    ids = F.concat(ids, F.array(F.lit(tok.special(tx.ASSISTANT_START))))
-    return F.when(last == "assistant", ids).otherwise(
-        F.raise_error(F.lit("the last message must come from the assistant")).cast("array<int>")
+    open_ = F.when(F.element_at(m, -1)["role"] == "assistant", F.slice(m, 1, F.size(m) - 1)).otherwise(
+        F.raise_error(F.lit("the last message must come from the assistant"))
     )
+    rows = render(df.withColumn("_open", open_), tok, "_open", max_tokens).drop("_open", "mask")
+    return rows.withColumn("ids", F.concat("ids", F.array(F.lit(tok.special(tx.ASSISTANT_START)))))
 
 
 def next_token_targets(ids: str = "ids") -> tuple[Column, Column]:

@@ -132,37 +132,44 @@ def option_ids(tok, prompts: Column) -> Column:
     return F.transform(tok.encode_each(prompts), lambda ids: F.concat(bos, ids))
 
 
-def common_length(options: Column, suffix: bool = False) -> Column:
-    """Length of the common prefix (or suffix) of the id lists."""
-    seqs = F.transform(options, lambda o: F.reverse(o)) if suffix else options
-    m = F.array_min(F.transform(seqs, lambda o: F.size(o)))
-    head = F.slice(F.element_at(seqs, 1), 1, m)
-    first = F.transform(
-        seqs, lambda o: F.array_position(F.zip_with(head, F.slice(o, 1, m), lambda a, b: a != b), True)
-    )
-    return F.array_min(F.transform(first, lambda p: F.when(p == 0, m).otherwise(p - 1))).cast("int")
+def with_common_length(items: DataFrame, options: str, suffix: bool = False, out: str = "common") -> DataFrame:
+    """Length of the common prefix (or suffix) of the id lists of every item.
+
+    All lists are compared with the first one; each step is a column of its own and worked out once.
+    """
+    seqs = F.transform(options, lambda o: F.reverse(o)) if suffix else F.col(options)
+    rows = items.withColumn("_seqs", seqs).withColumn("_m", F.array_min(F.transform("_seqs", lambda o: F.size(o))))
+    rows = rows.withColumn("_head", F.slice(F.element_at("_seqs", 1), 1, F.col("_m")))
+    differs = lambda o: F.zip_with("_head", F.slice(o, 1, F.col("_m")), lambda a, b: a != b)
+    rows = rows.withColumn("_at", F.transform("_seqs", lambda o: F.array_position(differs(o), True)))
+    first = F.array_min(F.filter("_at", lambda p: p > 0))  # null when no list differs
+    return rows.withColumn(out, F.coalesce(first - 1, F.col("_m")).cast("int")).drop("_seqs", "_m", "_head", "_at")
 
 
-def spans(options: Column, kind: str) -> Column:
-    """``array<struct<ids, start, end>>`` of the answer in every option.
+def with_spans(items: DataFrame, kind: str, options: str = "options") -> DataFrame:
+    """Add ``spans``, ``array<struct<ids, start, end>>`` of the answer in every option.
 
     ``multiple_choice``: behind the common prefix. ``schema``: the common suffix. ``language_modeling``: what the
     second list adds to the first, which must be a proper prefix; the only row is the second list.
     """
     span = lambda o, s, e: F.struct(o.alias("ids"), s.cast("int").alias("start"), e.cast("int").alias("end"))
+    n = F.col("_n")
     if kind == "multiple_choice":
-        n = common_length(options)
-        return F.transform(options, lambda o: span(o, n, F.size(o)))
+        rows = with_common_length(items, options, out="_n")
+        return rows.withColumn("spans", F.transform(options, lambda o: span(o, n, F.size(o)))).drop("_n")
     if kind == "schema":
-        n = common_length(options, suffix=True)
-        return F.transform(options, lambda o: span(o, F.size(o) - n, F.size(o)))
+        rows = with_common_length(items, options, suffix=True, out="_n")
+        return rows.withColumn("spans", F.transform(options, lambda o: span(o, F.size(o) - n, F.size(o)))).drop("_n")
     if kind != "language_modeling":
         raise ValueError(f"unknown task type {kind!r}")
     without, whole = F.element_at(options, 1), F.element_at(options, 2)
     start = F.size(without)
     proper = (start < F.size(whole)) & (F.slice(whole, 1, start) == without)
-    return F.when(proper, F.array(span(whole, start, F.size(whole)))).otherwise(
-        F.raise_error(F.lit("the prompt without continuation must be a proper prefix of the prompt with it"))
+    return items.withColumn(
+        "spans",
+        F.when(proper, F.array(span(whole, start, F.size(whole)))).otherwise(
+            F.raise_error(F.lit("the prompt without continuation must be a proper prefix of the prompt with it"))
+        ),
     )
 
 

@@ -6,6 +6,7 @@ import pickle
 from bisect import bisect_right, insort
 from collections import deque
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +21,13 @@ PACKED_SCHEMA = "pack_group long, row_id long, ids array<int>, doc_ids array<lon
 # --- flat rows -------------------------------------------------------------------------------------
 
 
-def flat_rows(docs: DataFrame, order: str, ids: str, width: int, batch: int = 1) -> DataFrame:
+def flat_rows(docs: DataFrame, order: str, ids: str, width: int, batch: int = 1, size: Column | None = None) -> DataFrame:
     """The concatenated sequences cut into rows: row r has inputs [rT, rT+T) and targets shifted by one.
 
     Only whole batches of ``batch`` rows come out; the stream must hold one more id for the last target.
+    ``size`` tells the number of ids where that is cheaper to know than the ids themselves.
     """
-    sized = docs.select(order, F.size(ids).cast("long").alias("n"))
+    sized = docs.select(order, (F.size(ids) if size is None else size).cast("long").alias("n"))
     ends = prefix_sums(sized, [order], {"_end": F.col("n")})
     total = sized.agg(F.sum("n")).first()[0] or 0
     rows = max(total - 1, 0) // (width * batch) * batch
@@ -66,7 +68,8 @@ class Packer:
         self.sizes: list[tuple[int, int]] = []  # (length, -arrival), sorted: ties give the first arrival
         self.queue: deque[int] = deque()
         self.arrived = 0
-        self.row: list[int] = []
+        self.row: list[np.ndarray] = []  # the pieces of the open row
+        self.filled = 0
         self.row_docs: list = []
         self.row_cropped = 0
 
@@ -83,7 +86,7 @@ class Packer:
 
     def push(self, doc_id, ids):
         """Take one sequence; yields the rows that it completes."""
-        self.pending.append((doc_id, ids))
+        self.pending.append((doc_id, np.asarray(ids, dtype="int32")))
         if len(self.pending) >= self.refill:
             self._admit()
             while len(self.docs) >= self.buffer:
@@ -109,7 +112,7 @@ class Packer:
         self.pending = []
 
     def _place(self):
-        room = self.capacity - len(self.row)
+        room = self.capacity - self.filled
         at = bisect_right(self.sizes, (room, 1)) - 1
         if at >= 0 and self.sizes[at][0] > 0:
             key = self.sizes.pop(at)
@@ -124,12 +127,13 @@ class Packer:
             self.sizes.remove(key)
         doc_id, ids = self.docs.pop(-key[1])
         self.row_cropped += max(len(ids) - room, 0)
-        self.row.extend(ids[:room])
+        self.row.append(ids[:room])
+        self.filled += len(self.row[-1])
         self.row_docs.append(doc_id)
-        if len(self.row) < self.capacity:
+        if self.filled < self.capacity:
             return None
-        done = (self.row, self.row_docs, self.row_cropped)
-        self.row, self.row_docs, self.row_cropped = [], [], 0
+        done = (np.concatenate(self.row), self.row_docs, self.row_cropped)
+        self.row, self.filled, self.row_docs, self.row_cropped = [], 0, [], 0
         return done
 
 
@@ -210,7 +214,7 @@ def packer_function(width: int, buffer: int = 1000, refill: int = 128, crop: str
 
         def _emit(self, rows):
             for ids, docs, cropped in rows:
-                yield self.group, self.n, ids, docs, cropped
+                yield self.group, self.n, ids.tolist(), docs, cropped
                 self.n += 1
 
         def eval(self, row):

@@ -410,8 +410,7 @@ def sql_rendered(source: str) -> str:
 
 
 def rendered(spark, sf):
-    c = cv.gather_messages(turns(spark, sf)).select("conv_id", cv.render_conversation(TOK).alias("r"))
-    return c.select("conv_id", "r.ids", "r.mask")
+    return cv.render(cv.gather_messages(turns(spark, sf)), TOK).select("conv_id", "ids", "mask")
 
 
 @query(
@@ -440,8 +439,8 @@ _OUT = fx.sql_bytes("CAST(r AS VARCHAR)")
 def render_tool_calls(spark, sf):
     parts = an.tool_call_parts(F.col("answer"))
     messages = F.array(cv.plain_message("user", "question"), cv.parts_message("assistant", parts))
-    rows = fx.math(spark, sf).select("key", messages.alias("messages")).select("key", cv.render_conversation(TOK).alias("r"))
-    return rows.select("key", fx.joined(F.col("r.ids")).alias("ids"), F.array_join(F.col("r.mask").cast("array<string>"), "").alias("mask"))
+    rows = cv.render(fx.math(spark, sf).select("key", messages.alias("messages")), TOK)
+    return rows.select("key", fx.joined("ids").alias("ids"), F.array_join(F.col("mask").cast("array<string>"), "").alias("mask"))
 
 
 @query(
@@ -455,7 +454,7 @@ def render_tool_calls(spark, sf):
 )
 def render_for_completion(spark, sf):
     c = cv.gather_messages(turns(spark, sf)).filter(F.element_at("messages", -1)["role"] == "assistant")
-    c = c.select("conv_id", cv.render_for_completion(TOK).alias("ids"))
+    c = cv.render_for_completion(c, TOK)
     return c.select("conv_id", F.size("ids").cast("long").alias("n_ids"), F.md5(fx.joined("ids")).alias("ids"))
 
 
@@ -476,7 +475,7 @@ def supervised_targets(spark, sf):
 )
 def next_token_targets(spark, sf):
     ids = F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
-    rows = table(spark, sf, "documents").select("doc_id", ids.alias("ids"))
+    rows = scan.spread(table(spark, sf, "documents"), "doc_id").select("doc_id", ids.alias("ids"))
     inputs, targets = cv.next_token_targets()
     return rows.select("doc_id", F.md5(fx.joined(inputs)).alias("inputs"), F.md5(fx.joined(targets)).alias("targets"))
 
@@ -538,9 +537,9 @@ def supervised_token_count(spark, sf):
            CAST(0 AS BIGINT) AS n_refused FROM calls GROUP BY flag""",
 )
 def tool_call_audit(spark, sf):
-    parts = an.tool_call_parts(F.col("answer"))
-    kind = lambda k: F.filter(parts, lambda p: p["type"] == k)[0]["text"]
-    calls = fx.math(spark, sf).select("flag", "key", kind("python").alias("expr"), kind("python_output").alias("out"))
+    kind = lambda k: F.filter("parts", lambda p: p["type"] == k)[0]["text"]
+    calls = fx.math(spark, sf).select("flag", "key", an.tool_call_parts(F.col("answer")).alias("parts"))
+    calls = calls.select("flag", "key", kind("python").alias("expr"), kind("python_output").alias("out"))
     wrong = u("w", "key") < 0.1
     calls = calls.withColumn("out", F.when(wrong, (F.col("out").cast("long") + 1).cast("string")).otherwise(F.col("out")))
     return audit(calls, "flag")

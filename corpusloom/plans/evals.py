@@ -211,8 +211,8 @@ def sql_spans(kind: str) -> str:
 
 
 def spans(spark, sf, kind, base=None):
-    rows = prompts(spark, sf, kind, base).select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("o"))
-    return evals.explode_spans(rows.select("idx", "gold", evals.spans(F.col("o"), kind).alias("spans")), ["idx", "gold"])
+    rows = prompts(spark, sf, kind, base).select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("options"))
+    return evals.explode_spans(evals.with_spans(rows, kind), ["idx", "gold"])
 
 
 def union_sql(make) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.det import u
 from corpusloom.operators.prefix import number_rows
 from corpusloom.plans.registry import sql_u, table
+from corpusloom.sources.scan import spread
 
 # --- word pool: the distinct words of ``benchmark`` in word order ------------------------------------
 
@@ -67,7 +68,7 @@ def _text(*parts) -> Column:
 
 def math(spark, sf):
     q, n, r = F.col("q"), F.col("n"), F.col("r")
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         _text(F.col("l_orderkey"), ":", F.col("l_linenumber"), ":", F.col("l_partkey"), ":", F.col("l_suppkey")).alias("key"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_quantity").cast("int").alias("q"),

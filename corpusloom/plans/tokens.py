@@ -237,7 +237,7 @@ T, B = 2048, 4
 
 def byte_docs(spark, sf):
     ids = F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
-    return documents(spark, sf).select("doc_id", ids.alias("ids"))
+    return documents(spark, sf).select("doc_id", ids.alias("ids"), (F.octet_length("text") + 1).alias("n"))
 
 
 @query(
@@ -252,7 +252,7 @@ def byte_docs(spark, sf):
     FROM r WHERE row_id < (SELECT n_rows FROM n)""",
 )
 def flat_token_rows(spark, sf):
-    rows = pack.flat_rows(byte_docs(spark, sf), "doc_id", "ids", T, B)
+    rows = pack.flat_rows(byte_docs(spark, sf), "doc_id", "ids", T, B, size=F.col("n"))
     return rows.select("row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
 
 

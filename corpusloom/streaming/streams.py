@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def stream_pack(
         pdf = _ordered(batches, "doc")
         rows = []
         for doc, tokens in zip(pdf["doc"], pdf["ids"]):
-            rows.extend(packer.push(doc, [int(t) for t in tokens]))
+            rows.extend(packer.push(doc, tokens))
         state.update((packer.dump(), n + len(rows)))
         yield pd.DataFrame(
             [(key[0], n + i, *r) for i, r in enumerate(rows)], columns=["pack_group", "row_id", "ids", "doc_ids", "n_cropped"]
@@ -74,17 +75,16 @@ def stream_flat_rows(docs: DataFrame, order: str, ids: str, group: Column, width
     """Rows of the concatenated sequences of every group; the ids that fill no row yet are carried."""
 
     def flat(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rest, n = (list(state.get[0]), state.get[1]) if state.exists else ([], 0)
-        for tokens in _ordered(batches, "doc")["ids"]:
-            rest.extend(int(t) for t in tokens)
+        data, n = state.get if state.exists else (b"", 0)
+        rest = np.concatenate([np.frombuffer(data, "int32"), *_ordered(batches, "doc")["ids"]])
         full = max(len(rest) - 1, 0) // width
         rows = [(key[0], n + i, rest[i * width : (i + 1) * width], rest[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
-        state.update((rest[full * width :], n + full))
+        state.update((rest[full * width :].astype("int32").tobytes(), n + full))
         yield pd.DataFrame(rows, columns=["pack_group", "row_id", "inputs", "targets"])
 
     rows = docs.select(group.alias("pack_group"), F.col(order).cast("long").alias("doc"), F.col(ids).alias("ids"))
     return rows.groupBy("pack_group").applyInPandasWithState(
-        flat, FLAT_SCHEMA, "rest array<int>, n long", "append", GroupStateTimeout.NoTimeout
+        flat, FLAT_SCHEMA, "rest binary, n long", "append", GroupStateTimeout.NoTimeout
     )
 
 
