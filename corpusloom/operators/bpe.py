@@ -38,7 +38,9 @@ def symbol_id(s: str) -> int:
 
 def piece_counts(docs: DataFrame, text: str | Column = "text") -> DataFrame:
     """Occurrences of every distinct piece; counted inside the map tasks first."""
-    return docs.select(F.explode(tx.pieces(text)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    # for a plain explode Spark also filters on the list being non-empty, and cuts the text twice for it
+    pieces = docs.select(F.explode_outer(tx.pieces(text)).alias("piece")).filter("piece IS NOT NULL")
+    return pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
 
 
 def to_words(counts: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def _runs(words: DataFrame, k: int) -> DataFrame:
     for i in range(1, k):
         runs = F.zip_with(runs, F.slice(chars, i + 1, size - (k - 1)), lambda a, b: F.concat(a, b))
     return short.select(F.substring("word", F.col("i"), F.lit(k)).alias("run"), "n").unionByName(
-        long.select(F.explode(runs).alias("run"), "n")
+        long.select(F.explode_outer(runs).alias("run"), "n").filter("run IS NOT NULL")
     )
 
 

@@ -174,7 +174,7 @@ def with_spans(items: DataFrame, kind: str, options: str = "options") -> DataFra
 
 
 def explode_spans(items: DataFrame, keys: list[str], spans_column: str = "spans") -> DataFrame:
-    rows = items.select(*keys, F.posexplode(spans_column).alias("option_idx", "_s"))
+    rows = items.select(*keys, F.posexplode_outer(spans_column).alias("option_idx", "_s")).filter("_s IS NOT NULL")
     return rows.select(*keys, "option_idx", "_s.ids", F.col("_s.start").alias("start_idx"), F.col("_s.end").alias("end_idx"))
 
 

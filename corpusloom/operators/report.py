@@ -40,7 +40,7 @@ def report_sections(files: DataFrame, run: str) -> DataFrame:
 
 
 def report_lines(files: DataFrame, run: str) -> DataFrame:
-    return files.select(run, "file", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return files.select(run, "file", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def report_extract(lines: DataFrame, run: str) -> DataFrame:

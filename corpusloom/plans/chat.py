@@ -395,7 +395,7 @@ MERGED = """sys AS (SELECT conv_id, text AS sys_text FROM conversations WHERE tu
 
 @query("merge_system", f"WITH {MERGED} SELECT conv_id, role, text FROM merged")
 def merge_system(spark, sf):
-    c = cv.gather_messages(turns(spark, sf)).select("conv_id", F.explode(cv.merge_system()).alias("m"))
+    c = cv.gather_messages(turns(spark, sf)).select("conv_id", F.explode_outer(cv.merge_system()).alias("m"))
     return c.select("conv_id", F.col("m.role").alias("role"), cv.first_text(F.col("m")).alias("text"))
 
 

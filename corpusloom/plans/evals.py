@@ -20,6 +20,7 @@ from corpusloom.plans import fixtures as fx
 from corpusloom.plans.chat import MERGED, rendered, sql_rendered
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.session import materialize, work_dir
+from corpusloom.sources.scan import spread
 
 TOK = tx.ByteTokenizer()
 SHOTS = 3
@@ -169,7 +170,7 @@ def prompts(spark, sf, kind, base=None):
 
 
 def exploded_prompts(spark, sf, kind):
-    rows = prompts(spark, sf, kind).select("idx", F.posexplode("prompts").alias("option_idx", "prompt"))
+    rows = prompts(spark, sf, kind).select("idx", F.posexplode_outer("prompts").alias("option_idx", "prompt"))
     return rows.withColumn("option_idx", F.col("option_idx").cast("long"))
 
 
@@ -211,7 +212,9 @@ def sql_spans(kind: str) -> str:
 
 
 def spans(spark, sf, kind, base=None):
-    rows = prompts(spark, sf, kind, base).select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("options"))
+    # prompts are kept as a table, like the items: encoding them reads that table on all cores
+    text = spread(materialize(prompts(spark, sf, kind, base), "prompts"), "idx")
+    rows = text.select("idx", "gold", evals.option_ids(TOK, F.col("prompts")).alias("options"))
     return evals.explode_spans(evals.with_spans(rows, kind), ["idx", "gold"])
 
 
@@ -278,7 +281,7 @@ SCORED = f"scored AS ({union_sql(sql_scored)})"
 
 def scored(spark, sf):
     # the model run reads the spans from a table, and so do the scores that stand in for it
-    rows = materialize(all_spans(spark, sf), "spans")
+    rows = spread(materialize(all_spans(spark, sf), "spans"), "idx")
     keys = ["task", "idx", "gold", "option_idx"]
     return evals.span_scores(rows, token_scores(rows), keys)
 
@@ -624,7 +627,8 @@ TARGETS = f"""{MERGED}, {sql_rendered('merged')},
 
 
 def sized(spark, sf):
-    rows = rendered(spark, sf).select("conv_id", F.posexplode(cv.supervised_targets()).alias("pos", "target_id"))
+    rows = rendered(spark, sf).select("conv_id", F.posexplode_outer(cv.supervised_targets()).alias("pos", "target_id"))
+    rows = rows.filter("target_id IS NOT NULL")
     rows = rows.withColumn("pos", F.col("pos").cast("long"))
     return evals.gather_token_bytes(rows, vocab_table(spark, []).select("token_id", "n_bytes"))
 

@@ -73,7 +73,7 @@ def tokenizer(spark, sf):
 
 @query("pretokenize", f"WITH {PIECES} SELECT doc_id, pos, piece FROM pieces")
 def pretokenize(spark, sf):
-    rows = collapsed(spark, sf).select("doc_id", F.posexplode(tx.pieces("text")).alias("pos", "piece"))
+    rows = collapsed(spark, sf).select("doc_id", F.posexplode_outer(tx.pieces("text")).alias("pos", "piece")).filter("piece IS NOT NULL")
     return rows.withColumn("pos", F.col("pos").cast("long"))
 
 
