@@ -73,16 +73,17 @@ def greedy_shards(
     table = materialize(table, "greedy-exits")
     entry: dict[int, tuple[int, int]] = {}
     end, closed = 0, 0
-    for b, top in table.groupBy("_b").agg(F.max("_c")).orderBy("_b").collect():
+    tops = dict(table.groupBy("_b").agg(F.max("_c")).collect())
+    for b in range(len(bounds) + 1):
         entry[b] = (end, closed)
-        if top < end + budget:
+        if tops.get(b, 0) < end + budget:  # also a range without a row where a shard may end
             continue
         first = table.filter((F.col("_b") == b) & (F.col("_c") >= end + budget)).orderBy("_c", "_rn").first()
         end, closed = first["last"], closed + 1 + first["count"]
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_rn").reset_index(drop=True)
-        at, shard = entry.get(int(pdf["_b"].iloc[0]), (end, closed))
+        at, shard = entry[int(pdf["_b"].iloc[0])]
         usable = pdf[pdf["_rn"] % align == 0]
         ends, where = usable["_c"].to_numpy(), usable.index.to_numpy()
         closes = []
