@@ -50,39 +50,46 @@ def to_words(counts: DataFrame) -> DataFrame:
 LONG_WORD = 256
 
 
-def _runs(words: DataFrame, k: int) -> DataFrame:
+def has_long_words(words: DataFrame) -> bool:
+    return not words.filter(F.length("word") > LONG_WORD).isEmpty()
+
+
+def _runs(words: DataFrame, k: int, long_words: bool) -> DataFrame:
     """All runs of ``k`` adjacent symbols as (run, n).
 
     Cutting a run out of a short word is cheap. In a long word its cost grows with the position, so long
-    words are split once into symbols instead.
+    words, if there are any, are split once into symbols instead.
     """
     size = F.length("word")
     short = words.filter((size >= k) & (size <= LONG_WORD))
     short = short.select("word", "n", F.explode(F.sequence(F.lit(1), size - (k - 1))).alias("i"))
+    short = short.select(F.substring("word", F.col("i"), F.lit(k)).alias("run"), "n")
+    if not long_words:
+        return short
     long = words.filter(size > LONG_WORD)
     chars = F.split("word", "")
     runs = F.slice(chars, 1, size - (k - 1))
     for i in range(1, k):
         runs = F.zip_with(runs, F.slice(chars, i + 1, size - (k - 1)), lambda a, b: F.concat(a, b))
-    return short.select(F.substring("word", F.col("i"), F.lit(k)).alias("run"), "n").unionByName(
+    return short.unionByName(
         long.select(F.explode_outer(runs).alias("run"), "n").filter("run IS NOT NULL")
     )
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
+def pair_counts(words: DataFrame, long_words: bool = True) -> DataFrame:
     """Adjacent symbol pairs weighted by word frequency."""
-    return _runs(words, 2).groupBy(F.col("run").alias("pair")).agg(F.sum("n").alias("n"))
+    return _runs(words, 2, long_words).groupBy(F.col("run").alias("pair")).agg(F.sum("n").alias("n"))
 
 
 # --- training --------------------------------------------------------------------------------------
 
 
-def _around(words: DataFrame, pairs: list[str]) -> dict[str, int]:
+def _around(words: DataFrame, pairs: list[str], long_words: bool) -> dict[str, int]:
     """For every candidate pair the count of the most frequent triple that holds it.
 
     A symbol pair made by merging the candidate cannot be more frequent than that.
     """
-    triples = _runs(words, 3).withColumnRenamed("run", "t")
+    triples = _runs(words, 3, long_words).withColumnRenamed("run", "t")
     left, right = F.substring("t", 1, 2), F.substring("t", 2, 2)
     held = triples.filter(left.isin(pairs) | right.isin(pairs)).groupBy("t").agg(F.sum("n").alias("n"))
     both = held.select(F.explode(F.array(left, right)).alias("pair"), "n").filter(F.col("pair").isin(pairs))
@@ -101,17 +108,17 @@ def _undisturbed(top: list[str]) -> list[str]:
     return run
 
 
-def _next_merges(words: DataFrame, want: int) -> list[str]:
+def _next_merges(words: DataFrame, want: int, long_words: bool) -> list[str]:
     """The next merges of step-by-step training, as many as one look at the words can prove.
 
     A pair follows the ones before it when they leave all its occurrences and no pair that they create can
     reach its count.
     """
-    top = [(r[0], r[1]) for r in pair_counts(words).orderBy(F.desc("n"), "pair").limit(want).collect()]
+    top = [(r[0], r[1]) for r in pair_counts(words, long_words).orderBy(F.desc("n"), "pair").limit(want).collect()]
     run = _undisturbed([p for p, _ in top])
     if len(run) < 2:
         return run
-    around = _around(words, run)
+    around = _around(words, run, long_words)
     bound = 0
     for i, (_, n) in enumerate(top[: len(run)]):
         if i and n <= bound:
@@ -120,7 +127,7 @@ def _next_merges(words: DataFrame, want: int) -> list[str]:
     return run
 
 
-def train_merges(counts: DataFrame, vocab_size: int, keep_every: int = 24) -> list[tuple[int, int]]:
+def train_merges(counts: DataFrame, vocab_size: int, keep_every: int = 64) -> list[tuple[int, int]]:
     """Merges in rank order: most frequent pair first, ties by the smaller symbols.
 
     ``vocab_size`` includes the special tokens. Every round applies all merges that cannot influence each
@@ -138,20 +145,30 @@ def train_merges(counts: DataFrame, vocab_size: int, keep_every: int = 24) -> li
         return materialize(words.filter(F.length("word") > 1).repartition(tasks, "word"), "bpe-words")
 
     words = keep(to_words(counts))
+    long_words = has_long_words(words)
     merges: list[tuple[int, int]] = []
     pending = 0
+    cached: list[DataFrame] = []
     while len(merges) < target:
-        chosen = _next_merges(words, min(CANDIDATES, target - len(merges)))
+        chosen = _next_merges(words, min(CANDIDATES, target - len(merges)), long_words)
+        for old in cached[:-1]:
+            old.unpersist()
+        cached = cached[-1:]
         if not chosen:
             break
         word = F.col("word")
         for pair in chosen:
             word = F.replace(word, F.lit(pair), F.lit(symbol(256 + len(merges))))
             merges.append((symbol_id(pair[0]), symbol_id(pair[1])))
-        words = words.select(word.alias("word"), "n")
+        # kept in memory for the jobs of the next round; a lost part is made again from the last written words
+        words = words.select(word.alias("word"), "n").persist()
+        cached.append(words)
         pending += len(chosen)
         if pending >= keep_every:
             words, pending = keep(words), 0
+            long_words = long_words and has_long_words(words)
+    for old in cached:
+        old.unpersist()
     return merges
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index, u
 from corpusloom.operators.prefix import budget_cutoff, number_rows, prefix_sums, up_to
+from corpusloom.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -230,7 +231,7 @@ def val_budget(
     sizes = first.select(order, F.length(text).alias("_n")).unionByName(
         second.select(order, F.length(text).alias("_n"))
     )
-    mixed = mixed.join(sizes, order)
+    mixed = materialize(mixed.join(sizes, order), "val-mix")  # narrow, and read for the budget and for the result
     groups = mixed.groupBy("group").agg(F.sum("_n").alias("_n"))
     # a group is kept while the sum of the groups before it is still below the budget
     last = budget_cutoff(groups, ["group"], F.col("_n"), max_chars - 1, True)

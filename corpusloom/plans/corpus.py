@@ -14,7 +14,7 @@ from corpusloom.operators import mix, shards
 from corpusloom.operators.prefix import budget_cutoff, up_to
 from corpusloom.plans.fixtures import WORDS, words
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import work_dir
+from corpusloom.session import materialize, work_dir
 from corpusloom.sources import scan
 
 documents = partial(table, name="documents")
@@ -416,7 +416,8 @@ def tokenizer_corpus(spark, sf):
     docs = scan.split_train_val(documents(spark, sf), "train", "source").filter(mix.nonempty())
     docs = docs.select("doc_id", "lang", F.length(mix.doc_cap()).cast("long").alias("n"))
     mixed = mix.ratio_mix(docs.filter(F.col("lang") == "en"), docs.filter(F.col("lang") != "en"), "doc_id", 0.7)
-    sized = mixed.select("doc_id", "pos").join(docs, "doc_id")
+    # the order of the mix and the sizes are a narrow table; it is read three times, so it is written once
+    sized = materialize(mixed.select("doc_id", "pos").join(docs, "doc_id").select("lang", "n", "pos"), "mix")
     kept = sized.filter(up_to(["pos"], budget_cutoff(sized, ["pos"], F.col("n"), 1_500_000, True)))
     by_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_chars"))
     share = F.col("n_chars") / F.sum("n_chars").over(Window.partitionBy())  # one row per language

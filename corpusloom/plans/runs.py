@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.det import u
 from corpusloom.operators import report, runs
+from corpusloom.operators.conversations import tasks
 from corpusloom.operators.prefix import number_rows
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.registry import query, sql_u, table
@@ -308,7 +309,8 @@ def progress_lines(spark, sf):
         .when(e % 3 == 0, F.concat(F.lit("step "), no, rest))
         .otherwise(F.concat(F.lit("step "), no, F.lit("/05000"), rest))
     )
-    return numbered(spark, sf).select("run_id", "event_id", line.alias("line"))
+    rows = numbered(spark, sf)
+    return rows.repartition(tasks(rows), "event_id").select("run_id", "event_id", line.alias("line"))
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
@@ -54,14 +52,17 @@ def sql_training(n: int) -> str:
 TRAINING = sql_training(N_MERGES)
 
 
-@lru_cache(maxsize=8)
-def _merges(spark, sf):
-    return tuple(bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB))
+_trained: dict[str, list[tuple[int, int]]] = {}
+
+
+def train(spark, sf):
+    """Learn the merges from all documents of the folder and keep them for the other queries."""
+    _trained[sf] = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB)
+    return _trained[sf]
 
 
 def trained(spark, sf):
-    """Merges learned from all documents of the folder, kept for the other queries of this session."""
-    return list(_merges(spark, sf))
+    return _trained.get(sf) or train(spark, sf)
 
 
 def tokenizer(spark, sf):
@@ -103,8 +104,7 @@ def pair_counts(spark, sf):
     ),
 )
 def bpe_train(spark, sf):
-    merges = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB)
-    return bpe.merge_table(spark, merges)
+    return bpe.merge_table(spark, train(spark, sf))
 
 
 # --- vocabulary ------------------------------------------------------------------------------------

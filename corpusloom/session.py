@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +23,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names it. Only where it is unset (tests, laptops) a local folder is made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
