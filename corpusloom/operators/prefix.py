@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1 << 16
-MAX_BUCKETS = 2048
+MAX_BUCKETS = 4096
 
 
 def key_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list:
