@@ -119,7 +119,7 @@ def ratio_slots(docs: DataFrame, n_first: int, n_second: int, ratio: float, seed
     """Slots 1..n with the drawn corpus and the ordinal in it, and the last slot before one corpus runs out."""
     slots = docs.sparkSession.range(1, n_first + n_second + 1).withColumnRenamed("id", "slot")
     slots = slots.withColumn("is_first", u(seed, "slot") < ratio)
-    slots = prefix_sums(slots, ["slot"], {"_f": F.col("is_first").cast("long")})
+    slots = prefix_sums(slots, ["slot"], {"_f": F.col("is_first").cast("long")}, n=n_first + n_second)
     slots = slots.withColumn("k", F.when(F.col("is_first"), F.col("_f")).otherwise(F.col("slot") - F.col("_f")))
     out = (F.col("_f") == n_first) | (F.col("slot") - F.col("_f") == n_second)
     last = slots.filter(out).agg(F.min("slot")).first()[0]
@@ -128,9 +128,9 @@ def ratio_slots(docs: DataFrame, n_first: int, n_second: int, ratio: float, seed
 
 def ratio_merge(first: DataFrame, second: DataFrame, order: str, ratio: float, seed: int = 42) -> DataFrame:
     """The k-th slot of a corpus gets its k-th row, while both corpora last."""
-    f = number_rows(first.select(order), [order], "k")
-    s = number_rows(second.select(order), [order], "k")
     n1, n2 = first.count(), second.count()
+    f = number_rows(first.select(order), [order], "k", n=n1)
+    s = number_rows(second.select(order), [order], "k", n=n2)
     slots, last = ratio_slots(first, n1, n2, ratio, seed)
     last = 0 if not n1 or not n2 else last
     slots = slots.filter(F.col("slot") <= last)
@@ -146,17 +146,18 @@ def ratio_mix(
     ``ratio`` 1.0 never reads the second corpus. An empty second corpus is an error when ``strict``, else
     the mix falls back to the first corpus alone.
     """
-    f = number_rows(first.select(order), [order], "k").withColumn("is_first", F.lit(True))
+    n1 = first.count()
+    f = number_rows(first.select(order), [order], "k", n=n1).withColumn("is_first", F.lit(True))
     alone = f.withColumn("pos", F.col("k")).drop("k")
     if ratio >= 1.0:
         return alone
-    n1, n2 = first.count(), second.count()
+    n2 = second.count()
     if not n2:
         if strict:
             raise ValueError("the second corpus is empty")
         log.warning("the second corpus is empty, falling back to the first alone")
         return alone
-    s = number_rows(second.select(order), [order], "k").withColumn("is_first", F.lit(False))
+    s = number_rows(second.select(order), [order], "k", n=n2).withColumn("is_first", F.lit(False))
     slots, last = ratio_slots(first, n1, n2, ratio, seed)
     slots = slots.filter(F.col("slot") <= (last if n1 else 0))
     rows = f.unionByName(s).join(slots, ["is_first", "k"], "left")
@@ -200,7 +201,7 @@ def insert_mix(
     own = rows.select(order, F.lit(True).alias("is_first"), "group", (F.col("group") + before).alias("pos"))
     if not n2:
         return own
-    pool = number_rows(second.select(order), [order], "pool_idx")
+    pool = number_rows(second.select(order), [order], "pool_idx", n=n2)
     pool = pool.withColumn("pool_idx", F.col("pool_idx") - 1)
     drawn = rows.filter(F.col("_flag") == 1).withColumn("_j", F.col("_c") - 1).drop(order)
     drawn = cycle_join(drawn, pool, "_j", n2, repeat)

@@ -17,13 +17,13 @@ ROWS_PER_BUCKET = 1 << 16
 MAX_BUCKETS = 4096
 
 
-def key_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None) -> list:
+def key_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None, n: int | None = None) -> list:
     """Upper-exclusive bucket boundaries of a numeric key; empty when one bucket is enough.
 
     The list has at most ``MAX_BUCKETS`` entries. It is fixed on the driver so that every use of it
     (bucket totals, windows, retried tasks) cuts the rows at the same places.
     """
-    n = df.count()
+    n = df.count() if n is None else n
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
     if buckets <= 1:
@@ -65,6 +65,7 @@ def prefix_sums(
     rows_per_bucket: int | None = None,
     bounds: Sequence | None = None,
     lowest: bool = False,
+    n: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums along ``order`` (first column numeric, all columns a unique key).
 
@@ -72,7 +73,7 @@ def prefix_sums(
     into buckets. Pass narrow rows and join wide columns back where possible.
     """
     if bounds is None:
-        bounds = key_bounds(df, F.col(order[0]), rows_per_bucket)
+        bounds = key_bounds(df, F.col(order[0]), rows_per_bucket, n)
     rows = df
     gather = F.min if lowest else F.sum
     if not bounds:
@@ -109,9 +110,10 @@ def number_rows(
     out: str = "rn",
     partition: Sequence[str] = (),
     rows_per_bucket: int | None = None,
+    n: int | None = None,
 ) -> DataFrame:
-    """Dense 1-based numbering along ``order``."""
-    return prefix_sums(df, order, {out: F.lit(1)}, partition, rows_per_bucket).withColumn(
+    """Dense 1-based numbering along ``order``; ``n`` is the number of rows where it is known already."""
+    return prefix_sums(df, order, {out: F.lit(1)}, partition, rows_per_bucket, n=n).withColumn(
         out, F.col(out).cast("long")
     )
 

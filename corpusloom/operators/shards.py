@@ -54,7 +54,8 @@ def greedy_shards(
     The chain is then followed range by range with one small lookup each (at most MAX_BUCKETS), and the
     ranges number their rows in parallel. Returns the order columns, ``size`` and ``shard``.
     """
-    rows = docs.select(*order, size.cast("long").alias("size"))
+    # the texts are read once; everything below works on keys and sizes
+    rows = materialize(docs.select(*order, size.cast("long").alias("size")), "greedy-sizes")
     bounds = key_bounds(rows, F.col(order[0]), rows_per_bucket)
     rows = prefix_sums(rows, order, {"_c": F.col("size"), "_rn": F.lit(1)}, bounds=bounds)
     rows = rows.withColumn("_b", bucket_of(F.col(order[0]), bounds))

@@ -414,9 +414,9 @@ def corpus_totals(spark, sf):
 )
 def tokenizer_corpus(spark, sf):
     docs = scan.split_train_val(documents(spark, sf), "train", "source").filter(mix.nonempty())
-    docs = docs.select("doc_id", "lang", F.length(mix.doc_cap()).cast("long").alias("n"))
+    # ids and sizes are all that the mix and the budget need: the texts are read once, for this table
+    docs = materialize(docs.select("doc_id", "lang", F.length(mix.doc_cap()).cast("long").alias("n")), "sizes")
     mixed = mix.ratio_mix(docs.filter(F.col("lang") == "en"), docs.filter(F.col("lang") != "en"), "doc_id", 0.7)
-    # the order of the mix and the sizes are a narrow table; it is read three times, so it is written once
     sized = materialize(mixed.select("doc_id", "pos").join(docs, "doc_id").select("lang", "n", "pos"), "mix")
     kept = sized.filter(up_to(["pos"], budget_cutoff(sized, ["pos"], F.col("n"), 1_500_000, True)))
     by_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_chars"))
