@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, packing, token_counts
+from corpusloom.functions.det import draw_index
+from corpusloom.llm import bpe, license_scan, near_join, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +18,9 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: characters of a document per edit
 EDIT_EVERY = 2000
+TOP = 10
+#: days that captures and list entries are spread over
+DAYS = 366
 
 
 def query(name: str, sql: str | None = None):
@@ -40,6 +44,42 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries that every page gives rise to: its domain, or one above it, and its path, or a folder of it, added or removed on a drawn day."""
+    h = url_filters.host(F.col("url"))
+    found = [
+        (url_filters.DOMAIN, url_filters.domain_rules(h)),
+        (url_filters.PREFIX, url_filters.prefix_rules(h, url_filters.path(F.col("url")))),
+    ]
+    parts = []
+    for kind, rules in found:
+        pick = F.get(rules, draw_index(F.size(rules), f"{kind}-rule", "page_id").cast("int"))
+        day, added = draw_index(DAYS, f"{kind}-day", "page_id").cast("int"), draw_index(2, f"{kind}-added", "page_id") == 0
+        parts.append(F.struct(F.lit(f"{kind}s").alias("list"), F.lit(kind).alias("kind"), pick.alias("rule"), day.alias("day"), added.alias("added")))
+    return pages.select(F.inline(F.array(*parts)))
+
+
+@query("op1_url_filters")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("day", draw_index(DAYS, "fetched", "page_id").cast("int"))
+    return url_filters.filter_urls(captures, list_entries(pages))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("op4_bpe_round_trip")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary(), decoded=True)
@@ -47,6 +87,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op5_near_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_join(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = license_scan.scan(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query("op7_exact_top_k")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, TOP)
+
+
 def with_edits(docs: DataFrame) -> DataFrame:
     """``docs`` with an edit per ``EDIT_EVERY`` characters and one more: places and sizes from hashes, added text from the document."""
     text, k = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id")
@@ -68,6 +124,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(with_edits(table(spark, sf_dir, "documents")), vocabulary())
 
 
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_bestfit_islands")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS, END_ID)
