@@ -31,7 +31,7 @@ WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 
 #: measure: whether low values are fenced too, and the least distance of a fence from its quartile
-MEASURES = {"word_size": (True, 2000), "symbol_rate": (False, 100), "dup_line_rate": (False, 300), "repeat_rate": (False, 200)}
+MEASURES = {"word_size": (True, 2000), "symbol_rate": (False, 50), "dup_line_rate": (False, 300), "repeat_rate": (False, 300)}
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
