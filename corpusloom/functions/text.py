@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: the split pattern (digits in groups of one or two) and the special tokens, in id order
 SPLIT_PATTERN = (
-    r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,2}| ?[^\s\p{L}\p{N}]++[\r\n]*"""
-    r"""|\s*[\r\n]|\s+(?!\S)|\s+"""
+    r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?+\p{L}+|\p{N}{1,2}| ?[^\s\p{L}\p{N}]++[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"""
 )
 SPECIAL_TOKENS = [
     "<|bos|>",
@@ -24,6 +25,11 @@ SPECIAL_TOKENS = [
 BOS, USER_START, USER_END, ASSISTANT_START, ASSISTANT_END, PYTHON_START, PYTHON_END, OUTPUT_START, OUTPUT_END = range(9)
 
 
+def strip(text: Column | str) -> Column:
+    """The text without white space, as Unicode defines it, at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def pieces(text: Column | str) -> Column:
     """The text cut by the split pattern; the pieces join back to the whole text.
 
@@ -37,14 +43,23 @@ def byte_symbols(text: Column | str) -> Column:
     return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
 
 
-def symbol_ids(symbols: Column) -> Column:
-    """Code points of a symbol string."""
-    none = F.array().cast("array<int>")
-    return F.when(symbols == "", none).otherwise(F.transform(F.split(symbols, ""), lambda c: F.ascii(c)))
+def _byte_list(data: pa.Array) -> pa.ListArray:
+    """The bytes of every text as a list of ids, without a copy per text; null for null."""
+    data = data.cast(pa.binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
+    held = np.frombuffer(data.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    ends = pa.array(offsets - offsets[0])
+    return pa.ListArray.from_arrays(ends, pa.array(held.astype(np.int32)), mask=data.is_null())
+
+
+def _byte_lists(texts: pa.ListArray) -> pa.ListArray:
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    inner = _byte_list(texts.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
+    return pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), inner, mask=texts.is_null())
 
 
 class ByteTokenizer:
-    """One id per UTF-8 byte; special tokens follow the bytes."""
+    """One id per UTF-8 byte; special tokens follow the bytes. Texts are encoded by the batch."""
 
     n_base = 256
 
@@ -52,7 +67,14 @@ class ByteTokenizer:
         return self.n_base + i
 
     def encode(self, text: Column | str) -> Column:
-        return symbol_ids(byte_symbols(text))
+        return F.arrow_udf(_arrow(_byte_list), "array<int>")(text)
 
     def encode_each(self, texts: Column) -> Column:
-        return F.transform(texts, lambda t: self.encode(t))
+        return F.arrow_udf(_arrow(_byte_lists), "array<array<int>>")(texts)
+
+
+def _arrow(fn):
+    def encoded(column: pa.Array) -> pa.Array:
+        return fn(column)
+
+    return encoded

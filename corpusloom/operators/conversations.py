@@ -40,16 +40,11 @@ def tasks(df: DataFrame) -> int:
 
 
 def gather_messages(
-    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-    max_tokens: int = MAX_TOKENS,
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """One row per conversation with its messages in order.
-
-    Every message renders to at least two ids, so messages from position ``max_tokens`` on can never show in
-    a rendered conversation. They are left out before the shuffle, which bounds the gathered group.
-    """
+    """One row per conversation with all its messages in the order of their turns, whatever these are numbered from."""
     m = plain_message(F.col(role), text)
-    rows = turns.filter(F.col(turn) <= max_tokens).repartition(tasks(turns), conv).groupBy(conv).agg(
+    rows = turns.repartition(tasks(turns), conv).groupBy(conv).agg(
         F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), m.alias("m")))).alias("_m")
     )
     return rows.select(conv, F.transform("_m", lambda x: x["m"]).alias("messages"))
@@ -139,7 +134,7 @@ def extract_messages(df: DataFrame) -> DataFrame:
     have = lambda n: F.col(n) if n in df.columns else F.lit(None).cast("string")
     ready = [F.col(n).cast(kind) for n in ("messages", "conversation") if n in df.columns]
     given = F.when(have("input") != "", F.concat(have("input"), F.lit(" "), have("instruction")))
-    told = F.trim(F.coalesce(given, have("instruction")))
+    told = tx.strip(F.coalesce(given, have("instruction")))
     pairs = [(told, have("output"), have("instruction")), (have("question"), have("answer"), have("question"))]
     built = [F.when(key.isNotNull() & a.isNotNull(), qa_conversation(q, a)) for q, a, key in pairs]
     messages = F.coalesce(*ready, *built)
@@ -184,7 +179,15 @@ def render(df: DataFrame, tok, messages: str = "messages", max_tokens: int = MAX
     m = F.col("_m")
     expected = lambda i: F.when(i % 2 == 0, "user").otherwise("assistant")
     wrong = F.exists(F.transform(m, lambda x, i: x["role"] != expected(i)), lambda w: w)
-    checked = F.when(wrong, F.raise_error(F.lit("roles must alternate, starting with the user"))).otherwise(_parts(m))
+    known = lambda p: p["type"].isin("text", "python", "python_output")
+    odd_part = F.exists(m, lambda x: F.exists(x["parts"], lambda p: ~F.coalesce(known(p), F.lit(False))))
+    many_parts = F.exists(m, lambda x: (x["role"] == "user") & ~x["is_plain"])
+    checked = (
+        F.when(wrong, F.raise_error(F.lit("roles must alternate, starting with the user")))
+        .when(many_parts, F.raise_error(F.lit("a user message must be plain text")))
+        .when(odd_part, F.raise_error(F.lit("a part must be text, python or python_output")))
+        .otherwise(_parts(m))
+    )
     texts = F.flatten(F.transform(m, lambda x: F.transform(x["parts"], lambda p: p["text"])))
 
     def with_markers(k: Column, ids: Column) -> Column:

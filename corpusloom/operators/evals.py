@@ -63,7 +63,7 @@ def write_core_results(results: DataFrame, path: str, mode: str = "errorifexists
 def read_core_results(spark: SparkSession, path: str) -> DataFrame:
     """Blank numbers are null; rows that hold something else are skipped."""
     raw = spark.read.csv(path, header=True, schema="Task string, Accuracy string, Centered string")
-    task, acc, cen = (F.trim(F.coalesce(c, F.lit(""))) for c in ("Task", "Accuracy", "Centered"))
+    task, acc, cen = (tx.strip(F.coalesce(c, F.lit(""))) for c in ("Task", "Accuracy", "Centered"))
     number = lambda c: c.try_cast("double")
     ok = ((acc == "") | number(acc).isNotNull()) & ((cen == "") | number(cen).isNotNull())
     return raw.filter(ok & (task != "")).select(task.alias("task"), number(acc).alias("accuracy"), number(cen).alias("centered"))
@@ -109,18 +109,14 @@ def schema_prompts(prefix: Column, contexts: Column, delim: str, continuation: C
     return F.transform(contexts, lambda c: F.concat(prefix, c, F.lit(delim), continuation))
 
 
-def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-
-
 def lm_block(context: Column, delim: str, continuation: Column) -> Column:
-    return F.concat(strip(context), F.lit(delim), continuation)
+    return F.concat(tx.strip(context), F.lit(delim), continuation)
 
 
 def lm_prompts(prefix: Column, context: Column, delim: str, continuation: Column) -> Column:
     """The prompt without and with the continuation; only the first is stripped."""
-    head = F.concat(prefix, strip(context), F.lit(delim))
-    return F.array(strip(head), F.concat(head, continuation))
+    head = F.concat(prefix, tx.strip(context), F.lit(delim))
+    return F.array(tx.strip(head), F.concat(head, continuation))
 
 
 # --- spans -----------------------------------------------------------------------------------------

@@ -5,41 +5,45 @@ from __future__ import annotations
 import pickle
 from bisect import bisect_right, insort
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index
 from corpusloom.operators.prefix import prefix_sums
 
-DOCS_PER_GROUP = 4096
 PACKED_SCHEMA = "pack_group long, row_id long, ids array<int>, doc_ids array<long>, n_cropped long"
 
 
 # --- flat rows -------------------------------------------------------------------------------------
 
 
-def flat_rows(docs: DataFrame, order: str, ids: str, width: int, batch: int = 1, size: Column | None = None) -> DataFrame:
+def flat_rows(docs: DataFrame, order: str, ids: Column | str, width: int, batch: int = 1, size: Column | None = None) -> DataFrame:
     """The concatenated sequences cut into rows: row r has inputs [rT, rT+T) and targets shifted by one.
 
     Only whole batches of ``batch`` rows come out; the stream must hold one more id for the last target.
-    ``size`` tells the number of ids where that is cheaper to know than the ids themselves.
+    ``size`` tells the number of ids where that is cheaper to know than the ids themselves; ``ids`` may then be an expression
+    that is worked out after the rows have met their offsets, so that texts are moved, not ids.
     """
-    sized = docs.select(order, (F.size(ids) if size is None else size).cast("long").alias("n"))
+    tokens = F.col(ids) if isinstance(ids, str) else ids
+    sized = docs.select(order, (F.size(tokens) if size is None else size).cast("long").alias("n"))
     ends = prefix_sums(sized, [order], {"_end": F.col("n")})
     total = sized.agg(F.sum("n")).first()[0] or 0
     rows = max(total - 1, 0) // (width * batch) * batch
-    spans = docs.select(order, ids).join(ends, order).filter("n > 0").withColumn("_start", F.col("_end") - F.col("n"))
+    # both sides are dealt by key: neither is small
+    spans = docs.join(ends.filter("n > 0").hint("merge"), order).withColumn("_start", F.col("_end") - F.col("n"))
+    spans = spans.select("_start", "_end", tokens.alias("_ids"))
     # position p is an input of row p div T, and the last target of the row before when it starts a row
     first = F.greatest(F.floor((F.col("_start") - 1) / width), F.lit(0)).cast("long")
     last = F.least(F.floor((F.col("_end") - 1) / width), F.lit(rows - 1)).cast("long")
     cut = spans.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-    cut = cut.withColumn("row_id", F.explode(F.sequence("_first", "_last")))
+    cut = cut.withColumn("row_id", F.explode_outer(F.sequence("_first", "_last")))
     lo = F.greatest(F.col("_start"), F.col("row_id") * width)
     hi = F.least(F.col("_end"), (F.col("row_id") + 1) * width + 1)
-    part = F.slice(ids, (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int"))
+    part = F.slice("_ids", (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int"))
     parts = cut.filter(hi > lo).select("row_id", lo.alias("_at"), part.alias("_part"))
     # a row gathers at most T + 1 ids
     whole = parts.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("_at", "_part"))).alias("_p"))
@@ -137,15 +141,15 @@ class Packer:
         return done
 
 
-def pack_groups(docs: DataFrame, key: str, docs_per_group: int = DOCS_PER_GROUP) -> Column:
-    """Group of a row by a hash of its key: as many groups as the data needs, each of about the same size."""
-    return draw_index(max(1, -(-docs.count() // docs_per_group)), "pack", key)
+def pack_groups(packers: int, key: str) -> Column:
+    """Which of ``packers`` packers takes a row, by a hash of its key; more rows deal no row anew."""
+    return draw_index(packers, "pack", key)
 
 
 def bestfit_pack(
     docs: DataFrame,
     order: str,
-    ids: str,
+    ids: Column | str,
     width: int,
     group: Column | str,
     buffer: int = 1000,
@@ -154,25 +158,49 @@ def bestfit_pack(
 ) -> DataFrame:
     """Rows of ``width + 1`` ids, one packer per group; every row starts with the start of a sequence.
 
-    Groups are the parallel workers; :func:`pack_groups` bounds their size. A last row that stays short is
-    dropped with its group.
+    Groups are the parallel workers, see :func:`pack_groups`. A task reads the rows of its groups in order and holds no more than a packer's
+    buffer, so the size of a group has no bound. ``ids`` may be an expression: it is worked out after the shuffle, which then
+    moves texts rather than ids. A last row that stays short is dropped with its group.
     """
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = pdf["pack_group"].iloc[0]
-        pdf = pdf.sort_values("doc")
-        packer = Packer(width + 1, buffer, refill, crop)
-        rows = []
-        for doc, tokens in zip(pdf["doc"], pdf["ids"]):
-            rows.extend(packer.push(doc, tokens))
-        rows.extend(packer.finish())
-        return pd.DataFrame(
-            [(g, i, *r) for i, r in enumerate(rows)], columns=["pack_group", "row_id", "ids", "doc_ids", "n_cropped"]
-        )
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, current, n, rows = None, None, 0, []
+
+        def take(found) -> None:
+            nonlocal n
+            for tokens, doc_ids, cropped in found:
+                rows.append((current, n, tokens, doc_ids, cropped))
+                n += 1
+
+        for batch in batches:
+            groups, keys = batch.column("pack_group").to_pylist(), batch.column("doc").to_pylist()
+            for g, doc, tokens in zip(groups, keys, batch.column("ids")):
+                if packer is None or g != current:
+                    if packer is not None:
+                        take(packer.finish())
+                    packer, current, n = Packer(width + 1, buffer, refill, crop), g, 0
+                if tokens.is_valid and len(tokens.values):
+                    take(packer.push(doc, tokens.values.to_numpy()))
+            if rows:
+                yield _packed_batch(rows)
+                rows = []
+        if packer is not None:
+            take(packer.finish())
+            if rows:
+                yield _packed_batch(rows)
 
     group = F.col(group) if isinstance(group, str) else group
-    rows = docs.select(group.alias("pack_group"), F.col(order).cast("long").alias("doc"), F.col(ids).alias("ids"))
-    return rows.filter(F.size("ids") > 0).groupBy("pack_group").applyInPandas(pack, PACKED_SCHEMA)
+    tokens = F.col(ids) if isinstance(ids, str) else ids
+    keyed = docs.withColumns({"_pack_group": group, "_pack_doc": F.col(order).cast("long")})
+    rows = keyed.repartition("_pack_group").sortWithinPartitions("_pack_group", "_pack_doc")
+    rows = rows.select(F.col("_pack_group").cast("long").alias("pack_group"), F.col("_pack_doc").alias("doc"), tokens.alias("ids"))
+    return rows.mapInArrow(pack, PACKED_SCHEMA)
+
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()]
+    names = [x.split()[0] for x in PACKED_SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names)
 
 
 def packing_minimum(docs: DataFrame, n_tokens: Column, width: int, by: str) -> DataFrame:

@@ -14,22 +14,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1 << 16
-MAX_BUCKETS = 4096
+#: totals of up to so many buckets (a few MB) go to every task
+BROADCAST_BUCKETS = 1 << 16
 
 
 def key_bounds(df: DataFrame, key: Column, rows_per_bucket: int | None = None, n: int | None = None) -> list:
-    """Upper-exclusive bucket boundaries of a numeric key; empty when one bucket is enough.
+    """Upper-exclusive bucket boundaries of a numeric key.
 
-    The list has at most ``MAX_BUCKETS`` entries. It is fixed on the driver so that every use of it
+    There are at least as many buckets as cores (or rows) and none has many more than ``rows_per_bucket`` rows, so the way is the same
+    for tables of every size. The list is fixed on the driver so that every use of it
     (bucket totals, windows, retried tasks) cuts the rows at the same places.
     """
     n = df.count() if n is None else n
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
+    buckets = max(min(n, df.sparkSession.sparkContext.defaultParallelism), -(-n // rows_per_bucket))
     if buckets <= 1:
         return []
     cuts = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(key, cuts, 20 * MAX_BUCKETS)).first()[0]
+    found = df.agg(F.percentile_approx(key, cuts, max(10_000, 20 * buckets))).first()[0]
     return sorted(set(found))
 
 
@@ -90,7 +92,8 @@ def prefix_sums(
         *keys, *[gather(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
     )
     if not partition:
-        offsets = F.broadcast(offsets)  # at most MAX_BUCKETS rows
+        if len(bounds) < BROADCAST_BUCKETS:
+            offsets = F.broadcast(offsets)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select(
         "*", *[gather(f"_v_{n}").over(inside).alias(f"_s_{n}") for n in sums]
@@ -136,7 +139,7 @@ def budget_cutoff(
     bounds = key_bounds(rows, F.col(order[0]), rows_per_bucket)
     rows = rows.withColumn("_b", bucket_of(F.col(order[0]), bounds))
     done, bucket = 0, None
-    # at most MAX_BUCKETS small rows
+    # a small row per bucket
     for b, total in rows.groupBy("_b").agg(F.sum("_size")).orderBy("_b").collect():
         bucket = b
         if done + total > limit:
@@ -149,7 +152,14 @@ def budget_cutoff(
         return tuple(last) if last else None
     w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     run = F.sum("_size").over(w) + F.lit(done)
-    kept = rows.filter(F.col("_b") == bucket).withColumn("_run", run)
+    # the bucket as a range of the key, which reaches the scan
+    low, high = (bounds[bucket - 1] if bucket else None), (bounds[bucket] if bucket < len(bounds) else None)
+    inside = rows
+    if low is not None:
+        inside = inside.filter(F.col(order[0]) >= F.lit(low))
+    if high is not None:
+        inside = inside.filter(F.col(order[0]) < F.lit(high))
+    kept = inside.withColumn("_run", run)
     kept = kept.filter((F.col("_run") - F.col("_size") if keep_crossing else F.col("_run")) <= limit)
     last = kept.orderBy(*[F.desc(c) for c in order]).select(*order).first()
     if last is None:  # the first row of the boundary bucket already crosses

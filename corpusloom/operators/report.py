@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import strip
+
 # fixed values: section files in report order, the stage that each metric section reports, and its keys
 SECTIONS = [
     "tokenizer-training.md",
@@ -56,7 +58,7 @@ def report_extract(lines: DataFrame, run: str) -> DataFrame:
         run, "line_no", "line", stage.alias("stage"), F.explode(keys).alias("metric")
     )
     held = held.filter(F.contains("line", "metric"))
-    value = F.trim(F.get(F.split("line", ":"), F.lit(1)))
+    value = strip(F.get(F.split("line", ":"), F.lit(1)))
     last = F.max(F.struct("line_no", value.alias("v")))["v"]
     return held.groupBy(run, "stage", "metric").agg(last.alias("value"))
 
@@ -79,7 +81,7 @@ def metric_names(metrics: DataFrame, run: str) -> DataFrame:
 
 
 def _stamp(line: Column) -> Column:
-    text = F.trim(F.regexp_replace(line, "^[^:]*:", ""))
+    text = strip(F.regexp_replace(line, "^[^:]*:", ""))
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
 
 

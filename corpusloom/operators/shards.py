@@ -51,7 +51,7 @@ def greedy_shards(
     """A shard closes at the first row where its size reaches ``budget`` and its row count is a multiple of ``align``.
 
     Each key range works out, for every possible entry, where the chain of shard ends leaves the range.
-    The chain is then followed range by range with one small lookup each (at most MAX_BUCKETS), and the
+    The chain is then followed range by range with one small lookup each (one per range), and the
     ranges number their rows in parallel. Returns the order columns, ``size`` and ``shard``.
     """
     # the texts are read once; everything below works on keys and sizes

@@ -46,8 +46,8 @@ def bad_turns(spark, sf):
 
 
 def json_lines(turns):
-    """One JSON array of messages per conversation (at most 500 turns each)."""
-    gathered = turns.filter(F.col("turn") <= 500).groupBy("conv_id").agg(
+    """One JSON array of messages per conversation."""
+    gathered = turns.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m")
     )
     messages = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))

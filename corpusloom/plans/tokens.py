@@ -233,11 +233,15 @@ def tokenizer_compare(spark, sf):
 # --- rows of tokens --------------------------------------------------------------------------------
 
 T, B = 2048, 4
+PACKERS = 8
+
+
+def byte_ids():
+    return F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
 
 
 def byte_docs(spark, sf):
-    ids = F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
-    return documents(spark, sf).select("doc_id", ids.alias("ids"), (F.octet_length("text") + 1).alias("n"))
+    return documents(spark, sf).select("doc_id", byte_ids().alias("ids"))
 
 
 @query(
@@ -252,11 +256,12 @@ def byte_docs(spark, sf):
     FROM r WHERE row_id < (SELECT n_rows FROM n)""",
 )
 def flat_token_rows(spark, sf):
-    rows = pack.flat_rows(byte_docs(spark, sf), "doc_id", "ids", T, B, size=F.col("n"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = pack.flat_rows(docs, "doc_id", byte_ids(), T, B, size=F.octet_length("text") + 1)
     return rows.select("row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
 
 
-def sql_packed(docs: str, groups: str, width: int, buffer: int, refill: int, crop: str, finish: bool = True) -> str:
+def sql_packed(docs: str, packers: int, width: int, buffer: int, refill: int, crop: str, finish: bool = True) -> str:
     """Best-fit packing as a recursion: every step admits sequences or places one. ``docs`` has (key, ids)."""
     cap, big = width + 1, 1 << 32
     fit = "list_filter(buf, lambda x: x.n <= room)"
@@ -269,7 +274,7 @@ def sql_packed(docs: str, groups: str, width: int, buffer: int, refill: int, cro
     go_on = "len(buf) > 0 OR nxt < usable" if finish else f"len(buf) >= {buffer} OR nxt < usable"
     return f"""
   src AS (SELECT *, len(ids) AS n, row_number() OVER (PARTITION BY grp ORDER BY key) - 1 AS a, count(*) OVER (PARTITION BY grp) AS total
-          FROM (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * ({groups})) AS BIGINT) AS grp FROM {docs})),
+          FROM (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * {packers}) AS BIGINT) AS grp FROM {docs})),
   queues AS (SELECT grp, list({{'n': n, 'a': a}} ORDER BY a) AS q, any_value({usable}) AS usable FROM src GROUP BY grp),
   pack AS (
     SELECT grp, 0 AS step, q[1:0] AS buf, CAST(0 AS BIGINT) AS nxt, CAST({cap} AS BIGINT) AS room, CAST(0 AS BIGINT) AS row_id,
@@ -291,8 +296,7 @@ def sql_packed(docs: str, groups: str, width: int, buffer: int, refill: int, cro
 
 SHOWN = f"pack_group, row_id, n_docs, n_cropped, docs, md5({fx.sql_join('ids')}) AS ids"
 SQL_DOCS = f"bytes AS (SELECT doc_id AS key, list_concat([256], {fx.sql_bytes('text')}) AS ids FROM documents)"
-N_GROUPS = f"SELECT (count(*) + {pack.DOCS_PER_GROUP - 1}) // {pack.DOCS_PER_GROUP} FROM documents"
-PACKED = f"{SQL_DOCS}, {sql_packed('bytes', N_GROUPS, T, 1000, 128, 'shortest')}"
+PACKED = f"{SQL_DOCS}, {sql_packed('bytes', PACKERS, T, 1000, 128, 'shortest')}"
 
 
 def shown(packed):
@@ -303,8 +307,8 @@ def shown(packed):
 
 
 def packed(spark, sf):
-    docs = byte_docs(spark, sf)
-    return pack.bestfit_pack(docs, "doc_id", "ids", T, pack.pack_groups(table(spark, sf, "documents"), "doc_id"))
+    docs = documents(spark, sf).select("doc_id", "text")
+    return pack.bestfit_pack(docs, "doc_id", byte_ids(), T, pack.pack_groups(PACKERS, "doc_id"))
 
 
 @query("bestfit_pack", f"WITH RECURSIVE {PACKED} SELECT {SHOWN} FROM packed")
@@ -315,11 +319,11 @@ def bestfit_pack(spark, sf):
 @query(
     "bestfit_pack_conv",
     f"""WITH RECURSIVE {MERGED}, {sql_rendered('merged')}, conv AS (SELECT conv_id AS key, ids FROM rendered),
-      {sql_packed('conv', f'SELECT (count(*) + {pack.DOCS_PER_GROUP - 1}) // {pack.DOCS_PER_GROUP} FROM conv', T, 100, 1, 'first')}
+      {sql_packed('conv', PACKERS, T, 100, 1, 'first')}
     SELECT {SHOWN} FROM packed""",
 )
 def bestfit_pack_conv(spark, sf):
-    groups = pack.pack_groups(table(spark, sf, "conversations").select("conv_id").distinct(), "conv_id")
+    groups = pack.pack_groups(PACKERS, "conv_id")
     return shown(pack.bestfit_pack(rendered(spark, sf), "conv_id", "ids", T, groups, buffer=100, refill=1, crop="first"))
 
 
@@ -327,7 +331,7 @@ def bestfit_pack_conv(spark, sf):
 def packer_udtf(spark, sf):
     docs = byte_docs(spark, sf)
     spark.udtf.register("pack_rows", pack.packer_function(T))
-    groups = pack.pack_groups(table(spark, sf, "documents"), "doc_id")
+    groups = pack.pack_groups(PACKERS, "doc_id")
     docs.select(F.col("doc_id").alias("doc"), "ids", groups.alias("pack_group")).createOrReplaceTempView("pack_input")
     return shown(spark.sql("SELECT * FROM pack_rows(TABLE(pack_input) PARTITION BY pack_group ORDER BY doc)"))
 

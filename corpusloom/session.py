@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings the tests and the benchmark use."""
@@ -31,9 +34,43 @@ def _own_dir() -> str:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it. Only where it is unset (tests, laptops) a local folder is made.
+    A cluster names it. Only under a local master, where all tasks share one machine, a local folder is made if it is unset.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or _own_dir()
+
+
+def is_local(master: str) -> bool:
+    """Do all tasks run in the driver's process? ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
+def new_dir(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call gets."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for kept in _scopes:
+        kept.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove, at its end, the tables that were written in the shared folder inside it.
+
+    Results that still read them must have been written or collected by then.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,6 +79,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     The files survive the loss of executors.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

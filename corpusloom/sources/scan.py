@@ -7,13 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.text import strip
 from corpusloom.operators.prefix import number_rows
 
 MAX_SHARD = 1822  # fixed value: last shard number of the published English corpus
 
-MESSAGES = T.ArrayType(
-    T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
-)
+MESSAGES = "array<struct<role:string,content:variant>>"
 
 
 def read_shards(spark: SparkSession, path: str, schema: T.StructType | str = "text string") -> DataFrame:
@@ -79,37 +78,69 @@ def rank_stride(
 
 
 def missing_shards(spark: SparkSession, present: DataFrame, n: int = MAX_SHARD + 1, shard_id: str = "shard_id") -> DataFrame:
-    """Shard numbers below ``n`` (at most the published count) that are not on disk."""
-    wanted = spark.range(min(n, MAX_SHARD + 1)).withColumnRenamed("id", shard_id)
+    """Shard numbers below ``n`` that are not on disk; by default those of the published corpus."""
+    wanted = spark.range(n).withColumnRenamed("id", shard_id)
     return wanted.join(present.select(F.col(shard_id).cast("long")).distinct(), shard_id, "left_anti")
 
 
 def guarded_overwrite(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Write zstd parquet; a non-empty target is refused unless ``overwrite``."""
-    mode = "overwrite" if overwrite else "errorifexists"
-    df.write.mode(mode).option("compression", "zstd").parquet(path)
+    """Write zstd parquet; a target that holds parquet files is refused unless ``overwrite``."""
+    if not overwrite and holds_parquet(df.sparkSession, path):
+        raise FileExistsError(f"{path} already exists and holds parquet files")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def holds_parquet(spark: SparkSession, path: str) -> bool:
+    """Are there parquet files in the folder? Looked up through Spark's file systems, so any store will do."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, "*.parquet")))
 
 
 def pick_text_column(df: DataFrame) -> DataFrame:
-    """Alias the text column: ``text`` if present, else the first string column."""
+    """Alias the text column: ``text`` if present, else the first string column, else a ``text`` of nulls."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    name = "text" if "text" in df.columns else next(iter(strings), None)
-    if name is None:
-        raise ValueError(f"no text column in {df.columns}")
-    return df if name == "text" else df.withColumnRenamed(name, "text")
+    if "text" in df.columns:
+        return df
+    return df.withColumnRenamed(strings[0], "text") if strings else df.withColumn("text", F.lit(None).cast("string"))
 
 
 # --- conversations as JSON lines -------------------------------------------------------------------
 
 
 def parse_message_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Blank lines dropped, every other line parsed as a JSON array of messages (null when it is not)."""
-    text = F.trim(F.col(line))
-    return (
-        lines.filter(text != "")
-        .withColumn("messages", F.from_json(text, MESSAGES, {"mode": "PERMISSIVE"}))
-        .withColumn("messages", F.when(text.startswith("["), F.col("messages")))
-    )
+    """Blank lines dropped, every other line parsed as a JSON array of messages (null when it is not).
+
+    ``messages`` has role, content as text, and whether the content was a JSON string.
+    """
+    text = strip(line)
+    parsed = lines.filter(text != "").withColumn("_m", F.from_json(text, MESSAGES, {"mode": "PERMISSIVE"}))
+
+    def message(x: Column) -> Column:
+        content = x["content"]
+        return F.struct(
+            x["role"].alias("role"),
+            F.try_variant_get(content, "$", "string").alias("content"),
+            F.coalesce(F.schema_of_variant(content) == "STRING", F.lit(False)).alias("is_text"),
+        )
+
+    return parsed.withColumn("messages", F.when(text.startswith("["), F.transform("_m", message))).drop("_m")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files as ``value``; a path where nothing is counts as empty."""
+    try:
+        return spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string")
+
+
+def read_conversations(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """Conversations of JSON-lines files: the strict form fails on the first bad line, the lenient one drops lines that are no lists."""
+    lines = read_lines(spark, path)
+    return conversations_strict(lines) if strict else conversations_lenient(lines)
 
 
 def message_violations(messages: str = "messages") -> Column:
@@ -124,6 +155,7 @@ def message_violations(messages: str = "messages") -> Column:
         ("too_few_messages", m.isNotNull() & (n < 2)),
         ("missing_role", F.exists(m, lambda x: x["role"].isNull())),
         ("missing_content", F.exists(m, lambda x: x["content"].isNull())),
+        ("content_not_text", F.exists(m, lambda x: x["content"].isNotNull() & ~x["is_text"])),
         ("wrong_role_order", F.exists(at, lambda i: role(i).isNotNull() & (role(i) != expected(i)))),
     ]
     return F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in checks]), lambda x: x.isNotNull())
@@ -147,7 +179,7 @@ def conversations_lenient(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def message_line(messages: str = "messages") -> Column:
     """One JSON array per conversation; non-ASCII characters are kept."""
-    return F.to_json(F.col(messages))
+    return F.to_json(F.transform(messages, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
 
 
 def write_jsonl(df: DataFrame, path: str, messages: str = "messages", mode: str = "errorifexists") -> None:
@@ -156,4 +188,4 @@ def write_jsonl(df: DataFrame, path: str, messages: str = "messages", mode: str
 
 def word_list(lines: DataFrame, line: str = "value") -> DataFrame:
     """One stripped word per line."""
-    return lines.select(F.trim(F.col(line)).alias("word"))
+    return lines.select(strip(line).alias("word"))

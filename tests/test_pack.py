@@ -59,7 +59,7 @@ def test_packer_equals_the_loop(seed, n, longest, capacity, crop):
 def test_packed_rows(spark):
     docs = random_docs(5, 200, 60)
     df = spark.createDataFrame(docs, "doc_id long, ids array<int>")
-    group = pack.pack_groups(df, "doc_id", 60)
+    group = pack.pack_groups(4, "doc_id")
     rows = pack.bestfit_pack(df, "doc_id", "ids", 32, group, buffer=10, refill=4).collect()
     by_group = {}
     for r in df.withColumn("g", group).orderBy("doc_id").collect():
