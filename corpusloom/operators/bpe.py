@@ -335,5 +335,10 @@ class BpeTokenizer:
         return self._decode(ids)
 
     def register(self, spark: SparkSession, name: str) -> None:
-        """Make ``name(pieces)`` callable from SQL."""
-        spark.udf.register(name, self._encode)
+        """Make ``name(text)`` callable from SQL, and ``name_each(texts)`` for lists of texts."""
+        spark.udf.register(f"{name}_pieces", self._encode)
+        spark.udf.register(f"{name}_nested", self._encode_nested)
+        cut = f'regexp_extract_all(t, r"(?U){tx.SPLIT_PATTERN}", 0)'
+        made = "CREATE OR REPLACE TEMPORARY FUNCTION"
+        spark.sql(f"{made} {name}(t STRING) RETURNS ARRAY<INT> RETURN {name}_pieces({cut})")
+        spark.sql(f"{made} {name}_each(ts ARRAY<STRING>) RETURNS ARRAY<ARRAY<INT>> RETURN {name}_nested(transform(ts, t -> {cut}))")

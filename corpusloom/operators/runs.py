@@ -91,6 +91,8 @@ def step_metrics(lines: DataFrame, line: str = "line") -> DataFrame:
         "mfu": field(r"mfu: ([\d.]+)"),
         "epoch": field(r"epoch: (\d+)").cast("long"),
         "total_minutes": field(r"total time: ([\d.]+)m"),
+        "eta_minutes": field(r"eta: ([\d.]+)m"),
+        "num_tokens": field(r"num_tokens: ([\d,]+)").cast("long"),
     }
     return lines.filter(c.rlike(r"^[sS]tep \d+.*loss: ")).withColumns(fields)
 

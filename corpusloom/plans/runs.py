@@ -282,10 +282,10 @@ STEPS = """numbered AS (SELECT user_id AS run_id, event_id, value, row_number()
      WHEN event_id % 5 = 0 THEN 'Step ' || printf('%05d', step) || '/05000 | Training loss: ' || printf('%.6f', value) || '| lrm: 0.500000| num_tokens: 12,345'
      WHEN event_id % 3 = 0 THEN 'step ' || printf('%05d', step) || ' (' || printf('%.2f', step / 50) || '%) | loss: ' || printf('%.6f', value)
        || ' | lrm: 1.00 | dt: ' || printf('%.2f', CAST(ms AS DOUBLE)) || 'ms | tok/sec: ' || format('{:,}', 524288000 // ms) || ' | mfu: '
-       || printf('%.2f', event_id % 60 + 0.25) || ' | epoch: ' || (1 + event_id % 3) || ' | total time: ' || printf('%.2f', step * 0.5) || 'm'
+       || printf('%.2f', event_id % 60 + 0.25) || ' | epoch: ' || (1 + event_id % 3) || ' | total time: ' || printf('%.2f', step * 0.5) || 'm | eta: ' || printf('%.2f', abs(5000 - step) * 0.5) || 'm'
      ELSE 'step ' || printf('%05d', step) || '/05000 (' || printf('%.2f', step / 50) || '%) | loss: ' || printf('%.6f', value)
        || ' | lrm: 1.00 | dt: ' || printf('%.2f', CAST(ms AS DOUBLE)) || 'ms | tok/sec: ' || format('{:,}', 524288000 // ms) || ' | mfu: '
-       || printf('%.2f', event_id % 60 + 0.25) || ' | epoch: ' || (1 + event_id % 3) || ' | total time: ' || printf('%.2f', step * 0.5) || 'm' END AS line
+       || printf('%.2f', event_id % 60 + 0.25) || ' | epoch: ' || (1 + event_id % 3) || ' | total time: ' || printf('%.2f', step * 0.5) || 'm | eta: ' || printf('%.2f', abs(5000 - step) * 0.5) || 'm' END AS line
    FROM progress)"""
 
 
@@ -302,7 +302,7 @@ def progress_lines(spark, sf):
     rest = F.concat(
         F.lit(" ("), two(step / 50), F.lit("%) | loss: "), loss, F.lit(" | lrm: 1.00 | dt: "), two(ms), F.lit("ms | tok/sec: "),
         F.format_number(F.floor(F.lit(524_288_000) / ms), 0), F.lit(" | mfu: "), two(e % 60 + 0.25), F.lit(" | epoch: "),
-        (1 + e % 3).cast("string"), F.lit(" | total time: "), two(step * 0.5), F.lit("m"),
+        (1 + e % 3).cast("string"), F.lit(" | total time: "), two(step * 0.5), F.lit("m | eta: "), two(F.abs(5000 - step) * 0.5), F.lit("m"),
     )
     line = (
         F.when(e % 5 == 0, F.concat(F.lit("Step "), no, F.lit("/05000 | Training loss: "), loss, F.lit("| lrm: 0.500000| num_tokens: 12,345")))
@@ -320,12 +320,13 @@ def progress_lines(spark, sf):
       CAST(CASE WHEN event_id % 5 = 0 THEN 0.5 ELSE 1.0 END AS DOUBLE) AS lrm, CAST(CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE round(step / 50, 2) END AS DOUBLE) AS pct_done,
       CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE CAST(ms AS DOUBLE) END AS dt_ms, CASE WHEN event_id % 5 = 0 THEN -1 ELSE 524288000 // ms END AS tok_per_sec,
       CAST(CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE event_id % 60 + 0.25 END AS DOUBLE) AS mfu, CASE WHEN event_id % 5 = 0 THEN -1 ELSE 1 + event_id % 3 END AS epoch,
-      CAST(CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE step * 0.5 END AS DOUBLE) AS total_minutes, length(line) AS n_line
+      CAST(CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE step * 0.5 END AS DOUBLE) AS total_minutes, length(line) AS n_line,
+      CAST(CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE abs(5000 - step) * 0.5 END AS DOUBLE) AS eta_minutes, CASE WHEN event_id % 5 = 0 THEN 12345 ELSE -1 END AS num_tokens
     FROM progress JOIN lines USING (run_id, event_id)""",
 )
 def step_metrics_extract(spark, sf):
     found = runs.step_metrics(progress_lines(spark, sf))
-    blank = {c: F.coalesce(c, F.lit(-1)) for c in ("num_iterations", "pct_done", "dt_ms", "tok_per_sec", "mfu", "epoch", "total_minutes")}
+    blank = {c: F.coalesce(c, F.lit(-1)) for c in ("num_iterations", "pct_done", "dt_ms", "tok_per_sec", "mfu", "epoch", "total_minutes", "eta_minutes", "num_tokens")}
     return found.withColumns(blank).withColumn("n_line", F.length("line").cast("long")).drop("line")
 
 

@@ -181,12 +181,12 @@ def bpe_decode(spark, sf):
 
 @query(
     "tokenizer_callable",
-    f"WITH {ENCODED} SELECT doc_id, CAST(sum(len(ids)) AS BIGINT) AS n_tokens FROM encoded GROUP BY doc_id",
+    f"WITH {ENCODED} SELECT doc_id, CAST(sum(len(ids)) AS BIGINT) AS n_tokens, CAST(2 AS BIGINT) AS n_texts FROM encoded GROUP BY doc_id",
 )
 def tokenizer_callable(spark, sf):
-    tokenizer(spark, sf).register(spark, "encode_pieces")
-    collapsed(spark, sf).select("doc_id", tx.pieces("text").alias("pieces")).createOrReplaceTempView("doc_pieces")
-    return spark.sql("SELECT doc_id, CAST(size(encode_pieces(pieces)) AS BIGINT) AS n_tokens FROM doc_pieces")
+    tokenizer(spark, sf).register(spark, "bpe_encode")
+    collapsed(spark, sf).createOrReplaceTempView("doc_texts")
+    return spark.sql("SELECT doc_id, CAST(size(bpe_encode(text)) AS BIGINT) AS n_tokens, CAST(size(bpe_encode_each(array(text, ''))) AS BIGINT) AS n_texts FROM doc_texts")
 
 
 @query(
