@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -98,3 +99,44 @@ def greedy_shards(
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
     out = rows.groupBy("_b").applyInPandas(assign, f"{schema}, size long, shard long")
     return out if flush_tail else out.filter(F.col("shard") < closed)
+
+
+def mixed_shards(mixed: DataFrame, sizes: DataFrame, key: str, budget: int) -> DataFrame:
+    """Shards of an :func:`insert_mix <corpusloom.operators.mix.insert_mix>`: a shard closes only after a row and its insert.
+
+    ``sizes`` has the key and ``size``. Returns the columns of ``mixed`` and ``shard``.
+    """
+    rows = mixed.join(sizes.select(key, "size"), key)
+    groups = rows.groupBy("group").agg(F.sum("size").cast("long").alias("size"))
+    closed = greedy_shards(groups, ["group"], F.col("size"), budget).select("group", "shard")
+    return rows.join(closed, "group").select(*mixed.columns, "shard")
+
+
+def write_shards(
+    rows: DataFrame, path: str, order: Sequence[str], columns: Sequence[str] = ("text",), shard: str = "shard", rows_per_group: int = 1024
+) -> int:
+    """Write every shard as ``shard_%05d.parquet``, its rows along ``order``, in zstd row groups of ``rows_per_group`` rows.
+
+    Shards that are there already are skipped. A shard gets its name when all its rows are written, so one that a lost job began
+    is written again. Returns the number of shards written.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    done = [f.getPath().getName() for f in files.globStatus(jvm.org.apache.hadoop.fs.Path(path, "shard_*.parquet")) or []]
+    numbers = spark.createDataFrame([(int(name[6:-8]),) for name in done], f"{shard} long")
+    todo = rows.withColumn(shard, F.col(shard).cast("long")).join(numbers, shard, "left_anti")
+    begun = jvm.org.apache.hadoop.fs.Path(path, f"_begun-{uuid.uuid4().hex}")
+    # a shard has a bounded size, so one task writes it
+    dealt = todo.repartition(shard).sortWithinPartitions(shard, *order).select(*columns, shard)
+    dealt.write.partitionBy(shard).option("compression", "zstd").option("parquet.block.row.count.limit", rows_per_group).parquet(begun.toString())
+    written = 0
+    for folder in files.globStatus(jvm.org.apache.hadoop.fs.Path(begun, f"{shard}=*")) or []:
+        number = int(folder.getPath().getName().split("=")[1])
+        (part,) = [f.getPath() for f in files.listStatus(folder.getPath()) if f.getPath().getName().endswith(".parquet")]
+        files.rename(part, jvm.org.apache.hadoop.fs.Path(path, f"shard_{number:05d}.parquet"))
+        written += 1
+    files.delete(begun, True)
+    return written

@@ -14,7 +14,7 @@ from corpusloom.operators import mix, shards
 from corpusloom.operators.prefix import budget_cutoff, up_to
 from corpusloom.plans.fixtures import WORDS, words
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import materialize, work_dir
+from corpusloom.session import materialize, new_dir
 from corpusloom.sources import scan
 
 documents = partial(table, name="documents")
@@ -121,7 +121,7 @@ def char_shards(spark, sf):
 
 @query("guarded_overwrite", "SELECT doc_id, source, n_chars FROM documents")
 def guarded_overwrite(spark, sf):
-    path = f"{work_dir(spark)}/guarded-overwrite"
+    path = new_dir(spark, "guarded-overwrite")
     scan.guarded_overwrite(documents(spark, sf).select("doc_id", "source", "n_chars"), path, overwrite=True)
     return spark.read.parquet(path)
 
@@ -278,6 +278,32 @@ def insert_mix(spark, sf):
     return mix.insert_mix(*pair(spark, sf), "doc_id", 0.3)
 
 
+MIX_SHARD_CHARS = 60_000
+
+
+@query(
+    "mixed_shards",
+    f"""WITH RECURSIVE en AS (SELECT * FROM documents WHERE lang = 'en'), {inserted('en')},
+      sized AS (SELECT m.*, length(t.text) AS n FROM mixed m JOIN documents t USING (doc_id)),
+      d AS (SELECT "group" AS rn, sum(n) AS n FROM sized GROUP BY "group"),
+      {WALK.format(budget=MIX_SHARD_CHARS, align=1)}
+    SELECT printf('shard_%05d.parquet', w.shard) AS shard, row_number() OVER (PARTITION BY w.shard ORDER BY s.pos) - 1 AS row_index, s.doc_id, s.n AS n_chars
+    FROM sized s JOIN walk w ON w.rn = s."group" """,
+)
+def mixed_shards(spark, sf):
+    """Mix, shard, write, and read again; half of the shards are written in a first run that the second one goes on from."""
+    first, second = pair(spark, sf)
+    mixed = mix.insert_mix(first, second, "doc_id", 0.3)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = shards.mixed_shards(mixed, docs.select("doc_id", F.length("text").alias("size")), "doc_id", MIX_SHARD_CHARS)
+    rows = materialize(rows.select("doc_id", "pos", "shard"), "mixed-rows").join(docs, "doc_id")
+    path = new_dir(spark, "mixed-shards")
+    shards.write_shards(rows.filter("shard % 2 = 0"), path, ["pos"], ["doc_id", "text"])
+    shards.write_shards(rows, path, ["pos"], ["doc_id", "text"])
+    back = scan.read_shards(spark, path, "doc_id long, text string")
+    return back.select("shard", "row_index", "doc_id", F.length("text").cast("long").alias("n_chars"))
+
+
 @query(
     "cycle_join",
     """WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS j FROM documents WHERE lang = 'en'),

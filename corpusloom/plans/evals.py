@@ -19,7 +19,7 @@ from corpusloom.operators.bpe import vocab_table
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.chat import MERGED, rendered, sql_rendered
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import materialize, work_dir
+from corpusloom.session import materialize, new_dir
 from corpusloom.sources.scan import spread
 
 TOK = tx.ByteTokenizer()
@@ -72,7 +72,7 @@ def items(spark, sf):
 )
 def eval_items(spark, sf):
     """Items written and read as JSON lines, then shuffled."""
-    path = f"{work_dir(spark)}/eval-items"
+    path = new_dir(spark, "eval-items")
     kept = items(spark, sf).select("item_id", "context", "continuation", "gold")
     kept.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
     again = spark.read.schema("item_id long, context string, continuation string, gold long").json(path)
@@ -103,7 +103,7 @@ BASELINES = "baselines AS (SELECT p_type AS task, round(avg(p_size), 3) AS basel
 
 def baselines(spark, sf):
     sizes = table(spark, sf, "part").groupBy(F.col("p_type").alias("task")).agg(F.round(F.avg("p_size"), 3).alias("baseline"))
-    path = f"{work_dir(spark)}/baselines"
+    path = new_dir(spark, "baselines")
     out = sizes.select(F.col("task").alias("Eval Task"), F.col("baseline").alias("Random baseline"))
     out.coalesce(1).write.mode("overwrite").csv(path, header=True)
     return evals.random_baselines(spark, path)
@@ -402,7 +402,7 @@ def core_metric(spark, sf):
         UNION ALL SELECT 'CORE', NULL, round(avg(centered), 6) FROM results""",
 )
 def core_results_csv(spark, sf):
-    path = f"{work_dir(spark)}/core-results"
+    path = new_dir(spark, "core-results")
     evals.write_core_results(evals.core_results(accuracy(spark, sf), baselines(spark, sf)), path, mode="overwrite")
     return evals.read_core_results(spark, path)
 

@@ -13,7 +13,7 @@ from corpusloom.operators.conversations import tasks
 from corpusloom.operators.prefix import number_rows
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import work_dir
+from corpusloom.session import new_dir
 
 BUDGETS = [1e18, 3e18, 6e18]
 DEPTHS = list(range(6, 15))
@@ -69,7 +69,7 @@ COLUMNS = "family, flops_budget, depth, model_dim, num_params, num_scaling_param
 def runs_table(spark, sf):
     """Two batches of finished runs appended to one table and read back."""
     rows = sweep(spark, sf).withColumns({c: F.round(c, 6) for c in ("val_bpb", "core_score")})
-    path = f"{work_dir(spark)}/runs"
+    path = new_dir(spark, "runs")
     rows.limit(0).drop("c_custkey").write.mode("overwrite").csv(path, header=True)
     for part in (0, 1):
         runs.append_runs(rows.filter(F.col("c_custkey") % 2 == part).drop("c_custkey"), path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from corpusloom.plans import fixtures as fx
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.plans.runs import STEPS, steps
 from corpusloom.plans.tokens import SHOWN, SQL_DOCS, shown, sql_packed
-from corpusloom.session import work_dir
+from corpusloom.session import new_dir
 from corpusloom.streaming import streams
 
 TOK = tx.ByteTokenizer()
@@ -23,7 +22,7 @@ GROUPS = 4
 
 
 def folder(spark, name):
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return new_dir(spark, name)
 
 
 def arriving(df, path, key, parts=PARTS):

@@ -9,7 +9,7 @@ from corpusloom.operators import bpe, pack
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.chat import MERGED, rendered, sql_rendered
 from corpusloom.plans.registry import query, sql_u, table
-from corpusloom.session import work_dir
+from corpusloom.session import new_dir
 from corpusloom.sources.scan import spread
 
 TOK = tx.ByteTokenizer()
@@ -122,7 +122,7 @@ def token_n_bytes(spark, sf):
 
 @query("token_bytes_sink", f"{VOCAB_SQL} SELECT token_id, n_bytes FROM vocab")
 def token_bytes_sink(spark, sf):
-    path = f"{work_dir(spark)}/token-bytes"
+    path = new_dir(spark, "token-bytes")
     vocab = bpe.vocab_table(spark, trained(spark, sf))
     vocab.select("token_id", "n_bytes").coalesce(1).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -149,7 +149,7 @@ def token_byte_stats(spark, sf):
           CAST(unnest(range(9)) + (SELECT len(sizes) FROM l{N_MERGES}) AS INT) AS token_id""",
 )
 def tokenizer_store(spark, sf):
-    path = f"{work_dir(spark)}/tokenizer"
+    path = new_dir(spark, "tokenizer")
     bpe.save_tokenizer(spark, trained(spark, sf), path, mode="overwrite")
     again = bpe.load_merges(spark, path)
     return bpe.vocab_table(spark, again).filter("is_special").select("name", "token_id")
