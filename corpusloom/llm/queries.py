@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index
-from corpusloom.llm import bpe, license_scan, near_join, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters
+from corpusloom.llm import bpe, license_scan, near_join, oracle, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,7 +59,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
     return pages.select(F.inline(F.array(*parts)))
 
 
-@query("op1_url_filters")
+@query("op1_url_filters", oracle.url_filter_sql(DAYS))
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("day", draw_index(DAYS, "fetched", "page_id").cast("int"))
@@ -74,7 +74,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", oracle.quality_rules_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -87,7 +87,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op5_near_join")
+@query("op5_near_join", oracle.near_join_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_join(table(spark, sf_dir, "documents"))
 
@@ -98,7 +98,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
 
 
-@query("op7_exact_top_k")
+@query("op7_exact_top_k", oracle.top_k_sql(TOP))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, TOP)
 
