@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
+from corpusloom.operators.mix import draw_from_pool
+from corpusloom.operators.prefix import number_rows
 
 # fixed values: limits of a conversation
 MAX_MESSAGES = 500
@@ -245,14 +247,30 @@ def supervised_count(mask: str = "mask") -> Column:
     return F.aggregate(F.slice(mask, 2, n), F.lit(0), lambda a, b: a + b)
 
 
-def batch_assign(rows: DataFrame, idx: str, batch_size: int, workers: int = 1) -> DataFrame:
+def batch_assign(rows: DataFrame, idx: str, batch_size: int, workers: int = 1, epochs: int = 1, n: int | None = None) -> DataFrame:
     """Worker and batch of every densely numbered row: rows are dealt round robin, then cut into batches.
 
-    A last short batch of a worker stays open and is carried into its next epoch.
+    With several ``epochs`` every row comes once in each (column ``epoch``, from 1), and a short batch that ends a worker's epoch is
+    filled up in the next one. ``n`` is the number of rows where it is known already.
     """
-    return rows.withColumn("worker", F.pmod(F.col(idx), F.lit(workers)).cast("long")).withColumn(
-        "batch_id", F.floor(F.col(idx) / workers / batch_size).cast("long")
-    )
+    dealt = rows.withColumn("worker", F.pmod(F.col(idx), F.lit(workers)).cast("long"))
+    at = F.floor(F.col(idx) / workers)
+    if epochs > 1:
+        total = rows.count() if n is None else n
+        own = F.floor((F.lit(total + workers - 1) - F.col("worker")) / workers)  # rows of the worker in an epoch
+        dealt = dealt.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
+        at = at + own * (F.col("epoch") - 1)
+    return dealt.withColumn("batch_id", F.floor(at / batch_size).cast("long"))
+
+
+def pad_prompts(rows: DataFrame, batch: list[str], ids: str, pad: int) -> DataFrame:
+    """Prompts right-padded with ``pad``, and ``answer_at``, the place of the last id, whose scores give the answer."""
+    return pad_batch(rows.withColumn("answer_at", F.size(ids) - 1), batch, {ids: pad})
+
+
+def pad_rollouts(rows: DataFrame, batch: list[str], ids: str, mask: str, pad: int) -> DataFrame:
+    """Sampled sequences right-padded with ``pad``; padding is not supervised."""
+    return pad_batch(rows, batch, {ids: pad, mask: 0})
 
 
 def pad_column(ids: str, width: Column, pad: int) -> Column:
@@ -266,3 +284,9 @@ def pad_batch(rows: DataFrame, batch: list[str], pads: dict[str, int]) -> DataFr
     return rows.withColumns({c: pad_column(c, F.col(f"_w_{c}"), p) for c, p in pads.items()}).drop(
         *[f"_w_{c}" for c in pads]
     )
+
+
+def template_conversations(rows: DataFrame, templates: DataFrame, key: str, order: str, seed: int | str) -> DataFrame:
+    """Every row with one of the template conversations, drawn by its key; ``templates`` (with ``messages``) may be any table."""
+    pool = number_rows(templates, [order], "idx").withColumn("idx", F.col("idx") - 1)
+    return draw_from_pool(rows, pool, templates.count(), seed, key)

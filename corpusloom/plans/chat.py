@@ -325,16 +325,15 @@ def letter_count(spark, sf):
 
 @query(
     "template_conversations",
-    f"""WITH c AS (SELECT conv_id, count(*) AS n, row_number() OVER (ORDER BY conv_id) - 1 AS idx FROM conversations GROUP BY conv_id)
-    SELECT doc_id, conv_id, n AS n_messages FROM documents
+    f"""WITH c AS (SELECT conv_id, count(*) AS n, row_number() OVER (ORDER BY conv_id) - 1 AS idx,
+                          md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS messages FROM conversations GROUP BY conv_id)
+    SELECT doc_id, conv_id, n AS n_messages, messages FROM documents
     JOIN c ON c.idx = CAST(floor({sql_u(42, 'doc_id')} * (SELECT count(*) FROM c)) AS BIGINT)""",
 )
 def template_conversations(spark, sf):
-    pool = turns(spark, sf).groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_messages"))
-    pool = number_rows(pool, ["conv_id"], "idx").withColumn("idx", F.col("idx") - 1)
-    n = pool.count()
-    out = mix.draw_from_pool(table(spark, sf, "documents").select("doc_id"), pool, n, 42, "doc_id")
-    return out.select("doc_id", "conv_id", "n_messages")
+    out = cv.template_conversations(table(spark, sf, "documents").select("doc_id"), cv.gather_messages(turns(spark, sf)), "doc_id", "conv_id", 42)
+    said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), cv.first_text(m)))
+    return out.select("doc_id", "conv_id", F.size("messages").cast("long").alias("n_messages"), F.md5(F.array_join(said, "\n")).alias("messages"))
 
 
 PROMPTS = f"""pool AS (SELECT conv_id, turn, text, regexp_matches(text, '[À-ÿ]') AS accented FROM conversations WHERE role = 'user'),
@@ -344,7 +343,9 @@ PROMPTS = f"""pool AS (SELECT conv_id, turn, text, regexp_matches(text, '[À-ÿ]
   starts AS (SELECT d.doc_id, s.accented, s.n, CAST(floor({sql_u('start', 'd.doc_id')} * s.n) AS BIGINT) AS start
              FROM documents d JOIN sizes s ON s.accented = ({sql_u('lang', 'd.doc_id')} < 0.6)),
   sampled AS (SELECT doc_id, j, r.conv_id, r.turn, r.text FROM starts s CROSS JOIN range(5) t(j)
-              JOIN ranked r ON r.accented = s.accented AND r.r = (s.start + j) % s.n WHERE j < s.n)"""
+              JOIN ranked r ON r.accented = s.accented AND r.r = (s.start + j) % s.n WHERE j < s.n),
+  redrawn AS (SELECT doc_id, j, r.conv_id, r.turn FROM starts s CROSS JOIN range(5) t(j)
+              JOIN ranked r ON r.accented = s.accented AND r.r = CAST(floor({sql_u('any', 's.doc_id', 'j')} * s.n) AS BIGINT))"""
 
 
 def sampled(spark, sf, k=5, with_replacement=False):
@@ -360,7 +361,8 @@ def sampled(spark, sf, k=5, with_replacement=False):
     rows = table(spark, sf, "documents").select("doc_id", (u("lang", "doc_id") < 0.6).alias("accented"))
     n = F.when(F.col("accented"), F.lit(sizes.get(True, 0))).otherwise(F.lit(sizes.get(False, 0))).cast("long")
     rows = rows.withColumn("n", n).filter("n > 0")
-    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n")) - 1)))
+    last = F.lit(k - 1).cast("long") if with_replacement else F.least(F.lit(k), F.col("n")) - 1
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     if with_replacement:
         rank = draw_index(F.col("n"), "any", "doc_id", "j")
     else:
@@ -368,9 +370,15 @@ def sampled(spark, sf, k=5, with_replacement=False):
     return rows.withColumn("r", rank).join(ranked, ["accented", "r"])
 
 
-@query("prompt_sample", f"WITH {PROMPTS} SELECT doc_id, j, conv_id, turn FROM sampled")
+@query(
+    "prompt_sample",
+    f"""WITH {PROMPTS} SELECT doc_id, j, conv_id, turn, false AS replaced FROM sampled
+    UNION ALL SELECT doc_id, j, conv_id, turn, true FROM redrawn""",
+)
 def prompt_sample(spark, sf):
-    return sampled(spark, sf).select("doc_id", "j", "conv_id", "turn")
+    """Different prompts per row, and prompts drawn with replacement."""
+    parts = [sampled(spark, sf, with_replacement=again).select("doc_id", "j", "conv_id", "turn", F.lit(again).alias("replaced")) for again in (False, True)]
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -489,28 +497,40 @@ def batched(spark, sf):
     return cv.batch_assign(mix.index_rows(ids, "conv_id"), "idx", 8, 3).select("conv_id", "worker", "batch_id")
 
 
-@query("batch_assign", f"WITH {BATCHED} SELECT conv_id, worker, batch_id FROM batched")
+@query(
+    "batch_assign",
+    f"""WITH {BATCHED}, own AS (SELECT idx % 3 AS worker, count(*) AS n FROM numbered GROUP BY 1)
+    SELECT conv_id, CAST(epoch AS INT) AS epoch, worker, (idx // 3 + (epoch - 1) * own.n) // 8 AS batch_id
+    FROM (SELECT conv_id, idx, idx % 3 AS worker FROM numbered) JOIN own USING (worker) CROSS JOIN range(1, 4) e(epoch)""",
+)
 def batch_assign(spark, sf):
-    return batched(spark, sf)
+    ids = mix.index_rows(turns(spark, sf).select("conv_id").distinct(), "conv_id")
+    return cv.batch_assign(ids, "idx", 8, 3, epochs=3).select("conv_id", "epoch", "worker", "batch_id")
 
 
 @query(
     "pad_batch",
     f"""WITH {MERGED}, {sql_rendered('merged')}, {BATCHED},
-      t AS (SELECT r.conv_id, worker, batch_id, ids[:-2] AS inputs,
+      t AS (SELECT r.conv_id, worker, batch_id, ids, mask, ids[:-2] AS inputs,
                    list_transform(range(2, len(ids) + 1), lambda i: CASE WHEN mask[i] = 0 THEN -1 ELSE ids[i] END) AS targets
             FROM rendered r JOIN batched b USING (conv_id)),
-      w AS (SELECT *, max(len(inputs)) OVER (PARTITION BY worker, batch_id) AS width FROM t)
-    SELECT conv_id, worker, batch_id, width,
+      w AS (SELECT *, max(len(inputs)) OVER (PARTITION BY worker, batch_id) AS width, max(len(ids)) OVER (PARTITION BY worker, batch_id) AS wide FROM t)
+    SELECT conv_id, worker, batch_id, width, CAST(len(ids) - 1 AS INT) AS answer_at,
+      md5({fx.sql_join('list_concat(ids, list_transform(range(wide - len(ids)), lambda i: 256))')}) AS prompt,
+      md5({fx.sql_join('list_concat(ids, list_transform(range(wide - len(ids)), lambda i: 260))')}) AS rollout,
+      md5({fx.sql_join('list_concat(mask, list_transform(range(wide - len(mask)), lambda i: 0))')}) AS rollout_mask,
       md5({fx.sql_join('list_concat(inputs, list_transform(range(width - len(inputs)), lambda i: 260))')}) AS inputs,
       md5({fx.sql_join('list_concat(targets, list_transform(range(width - len(targets)), lambda i: -1))')}) AS targets FROM w""",
 )
 def pad_batch(spark, sf):
-    rows = rendered(spark, sf).withColumn("targets", cv.supervised_targets())
+    rows = rendered(spark, sf).withColumn("targets", cv.supervised_targets()).withColumn("prompt", F.col("ids"))
     rows = rows.withColumn("inputs", cv.next_token_targets()[0]).join(batched(spark, sf), "conv_id")
-    rows = cv.pad_batch(rows.drop("ids", "mask"), ["worker", "batch_id"], {"inputs": TOK.special(tx.ASSISTANT_END), "targets": -1})
+    batch, end = ["worker", "batch_id"], TOK.special(tx.ASSISTANT_END)
+    rows = cv.pad_batch(rows, batch, {"inputs": end, "targets": -1})
+    rows = cv.pad_rollouts(cv.pad_prompts(rows, batch, "prompt", TOK.special(tx.BOS)), batch, "ids", "mask", end)
     return rows.select(
-        "conv_id", "worker", "batch_id", F.size("inputs").cast("long").alias("width"),
+        "conv_id", "worker", "batch_id", F.size("inputs").cast("long").alias("width"), "answer_at",
+        F.md5(fx.joined("prompt")).alias("prompt"), F.md5(fx.joined("ids")).alias("rollout"), F.md5(fx.joined("mask")).alias("rollout_mask"),
         F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"),
     )
 
