@@ -63,8 +63,11 @@ STAGES = [
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ``ids``, each row once; rows without an id have no decision and go."""
-    return docs.select(*COLUMNS).join(ids.distinct(), "doc_id", "left_semi")
+    """The rows whose id is among ``ids``, each row once; rows without an id have no decision and go.
+
+    The ids grow with the corpus, so they are not sent to every task, however few there may be.
+    """
+    return docs.select(*COLUMNS).join(ids.hint("merge"), "doc_id", "left_semi")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
