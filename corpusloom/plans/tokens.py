@@ -10,6 +10,7 @@ from corpusloom.plans import fixtures as fx
 from corpusloom.plans.chat import MERGED, rendered, sql_rendered
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.session import new_dir
+from corpusloom.sources import scan
 from corpusloom.sources.scan import spread
 
 TOK = tx.ByteTokenizer()
@@ -52,17 +53,19 @@ def sql_training(n: int) -> str:
 TRAINING = sql_training(N_MERGES)
 
 
-_trained: dict[str, list[tuple[int, int]]] = {}
+# merges by the files they were learned from, so that changed files are learned from anew
+_trained: dict[tuple, list[tuple[int, int]]] = {}
 
 
 def train(spark, sf):
     """Learn the merges from all documents of the folder and keep them for the other queries."""
-    _trained[sf] = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB)
-    return _trained[sf]
+    files = scan.file_states(spark, f"{sf}/documents.parquet")
+    _trained[files] = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB)
+    return _trained[files]
 
 
 def trained(spark, sf):
-    return _trained.get(sf) or train(spark, sf)
+    return _trained.get(scan.file_states(spark, f"{sf}/documents.parquet")) or train(spark, sf)
 
 
 def tokenizer(spark, sf):

@@ -127,6 +127,17 @@ def parse_message_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return parsed.withColumn("messages", F.when(text.startswith("["), F.transform("_m", message))).drop("_m")
 
 
+def file_states(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of every file under a path: equal as long as the data is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(target, True)
+    states = []
+    while found.hasNext():
+        f = found.next()
+        states.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(states))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of text files as ``value``; a path where nothing is counts as empty."""
     try:
