@@ -86,22 +86,21 @@ def context_sums(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
         def add(parts: list[np.ndarray]) -> None:
             ids = np.concatenate([gap, *parts, gap])
-            for at in range(0, len(ids), SLICE_TOKENS):
-                part = ids[max(0, at - REACH) : at + SLICE_TOKENS + REACH]
+            for at in range(REACH, len(ids) - REACH, SLICE_TOKENS):
+                part = ids[at - REACH : min(at + SLICE_TOKENS, len(ids) - REACH) + REACH]
                 near = index[part]
                 mid = part[REACH:-REACH]
                 around = sum(near[REACH + o : len(part) - REACH + o] for o in range(-REACH, REACH + 1) if o)
                 order = np.argsort(mid, kind="stable")
                 sorted_ = mid[order]
-                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(mid) else []
-                if len(first):
-                    added = np.add.reduceat(around[order].astype(np.int32), first, axis=0)
-                    at_ids = sorted_[first]
-                    real = at_ids < BUCKETS
-                    sums[at_ids[real]] += added[real]
-                    seen[at_ids[real]] = True
-
-        for batch in batches:
+                first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+                added = np.add.reduceat(around[order].astype(np.int32), first, axis=0)
+                at_ids = sorted_[first]
+                real = at_ids < BUCKETS
+                sums[at_ids[real]] += added[real]
+                seen[at_ids[real]] = True
+
+        for batch in sliced(batches):
             held, n = [], 0
             for t in batch.column("text").to_pylist():
                 ids = tokens.of(t)

@@ -345,7 +345,9 @@ def test_op6(spark, docs, texts):
 # --- quality ---------------------------------------------------------------------------------------
 
 
-def test_context_sums(spark):
+@pytest.mark.parametrize("tokens", [1, 2, 3, 5, 7, 200_000])
+def test_context_sums(spark, monkeypatch, tokens):
+    monkeypatch.setattr(quality_classifier, "SLICE_TOKENS", tokens)
     rows = ["the cat sat on the mat", None, "THE end.", "a" * 300, "the"]
     got = {r.bucket: np.array(r[1:]) for r in quality_classifier.context_sums(frame(spark, rows)).collect()}
     index, want = quality_classifier.index_vectors(), defaultdict(lambda: np.zeros(quality_classifier.DIM, np.int64))
