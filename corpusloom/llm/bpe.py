@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed_texts
+from corpusloom.llm.common import keyed_texts, sliced
 
 # fixed values: the characters of Unicode's White_Space, at which words end
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -323,7 +323,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(path)
         pieces = Pieces(bpe)
-        for batch in batches:
+        for batch in sliced(batches):
             found = list(pieces.encode(batch.column("text").to_pylist()))
             ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int64)
             ids = np.frombuffer(b"".join(found), "<i4")

@@ -17,12 +17,26 @@ def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+#: bytes of a batch that a Python function works on at once
+SLICE_BYTES = 4 << 20
+
+
+def sliced(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in parts of about ``size`` bytes, so that what Python makes of a batch stays small."""
+    for batch in batches:
+        if batch.num_rows:
+            rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn`` applied to every Arrow batch of every task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
+        for batch in sliced(batches):
+            if (out := fn(batch)) is not None:
                 yield out
 
     return df.mapInArrow(run, schema)

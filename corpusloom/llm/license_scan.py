@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_batches
+from corpusloom.llm.common import map_batches, sliced
 from corpusloom.session import materialize
 
 GRAM = 4
@@ -30,7 +30,7 @@ MIN_MATCH = 12
 #: template k-grams up to this number are sent to every task
 BROADCAST_GRAMS = 100_000
 CHUNK_ROWS = 400_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: what a phrase alone counts
 PHRASE_SCORE = 0.5
 
@@ -110,7 +110,7 @@ def grams(rows: DataFrame) -> DataFrame:
             at = np.concatenate([np.arange(lo, lo + n, dtype=np.int32) for (_, _, lo, _), n in zip(held, sizes)])
             return pa.RecordBatch.from_arrays([*columns, pa.array(at), pa.array(np.concatenate([x[3] for x in held]))], names)
 
-        for batch in batches:
+        for batch in sliced(batches):
             held, n = [], 0
             for doc, text_id, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "text"))):
                 found = gram_hashes(words_of(t), hashes)

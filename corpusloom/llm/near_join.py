@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed_texts, map_batches, stream_groups
+from corpusloom.llm.common import keyed_texts, sliced, stream_groups
 from corpusloom.llm.components import connected_components
 from corpusloom.session import materialize
 
@@ -31,7 +31,7 @@ MAX_HASHES = 128
 CHUNK_GRAMS = 32_000
 SEED = 50
 SLICE_GRAMS = 100_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 COLUMNS = 4096
 
 
@@ -105,7 +105,7 @@ def sets_and_bands(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signatures = WordHashes(), Signatures(bands, rows)
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, ids, keys, held = [], [], [], []
             for t in batch.column("text").to_pylist():
                 found = grams(t, hashes)
@@ -210,7 +210,7 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             found = [grams(t, hashes) for t in batch.column("text").to_pylist()]
             right = [set_id(g) == s for g, s in zip(found, batch.column("set_id").to_pylist())]
             columns = [batch.column(c) for c in ("root", "cid", "copies", "chunk", "chunks")]

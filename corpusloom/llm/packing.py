@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import Pieces, WordBpe
-from corpusloom.llm.common import keyed_texts
+from corpusloom.llm.common import keyed_texts, sliced
 from corpusloom.session import materialize
 
 BLOCK_PIECES = 2048
@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, width = Pieces(WordBpe(path)), 4 * capacity
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), pieces.encode(batch.column("text").to_pylist())):
                 ids += closing

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed_texts
+from corpusloom.llm.common import keyed_texts, sliced
 from corpusloom.session import materialize
 
 #: size of the table of vectors: at most ``BUCKETS * DIM`` numbers, 2 MB
@@ -35,7 +35,7 @@ EPOCHS = 60
 CALIBRATION = 5  # every fifth row of the sample sets the temperature
 THRESHOLD = 0.3
 SLICE_TOKENS = 200_000
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 
 TOKEN = re.compile(r"[^\W\d_]+|\d|[^\w\s]|_")
 
@@ -136,7 +136,7 @@ def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        for batch in batches:
+        for batch in sliced(batches):
             out = np.zeros((batch.num_rows, 2 * DIM), np.float32)
             for i, t in enumerate(batch.column("text").to_pylist()):
                 counts = np.bincount(tokens.of(t), minlength=1)

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_batches, stream_groups, text_bytes
+from corpusloom.llm.common import map_batches, sliced, stream_groups, text_bytes
 from corpusloom.llm.suffix_array import suffix_array
 from corpusloom.session import materialize
 
@@ -106,7 +106,7 @@ def occurrences(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors()
-        for batch in batches:
+        for batch in sliced(batches):
             keys = batch.column("k").to_numpy()
             data, ends = text_bytes(batch.column("text"))
             tags = np.array([text_tag(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], np.int64)
@@ -276,7 +276,7 @@ def cut(texts: DataFrame) -> DataFrame:
         def flush(out: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.int64())) for n, c in zip(names, zip(*out))], names)
 
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             open_ = zstandard.ZstdDecompressor()
             out: list[tuple] = []
             for k, data, parts in zip(*(batch.column(c).to_pylist() for c in ("k", "data", "parts"))):
@@ -376,7 +376,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             sizes, spans, rest = [], [], []
             for data, found in zip(batch.column("data").to_pylist(), batch.column("found").to_pylist()):
                 whole = open_.decompress(data)

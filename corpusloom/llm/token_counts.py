@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import SLICE_CHARS, SPACE, Pieces, WordBpe, white_split
+from corpusloom.llm.common import sliced
 
 # characters of a leaf, unless one pre-token is longer
 SEGMENT_CHARS = 512
@@ -139,7 +140,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
         def count(text: str) -> int:
             return sum(map(len, map(pieces.__getitem__, white_split(text)))) // 4
 
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows, known = [], 0
             for k, (doc, edits) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("edits").to_pylist())):
