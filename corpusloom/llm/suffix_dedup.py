@@ -305,7 +305,7 @@ def hot_spans(rows: DataFrame) -> DataFrame:
     """The repeated spans of blocks, whose cores any number of texts may share."""
     core = ["core", "core2"]
     counts = rows.groupBy(*core).agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("m > 1 and _least = 1").drop("_least")
-    rows = materialize(rows.join(counts, core), "suffix-blocks")
+    rows = materialize(rows.join(materialize(counts, "suffix-cores").hint("merge"), core), "suffix-blocks")
     few = by_group(rows.filter(F.col("m") <= GROUP).withColumn("group", F.xxhash64(*core)), "group", split_cores)
     # beyond that, single windows: equal ones have equal bytes on both sides of the core
     t = F.explode(F.sequence("first", "last"))
@@ -313,7 +313,7 @@ def hot_spans(rows: DataFrame) -> DataFrame:
     sides = F.concat(F.expr("substring(before, t + 1)"), F.lit(b"|"), F.expr("substring(after, 1, t)"))
     windows = windows.select("k", "pos", "n", "at", "t", F.md5(F.concat(F.encode(F.concat_ws(":", *core, "t"), "utf-8"), sides)).alias("w"))
     again = windows.groupBy("w").agg(F.sum("n").alias("_n")).filter("_n > 1").drop("_n")
-    many = windows.filter("n = 1").join(again, "w")
+    many = windows.filter("n = 1").join(again.hint("merge"), "w")
     tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
     start = F.col("at") + F.col("t")
     return few.unionByName(many.select("k", tag.alias("tag"), start.alias("start"), (start + LENGTH).alias("stop")))
@@ -330,18 +330,22 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """``k, tag, start, stop``: byte ranges of texts that are covered by repeated windows; they may overlap."""
     found = materialize(occurrences(texts), "suffix-occurrences")
     stats = found.groupBy("h").agg(F.count("*").alias("_n"), F.min("c").alias("_a"), F.max("c").alias("_b")).filter("_n > 1")
-    live = materialize(found.join(stats.select("h", (F.col("_a") != F.col("_b")).alias("mixed")), "h"), "suffix-live")
+    # written first: only then does Spark split the rows of a hash that very many neighbourhoods have; merge joins throughout, since all
+    # these tables grow with the corpus and are not sent to every task
+    stats = materialize(stats.select("h", (F.col("_a") != F.col("_b")).alias("mixed")), "suffix-shared").hint("merge")
+    live = materialize(found.join(stats, "h"), "suffix-live")
     tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
     first = F.shiftright("pos", 32)
     whole = [F.col("k"), tag.alias("tag"), first.alias("start"), (first + F.shiftright("pos", 23).bitwiseAND(F.lit(511)) + LENGTH).alias("stop")]
     kinds = live.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "pos")).alias("one"))
     kinds = materialize(kinds, "suffix-kinds")
-    copies = live.filter("mixed").join(kinds.filter("n > 1").select("h", "c"), ["h", "c"])
+    copies = live.filter("mixed").join(kinds.filter("n > 1").select("h", "c").hint("merge"), ["h", "c"])
     parts = [live.filter("not mixed").select(*whole), copies.select(*whole)]
     sizes = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("_least = 1").drop("_least")
+    sizes = materialize(sizes, "suffix-sizes").hint("merge")
     todo = kinds.join(sizes, "h").select("h", "n", "m", "one.k", "one.pos").withColumn("tag", tag)
     todo = todo.groupBy("k", "tag").agg(F.collect_list(F.struct("h", "n", "m", "pos")).alias("parts"))
-    chosen = packed(texts.select("k", "text")).join(todo, ["k", "tag"]).select("k", "data", "parts")
+    chosen = packed(texts.select("k", "text")).join(todo.hint("merge"), ["k", "tag"]).select("k", "data", "parts")
     bodies = materialize(cut(chosen), "suffix-texts")
     parts.append(by_group(bodies.filter("not hot").select("h", "k", "pos", "n", "body"), "h", compare_texts))
     parts.append(hot_spans(bodies.filter("hot").drop("hot", "h", "body")))
@@ -371,7 +375,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[
     """
     texts = keyed(docs, key, text, keep)
     spans = repeated_spans(texts.select("k", "text")).groupBy("k", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
-    rows = packed(texts).join(spans, ["k", "tag"], "left")
+    rows = packed(texts).join(spans.hint("merge"), ["k", "tag"], "left")
     kept = [("kept_columns", dict(texts.dtypes).get("kept_columns"))] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
