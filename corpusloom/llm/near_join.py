@@ -217,8 +217,9 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             columns.append(pa.array([g.tobytes() if r else None for g, r in zip(found, right)], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["root", "cid", "copies", "chunk", "chunks", "grams"])
 
-    # one document of each class; rows that only share its id are told apart by their sets
-    chosen = members.join(texts, members["copy_id"].eqNullSafe(texts["doc_id"])).select("root", "cid", "set_id", "copies", "chunk", "chunks", "text")
+    # one document of each class; rows that only share its id are told apart by their sets. The members grow with the corpus, so they
+    # are not sent to every task, however few there may be
+    chosen = members.hint("merge").join(texts, members["copy_id"].eqNullSafe(texts["doc_id"])).select("root", "cid", "set_id", "copies", "chunk", "chunks", "text")
     loaded = chosen.mapInArrow(load, "root long, cid long, copies long, chunk int, chunks int, grams binary").filter("grams is not null")
     other = F.sequence(F.lit(0), F.col("chunks") - 1)
     tiles = loaded.withColumn("_o", F.explode(other)).select(
