@@ -87,8 +87,9 @@ def filter_urls(captures: DataFrame, entries: DataFrame, key: str = "page_id", u
     last = rows.agg(F.max("day")).first()[0]
     ends = F.coalesce(F.col("until"), F.greatest(F.lit(0 if last is None else last + 1), F.col("since") + 1)) - 1
     held = held.withColumn("period", F.explode(F.sequence(F.floor(F.col("since") / PERIOD), F.floor(ends / PERIOD))))
-    hits = looks.join(held, ["kind", "rule", "period"]).filter((F.col("day") >= F.col("since")) & (F.col("until").isNull() | (F.col("day") < F.col("until"))))
+    # intervals and hits grow with lists and captures: merge joins, nothing goes to every task
+    hits = looks.join(held.hint("merge"), ["kind", "rule", "period"]).filter((F.col("day") >= F.col("since")) & (F.col("until").isNull() | (F.col("day") < F.col("until"))))
     found = hits.groupBy("_id").agg(F.count("*").alias("n_active"), F.array_join(F.sort_array(F.collect_set("list")), ",").alias("lists"), F.min("since").alias("since"))
-    out = rows.select("_id", "page_id", "day").distinct().join(found, "_id", "left")
+    out = rows.select("_id", "page_id", "day").distinct().join(found.hint("merge"), "_id", "left")
     active = F.coalesce("n_active", F.lit(0).cast("long"))
     return out.select("page_id", "day", active.alias("n_active"), F.coalesce("lists", F.lit("")).alias("lists"), "since", (active > 0).alias("blocked"))
