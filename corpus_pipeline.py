@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import near_join, packing, quality_classifier, quality_rules, queries, suffix_dedup
@@ -20,18 +20,23 @@ ORACLE_SQL = None
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be of quality."""
-    scores = quality_classifier.quality_scores(docs, queries.table(spark, sf_dir, "labels"))
-    return _only(docs, scores.filter("predicted = 1").select("doc_id"))
+    scores = quality_classifier.quality_scores(_with_row(docs), queries.table(spark, sf_dir, "labels"), row="row")
+    return _only(docs, scores.filter("predicted = 1").select("row")).select(*COLUMNS)
 
 
 def keep_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive rules keep."""
-    return _only(docs, quality_rules.quality_rules(docs).filter("kept").select("doc_id"))
+    return _only(docs, quality_rules.quality_rules(_with_row(docs), row="row").filter("kept").select("row")).select(*COLUMNS)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of every group of near copies; of rows that share an id one."""
-    return _only(docs, near_join.near_join(docs).filter("doc_id = class_id").select("doc_id")).dropDuplicates(["doc_id"])
+    """One row, that of the least id, of every group of near copies; one without an id only if none has any, and of equal rows one.
+
+    Rows are compared and named by their row keys, so that an id that several texts share joins nothing.
+    """
+    found = near_join.near_join(_with_row(docs), key="row", row="doc_id").select("class_id", F.col("doc_id").alias("row"), F.col("row").alias("id"))
+    first = found.groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    return _only(docs, first.select("first.row")).dropDuplicates(["row"]).select(*COLUMNS)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,12 +67,24 @@ STAGES = [
 ]
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ``ids``, each row once; rows without an id have no decision and go.
+def _row() -> Column:
+    """A key of the row from all that decisions depend on; only equal rows share it, and those get equal decisions.
+
+    Hashes skip nulls, so that a column is null is hashed too. Any two of ten million rows share a key by chance with a probability of 0.000003.
+    """
+    return F.xxhash64(*[x for c in ("doc_id", "text", "lang", "source") for x in (F.col(c).isNull(), F.col(c))])
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, _row().alias("row"))
+
+
+def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows, with their keys, whose key is among ``rows``, each row once; rows without an id are rows like others.
 
-    The ids grow with the corpus, so they are not sent to every task, however few there may be.
+    The keys grow with the corpus, so they are not sent to every task, however few there may be.
     """
-    return docs.select(*COLUMNS).join(ids.hint("merge"), "doc_id", "left_semi")
+    return _with_row(docs).join(rows.hint("merge"), "row", "left_semi")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the key and the text; other columns, whatever their names, play no part. A null text counts as empty."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def keyed_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """Only the key and the text, and the whole numbers of the column ``row`` as ``row``; other columns, whatever their names, play no part. A null text counts as empty."""
+    carried = [F.col(row).cast("long").alias("row")] if row else []
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carried)
 
 
 #: bytes of a batch that a Python function works on at once

@@ -101,7 +101,8 @@ class Signatures:
 
 
 def sets_and_bands(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n, set_id, bands`` of every row; null set and bands for a text without words."""
+    """``doc_id, n, set_id, bands`` (and ``row`` if there) of every row; null set and bands for a text without words."""
+    carried = [c for c in docs.columns if c == "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signatures = WordHashes(), Signatures(bands, rows)
@@ -123,9 +124,9 @@ def sets_and_bands(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             ends = pa.array(np.concatenate([[0], np.cumsum(there * bands)]).astype(np.int32))
             lists = pa.ListArray.from_arrays(ends, pa.array(flat), mask=pa.array(~there))
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(ids, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_id", "bands"])
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in carried], ["doc_id", "n", "set_id", "bands", *carried])
 
-    return docs.mapInArrow(run, "doc_id long, n int, set_id binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n int, set_id binary, bands array<long>" + ", row long" * len(carried))
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
@@ -184,8 +185,8 @@ def verify(tile: pa.Table) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(cid[there]), pa.array(root[there]), pa.array(links[there])], ["cid", "root", "links"])
 
 
-def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, class_id, copy_id, n_copies, n_links`` of every row of ``docs``.
+def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """``doc_id, class_id, copy_id, n_copies, n_links`` of every row of ``docs``; the column that ``row`` names is carried along as ``row``.
 
     ``copy_id`` is the least id among the documents with the same n-gram set and ``n_copies`` their number; ``n_links`` counts the
     other documents whose similarity reaches the threshold, equal ones included; ``class_id`` is the least id among all that
@@ -197,7 +198,7 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     num, den = THRESHOLD
     bands, rows = choose_bands(num / den)
     texts = keyed_texts(docs, key, text)
-    signed = materialize(sets_and_bands(texts, bands, rows), "near-signatures")
+    signed = materialize(sets_and_bands(keyed_texts(docs, key, text, row), bands, rows), "near-signatures")
     classes = signed.filter("set_id is not null").groupBy("set_id").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("copy_id"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
     )
@@ -243,11 +244,12 @@ def near_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     named = materialize(named, "near-named")
     least = named.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     named = named.join(least, "root").select("set_id", "copies", "copy_id", "links", "class_id")
-    out = signed.select("doc_id", "set_id").join(named, "set_id", "left")
+    carried = ["row"] if row else []
+    out = signed.select("doc_id", "set_id", *carried).join(named, "set_id", "left")
     own = F.col("set_id").isNull()
     return out.select(
         "doc_id", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(own, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
-        F.coalesce("copies", F.lit(1)).alias("n_copies"), F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
+        F.coalesce("copies", F.lit(1)).alias("n_copies"), F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"), *carried,
     )
 
 

@@ -131,8 +131,10 @@ def word_vectors(sums: DataFrame) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, features``: the mean vector of the tokens and that of the different tokens; zeros for a text without tokens."""
+def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """``doc_id, features`` (and ``row``): the mean vector of the tokens and that of the different tokens; zeros for a text without tokens."""
+
+    carried = ["row"] if row else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
@@ -146,9 +148,9 @@ def pooled(docs: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str
                     out[i, :DIM] = counts[own] @ v / counts.sum()
                     out[i, DIM:] = v.mean(axis=0)
             held = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), 2 * DIM).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held], ["doc_id", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held, *(batch.column(c) for c in carried)], ["doc_id", "features", *carried])
 
-    return keyed_texts(docs, key, text).mapInArrow(run, "doc_id long, features array<float>")
+    return keyed_texts(docs, key, text, row).mapInArrow(run, "doc_id long, features array<float>" + ", row long" * len(carried))
 
 
 @dataclass
@@ -219,15 +221,15 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``; only its texts are inputs of a score.
+def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", row: str | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row of ``docs``; only its texts are inputs of a score. The column that ``row`` names is carried along as ``row``.
 
     The network learns from labelled rows that are not held out, at most ``SAMPLE_ROWS`` of them, picked by hash;
     the word vectors from all texts. A null text counts as empty, which is scored too. Null labels and labels
     of unknown documents play no part; of several labels of a document the highest counts. Repeated rows come out each.
     Without any label the score is 0.5.
     """
-    features = materialize(pooled(docs, word_vectors(context_sums(docs, key, text)), key, text), "quality-features")
+    features = materialize(pooled(docs, word_vectors(context_sums(docs, key, text)), key, text, row), "quality-features")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("y").alias("y"))
     unique = features.filter("doc_id is not null").dropDuplicates(["doc_id"])
@@ -238,7 +240,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * DIM)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(net.score(x.astype(np.float64)))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(net.score(x.astype(np.float64))), *(batch.column(c) for c in carried)], ["doc_id", "score", *carried])
 
-    scored = features.mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    carried = ["row"] if row else []
+    scored = features.mapInArrow(run, "doc_id long, score double" + ", row long" * len(carried))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *carried)

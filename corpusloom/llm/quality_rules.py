@@ -69,16 +69,18 @@ def measure_text(text: str) -> tuple[int, ...]:
     )
 
 
-def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``doc_id, lang, source`` and the counts of every whole text; a null text has no words."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
+def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", row: str | None = None) -> DataFrame:
+    """``doc_id, lang, source`` (and ``row``) and the counts of every whole text; a null text has no words."""
+    carried = [F.col(row).cast("long").alias("row")] if row else []
+    names = ["doc_id", "lang", "source", *(["row"] if row else [])]
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"), *carried)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [measure_text(t or "") for t in batch.column("text").to_pylist()]
         counts = [pa.array(c, pa.int64()) for c in zip(*found)]
-        return pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "lang", "source")] + counts, ["doc_id", "lang", "source", *COUNTS])
+        return pa.RecordBatch.from_arrays([batch.column(c) for c in names] + counts, [*names, *COUNTS])
 
-    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS)
+    schema = "doc_id long, lang string, source string, " + ("row long, " if row else "") + ", ".join(f"{c} long" for c in COUNTS)
     return map_batches(rows.withColumns({c: F.col(c).cast("string") for c in ("lang", "source", "text")}), run, schema)
 
 
@@ -169,11 +171,11 @@ def judge(measures: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Measures and verdict of every row of ``docs``.
+def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", row: str | None = None) -> DataFrame:
+    """Measures and verdict of every row of ``docs``; the column that ``row`` names is carried along as ``row``.
 
     Nulls: a null text counts as empty and fails, null languages and sources are groups of their own, a null key stays null.
     Repeated rows count and come out each; values equal to a fence are kept. An empty table gives no rows.
     """
-    measures = materialize(measure(docs, key, text, lang, source), "quality-measures")
+    measures = materialize(measure(docs, key, text, lang, source, row), "quality-measures")
     return judge(measures, materialize(thresholds(sketch(measures)), "quality-limits"))
