@@ -3,8 +3,9 @@
 A solution is a set of bins. Crossover injects well-filled bins of one parent whole into the other, dissolves the
 bins that then hold a document twice and places the displaced documents by best fit. Pieces are dealt to blocks of
 bounded size by hash; every block is evolved on several islands, which are tasks of their own, and after each epoch
-every island gets the elite of its neighbour. The best island's bins count. The least filled bins of all blocks
-go to the next, much smaller round, so that what a block leaves half empty is filled from other blocks.
+every island gets the elite of its neighbour. The best island's bins count. The bins of all blocks that are not well filled
+go to the next round, dealt to other blocks, so that what a block leaves half empty is filled from other blocks. Rounds end
+when one no longer lowers the number of bins.
 """
 
 from __future__ import annotations
@@ -27,10 +28,8 @@ ISLANDS = 3
 POPULATION = 4
 EPOCHS = 2
 GENERATIONS = 6
-#: a bin filled so far is passed on whole
+#: a bin filled so far is passed on whole, and is not opened by a later round
 WELL_FILLED = 0.99
-#: at most this part of a block's pieces goes to the next round
-OPEN_PART = 0.125
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -218,23 +217,25 @@ def pack(pieces: DataFrame, capacity: int, block_pieces: int = BLOCK_PIECES) ->
     full = pieces.filter(F.col("length") == capacity)
     parts = [full.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})]
     items, turn = pieces.filter(F.col("length") < capacity), 0
+    open_bins, before = None, 0
     while n:
         blocks = -(-n // block_pieces)
         solved = _solve(items, blocks, capacity, turn).select("block", F.posexplode("items").alias("_k", "_i"), "bins")
         solved = solved.select("block", F.col("bins")[F.col("_k")].alias("_bin"), "_i.*")
         solved = materialize(solved, "packing-bins")
-        if blocks > 1:
-            fill = solved.groupBy("block", "_bin").agg(F.sum("length").alias("_fill"), F.count("*").alias("_n"))
-            w = F.sum("_n").over(_by_fill())
-            total = F.sum("_n").over(_by_fill().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-            fill = fill.select("block", "_bin", ((w <= total * OPEN_PART) & (F.col("_fill") < WELL_FILLED * capacity)).alias("_open"))
-            solved = materialize(solved.join(fill, ["block", "_bin"]), "packing-open")
-            items = solved.filter("_open").select(*names)
-            solved = solved.filter("not _open")
-            n = items.count()
-        else:
-            n = 0
-        parts.append(_number(solved, turn, names))
+        fill = solved.groupBy("block", "_bin").agg((F.sum("length") < WELL_FILLED * capacity).alias("_open"), F.count("*").alias("_n"))
+        fill = materialize(fill, "packing-fill")
+        bins, opened, left = fill.agg(F.count("*"), F.count_if("_open"), F.sum(F.when(F.col("_open"), F.col("_n")))).first()
+        if open_bins is not None and bins >= before:  # dealt anew they are no fewer, so they stay as they were
+            parts.append(open_bins)
+            break
+        if blocks == 1:
+            parts.append(_number(solved, turn, names))
+            break
+        solved = materialize(solved.join(fill.drop("_n").hint("merge"), ["block", "_bin"]), "packing-open")
+        items, n = solved.filter("_open").select(*names), left or 0
+        open_bins, before = _number(solved.filter("_open"), turn, names), opened
+        parts.append(_number(solved.filter("not _open"), turn, names))
         turn += 1
     out = parts[0]
     for part in parts[1:]:
@@ -242,10 +243,6 @@ def pack(pieces: DataFrame, capacity: int, block_pieces: int = BLOCK_PIECES) ->
     return out
 
 
-def _by_fill():
-    return Window.partitionBy("block").orderBy("_fill", "_bin")
-
-
 def _number(solved: DataFrame, turn: int, names: list[str]) -> DataFrame:
     """Sequence numbers that no other round, block or bin has, and the places of the pieces in order."""
     w = Window.partitionBy("block", "_bin").orderBy(F.desc("length"), "doc_id", "piece").rowsBetween(Window.unboundedPreceding, -1)
