@@ -79,3 +79,37 @@ def top_by(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataF
     """The first ``n`` rows of every key; Spark keeps at most ``n`` rows of a key per task before it shuffles."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+
+
+def hash128(*columns: str) -> tuple[Column, Column]:
+    """Two 64-bit hashes with seeds of their own; hashes skip nulls, so that a value is null is hashed too."""
+    values = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(F.lit(1), *values), F.xxhash64(F.lit(2), *values)
+
+
+#: keys that a table can be sent to all tasks for
+SHARES = 4096
+
+
+def join_by_share(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``rows`` joined with ``table``, both read twice; ``keys`` are unique in ``table`` and ``n`` there tells how many rows hold them.
+
+    Keys with a share of all rows of 1 / ``SHARES`` or more, of which there are ``SHARES`` at most, are sent to every task, so no
+    task gets the rows of a hot key; the others meet in a merge join. Nulls are keys like others.
+    """
+    least = rows.count() / SHARES
+    often, seldom = table.filter(F.col(n) >= least).drop(n), table.filter(F.col(n) < least).drop(n)
+    names = [f"_{k}" for k in keys]
+
+    def match(part: DataFrame) -> tuple[DataFrame, Column]:
+        part = part.withColumnsRenamed(dict(zip(keys, names)))
+        on = F.lit(True)
+        for k, name in zip(keys, names):
+            on &= F.col(k).eqNullSafe(F.col(name))
+        return part, on
+
+    often, on = match(often)
+    seldom, _ = match(seldom)
+    hot = rows.join(F.broadcast(often), on)
+    rest = rows.join(F.broadcast(often.select(*names)), on, "left_anti").join(seldom.hint("merge"), on)
+    return hot.unionByName(rest).drop(*names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import near_join, quality_rules, url_filters
+from corpusloom.llm import line_dedup, near_join, quality_rules, url_filters, vector_codes
 from corpusloom.plans.registry import sql_u
 
 
@@ -97,3 +97,48 @@ def top_k_sql(k: int, scale: int = 1024) -> str:
       scored AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
     SELECT query_id, CAST(n AS INT) AS "rank", vec_id, score
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored) WHERE n <= {k}"""
+
+
+def line_dedup_sql() -> str:
+    white = " || ".join(f"chr({ord(c)})" for c in line_dedup.WHITE)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+      split AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM texts),
+      keyed AS (SELECT *, translate(trim(line, {white}), '{upper}', '{upper.lower()}') AS key FROM split),
+      shared AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+      judged AS (SELECT doc_id, place, line, coalesce(doc_id <> keeper, false) AS gone FROM keyed LEFT JOIN shared USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY doc_id"""
+
+
+def vector_codes_sql() -> str:
+    """One statement of the start, and two of each round: the parts with their nearest entries, and the entries after it."""
+    n, parts = vector_codes.ENTRIES, vector_codes.PARTS
+    nearest = """SELECT p.vec_id, p.part, min(struct_pack(d := list_sum(list_transform(list_zip(p.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), entry := e.entry)) AS best
+      FROM pieces p JOIN {books} e USING (part) GROUP BY p.vec_id, p.part"""
+    steps = []
+    for i in range(vector_codes.ROUNDS):
+        steps.append(f"near{i} AS MATERIALIZED ({nearest.format(books=f'books{i}')})")
+        steps.append(
+            f"""means{i} AS MATERIALIZED (SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY place) AS x FROM (
+              SELECT part, entry, place, CAST(sum(v) AS BIGINT) AS s, count(*) AS c FROM (
+                SELECT part, best.entry AS entry, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM near{i} JOIN pieces USING (vec_id, part))
+              GROUP BY ALL) GROUP BY part, entry)"""
+        )
+        steps.append(f"books{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.x, b.x) AS x FROM books{i} b LEFT JOIN means{i} m USING (part, entry))")
+    last = f"books{vector_codes.ROUNDS}"
+    return f"""WITH vectors AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(CAST(v AS DOUBLE) * {vector_codes.SCALE}) AS BIGINT)) AS x FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+      cut AS (SELECT vec_id, x, unnest(range({parts})) AS part, len(x) // {parts} AS width FROM vectors),
+      pieces AS MATERIALIZED (SELECT vec_id, part, x[part * width + 1:(part + 1) * width] AS x FROM cut),
+      starts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM vectors ORDER BY vec_id LIMIT {n}),
+      books0 AS MATERIALIZED (SELECT part, entry, x FROM pieces JOIN starts USING (vec_id)),
+      {", ".join(steps)},
+      coded AS MATERIALIZED (SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+        FROM ({nearest.format(books=last)}) GROUP BY vec_id),
+      sums AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN vectors USING (vec_id) GROUP BY label),
+      digest AS (SELECT sha256(string_agg(v, ',' ORDER BY part, entry, place)) AS codebooks_sha256
+        FROM (SELECT part, entry, CAST(unnest(x) AS VARCHAR) AS v, generate_subscripts(x, 1) AS place FROM {last}))
+    SELECT vec_id, code, error, label_error, codebooks_sha256 FROM coded JOIN vectors USING (vec_id)
+      JOIN sums ON vectors.label IS NOT DISTINCT FROM sums.label CROSS JOIN digest"""

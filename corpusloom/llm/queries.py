@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index
-from corpusloom.llm import bpe, license_scan, near_join, oracle, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters
+from corpusloom.llm import (
+    bpe, license_scan, line_dedup, near_join, oracle, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters, vector_codes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -133,3 +135,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS, END_ID)
     return packing.pack(pieces, SEQUENCE_TOKENS)
+
+
+@query("op11_vector_codes", oracle.vector_codes_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op13_line_dedup", oracle.line_dedup_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
