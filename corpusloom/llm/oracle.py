@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import line_dedup, near_join, quality_rules, url_filters, vector_codes
+from corpusloom.llm import line_dedup, near_join, prefix_trie, quality_rules, url_filters, vector_codes
 from corpusloom.plans.registry import sql_u
 
 
@@ -142,3 +142,25 @@ def vector_codes_sql() -> str:
         FROM (SELECT part, entry, CAST(unnest(x) AS VARCHAR) AS v, generate_subscripts(x, 1) AS place FROM {last}))
     SELECT vec_id, code, error, label_error, codebooks_sha256 FROM coded JOIN vectors USING (vec_id)
       JOIN sums ON vectors.label IS NOT DISTINCT FROM sums.label CROSS JOIN digest"""
+
+
+def prefix_trie_sql(family: int, lent: int) -> str:
+    """The checksum is worked out bit by bit: a byte, then eight shifts."""
+    shifts = ", -1" * 8
+    crc = f"""xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT){shifts}])),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+    return f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+      hashed AS (SELECT conv_id, turn, md5(length(role) || ':' || role || text) AS symbol, len(regexp_extract_all(text, '{prefix_trie.WORD}')) AS words FROM turns),
+      convs AS (SELECT conv_id, list(symbol ORDER BY turn NULLS FIRST, symbol) AS symbols, list(words ORDER BY turn NULLS FIRST, symbol) AS words FROM hashed GROUP BY conv_id),
+      sized AS (SELECT *, {crc} % {lent} AS h FROM convs),
+      rebuilt AS (SELECT c.conv_id, coalesce(f.symbols[1:c.h], []) || c.symbols[c.h + 1:] AS symbols, coalesce(f.words[1:c.h], []) || c.words[c.h + 1:] AS words
+                  FROM sized c LEFT JOIN convs f ON f.conv_id = c.conv_id - c.conv_id % {family}),
+      members AS (SELECT conv_id, symbols, words, unnest(range(len(symbols) + 1)) AS depth FROM rebuilt),
+      nodes AS (SELECT array_to_string(symbols[1:depth], '') AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(max(words[depth]), 0) AS w,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(symbols) = depth), '')) AS ends_sha256 FROM members GROUP BY path, depth),
+      children AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+      full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+      tops AS (SELECT *, unnest(range(depth + 1)) AS above FROM full_nodes),
+      sums AS (SELECT left(path, 32 * above) AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * w) AS BIGINT) AS saved_tokens FROM tops GROUP BY left(path, 32 * above))
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+    FROM full_nodes n JOIN sums s ON s.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, 32 * (n.depth - 1))"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index
 from corpusloom.llm import (
-    bpe, license_scan, line_dedup, near_join, oracle, packing, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters, vector_codes,
+    bpe, license_scan, line_dedup, near_join, oracle, packing, prefix_trie, quality_classifier, quality_rules, suffix_dedup, token_counts, topk_search, url_filters, vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,9 @@ END_ID = 1
 #: characters of a document per edit
 EDIT_EVERY = 2000
 TOP = 10
+#: conversations of a family, whose first one lends the others up to ``LENT`` - 1 turns
+FAMILY = 20
+LENT = 4
 #: days that captures and list entries are spread over
 DAYS = 366
 
@@ -143,6 +146,21 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversations of :func:`prefix_trie.conversation_turns` that start with the first turns of the first one of their family."""
+    own = turns.withColumn("head", F.col("conv_id") - F.col("conv_id") % FAMILY).withColumn("h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % LENT).cast("int"))
+    heads = turns.filter(F.col("conv_id") % FAMILY == 0).select(F.col("conv_id").alias("head"), F.slice("turns", 1, LENT - 1).alias("lent"))
+    lent = F.slice(F.coalesce("lent", F.slice("turns", 1, 0)), F.lit(1), F.col("h"))
+    rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    # the heads grow with the table, so they are not sent to every task
+    return own.join(heads.hint("merge"), "head", "left").select("conv_id", F.concat(lent, rest).alias("turns"))
+
+
+@query("op12_prefix_trie", oracle.prefix_trie_sql(FAMILY, LENT))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt(prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))))
+
+
 @query("op13_line_dedup", oracle.line_dedup_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
