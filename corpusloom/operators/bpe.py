@@ -6,7 +6,9 @@ vocabulary size bounds, ever reach the driver.
 """
 
 import json
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,10 @@ from corpusloom.session import materialize
 
 MAX_VOCAB = 0x10FFFF - 0x800  # symbols are code points
 CANDIDATES = 256
+#: distinct segments of words that the driver learns merges on at once
+SEGMENTS = 100_000
+#: bytes of all tokens of a vocabulary, which goes to every task
+VOCAB_BYTES = 256 << 20
 VOCAB_SCHEMA = "token_id int, token binary, n_bytes int, n_bytes_ref int, is_special boolean, name string"
 MERGE_SCHEMA = "rank int, left_id int, right_id int, new_id int"
 
@@ -33,6 +39,9 @@ def symbol_id(s: str) -> int:
     return ord(s) if ord(s) < 0xD800 else ord(s) - 0x800
 
 
+Pair = tuple[int, int]
+
+
 # --- counting --------------------------------------------------------------------------------------
 
 
@@ -127,11 +136,115 @@ def _next_merges(words: DataFrame, want: int, long_words: bool) -> list[str]:
     return run
 
 
-def train_merges(counts: DataFrame, vocab_size: int, keep_every: int = 64) -> list[tuple[int, int]]:
+class Segments:
+    """Distinct runs of symbols with their counts, on which merges are learned one at a time."""
+
+    def __init__(self, segments: Iterable[tuple[str, int]]):
+        self.words, self.weights = [], []
+        self.counts: dict[Pair, int] = {}
+        self.held: dict[Pair, set[int]] = {}  # the segments that hold a pair, or held it once
+        for segment, n in segments:
+            ids = [symbol_id(c) for c in segment]
+            self._add(len(self.words), ids, n)
+            self.words.append(ids)
+            self.weights.append(n)
+
+    def _add(self, at: int, ids: list[int], n: int) -> None:
+        for pair in zip(ids, ids[1:]):
+            self.counts[pair] = self.counts.get(pair, 0) + n
+            self.held.setdefault(pair, set()).add(at)
+
+    def learn(self, floor: int, want: int, first: int) -> list[Pair]:
+        """Up to ``want`` merges of pairs that occur more than ``floor`` times; new symbols are numbered from ``first``."""
+        queue = [(-n, pair) for pair, n in self.counts.items() if n > floor]
+        heapify(queue)
+        merges: list[Pair] = []
+        while queue and len(merges) < want:
+            n, pair = heappop(queue)
+            if -n != self.counts.get(pair, 0):
+                continue  # pushed again with its new count when that changed
+            new = first + len(merges)
+            merges.append(pair)
+            changed: set[Pair] = set()
+            for at in self.held.pop(pair):
+                ids, weight = self.words[at], self.weights[at]
+                after = replace_pair(ids, pair, new)
+                if len(after) == len(ids):
+                    continue
+                for old in zip(ids, ids[1:]):
+                    self.counts[old] -= weight
+                    changed.add(old)
+                self._add(at, after, weight)
+                changed.update(zip(after, after[1:]))
+                self.words[at] = after
+            for p in changed:
+                if self.counts[p] > floor:
+                    heappush(queue, (-self.counts[p], p))
+                elif not self.counts[p]:
+                    del self.counts[p]
+        return merges
+
+
+def replace_pair(ids: list[int], pair: Pair, new: int) -> list[int]:
+    out, i, last = [], 0, len(ids) - 1
+    while i <= last:
+        if i < last and ids[i] == pair[0] and ids[i + 1] == pair[1]:
+            out.append(new)
+            i += 2
+        else:
+            out.append(ids[i])
+            i += 1
+    return out
+
+
+def _segments(words: DataFrame, pairs: list[str]) -> DataFrame:
+    """``segment, n``: the longest runs of symbols in which all adjacent pairs are among ``pairs``."""
+    wanted = frozenset(pairs)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter[str] = Counter()
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                start = 0
+                for i in range(1, len(word)):
+                    if word[i - 1 : i + 1] not in wanted:
+                        if i - start > 1:
+                            found[word[start:i]] += n
+                        start = i
+                if len(word) - start > 1:
+                    found[word[start:]] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["segment", "n"])
+
+    return words.mapInArrow(cut, "segment string, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+
+
+def _merged(words: DataFrame, merges: list[Pair], first: int) -> DataFrame:
+    """The words after the merges, the first of which makes the symbol ``first``."""
+    ranks = {pair: first - 256 + i for i, pair in enumerate(merges)}
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for word in batch.column("word").to_pylist():
+                ids = [symbol_id(c) for c in word]
+                after = merge_ids(ids, ranks)
+                out.append(word if len(after) == len(ids) else "".join(map(symbol, after)))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("n")], ["word", "n"])
+
+    return words.mapInArrow(apply, "word string, n long")
+
+
+def train_merges(
+    counts: DataFrame, vocab_size: int, keep_every: int = 64, segments: int = SEGMENTS, rounds: list[int] | None = None
+) -> list[Pair]:
     """Merges in rank order: most frequent pair first, ties by the smaller symbols.
 
-    ``vocab_size`` includes the special tokens. Every round applies all merges that cannot influence each
-    other; the shrunken words are written to the shared folder every ``keep_every`` merges.
+    ``vocab_size`` includes the special tokens. Every round counts the pairs of the distinct words and looks at all pairs above some
+    count, the floor. Words are cut between all other pairs; the distinct segments that are left come to the driver, ``segments`` of them
+    at most, and merges are learned on them while their counts are above the floor. That is exact: all places
+    where two symbols meet lie inside segments or none does, and whatever pair comes to stand at a cut is not more frequent than
+    the pair that was cut. The floor goes up until the segments are few enough. Merged words are written to the shared folder once
+    ``keep_every`` merges are due. ``rounds`` gets the number of merges of every round.
     """
     target = vocab_size - len(tx.SPECIAL_TOKENS) - 256
     if target < 0:
@@ -146,29 +259,39 @@ def train_merges(counts: DataFrame, vocab_size: int, keep_every: int = 64) -> li
 
     words = keep(to_words(counts))
     long_words = has_long_words(words)
-    merges: list[tuple[int, int]] = []
-    pending = 0
-    cached: list[DataFrame] = []
+    merges: list[Pair] = []
+    pending: list[Pair] = []
+    look = segments // 16
     while len(merges) < target:
-        chosen = _next_merges(words, min(CANDIDATES, target - len(merges)), long_words)
-        for old in cached[:-1]:
-            old.unpersist()
-        cached = cached[-1:]
-        if not chosen:
+        now = _merged(words, pending, 256 + len(merges) - len(pending)) if pending else words
+        want = target - len(merges)
+        top = [(r[0], r[1]) for r in pair_counts(now, long_words).orderBy(F.desc("n"), "pair").limit(look + 1).collect()]
+        if not top:
             break
-        word = F.col("word")
-        for pair in chosen:
-            word = F.replace(word, F.lit(pair), F.lit(symbol(256 + len(merges))))
-            merges.append((symbol_id(pair[0]), symbol_id(pair[1])))
-        # kept in memory for the jobs of the next round; a lost part is made again from the last written words
-        words = words.select(word.alias("word"), "n").persist()
-        cached.append(words)
-        pending += len(chosen)
-        if pending >= keep_every:
-            words, pending = keep(words), 0
+        chosen: list[Pair] = []
+        while not chosen and look > 1:
+            floor = top[look][1] if len(top) > look else 0
+            above = [p for p, n in top[:look] if n > floor]
+            if not above:
+                break
+            found = materialize(_segments(now, above), "bpe-segments")
+            n, symbols = found.agg(F.count("*"), F.sum(F.length("segment"))).first()
+            if n <= segments and symbols <= 16 * segments:
+                chosen = Segments((r[0], r[1]) for r in found.collect()).learn(floor, want, 256 + len(merges))
+                look = min(segments, int(look * min(4, max(1, 0.7 * segments / n))))
+            else:
+                look //= 2
+        if not chosen:  # more pairs share the highest count than one look takes, or a single pair fills one
+            pairs = _next_merges(now, min(CANDIDATES, want), long_words)
+            chosen, look = [(symbol_id(p[0]), symbol_id(p[1])) for p in pairs], max(look, 2)
+        merges += chosen
+        pending += chosen
+        if rounds is not None:
+            rounds.append(len(chosen))
+        if len(pending) >= keep_every:
+            words = keep(_merged(words, pending, 256 + len(merges) - len(pending)))
+            pending = []
             long_words = long_words and has_long_words(words)
-    for old in cached:
-        old.unpersist()
     return merges
 
 
@@ -182,6 +305,13 @@ def token_bytes(merges: list[tuple[int, int]]) -> list[bytes]:
     return out
 
 
+def token_sizes(merges: list[tuple[int, int]]) -> list[int]:
+    out = [1] * 256
+    for a, b in merges:
+        out.append(out[a] + out[b])
+    return out
+
+
 def vocab_table(spark: SparkSession, merges: list[tuple[int, int]]) -> DataFrame:
     """One row per token. ``n_bytes_ref`` counts the token decoded alone, with replacement characters.
 
@@ -230,23 +360,35 @@ def bos_id(vocab: DataFrame) -> int:
 # --- encoding --------------------------------------------------------------------------------------
 
 
-def merge_piece(data: bytes, ranks: dict[tuple[int, int], int]) -> list[int]:
-    """Apply the lowest ranked merge until none is left."""
-    ids = list(data)
-    while len(ids) > 1:
-        rank = min((ranks.get(p, len(ranks)) for p in zip(ids, ids[1:])), default=len(ranks))
-        if rank == len(ranks):
-            break
-        out, i = [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and ranks.get((ids[i], ids[i + 1])) == rank:
-                out.append(256 + rank)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+def merge_ids(ids: list[int], ranks: dict[Pair, int]) -> list[int]:
+    """Apply the lowest ranked merge, the leftmost first, until none is left; a merge of rank r makes the id 256 + r.
+
+    Pairs that can merge wait in a queue; one that is gone when its turn comes is passed over.
+    """
+    queue = [(rank, i) for i, pair in enumerate(zip(ids, ids[1:])) if (rank := ranks.get(pair)) is not None]
+    if not queue:
+        return ids
+    heapify(queue)
+    ids, n = list(ids), len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    while queue:
+        rank, i = heappop(queue)
+        j = after[i]
+        if j >= n or ranks.get((ids[i], ids[j])) != rank:
+            continue
+        ids[i], ids[j] = 256 + rank, -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if (r := ranks.get((ids[i], ids[k]))) is not None:
+                heappush(queue, (r, i))
+        if (h := before[i]) >= 0 and (r := ranks.get((ids[h], ids[i]))) is not None:
+            heappush(queue, (r, h))
+    return [x for x in ids if x >= 0]
+
+
+def merge_piece(data: bytes, ranks: dict[Pair, int]) -> list[int]:
+    return merge_ids(list(data), ranks)
 
 
 def _bounds(lists: pa.Array) -> np.ndarray:
@@ -277,13 +419,14 @@ class BpeTokenizer:
     """Encodes with learned merges. Usable wherever :class:`~corpusloom.functions.text.ByteTokenizer` is.
 
     Encoding needs no shuffle: Spark cuts the pieces, a task encodes every distinct piece once and puts the
-    ids together by array operations. The merges go to the tasks with the function; the vocabulary size
-    bounds them.
+    ids together by array operations. Merges and tokens go to the tasks with the function; their size is checked.
     """
 
     def __init__(self, merges: list[tuple[int, int]], memory: int = 1 << 20):
         self.merges = [tuple(m) for m in merges]
         self.n_base = 256 + len(self.merges)
+        if (size := sum(token_sizes(self.merges))) > VOCAB_BYTES:
+            raise ValueError(f"the tokens have {size} bytes, more than the {VOCAB_BYTES} that go to every task")
         ranks = {m: i for i, m in enumerate(self.merges)}
         vocab = token_bytes(self.merges) + [s.encode() for s in tx.SPECIAL_TOKENS]
 

@@ -16,6 +16,8 @@ from corpusloom.sources.scan import spread
 TOK = tx.ByteTokenizer()
 N_MERGES = 12
 VOCAB = 256 + N_MERGES + len(tx.SPECIAL_TOKENS)
+#: ids of the vocabulary of the ``vocab_`` queries, far too many merges for a statement of one step each
+LARGE_VOCAB = 4096
 
 # SQL has no look-ahead, so white space is collapsed first; the pieces are then the same
 PATTERN = r"""''(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,2}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+"""
@@ -53,23 +55,23 @@ def sql_training(n: int) -> str:
 TRAINING = sql_training(N_MERGES)
 
 
-# merges by the files they were learned from, so that changed files are learned from anew
+# merges by the files they were learned from and the vocabulary size, so that changed files are learned from anew
 _trained: dict[tuple, list[tuple[int, int]]] = {}
 
 
-def train(spark, sf):
+def train(spark, sf, vocab=VOCAB):
     """Learn the merges from all documents of the folder and keep them for the other queries."""
     files = scan.file_states(spark, f"{sf}/documents.parquet")
-    _trained[files] = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), VOCAB)
-    return _trained[files]
+    _trained[files, vocab] = bpe.train_merges(bpe.piece_counts(collapsed(spark, sf)), vocab)
+    return _trained[files, vocab]
 
 
-def trained(spark, sf):
-    return _trained.get(scan.file_states(spark, f"{sf}/documents.parquet")) or train(spark, sf)
+def trained(spark, sf, vocab=VOCAB):
+    return _trained.get((scan.file_states(spark, f"{sf}/documents.parquet"), vocab)) or train(spark, sf, vocab)
 
 
-def tokenizer(spark, sf):
-    return bpe.BpeTokenizer(trained(spark, sf))
+def tokenizer(spark, sf, vocab=VOCAB):
+    return bpe.BpeTokenizer(trained(spark, sf, vocab))
 
 
 # --- pieces and training ---------------------------------------------------------------------------
@@ -233,6 +235,28 @@ def tokenizer_compare(spark, sf):
     )
 
 
+# --- a large vocabulary, compared with plain models in the tests -----------------------------------
+
+
+@query("vocab_train")
+def vocab_train(spark, sf):
+    return bpe.merge_table(spark, train(spark, sf, LARGE_VOCAB))
+
+
+@query("vocab_encode")
+def vocab_encode(spark, sf):
+    """The ids of every text, and whether they decode to it."""
+    tok = tokenizer(spark, sf, LARGE_VOCAB)
+    rows = documents(spark, sf).select("doc_id", "text", tok.encode("text", prepend=tok.special(tx.BOS)).alias("ids"))
+    back = tok.decode(F.slice("ids", F.lit(2), F.size("ids"))) == F.col("text")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.md5(fx.joined("ids")).alias("ids"), back.alias("is_whole"))
+
+
+@query("vocab_compression")
+def vocab_compression(spark, sf):
+    return ratios(documents(spark, sf), tokenizer(spark, sf, LARGE_VOCAB), "lang")
+
+
 # --- rows of tokens --------------------------------------------------------------------------------
 
 T, B = 2048, 4

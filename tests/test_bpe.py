@@ -2,10 +2,13 @@ import random
 from collections import Counter
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
+from corpusloom import plans
 from corpusloom.functions import text as tx
 from corpusloom.operators import bpe
+from corpusloom.plans import tokens
 
 TEXTS = [
     "Hello world! This is a test.\nNumbers: 123, 4567, 89\nI'm, you're, it's @#$%^&*()\n你好世界 🌍",
@@ -57,6 +60,54 @@ def test_training_equals_one_merge_at_a_time(spark, seed):
     assert bpe.train_merges(df, 256 + 9 + 40, keep_every=7) == train(counts, 40)
 
 
+def big_corpus(seed, n_words):
+    """Words of syllables that grow rarer."""
+    rng = random.Random(seed)
+    syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwé") for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+    pick = lambda: syllables[min(int(rng.expovariate(1 / 60)), 399)]
+    out = Counter()
+    while len(out) < n_words:
+        out[" " * rng.randrange(2) + "".join(pick() for _ in range(rng.randrange(1, 5)))] += rng.randrange(1, 400)
+    return dict(out)
+
+
+@pytest.mark.parametrize("segments", [100_000, 3000])
+def test_training_of_1024_merges(spark, segments):
+    """One look takes in the whole corpus, or every round a part of the pairs; both give the merges of one at a time."""
+    counts = big_corpus(5, 4000)
+    df = spark.createDataFrame(list(counts.items()), "piece string, n long").repartition(4)
+    rounds = []
+    assert bpe.train_merges(df, 256 + 9 + 1024, segments=segments, rounds=rounds) == train(counts, 1024)
+    assert sum(rounds) == 1024 and (len(rounds) == 1 if segments > 4000 else 3 < len(rounds) < 120)
+
+
+def test_training_when_pairs_tie(spark):
+    """More pairs share the highest count than a look takes in."""
+    rng = random.Random(6)
+    counts = {"".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 4)): 1 for _ in range(300)}
+    df = spark.createDataFrame(list(counts.items()), "piece string, n long")
+    assert bpe.train_merges(df, 256 + 9 + 60, segments=64) == train(counts, 60)
+
+
+def test_merge_queue(spark):
+    rng = random.Random(7)
+    for seed in range(30):
+        merges = train(corpus(seed), 60)
+        ranks = {m: i for i, m in enumerate(merges)}
+        for _ in range(30):
+            ids = list("".join(rng.choice("abc") for _ in range(rng.randrange(40))).encode())
+            want = ids
+            for i, pair in enumerate(merges):
+                want = bpe.replace_pair(want, pair, 256 + i)
+            assert bpe.merge_ids(ids, ranks) == want
+
+
+def test_vocabulary_size_is_checked():
+    merges = [(97, 97)] + [(256 + i, 256 + i) for i in range(28)]
+    with pytest.raises(ValueError, match="every task"):
+        bpe.BpeTokenizer(merges)
+
+
 def test_training_of_self_pairs_and_long_words(spark):
     counts = {"a" * 700: 2, "ab" * 300: 1, "aaab": 3, " aaa": 5}
     df = spark.createDataFrame(list(counts.items()), "piece string, n long")
@@ -124,3 +175,27 @@ def test_store(spark, tmp_path):
 def test_symbols_skip_surrogates():
     for i in (0, 255, 0xD7FF, 0xD800, 0xFFFF, 0x10000):
         assert bpe.symbol_id(bpe.symbol(i)) == i and not 0xD800 <= ord(bpe.symbol(i)) <= 0xDFFF
+
+
+def test_large_vocabulary(spark):
+    """The merges of all documents against one merge at a time, and the ids against another encoder."""
+    tiktoken = pytest.importorskip("tiktoken")
+    rows = plans.QUERIES["vocab_train"](spark, SF).orderBy("rank").collect()
+    merges = [(r["left_id"], r["right_id"]) for r in rows]
+    assert len(merges) == 4096 - 256 - 9 and [r["new_id"] for r in rows] == [256 + i for i in range(len(rows))]
+    counts = dict(map(tuple, bpe.piece_counts(tokens.collapsed(spark, SF)).collect()))
+    assert merges[:150] == train(counts, 150)
+    plain = bpe.Segments((("".join(map(chr, w.encode())), n) for w, n in counts.items())).learn(0, len(merges), 256)
+    assert merges == plain
+    enc = tiktoken.Encoding("t", pat_str=tx.SPLIT_PATTERN, mergeable_ranks={b: i for i, b in enumerate(bpe.token_bytes(merges))}, special_tokens={})
+    tok = tokens.tokenizer(spark, SF, tokens.LARGE_VOCAB)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n_tokens, n_bytes = Counter(), Counter()
+    for r in docs.select("lang", "text", tok.encode("text").alias("ids")).collect():
+        assert r["ids"] == enc.encode_ordinary(r["text"])
+        n_tokens[r["lang"]] += len(r["ids"])
+        n_bytes[r["lang"]] += len(r["text"].encode())
+    encoded = plans.QUERIES["vocab_encode"](spark, SF).collect()
+    assert all(r["is_whole"] for r in encoded) and sum(r["n_tokens"] for r in encoded) == sum(n_tokens.values()) + docs.count()
+    for r in plans.QUERIES["vocab_compression"](spark, SF).collect():
+        assert (r["n_tokens"], r["n_bytes"], r["n_broken"]) == (n_tokens[r["lang"]], n_bytes[r["lang"]], 0)
