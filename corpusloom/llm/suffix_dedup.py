@@ -1,6 +1,6 @@
 """Removal of byte strings that occur more than once in a corpus, by suffix arrays.
 
-A window is any ``LENGTH`` bytes of a text. Equal windows hold the same least hash of their ``GRAM``-byte strings at the same
+A window is any so many bytes of a text, ``LENGTH`` if not told otherwise. Equal windows hold the same least hash of their ``GRAM``-byte strings at the same
 place, their anchor; consecutive windows with one anchor form a neighbourhood. So windows need comparing only where two
 neighbourhoods have an anchor of the same hash. Equal neighbourhoods are counted first, which settles copies whatever
 their number. The different texts that share an anchor come together in groups, and there their windows go by ``BLOCK``
@@ -26,7 +26,6 @@ from corpusloom.session import materialize
 
 LENGTH = 400
 GRAM = 24
-WINDOW = LENGTH - GRAM + 1
 #: window places of a block
 BLOCK = 16
 SIDE = BLOCK - 1
@@ -39,9 +38,9 @@ FACTOR = 0x9E3779B97F4A7C15
 TAG_BITS = 14
 
 
-def powers(factor: int) -> np.ndarray:
-    """The powers of an odd number from 0 on, modulo 2^64."""
-    out = np.full(SLICE + 2 * LENGTH, factor, np.uint64)
+def powers(factor: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd number from 0 on, modulo 2^64."""
+    out = np.full(n, factor, np.uint64)
     out[0] = 1
     return np.cumprod(out)
 
@@ -49,16 +48,18 @@ def powers(factor: int) -> np.ndarray:
 class Anchors:
     """Neighbourhoods of the windows of texts."""
 
-    def __init__(self):
-        self.power, self.inverse = powers(FACTOR), powers(pow(FACTOR, -1, 2**64))
+    def __init__(self, length: int = LENGTH):
+        self.length, self.window = length, length - GRAM + 1
+        self.power, self.inverse = (powers(x, SLICE + 2 * length) for x in (FACTOR, pow(FACTOR, -1, 2**64)))
 
     def find(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each neighbourhood the first and last start of its windows, its anchor and the anchor's hash.
 
-        ``data`` has at most ``SLICE + LENGTH`` bytes; no window reaches over one of ``ends``.
+        ``data`` has at most ``SLICE + length`` bytes; no window reaches over one of ``ends``.
         """
+        length, window = self.length, self.window
         none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-        if len(data) < LENGTH:
+        if len(data) < length:
             return none
         n = len(data)
         sums = np.zeros(n + 1, np.uint64)
@@ -69,14 +70,14 @@ class Anchors:
             h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
         key = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
-        rows = np.concatenate([key, np.full(-len(key) % WINDOW, 2**64 - 1, np.uint64)]).reshape(-1, WINDOW)
-        starts = n - LENGTH + 1  # the least key of a window is that of the rest of its row or that of the begun next one
-        before = np.minimum.accumulate(rows, axis=1).ravel()[WINDOW - 1 : WINDOW - 1 + starts]
+        rows = np.concatenate([key, np.full(-len(key) % window, 2**64 - 1, np.uint64)]).reshape(-1, window)
+        starts = n - length + 1  # the least key of a window is that of the rest of its row or that of the begun next one
+        before = np.minimum.accumulate(rows, axis=1).ravel()[window - 1 : window - 1 + starts]
         after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()[:starts]
         anchor = (np.minimum(before, after) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         whole = np.ones(starts, bool)
         for end in ends.tolist():
-            whole[max(0, end - LENGTH + 1) : end] = False
+            whole[max(0, end - length + 1) : end] = False
         at = np.flatnonzero(whole)
         if not len(at):
             return none
@@ -98,14 +99,14 @@ def keyed(docs: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> D
     return docs.select(*columns, *([F.struct(*keep).alias("kept_columns")] if keep else []))
 
 
-def occurrences(texts: DataFrame) -> DataFrame:
+def occurrences(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``h, c, k, pos``: every neighbourhood's anchor hash and a hash of its text, and where it is.
 
     ``pos`` packs the first window start, the number of starts less one, the anchor's place after the first start and a tag of the document's text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors()
+        anchors = Anchors(length)
         for batch in sliced(batches):
             keys = batch.column("k").to_numpy()
             data, ends = text_bytes(batch.column("text"))
@@ -116,7 +117,7 @@ def occurrences(texts: DataFrame) -> DataFrame:
                 # many whole texts, or a part of a long one that overlaps with the next
                 stop = int(ends[np.searchsorted(ends, at + SLICE, side="right") - 1])
                 long = stop <= at
-                upto = min(at + SLICE + LENGTH - 1, len(data)) if long else stop
+                upto = min(at + SLICE + length - 1, len(data)) if long else stop
                 inside = ends[(ends > at) & (ends <= upto)]
                 lo, hi, anchor, h = anchors.find(data[at:upto], inside - at)
                 if long:  # starts from at + SLICE on belong to the next part
@@ -125,7 +126,7 @@ def occurrences(texts: DataFrame) -> DataFrame:
                     lo, hi, anchor, h = lo[there], hi[there], anchor[there], h[there]
                 if len(lo):
                     doc = np.searchsorted(ends, lo + at, side="right") - 1
-                    pieces = zip((lo + at).tolist(), (hi + at + LENGTH).tolist())
+                    pieces = zip((lo + at).tolist(), (hi + at + length).tolist())
                     c = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in pieces), "<i8")
                     pos = (lo + at - ends[doc]) << 32 | (hi - lo) << 23 | (anchor - lo) << TAG_BITS | tags[doc]
                     columns = [pa.array(h.view(np.int64)), pa.array(c), pa.array(keys[doc]), pa.array(pos)]
@@ -157,7 +158,7 @@ def packed(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, ", ".join(f"`{c}` {types[c]}" for c in others) + ", tag int, data binary")
 
 
-def blocks(text: bytes, lead: int, starts: int) -> Iterator[tuple[int, bytes, bytes, bytes, int, int]]:
+def blocks(text: bytes, lead: int, starts: int, length: int) -> Iterator[tuple[int, bytes, bytes, bytes, int, int]]:
     """The blocks of a neighbourhood: number, core, bytes before and after it, first and last window in the block.
 
     ``lead`` is the anchor's place in ``text``, ``starts`` the number of windows. Bytes that lie outside
@@ -165,8 +166,8 @@ def blocks(text: bytes, lead: int, starts: int) -> Iterator[tuple[int, bytes, by
     """
     for g in range(-lead // BLOCK, (starts - 1 - lead) // BLOCK + 1):
         at = lead + g * BLOCK  # where the block's window 0 starts
-        before, after = text[max(0, at) : at + SIDE], text[at + LENGTH : at + LENGTH + SIDE]
-        core = text[at + SIDE : at + LENGTH]
+        before, after = text[max(0, at) : at + SIDE], text[at + length : at + length + SIDE]
+        core = text[at + SIDE : at + length]
         yield g, core, before.rjust(SIDE, b"\0"), after.ljust(SIDE, b"\0"), max(0, -at), min(BLOCK - 1, starts - 1 - at)
 
 
@@ -217,13 +218,13 @@ def spans_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["k", "tag", "start", "stop"])
 
 
-def compare_texts(group: pa.Table) -> list[tuple]:
+def compare_texts(group: pa.Table, length: int) -> list[tuple]:
     """The repeated spans of the texts (that occur once each) among those of one anchor hash."""
     rows = list(zip(*(group.column(c).to_pylist() for c in ("k", "pos", "n", "body"))))
     by_core: dict[tuple[int, bytes], list[tuple]] = {}
     for i, (_, pos, n, body) in enumerate(rows):
         lo, hi, anchor = unpack(pos)
-        for g, core, before, after, first, last in blocks(body, anchor - lo, hi - lo + 1):
+        for g, core, before, after, first, last in blocks(body, anchor - lo, hi - lo + 1, length):
             by_core.setdefault((g, core), []).append((i, (before, after, first, last, n)))
     out = []
     for (g, _), held in by_core.items():
@@ -232,26 +233,26 @@ def compare_texts(group: pa.Table) -> list[tuple]:
                 if bits and member[4] == 1:
                     k, pos, _, _ = rows[i]
                     at = unpack(pos)[2] + g * BLOCK
-                    out += [(k, pos & (1 << TAG_BITS) - 1, at + a, at + b + LENGTH) for a, b in runs(bits)]
+                    out += [(k, pos & (1 << TAG_BITS) - 1, at + a, at + b + length) for a, b in runs(bits)]
     return out
 
 
-def compare_sides(group: pa.Table) -> list[tuple]:
+def compare_sides(group: pa.Table, length: int) -> list[tuple]:
     """The same for the blocks of one core."""
     rows = list(zip(*(group.column(c).to_pylist() for c in ("k", "pos", "n", "at", "before", "after", "first", "last"))))
     found = repeated([(r[4], r[5], r[6], r[7], r[2]) for r in rows])
     return [
-        (r[0], r[1] & (1 << TAG_BITS) - 1, r[3] + a, r[3] + b + LENGTH) for r, bits in zip(rows, found) if r[2] == 1 for a, b in runs(bits)
+        (r[0], r[1] & (1 << TAG_BITS) - 1, r[3] + a, r[3] + b + length) for r, bits in zip(rows, found) if r[2] == 1 for a, b in runs(bits)
     ]
 
 
-def by_group(rows: DataFrame, key: str, compare) -> DataFrame:
+def by_group(rows: DataFrame, key: str, compare, length: int) -> DataFrame:
     """Spans that ``compare`` finds in the rows of each ``key``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for group in stream_groups(batches, key):
-            held += compare(group)
+            held += compare(group, length)
             if len(held) > 50_000:
                 yield spans_batch(held)
                 held = []
@@ -266,7 +267,7 @@ CUT = (
 )
 
 
-def cut(texts: DataFrame) -> DataFrame:
+def cut(texts: DataFrame, length: int) -> DataFrame:
     """The texts of neighbourhoods; those whose anchor more than ``GROUP`` texts have, as blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,12 +284,12 @@ def cut(texts: DataFrame) -> DataFrame:
                 text = open_.decompress(data)
                 for part in parts:
                     lo, hi, anchor = unpack(part["pos"])
-                    body = text[lo : hi + LENGTH]
+                    body = text[lo : hi + length]
                     head = (part["h"], k, part["pos"], part["n"])
                     if part["m"] <= GROUP:
                         out.append((False, *head, body, None, None, None, None, None, None, None))
                         continue
-                    for g, core, before, after, first, last in blocks(body, anchor - lo, hi - lo + 1):
+                    for g, core, before, after, first, last in blocks(body, anchor - lo, hi - lo + 1, length):
                         name = hashlib.blake2b(part["h"].to_bytes(8, "little", signed=True) + g.to_bytes(4, "little", signed=True) + core, digest_size=16).digest()
                         one, two = np.frombuffer(name, "<i8").tolist()
                         out.append((True, *head, None, one, two, anchor + g * BLOCK, before, after, first, last))
@@ -301,12 +302,12 @@ def cut(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, CUT)
 
 
-def hot_spans(rows: DataFrame) -> DataFrame:
+def hot_spans(rows: DataFrame, length: int) -> DataFrame:
     """The repeated spans of blocks, whose cores any number of texts may share."""
     core = ["core", "core2"]
     counts = rows.groupBy(*core).agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("m > 1 and _least = 1").drop("_least")
     rows = materialize(rows.join(materialize(counts, "suffix-cores").hint("merge"), core), "suffix-blocks")
-    few = by_group(rows.filter(F.col("m") <= GROUP).withColumn("group", F.xxhash64(*core)), "group", split_cores)
+    few = by_group(rows.filter(F.col("m") <= GROUP).withColumn("group", F.xxhash64(*core)), "group", split_cores, length)
     # beyond that, single windows: equal ones have equal bytes on both sides of the core
     t = F.explode(F.sequence("first", "last"))
     windows = rows.filter(F.col("m") > GROUP).select("k", "pos", "n", "at", *core, "before", "after", t.alias("t"))
@@ -316,19 +317,19 @@ def hot_spans(rows: DataFrame) -> DataFrame:
     many = windows.filter("n = 1").join(again.hint("merge"), "w")
     tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
     start = F.col("at") + F.col("t")
-    return few.unionByName(many.select("k", tag.alias("tag"), start.alias("start"), (start + LENGTH).alias("stop")))
+    return few.unionByName(many.select("k", tag.alias("tag"), start.alias("start"), (start + length).alias("stop")))
 
 
-def split_cores(group: pa.Table) -> list[tuple]:
+def split_cores(group: pa.Table, length: int) -> list[tuple]:
     cores: dict[tuple[int, int], list[int]] = {}
     for i, core in enumerate(zip(group.column("core").to_pylist(), group.column("core2").to_pylist())):
         cores.setdefault(core, []).append(i)
-    return [x for rows in cores.values() for x in compare_sides(group if len(cores) == 1 else group.take(pa.array(rows)))]
+    return [x for rows in cores.values() for x in compare_sides(group if len(cores) == 1 else group.take(pa.array(rows)), length)]
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``k, tag, start, stop``: byte ranges of texts that are covered by repeated windows; they may overlap."""
-    found = materialize(occurrences(texts), "suffix-occurrences")
+    found = materialize(occurrences(texts, length), "suffix-occurrences")
     stats = found.groupBy("h").agg(F.count("*").alias("_n"), F.min("c").alias("_a"), F.max("c").alias("_b")).filter("_n > 1")
     # written first: only then does Spark split the rows of a hash that very many neighbourhoods have; merge joins throughout, since all
     # these tables grow with the corpus and are not sent to every task
@@ -336,7 +337,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     live = materialize(found.join(stats, "h"), "suffix-live")
     tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
     first = F.shiftright("pos", 32)
-    whole = [F.col("k"), tag.alias("tag"), first.alias("start"), (first + F.shiftright("pos", 23).bitwiseAND(F.lit(511)) + LENGTH).alias("stop")]
+    whole = [F.col("k"), tag.alias("tag"), first.alias("start"), (first + F.shiftright("pos", 23).bitwiseAND(F.lit(511)) + length).alias("stop")]
     kinds = live.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "pos")).alias("one"))
     kinds = materialize(kinds, "suffix-kinds")
     copies = live.filter("mixed").join(kinds.filter("n > 1").select("h", "c").hint("merge"), ["h", "c"])
@@ -346,9 +347,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     todo = kinds.join(sizes, "h").select("h", "n", "m", "one.k", "one.pos").withColumn("tag", tag)
     todo = todo.groupBy("k", "tag").agg(F.collect_list(F.struct("h", "n", "m", "pos")).alias("parts"))
     chosen = packed(texts.select("k", "text")).join(todo.hint("merge"), ["k", "tag"]).select("k", "data", "parts")
-    bodies = materialize(cut(chosen), "suffix-texts")
-    parts.append(by_group(bodies.filter("not hot").select("h", "k", "pos", "n", "body"), "h", compare_texts))
-    parts.append(hot_spans(bodies.filter("hot").drop("hot", "h", "body")))
+    bodies = materialize(cut(chosen, length), "suffix-texts")
+    parts.append(by_group(bodies.filter("not hot").select("h", "k", "pos", "n", "body"), "h", compare_texts, length))
+    parts.append(hot_spans(bodies.filter("hot").drop("hot", "h", "body"), length))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -366,15 +367,18 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept`` (and a struct of the columns ``keep``) of every row of ``docs``.
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), length: int = LENGTH) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept, text`` (and a struct of the columns ``keep``) of every row of ``docs``.
 
-    ``spans`` are the maximal byte ranges, ``start`` and exclusive ``stop``, that windows of ``LENGTH`` bytes cover which also start anywhere
-    else in the table, in the same document too; ``kept`` holds the other bytes. Windows are judged on the input. A null text counts as
-    empty. Repeated rows are each other's copies. A document shorter than a window is kept whole. No rows give no rows.
+    ``spans`` are the maximal byte ranges, ``start`` and exclusive ``stop``, that windows of ``length`` bytes cover which also start anywhere
+    else in the table, in the same document too; ``kept`` holds the other bytes and ``text`` the whole characters among them. Windows are judged
+    on the input. A null text counts as empty. Repeated rows are each other's copies; a null key stays null. A document shorter than a window is
+    kept whole. No rows give no rows.
     """
+    if not GRAM + BLOCK <= length < GRAM + (1 << 9):
+        raise ValueError(f"windows have {GRAM + BLOCK} to {GRAM + (1 << 9) - 1} bytes")
     texts = keyed(docs, key, text, keep)
-    spans = repeated_spans(texts.select("k", "text")).groupBy("k", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    spans = repeated_spans(texts.select("k", "text"), length).groupBy("k", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     rows = packed(texts).join(spans.hint("merge"), ["k", "tag"], "left")
     kept = [("kept_columns", dict(texts.dtypes).get("kept_columns"))] if keep else []
 
@@ -391,7 +395,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[
                 rest.append(b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2])))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(rest, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c, _ in kept], ["doc_id", "n_bytes", "spans", "kept", *(c for c, _ in kept)])
+            columns.append(pa.array([x.decode("utf-8", "ignore") for x in rest], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c, _ in kept], ["doc_id", "n_bytes", "spans", "kept", "text", *(c for c, _ in kept)])
 
-    schema = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary" + "".join(f", {c} {t}" for c, t in kept)
+    schema = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary, text string" + "".join(f", {c} {t}" for c, t in kept)
     return rows.mapInArrow(run, schema)

@@ -41,9 +41,8 @@ def test_suffix_array(letters):
         assert suffix_array.suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
-def plain_spans(texts):
+def plain_spans(texts, size=suffix_dedup.LENGTH):
     """All windows in a table."""
-    size = suffix_dedup.LENGTH
     seen = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
     out = []
     for t in texts:
@@ -102,6 +101,22 @@ def test_dedup_of_hot_passages(spark, monkeypatch, group):
     check_dedup(spark, repeat_cases() + [noise(100 + i, 20 + 11 * i % 90) + passage[i % 3 :] + noise(200 + i // 2, 300) for i in range(14)])
 
 
+@pytest.mark.parametrize("length", [40, 200, 535])
+def test_dedup_of_other_lengths(spark, length):
+    passage = " ".join(noise(60, 400).split())[:300]
+    rows = repeat_cases() + [noise(61, 90) + passage, passage[7:] + noise(62, 33), noise(63, 50) + passage[:199], noise(64, 10) + passage[:200] + "ä", None, ""]
+    want = plain_spans([(t or "").encode() for t in rows], length)
+    got = {r.doc_id: r for r in suffix_dedup.dedup(frame(spark, rows), length=length).collect()}
+    assert [[tuple(x) for x in got[i].spans] for i in sorted(got)] == want
+    assert all(r.text == r.kept.decode("utf-8", "ignore") for r in got.values())
+
+
+def test_dedup_of_lengths_that_do_not_fit(spark):
+    for length in (39, 536):
+        with pytest.raises(ValueError):
+            suffix_dedup.dedup(frame(spark, ["a"]), length=length)
+
+
 def test_dedup_of_long_texts(spark, monkeypatch):
     """Slices shorter than the texts."""
     monkeypatch.setattr(suffix_dedup, "SLICE", 1000)
