@@ -261,7 +261,7 @@ def train_merges(
     long_words = has_long_words(words)
     merges: list[Pair] = []
     pending: list[Pair] = []
-    look = segments // 16
+    look = max(2, segments // 400)
     while len(merges) < target:
         now = _merged(words, pending, 256 + len(merges) - len(pending)) if pending else words
         want = target - len(merges)
@@ -278,9 +278,9 @@ def train_merges(
             n, symbols = found.agg(F.count("*"), F.sum(F.length("segment"))).first()
             if n <= segments and symbols <= 16 * segments:
                 chosen = Segments((r[0], r[1]) for r in found.collect()).learn(floor, want, 256 + len(merges))
-                look = min(segments, int(look * min(4, max(1, 0.7 * segments / n))))
+                look = min(segments, int(look * min(4, max(1, 0.5 * segments / n))))
             else:
-                look //= 2
+                look = int(look * min(0.5, 0.7 * segments / n))
         if not chosen:  # more pairs share the highest count than one look takes, or a single pair fills one
             pairs = _next_merges(now, min(CANDIDATES, want), long_words)
             chosen, look = [(symbol_id(p[0]), symbol_id(p[1])) for p in pairs], max(look, 2)
