@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from corpusloom.operators.prefix import bucket_of, key_bounds, number_rows, prefix_sums
+from corpusloom.operators.prefix import BROADCAST_BUCKETS, bucket_of, key_bounds, number_rows, prefix_sums
 from corpusloom.session import materialize
 
+#: stretches that are composed at once
+FAN = 64
+
 
 def fixed_row_shards(
     docs: DataFrame, order: Sequence[str], rows_per_shard: int = 10_000, max_rows: int | None = None, **kw
@@ -40,6 +43,134 @@ def _hops(ends: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     return last[:n], count[:n]
 
 
+def _steps(until: np.ndarray, last: np.ndarray, count: np.ndarray, reach: int) -> dict[str, np.ndarray]:
+    """What a stretch of rows does to a chain of shard ends, as a step function of the size that the next end needs.
+
+    From the needed size up to ``until[i]`` the chain leaves the stretch at ``last[i]``, ``count[i]`` ends later; needing more it passes
+    through. No chain that enters needs more than ``reach``; steps beyond the first one there are left out, and equal neighbours joined.
+    """
+    n = np.searchsorted(until, reach) + 1
+    until, last, count = until[:n], last[:n], count[:n]
+    first = np.ones(len(until), bool)
+    first[1:] = until[1:] != until[:-1]  # of rows without a size the first one ends the shard
+    until, last, count = until[first], last[first], count[first]
+    ends = np.ones(len(until), bool)
+    ends[:-1] = (last[1:] != last[:-1]) | (count[1:] != count[:-1])
+    return {"until": until[ends], "last": last[ends], "count": count[ends]}
+
+
+def _row_steps(ends: np.ndarray, start: int, budget: int) -> dict[str, np.ndarray]:
+    """The steps of one key range, whose rows where a shard may end have the running sizes ``ends``."""
+    last, count = _hops(ends, budget)
+    return _steps(ends, ends[last], count + 1, start + budget)
+
+
+def _through(steps: dict[str, np.ndarray], at: np.ndarray, closed: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Chains, by their last end and how many there were, after the stretch."""
+    i = np.searchsorted(steps["until"], at + budget)
+    inside = i < len(steps["until"])
+    i = i[inside]
+    at, closed = at.copy(), closed.copy()
+    at[inside] = steps["last"][i]
+    closed[inside] += steps["count"][i]
+    return at, closed
+
+
+def _compose(parts: list[dict[str, np.ndarray]], start: int, budget: int) -> dict[str, np.ndarray]:
+    """The steps of neighbouring stretches one after the other, the first of which begins at ``start``."""
+    reach = start + budget
+    untils, ats, counts, enters = [], [], [], []
+    for i, steps in enumerate(parts):  # where the first end of a chain can lie
+        untils.append(steps["until"])
+        ats.append(steps["last"])
+        counts.append(steps["count"])
+        enters.append(np.full(len(steps["until"]), i))
+        if len(steps["until"]) and steps["until"][-1] >= reach:
+            break
+    until, at, count, enter = map(np.concatenate, (untils, ats, counts, enters))
+    for i, steps in enumerate(parts[1:], 1):
+        passing = enter < i
+        at[passing], count[passing] = _through(steps, at[passing], count[passing], budget)
+    return _steps(until, at, count, reach)
+
+
+STEPS = "_b long, start long, until array<long>, last array<long>, count array<long>"
+
+
+def _grouped(rows: DataFrame, key: str, order: str, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+    """``fn`` of the rows of each ``key``, sorted by ``order``; a task goes through its groups one after the other."""
+
+    def batch_of(group: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(fn(pa.Table.from_batches(group).combine_chunks().to_batches()[0]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = batch.column(key).to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for low, high in zip(edges, edges[1:]):
+                if held and low < high and held[-1].column(key)[0].as_py() != keys[low]:
+                    yield batch_of(held)
+                    held = []
+                if low < high:
+                    held.append(batch.slice(low, high - low))
+        if held:
+            yield batch_of(held)
+
+    return rows.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
+
+
+def _entries(rows: DataFrame, blocks: int, budget: int) -> DataFrame:
+    """``_b, at, closed, after`` for every key range of ``rows`` (``_b, _rn, _c, size, ends``): the last shard end before it, and how many there are before and after it.
+
+    Steps of ``FAN`` neighbours at a time are composed until one stretch is left; then the chain is followed down again, each stretch telling its
+    parts where it enters them. Both ways go through all stretches of a level in one job.
+    """
+
+    def row_of(b: int, start: int, steps: dict[str, np.ndarray]) -> dict:
+        return {"_b": [b], "start": [start], **{k: pa.array([v], pa.list_(pa.int64())) for k, v in steps.items()}}
+
+    def leaf(group: pa.RecordBatch) -> dict:
+        size, start = group["_c"].to_numpy(), group["_c"][0].as_py() - group["size"][0].as_py()
+        ends = size[group["ends"].to_numpy(zero_copy_only=False)]
+        return row_of(group["_b"][0].as_py(), start, _row_steps(ends, start, budget))
+
+    def parts_of(group: pa.RecordBatch) -> list[dict[str, np.ndarray]]:
+        return [{k: group[k][i].values.to_numpy() for k in ("until", "last", "count")} for i in range(group.num_rows)]
+
+    def up(group: pa.RecordBatch) -> dict:
+        start = group["start"][0].as_py()
+        return row_of(group["_p"][0].as_py(), start, _compose(parts_of(group), start, budget))
+
+    def down(group: pa.RecordBatch) -> dict:
+        at, closed = (group[c].to_numpy()[:1] for c in ("at", "closed"))
+        found = []
+        for steps in parts_of(group):
+            before = at[0], closed[0]
+            at, closed = _through(steps, at, closed, budget)
+            found.append((*before, closed[0]))
+        return {"_b": group["_b"], **dict(zip(("at", "closed", "after"), map(pa.array, zip(*found))))}
+
+    levels = [(blocks, materialize(_grouped(rows.select("_b", "_rn", "_c", "size", "ends"), "_b", "_rn", leaf, STEPS), "greedy-steps"))]
+    while blocks > FAN:
+        blocks = -(-blocks // FAN)
+        parents = levels[-1][1].withColumn("_p", F.floor(F.col("_b") / FAN))
+        levels.append((blocks, materialize(_grouped(parents, "_p", "_b", up, STEPS), "greedy-steps")))
+    found = None
+    for n, steps in reversed(levels):
+        steps = steps.withColumn("_p", F.floor(F.col("_b") / FAN))
+        if found is None:  # one stretch is all there is
+            steps = steps.withColumns({"at": F.lit(0).cast("long"), "closed": F.lit(0).cast("long")})
+        else:
+            steps = steps.join(_sent(found.select(F.col("_b").alias("_p"), "at", "closed"), -(-n // FAN)), "_p")
+        found = _grouped(steps, "_p", "_b", down, "_b long, at long, closed long, after long")
+    return materialize(found, "greedy-entries")
+
+
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_BUCKETS else table.hint("merge")
+
+
 def greedy_shards(
     docs: DataFrame,
     order: Sequence[str],
@@ -51,54 +182,38 @@ def greedy_shards(
 ) -> DataFrame:
     """A shard closes at the first row where its size reaches ``budget`` and its row count is a multiple of ``align``.
 
-    Each key range works out, for every possible entry, where the chain of shard ends leaves the range.
-    The chain is then followed range by range with one small lookup each (one per range), and the
-    ranges number their rows in parallel. Returns the order columns, ``size`` and ``shard``.
+    Each key range works out, for every possible entry, where the chain of shard ends leaves the range. These steps are composed
+    in a tree, which tells where the chain enters each range, and the ranges number their rows in parallel; the number of jobs grows with the logarithm
+    of the number of ranges. Returns the order columns, ``size`` and ``shard``.
     """
     # the texts are read once; everything below works on keys and sizes
-    rows = materialize(docs.select(*order, size.cast("long").alias("size")), "greedy-sizes")
-    bounds = key_bounds(rows, F.col(order[0]), rows_per_bucket)
+    seen = Observation()
+    rows = materialize(docs.select(*order, size.cast("long").alias("size")).observe(seen, F.count(F.lit(1)).alias("n")), "greedy-sizes")
+    bounds = key_bounds(rows, F.col(order[0]), rows_per_bucket, n=seen.get["n"])
     rows = prefix_sums(rows, order, {"_c": F.col("size"), "_rn": F.lit(1)}, bounds=bounds)
-    rows = rows.withColumn("_b", bucket_of(F.col(order[0]), bounds))
+    rows = rows.withColumn("_b", bucket_of(F.col(order[0]), bounds).cast("long")).withColumn("ends", F.col("_rn") % align == 0)
     rows = materialize(rows, "greedy-rows")
+    entries = _entries(rows, len(bounds) + 1, budget)
 
-    def exits(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn")
-        pdf = pdf[pdf["_rn"] % align == 0]
-        ends = pdf["_c"].to_numpy()
-        last, count = _hops(ends, budget)
-        return pd.DataFrame({"_b": pdf["_b"], "_c": ends, "_rn": pdf["_rn"], "last": ends[last], "count": count})
-
-    table = rows.select("_b", "_c", "_rn").groupBy("_b").applyInPandas(
-        exits, "_b int, _c long, _rn long, last long, count long"
-    )
-    table = materialize(table, "greedy-exits")
-    entry: dict[int, tuple[int, int]] = {}
-    end, closed = 0, 0
-    tops = dict(table.groupBy("_b").agg(F.max("_c")).collect())
-    for b in range(len(bounds) + 1):
-        entry[b] = (end, closed)
-        if tops.get(b, 0) < end + budget:  # also a range without a row where a shard may end
-            continue
-        first = table.filter((F.col("_b") == b) & (F.col("_c") >= end + budget)).orderBy("_c", "_rn").first()
-        end, closed = first["last"], closed + 1 + first["count"]
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn").reset_index(drop=True)
-        at, shard = entry[int(pdf["_b"].iloc[0])]
-        usable = pdf[pdf["_rn"] % align == 0]
-        ends, where = usable["_c"].to_numpy(), usable.index.to_numpy()
+    def assign(group: pa.RecordBatch) -> dict:
+        at, closed = group["at"][0].as_py(), group["closed"][0].as_py()
+        where = np.flatnonzero(group["ends"].to_numpy(zero_copy_only=False))
+        ends = group["_c"].to_numpy()[where]
         closes = []
         i = np.searchsorted(ends, at + budget)
         while i < len(ends):
             closes.append(where[i])
             i = np.searchsorted(ends, ends[i] + budget)
-        pdf["shard"] = shard + np.searchsorted(np.array(closes, dtype="int64"), np.arange(len(pdf)))
-        return pdf[[*order, "size", "shard"]]
+        shard = closed + np.searchsorted(np.array(closes, "int64"), np.arange(group.num_rows))
+        return {**{c: group[c] for c in order}, "size": group["size"], "shard": pa.array(shard)}
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
-    out = rows.groupBy("_b").applyInPandas(assign, f"{schema}, size long, shard long")
-    return out if flush_tail else out.filter(F.col("shard") < closed)
+    placed = rows.join(_sent(entries.drop("after"), len(bounds) + 1), "_b")
+    out = _grouped(placed, "_b", "_rn", assign, f"{schema}, size long, shard long")
+    if flush_tail:
+        return out
+    closed = entries.agg(F.max("after")).first()[0] or 0
+    return out.filter(F.col("shard") < closed)
 
 
 def mixed_shards(mixed: DataFrame, sizes: DataFrame, key: str, budget: int) -> DataFrame:

@@ -80,43 +80,85 @@ WALK = """
     FROM walk w JOIN d ON d.rn = w.rn + 1)"""
 
 
-@query(
-    "budget_shards",
-    f"""WITH RECURSIVE
+BUDGET_WALK = f"""WITH RECURSIVE
       d AS (SELECT doc_id, length(text) AS n, row_number() OVER (ORDER BY {sql_u(42, 'doc_id')}, doc_id) AS rn
             FROM documents),
-      {WALK.format(budget=200_000, align=16)}
-    SELECT d.doc_id, w.shard FROM walk w JOIN d ON d.rn = w.rn
-    WHERE w.shard IN (SELECT shard FROM walk WHERE closed)""",
-)
+      {WALK.format(budget=200_000, align=16)}"""
+
+
+@query("budget_shards", f"{BUDGET_WALK} SELECT d.doc_id, w.shard FROM walk w JOIN d ON d.rn = w.rn WHERE w.shard IN (SELECT shard FROM walk WHERE closed)")
 def budget_shards(spark, sf):
+    return budgeted(spark, sf).select("doc_id", "shard")
+
+
+def budgeted(spark, sf):
     docs = mix.seeded_order(documents(spark, sf), 42, "doc_id")
-    out = shards.greedy_shards(docs, ["u", "doc_id"], F.length("text"), 200_000, align=16, flush_tail=False)
-    return out.select("doc_id", "shard")
+    return shards.greedy_shards(docs, ["u", "doc_id"], F.length("text"), 200_000, align=16, flush_tail=False)
+
+
+# the number of a shard and of a row in it, as the files tell them
+FILED = "printf('shard_%05d.parquet', shard) AS shard, row_number() OVER (PARTITION BY shard ORDER BY {order}) - 1 AS row_index, doc_id, n AS n_chars"
+
+
+def filed(spark, sf, rows, order):
+    """Write the documents of numbered shards, half of the shards in a first run that the second one goes on from, and read them again."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = materialize(rows.select(*dict.fromkeys(["doc_id", *order]), "shard"), "shard-rows").join(docs, "doc_id")
+    path = new_dir(spark, "shards")
+    shards.write_shards(rows.filter("shard % 2 = 0"), path, order, ["doc_id", "text"])
+    shards.write_shards(rows, path, order, ["doc_id", "text"])
+    back = scan.read_shards(spark, path, "doc_id long, text string")
+    return back.select("shard", "row_index", "doc_id", F.length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    "row_shard_files",
+    f"""SELECT {FILED.format(order='doc_id')}
+        FROM (SELECT doc_id, length(text) AS n, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS shard FROM documents)""",
+)
+def row_shard_files(spark, sf):
+    return filed(spark, sf, shards.fixed_row_shards(documents(spark, sf), ["doc_id"], 64), ["doc_id"])
 
 
 @query(
-    "char_shards",
-    f"""WITH RECURSIVE
+    "budget_shard_files",
+    f"""{BUDGET_WALK}, s AS (SELECT d.doc_id, d.n, d.rn, w.shard FROM walk w JOIN d ON d.rn = w.rn WHERE w.shard IN (SELECT shard FROM walk WHERE closed))
+    SELECT {FILED.format(order='rn')} FROM s""",
+)
+def budget_shard_files(spark, sf):
+    return filed(spark, sf, budgeted(spark, sf), ["u", "doc_id"])
+
+
+CHAR_WALK = f"""WITH RECURSIVE
       t AS (SELECT doc_id, length(text) AS n, source = (SELECT max(source) FROM documents) AS val FROM documents),
       d AS (SELECT doc_id, n, row_number() OVER (ORDER BY doc_id) AS rn FROM t WHERE NOT val),
       {WALK.format(budget=150_000, align=1)},
       s AS (SELECT d.doc_id, d.n, w.shard FROM walk w JOIN d ON d.rn = w.rn
             UNION ALL
-            SELECT doc_id, n, (SELECT max(shard) + 1 FROM walk) FROM t WHERE val)
-    SELECT shard, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_chars, min(doc_id) AS first_id FROM s GROUP BY shard""",
-)
+            SELECT doc_id, n, (SELECT max(shard) + 1 FROM walk) FROM t WHERE val)"""
+
+
+@query("char_shards", f"{CHAR_WALK} SELECT shard, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_chars, min(doc_id) AS first_id FROM s GROUP BY shard")
 def char_shards(spark, sf):
+    return char_sharded(spark, sf).groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("n_chars"), F.min("doc_id").alias("first_id")
+    )
+
+
+def char_sharded(spark, sf):
+    """The shards of the training part, and the validation part as one more."""
     docs = documents(spark, sf)
-    train = scan.split_train_val(docs, "train", "source")
-    rows = shards.greedy_shards(train, ["doc_id"], F.length("text"), 150_000)
+    rows = shards.greedy_shards(scan.split_train_val(docs, "train", "source"), ["doc_id"], F.length("text"), 150_000)
     last = rows.agg(F.max("shard")).first()[0]
     val = scan.split_train_val(docs, "val", "source").select(
         "doc_id", F.length("text").cast("long").alias("size"), F.lit(last + 1).cast("long").alias("shard")
     )
-    return rows.unionByName(val).groupBy("shard").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("n_chars"), F.min("doc_id").alias("first_id")
-    )
+    return rows.unionByName(val)
+
+
+@query("char_shard_files", f"{CHAR_WALK} SELECT {FILED.format(order='doc_id')} FROM s")
+def char_shard_files(spark, sf):
+    return filed(spark, sf, char_sharded(spark, sf), ["doc_id"])
 
 
 @query("guarded_overwrite", "SELECT doc_id, source, n_chars FROM documents")
@@ -291,17 +333,12 @@ MIX_SHARD_CHARS = 60_000
     FROM sized s JOIN walk w ON w.rn = s."group" """,
 )
 def mixed_shards(spark, sf):
-    """Mix, shard, write, and read again; half of the shards are written in a first run that the second one goes on from."""
+    """Mix, shard, write, and read again."""
     first, second = pair(spark, sf)
     mixed = mix.insert_mix(first, second, "doc_id", 0.3)
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rows = shards.mixed_shards(mixed, docs.select("doc_id", F.length("text").alias("size")), "doc_id", MIX_SHARD_CHARS)
-    rows = materialize(rows.select("doc_id", "pos", "shard"), "mixed-rows").join(docs, "doc_id")
-    path = new_dir(spark, "mixed-shards")
-    shards.write_shards(rows.filter("shard % 2 = 0"), path, ["pos"], ["doc_id", "text"])
-    shards.write_shards(rows, path, ["pos"], ["doc_id", "text"])
-    back = scan.read_shards(spark, path, "doc_id long, text string")
-    return back.select("shard", "row_index", "doc_id", F.length("text").cast("long").alias("n_chars"))
+    return filed(spark, sf, rows.select("doc_id", "pos", "shard"), ["pos"])
 
 
 @query(
