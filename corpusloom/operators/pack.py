@@ -67,9 +67,10 @@ class Packer:
         if crop not in ("shortest", "first"):
             raise ValueError("crop must be 'shortest' or 'first'")
         self.capacity, self.buffer, self.refill, self.crop = capacity, buffer, refill, crop
-        self.pending: list = []
+        self.pending: list[tuple[int, int]] = []  # (arrival number, length) of those that are not in the buffer yet
         self.docs: dict[int, tuple] = {}  # arrival number -> (doc id, ids)
-        self.sizes: list[tuple[int, int]] = []  # (length, -arrival), sorted: ties give the first arrival
+        self.sizes: list[tuple[int, int]] = []  # (length, -arrival) of the buffer, sorted: ties give the first arrival
+        self.length: dict[int, int] = {}  # arrival number -> length of the buffer
         self.queue: deque[int] = deque()
         self.arrived = 0
         self.row: list[np.ndarray] = []  # the pieces of the open row
@@ -90,10 +91,12 @@ class Packer:
 
     def push(self, doc_id, ids):
         """Take one sequence; yields the rows that it completes."""
-        self.pending.append((doc_id, np.asarray(ids, dtype="int32")))
+        self.docs[self.arrived] = (doc_id, np.asarray(ids, dtype="int32"))
+        self.pending.append((self.arrived, len(ids)))
+        self.arrived += 1
         if len(self.pending) >= self.refill:
             self._admit()
-            while len(self.docs) >= self.buffer:
+            while len(self.sizes) >= self.buffer:
                 row = self._place()
                 if row is not None:
                     yield row
@@ -101,18 +104,17 @@ class Packer:
     def finish(self):
         """End of input: yields what the buffer still fills; the last short row stays as leftover."""
         self._admit()
-        while self.docs:
+        while self.sizes:
             row = self._place()
             if row is not None:
                 yield row
 
     def _admit(self):
-        for doc_id, ids in self.pending:
-            self.docs[self.arrived] = (doc_id, ids)
-            insort(self.sizes, (len(ids), -self.arrived))
+        for n, size in self.pending:
+            insort(self.sizes, (size, -n))
+            self.length[n] = size
             if self.crop == "first":
-                self.queue.append(self.arrived)
-            self.arrived += 1
+                self.queue.append(n)
         self.pending = []
 
     def _place(self):
@@ -124,11 +126,12 @@ class Packer:
             at = bisect_right(self.sizes, (self.sizes[0][0], 1)) - 1
             key = self.sizes.pop(at)
         else:
-            while self.queue[0] not in self.docs:
+            while self.queue[0] not in self.length:
                 self.queue.popleft()
             n = self.queue.popleft()
-            key = (len(self.docs[n][1]), -n)
+            key = (self.length[n], -n)
             self.sizes.remove(key)
+        del self.length[-key[1]]
         doc_id, ids = self.docs.pop(-key[1])
         self.row_cropped += max(len(ids) - room, 0)
         self.row.append(ids[:room])

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.functions.det import draw_index, u
-from corpusloom.operators import pack
+from corpusloom.functions.det import u
+from corpusloom.operators import pack, shards
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans.registry import query, sql_u, table
 from corpusloom.plans.runs import STEPS, steps
 from corpusloom.plans.tokens import SHOWN, SQL_DOCS, shown, sql_packed
-from corpusloom.session import new_dir
+from corpusloom.session import materialize, new_dir
 from corpusloom.streaming import streams
 
 TOK = tx.ByteTokenizer()
 PARTS = 4
 T = 512
-GROUPS = 4
+GROUPS = 8
+SHARDS = 24
 
 
 def folder(spark, name):
@@ -26,7 +27,7 @@ def folder(spark, name):
 
 
 def arriving(df, path, key, parts=PARTS):
-    """Write the rows in ``parts`` steps along the key, as shards that arrive one after the other."""
+    """Write the rows in ``parts`` steps along the key, one file per step."""
     low, high = df.agg(F.min(key), F.max(key)).first()
     width = (high - low) // parts + 1
     for i in range(parts):
@@ -35,17 +36,24 @@ def arriving(df, path, key, parts=PARTS):
 
 
 def documents(spark, sf, name):
+    """Numbered shards of the documents, written in parallel; they are read in the order they were finished, whatever their numbers."""
     path = folder(spark, name)
-    arriving(table(spark, sf, "documents").select("doc_id", "source", "text"), f"{path}/in", "doc_id")
-    return path, streams.stream_shards(spark, f"{path}/in", "doc_id long, source string, text string")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    rows = materialize(shards.fixed_row_shards(docs, ["doc_id"], -(-docs.count() // SHARDS)), f"{name}-rows")
+    last = F.col("doc_id") == F.max("doc_id").over(Window.partitionBy("shard"))
+    shards.write_shards(rows.withColumn("last", last).join(docs, "doc_id"), f"{path}/in", ["doc_id"], ["doc_id", "source", "text", "last"])
+    stream = streams.stream_shards(spark, f"{path}/in", "doc_id long, source string, text string, last boolean", SHARDS // PARTS)
+    return path, streams.with_place(stream)
 
 
 def byte_ids():
     return F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
 
 
-def group():
-    return draw_index(GROUPS, "pack", "doc_id")
+ORDER = streams.ShardOrder(F.col("shard"), F.col("row"), F.col("last"), GROUPS)
+# the shards that the documents are written in, and the group of each
+SHARDED = f"""{SQL_DOCS}, numbered AS (SELECT key, ids, row_number() OVER (ORDER BY key) - 1 AS i, count(*) OVER () AS n FROM bytes),
+  sharded AS (SELECT key, ids, CAST(i // ((n + {SHARDS - 1}) // {SHARDS}) % {GROUPS} AS BIGINT) AS grp FROM numbered)"""
 
 
 @query("stream_shards", "SELECT doc_id, source, length(text) AS n FROM documents")
@@ -56,20 +64,17 @@ def stream_shards(spark, sf):
     return spark.read.parquet(f"{path}/out")
 
 
-@query(
-    "stream_pack",
-    f"WITH RECURSIVE {SQL_DOCS}, {sql_packed('bytes', str(GROUPS), T, 64, 16, 'shortest', finish=False)} SELECT {SHOWN} FROM packed",
-)
+@query("stream_pack", f"WITH RECURSIVE {SHARDED}, {sql_packed('sharded', None, T, 64, 16, 'shortest', finish=False)} SELECT {SHOWN} FROM packed")
 def stream_pack(spark, sf):
     path, docs = documents(spark, sf, "stream-pack")
-    rows = streams.stream_pack(docs.withColumn("ids", byte_ids()), "doc_id", "ids", group(), T, buffer=64, refill=16)
+    rows = streams.stream_pack(docs.withColumn("ids", byte_ids()), ORDER, "ids", None, T, buffer=64, refill=16, doc="doc_id")
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
     return shown(spark.read.schema(pack.PACKED_SCHEMA).parquet(f"{path}/out"))
 
 
 @query(
     "stream_flat_rows",
-    f"""WITH {SQL_DOCS}, g AS (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * {GROUPS}) AS BIGINT) AS pack_group FROM bytes),
+    f"""WITH {SHARDED}, g AS (SELECT key, ids, grp AS pack_group FROM sharded),
       o AS (SELECT pack_group, ids, sum(len(ids)) OVER (PARTITION BY pack_group ORDER BY key) - len(ids) AS start,
                    sum(len(ids)) OVER (PARTITION BY pack_group) AS total FROM g),
       s AS (SELECT pack_group, total, CAST(start AS BIGINT) + unnest(range(len(ids))) AS p, unnest(ids) AS id FROM o),
@@ -80,7 +85,7 @@ def stream_pack(spark, sf):
 )
 def stream_flat_rows(spark, sf):
     path, docs = documents(spark, sf, "stream-flat")
-    rows = streams.stream_flat_rows(docs.withColumn("ids", byte_ids()), "doc_id", "ids", group(), T)
+    rows = streams.stream_flat_rows(docs.withColumn("ids", byte_ids()), ORDER, "ids", None, T, doc="doc_id")
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
     out = spark.read.schema(streams.FLAT_SCHEMA).parquet(f"{path}/out")
     return out.select("pack_group", "row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
@@ -98,10 +103,9 @@ def stream_metrics(spark, sf):
     rows = steps(spark, sf).select("run_id", "step", "loss", "val_bpb", (u("pass", "run_id", "step") < 0.4).alias("passed"))
     arriving(rows, f"{path}/in", "step")
     schema = "run_id long, step long, loss double, val_bpb double, passed boolean"
-    streams.run_available(
-        streams.stream_metrics(streams.stream_shards(spark, f"{path}/in", schema)), f"{path}/out", f"{path}/checkpoint", "update"
-    )
-    out = streams.latest(spark, f"{path}/out", "run_id")
+    metrics = streams.stream_metrics(streams.stream_shards(spark, f"{path}/in", schema))
+    streams.run_latest(metrics, f"{path}/out", f"{path}/checkpoint", "run_id")
+    out = streams.current(spark, f"{path}/out")
     return out.withColumns({c: F.round(c, 6) for c in ("smooth_loss", "best")})
 
 

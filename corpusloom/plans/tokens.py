@@ -288,8 +288,9 @@ def flat_token_rows(spark, sf):
     return rows.select("row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))
 
 
-def sql_packed(docs: str, packers: int, width: int, buffer: int, refill: int, crop: str, finish: bool = True) -> str:
-    """Best-fit packing as a recursion: every step admits sequences or places one. ``docs`` has (key, ids)."""
+def sql_packed(docs: str, packers: int | None, width: int, buffer: int, refill: int, crop: str, finish: bool = True) -> str:
+    """Best-fit packing as a recursion: every step admits sequences or places one. ``docs`` has (key, ids), and grp where the number of ``packers`` is None."""
+    grp = "grp" if packers is None else f"CAST(floor({sql_u('pack', 'key')} * {packers}) AS BIGINT)"
     cap, big = width + 1, 1 << 32
     fit = "list_filter(buf, lambda x: x.n <= room)"
     longest = f"list_max(list_transform({fit}, lambda x: x.n * {big} - x.a))"
@@ -301,7 +302,7 @@ def sql_packed(docs: str, packers: int, width: int, buffer: int, refill: int, cr
     go_on = "len(buf) > 0 OR nxt < usable" if finish else f"len(buf) >= {buffer} OR nxt < usable"
     return f"""
   src AS (SELECT *, len(ids) AS n, row_number() OVER (PARTITION BY grp ORDER BY key) - 1 AS a, count(*) OVER (PARTITION BY grp) AS total
-          FROM (SELECT key, ids, CAST(floor({sql_u('pack', 'key')} * {packers}) AS BIGINT) AS grp FROM {docs})),
+          FROM (SELECT key, ids, {grp} AS grp FROM {docs})),
   queues AS (SELECT grp, list({{'n': n, 'a': a}} ORDER BY a) AS q, any_value({usable}) AS usable FROM src GROUP BY grp),
   pack AS (
     SELECT grp, 0 AS step, q[1:0] AS buf, CAST(0 AS BIGINT) AS nxt, CAST({cap} AS BIGINT) AS room, CAST(0 AS BIGINT) AS row_id,

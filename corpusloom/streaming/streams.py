@@ -5,12 +5,15 @@ Offsets and state live in the checkpoint folder, so a query that stops resumes e
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.operators.pack import PACKED_SCHEMA, Packer
@@ -26,6 +29,12 @@ def stream_shards(spark: SparkSession, path: str, schema: str, files_per_trigger
     return reader.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
+def with_place(shards: DataFrame) -> DataFrame:
+    """The number in the shard's name and the row's place in the file, as ``shard`` and ``row``."""
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]+)[.]parquet$", 1).cast("long")
+    return shards.select("*", number.alias("shard"), F.col("_metadata.row_index").alias("row"))
+
+
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is there and stop; a later call goes on from the checkpoint.
 
@@ -48,44 +57,179 @@ def _ordered(batches: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
     return pd.concat(list(batches)).sort_values(by)
 
 
-def stream_pack(
-    docs: DataFrame, order: str, ids: str, group: Column, width: int, buffer: int = 1000, refill: int = 128, crop: str = "shortest"
-) -> DataFrame:
-    """Best-fit packing; the buffer of every group is carried from one micro-batch to the next."""
-
-    def pack(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        data, n = state.get if state.exists else (None, 0)
-        packer = Packer.load(data) if data else Packer(width + 1, buffer, refill, crop)
-        pdf = _ordered(batches, "doc")
-        rows = []
-        for doc, tokens in zip(pdf["doc"], pdf["ids"]):
-            rows.extend(packer.push(doc, tokens))
-        state.update((packer.dump(), n + len(rows)))
-        yield pd.DataFrame(
-            [(key[0], n + i, *r) for i, r in enumerate(rows)], columns=["pack_group", "row_id", "ids", "doc_ids", "n_cropped"]
-        )
+@dataclass
+class ShardOrder:
+    """The order of rows by shard and place in it, whenever they arrive; each of ``groups`` groups takes every ``groups``-th shard.
 
-    rows = docs.select(group.alias("pack_group"), F.col(order).cast("long").alias("doc"), F.col(ids).alias("ids"))
-    return rows.groupBy("pack_group").applyInPandasWithState(
-        pack, PACKED_SCHEMA, "packer binary, n long", "append", GroupStateTimeout.NoTimeout
-    )
+    ``shard`` counts from 0 without gaps, ``row`` from 0 inside a shard, ``last`` marks a shard's last row. Rows that come early wait in the state
+    until all before them in their group are there.
+    """
 
+    shard: Column
+    row: Column
+    last: Column
+    groups: int
 
-def stream_flat_rows(docs: DataFrame, order: str, ids: str, group: Column, width: int) -> DataFrame:
-    """Rows of the concatenated sequences of every group; the ids that fill no row yet are carried."""
 
-    def flat(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        data, n = state.get if state.exists else (b"", 0)
-        rest = np.concatenate([np.frombuffer(data, "int32"), *_ordered(batches, "doc")["ids"]])
+class InOrder(StatefulProcessor):
+    """Hands sequences on in the order of their group: by shard and row, or sorted within each micro-batch where no shards are given.
+
+    The state holds what came early, one sequence under one key, and the place of the sequence that comes next.
+    """
+
+    def __init__(self, stride: int | None):
+        self.stride = stride
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        if self.stride:
+            self.early = handle.getMapState("early", "shard long, row long", "doc long, ids binary, last boolean")
+            self.next = handle.getValueState("next", "shard long, row long")
+
+    def sequences(self, key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray]]:
+        if not self.stride:
+            pdf = _ordered(batches, "doc")
+            yield from zip(pdf["doc"].tolist(), pdf["ids"])
+            return
+        start = at = self.next.get() if self.next.exists() else (int(key[0]), 0)
+        here: dict[tuple[int, int], tuple] = {}
+        for pdf in batches:
+            here.update(zip(zip(pdf["shard"].tolist(), pdf["row"].tolist()), zip(pdf["doc"].tolist(), pdf["ids"], pdf["last"].tolist())))
+        while True:
+            if (found := here.pop(at, None)) is not None:
+                doc, ids, last = found
+            elif self.early.containsKey(at):
+                doc, data, last = self.early.getValue(at)
+                ids = np.frombuffer(data, "int32")
+                self.early.removeKey(at)
+            else:
+                break
+            at = (at[0] + self.stride, 0) if last else (at[0], at[1] + 1)
+            yield int(doc), ids
+        for place, (doc, ids, last) in here.items():
+            if place >= at:  # a row that was handed on before is a repeat
+                self.early.updateValue(place, (int(doc), np.asarray(ids, "int32").tobytes(), bool(last)))
+        if at != start:
+            self.next.update(at)
+
+
+class _Waiting(dict):
+    """Sequences by arrival number: those of this micro-batch in memory, the others in the state until they are taken."""
+
+    def __init__(self, state):
+        super().__init__()
+        self.state, self.taken = state, []
+
+    def pop(self, n: int) -> tuple[int, np.ndarray]:
+        if n in self:
+            return super().pop(n)
+        doc, data = self.state.getValue((n,))
+        self.taken.append(n)
+        return doc, np.frombuffer(data, "int32")
+
+
+class PackStream(InOrder):
+    """Best-fit packing whose state holds single sequences, so that a micro-batch reads and writes only what it adds and places."""
+
+    def __init__(self, stride: int | None, capacity: int, buffer: int, refill: int, crop: str):
+        super().__init__(stride)
+        self.make = lambda: Packer(capacity, buffer, refill, crop)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "n long", "doc long, ids binary")
+        self.sizes = handle.getMapState("sizes", "n long", "size int")
+        self.row = handle.getListState("row", "doc long, ids binary")
+        self.counts = handle.getValueState("counts", "arrived long, pending long, rows long, cropped long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        packer = self.make()
+        packer.docs = waiting = _Waiting(self.waiting)
+        pending = n_rows = 0
+        if self.counts.exists():
+            packer.arrived, pending, n_rows, packer.row_cropped = self.counts.get()
+        held = sorted((n, size) for (n,), (size,) in self.sizes.iterator())
+        packer.pending = held[len(held) - pending :]
+        buffered = held[: len(held) - pending]
+        packer.length = dict(buffered)
+        packer.sizes = sorted((size, -n) for n, size in buffered)
+        packer.queue.extend(n for n, _ in buffered)
+        for doc, data in self.row.get():
+            packer.row_docs.append(doc)
+            packer.row.append(np.frombuffer(data, "int32"))
+            packer.filled += len(packer.row[-1])
+        begun = len(packer.row)
+        out = []
+        for doc, ids in self.sequences(key, rows):
+            if len(ids):
+                out += packer.push(doc, ids)
+        for n in waiting.taken:
+            self.waiting.removeKey((n,))
+            self.sizes.removeKey((n,))
+        for n, (doc, ids) in waiting.items():
+            self.waiting.updateValue((n,), (doc, ids.tobytes()))
+            self.sizes.updateValue((n,), (len(ids),))
+        pieces = [(doc, ids.tobytes()) for doc, ids in zip(packer.row_docs, packer.row)]
+        if out:
+            self.row.clear()
+            begun = 0
+        if pieces[begun:]:
+            self.row.appendList(pieces[begun:])
+        self.counts.update((packer.arrived, len(packer.pending), n_rows + len(out), packer.row_cropped))
+        if out:
+            rows = [(key[0], n_rows + i, ids.tolist(), docs, cropped) for i, (ids, docs, cropped) in enumerate(out)]
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in PACKED_SCHEMA.split(", ")])
+
+
+class FlatStream(InOrder):
+    """Rows of the concatenated sequences; the ids that fill no row yet are carried."""
+
+    def __init__(self, stride: int | None, width: int):
+        super().__init__(stride)
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.rest = handle.getValueState("rest", "ids binary, rows long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        data, n = self.rest.get() if self.rest.exists() else (b"", 0)
+        rest, width = np.concatenate([np.frombuffer(data, "int32"), *(ids for _, ids in self.sequences(key, rows))]), self.width
         full = max(len(rest) - 1, 0) // width
-        rows = [(key[0], n + i, rest[i * width : (i + 1) * width], rest[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
-        state.update((rest[full * width :].astype("int32").tobytes(), n + full))
-        yield pd.DataFrame(rows, columns=["pack_group", "row_id", "inputs", "targets"])
+        self.rest.update((rest[full * width :].astype("int32").tobytes(), n + full))
+        if full:
+            out = [(key[0], n + i, rest[i * width : (i + 1) * width], rest[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
+            yield pd.DataFrame(out, columns=["pack_group", "row_id", "inputs", "targets"])
+
+
+def _keyed(docs: DataFrame, order: str | ShardOrder, ids: str, group: Column | None, doc: str, processor: InOrder, schema: str) -> DataFrame:
+    # keyed state needs this store; with change logs a micro-batch writes only the keys that it changed
+    docs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    docs.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    columns = [F.col(doc).cast("long").alias("doc"), F.col(ids).alias("ids")]
+    if isinstance(order, ShardOrder):
+        group = F.pmod(order.shard.cast("long"), F.lit(order.groups))
+        columns += [order.shard.cast("long").alias("shard"), order.row.cast("long").alias("row"), order.last.alias("last")]
+    rows = docs.select(group.cast("long").alias("pack_group"), *columns)
+    return rows.groupBy("pack_group").transformWithStateInPandas(processor, schema, "Append", "None")
+
+
+def stream_pack(
+    docs: DataFrame, order: str | ShardOrder, ids: str, group: Column | None, width: int, buffer: int = 1000, refill: int = 128,
+    crop: str = "shortest", doc: str | None = None,
+) -> DataFrame:
+    """Best-fit packing; every group carries its buffer from one micro-batch to the next.
+
+    ``order`` is the column that sorts each micro-batch and names the documents, or a :class:`ShardOrder`, which makes the groups itself
+    (``group`` is None) and leaves the names to ``doc``.
+    """
+    stride = order.groups if isinstance(order, ShardOrder) else None
+    return _keyed(docs, order, ids, group, doc or order, PackStream(stride, width + 1, buffer, refill, crop), PACKED_SCHEMA)
 
-    rows = docs.select(group.alias("pack_group"), F.col(order).cast("long").alias("doc"), F.col(ids).alias("ids"))
-    return rows.groupBy("pack_group").applyInPandasWithState(
-        flat, FLAT_SCHEMA, "rest binary, n long", "append", GroupStateTimeout.NoTimeout
-    )
+
+def stream_flat_rows(docs: DataFrame, order: str | ShardOrder, ids: str, group: Column | None, width: int, doc: str | None = None) -> DataFrame:
+    """Rows of the concatenated sequences of every group, in an order as for :func:`stream_pack`."""
+    stride = order.groups if isinstance(order, ShardOrder) else None
+    return _keyed(docs, order, ids, group, doc or order, FlatStream(stride, width), FLAT_SCHEMA)
 
 
 def stream_metrics(steps: DataFrame, beta: float = 0.9) -> DataFrame:
@@ -120,6 +264,64 @@ def latest(spark: SparkSession, out: str, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max(F.struct("epoch_id", *others)).alias("_r")).select(key, *[f"_r.{c}" for c in others])
 
 
+def run_latest(stream: DataFrame, out: str, checkpoint: str, key: str, files: int = 8) -> None:
+    """Process everything that is there, keeping one table with the last update of every key; :func:`current` reads it.
+
+    Every micro-batch writes a new version of the table, in ``files`` files, and then puts its name in place of the old one in one step, so
+    a reader sees all of a micro-batch or nothing of it. A micro-batch that runs again puts the same rows in their place.
+    Versions other than the last two are removed.
+    """
+    spark = stream.sparkSession
+    spark_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+
+    def save(batch: DataFrame, epoch_id: int) -> None:
+        before = _version(spark, out)
+        rows = batch
+        if before is not None:
+            old = spark.read.schema(batch.schema).parquet(f"{out}/{before}")
+            # the keys of a micro-batch grow with it, so they are not sent to every task
+            rows = old.join(batch.select(key).hint("merge"), key, "left_anti").select(*batch.columns).unionByName(batch)
+        name = f"version-{epoch_id:09d}-{uuid.uuid4().hex}"
+        rows.repartition(files, key).write.parquet(f"{out}/{name}")
+        begun = f"{out}/_begun-{uuid.uuid4().hex}"
+        target = path(out)
+        fs = target.getFileSystem(spark_conf)
+        written = fs.create(path(begun))
+        written.write(name.encode())
+        written.close()
+        over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark_conf).rename(path(begun), path(out, "_current"), over)
+        for found in fs.globStatus(path(out, "version-*")) or []:
+            if found.getPath().getName() not in (name, before):
+                fs.delete(found.getPath(), True)
+
+    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("update").foreachBatch(save).start()
+    query.awaitTermination()
+
+
+def _version(spark: SparkSession, out: str) -> str | None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out, "_current")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    file = fs.open(path)
+    try:
+        return bytes(file.readAllBytes()).decode()
+    finally:
+        file.close()
+
+
+def current(spark: SparkSession, out: str) -> DataFrame:
+    """The table that :func:`run_latest` keeps."""
+    name = _version(spark, out)
+    if name is None:
+        raise ValueError(f"no micro-batch has been saved in {out}")
+    return spark.read.parquet(f"{out}/{name}")
+
+
 def stream_validate(spark: SparkSession, path: str, accepted: str, quarantined: str, checkpoint: str, files_per_trigger: int = 8) -> None:
     """Conversations arriving as JSON lines: sound ones to one folder, the others with their violations to another."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)

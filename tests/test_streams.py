@@ -1,5 +1,7 @@
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import pack
@@ -50,3 +52,103 @@ def test_flat_rows_resume(spark, tmp_path):
     for r in rows:
         at = 8 * r["row_id"]
         assert (r["inputs"], r["targets"]) == (stream_ids[at : at + 8], stream_ids[at + 1 : at + 9])
+
+
+SHARDED = "doc_id long, ids array<int>, last boolean"
+
+
+def write_shard(spark, path, number, rows):
+    rows = [(d, ids, i == len(rows) - 1) for i, (d, ids) in enumerate(rows)]
+    part = str(path) + f"-part-{number}"
+    spark.createDataFrame(rows, SHARDED).coalesce(1).write.parquet(part)
+    Path(path).mkdir(exist_ok=True)
+    (file,) = Path(part).glob("*.parquet")
+    file.rename(Path(path) / f"shard_{number:05d}.parquet")
+
+
+def order(groups):
+    return streams.ShardOrder(F.col("shard"), F.col("row"), F.col("last"), groups)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_late_shards_wait_for_their_turn(spark, tmp_path, files):
+    """Shards that arrive in any order give the rows of shards in theirs; what is missing holds its group back."""
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    parts = {n: docs(n, 10 * n, 10 * n + 7 + n % 3) for n in range(9)}
+
+    def run():
+        stream = streams.with_place(streams.stream_shards(spark, path, SHARDED, files))
+        streams.run_available(streams.stream_flat_rows(stream, order(2), "ids", None, 8, doc="doc_id"), out, state)
+        rows = spark.read.schema(streams.FLAT_SCHEMA).parquet(out).orderBy("pack_group", "row_id").collect()
+        return {g: [(r["inputs"], r["targets"]) for r in rows if r["pack_group"] == g] for g in (0, 1)}
+
+    def flat(numbers):
+        ids = [t for n in numbers for _, ids in parts[n] for t in ids]
+        return [(ids[i : i + 8], ids[i + 1 : i + 9]) for i in range(0, (len(ids) - 1) // 8 * 8, 8)]
+
+    for n in (4, 1, 0, 5):
+        write_shard(spark, path, n, parts[n])
+    assert run() == {0: flat([0]), 1: flat([1])}  # 2 and 3 are late
+    for n in (8, 3, 2):
+        write_shard(spark, path, n, parts[n])
+    assert run() == {0: flat([0, 2, 4]), 1: flat([1, 3, 5])}
+    for n in (7, 6):
+        write_shard(spark, path, n, parts[n])
+    assert run() == {0: flat([0, 2, 4, 6, 8]), 1: flat([1, 3, 5, 7])}
+
+
+@pytest.mark.parametrize("crop", ["shortest", "first"])
+def test_packing_of_late_shards(spark, tmp_path, crop):
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    parts = {n: docs(20 + n, 100 * n, 100 * n + 25) for n in range(6)}
+    for some in ((5, 2, 0), (1, 4), (3,)):
+        for n in some:
+            write_shard(spark, path, n, parts[n])
+        stream = streams.with_place(streams.stream_shards(spark, path, SHARDED))
+        streams.run_available(streams.stream_pack(stream, order(3), "ids", None, 20, buffer=6, refill=4, crop=crop, doc="doc_id"), out, state)
+    got = sorted(map(tuple, spark.read.schema(pack.PACKED_SCHEMA).parquet(out).collect()))
+    want = []
+    for g in range(3):
+        packer, n = pack.Packer(21, 6, 4, crop), 0
+        for d, ids in [x for number in (g, g + 3) for x in parts[number]]:
+            for row, used, cropped in packer.push(d, ids):
+                want.append((g, n, row.tolist(), used, cropped))
+                n += 1
+    assert got == sorted(want) and len(got) > 40
+
+
+def test_a_micro_batch_writes_what_it_changes(spark, tmp_path):
+    """Bytes of state of small micro-batches beside a large buffer, against those of the buffer as a whole."""
+    schema = "doc_id long, ids array<int>"
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rng = random.Random(3)
+    sizes, packer, at = [], pack.Packer(2049, 1000, 128), 0
+    for n in (900, 12, 12, 12):
+        part = [(d, [rng.randrange(50_000) for _ in range(600)]) for d in range(at, at + n)]
+        at += n
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        rows = streams.stream_pack(streams.stream_shards(spark, path, schema), "doc_id", "ids", F.lit(0).cast("long"), 2048)
+        before = {f for f in Path(state, "state").rglob("*") if f.is_file()} if Path(state).exists() else set()
+        streams.run_available(rows, out, state)
+        sizes.append(sum(f.stat().st_size for f in Path(state, "state").rglob("*") if f.is_file() and f not in before))
+        for d, ids in part:
+            list(packer.push(d, ids))
+    assert max(sizes[1:]) < len(packer.dump()) / 20, (sizes, len(packer.dump()))
+
+
+def test_latest_table_stays_compact(spark, tmp_path):
+    """Reading after many micro-batches opens as many files as after one; a micro-batch that runs again changes nothing."""
+    schema = "run_id long, step long, loss double, val_bpb double, passed boolean"
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    files = []
+    for step in range(12):
+        rows = [(run, step, 1.0 + run, 2.0 - step / 100, step % 2 == 0) for run in range(20) if run != 7 or step < 5]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        streams.run_latest(streams.stream_metrics(streams.stream_shards(spark, path, schema)), out, state, "run_id", files=2)
+        files.append(len(streams.current(spark, out).inputFiles()))
+    assert set(files) == {2} and len(list(Path(out).glob("version-*"))) == 2
+    found = {r["run_id"]: r for r in streams.current(spark, out).collect()}
+    assert len(found) == 20 and {r["step"] for i, r in found.items() if i != 7} == {11} and found[7]["step"] == 4
+    assert all(r["n_total"] == r["step"] + 1 and round(r["smooth_loss"], 9) == 1.0 + i for i, r in found.items())
+    with pytest.raises(ValueError, match="no micro-batch"):
+        streams.current(spark, str(tmp_path / "none"))
