@@ -194,9 +194,7 @@ def span_scores(rows: DataFrame, scores: DataFrame, keys: list[str]) -> DataFram
 
     Position p of ``scores`` (keys, pos, loss, pred_id) predicts id p + 1, so a span [s, e) reads [s - 1, e - 1).
     """
-    checked = F.when(F.col("end_idx") > F.col("start_idx"), F.col("end_idx") - 1).otherwise(
-        F.raise_error(F.lit("empty answer span")).cast("int")
-    )
+    checked = _span_end() - 1
     at = rows.select(*keys, "ids", F.explode(F.sequence(F.col("start_idx") - 1, checked - 1)).alias("pos"))
     at = at.select(*keys, "pos", F.element_at("ids", F.col("pos") + 2).alias("actual"))
     hit = at.join(scores, [*keys, "pos"])
@@ -205,6 +203,26 @@ def span_scores(rows: DataFrame, scores: DataFrame, keys: list[str]) -> DataFram
     )
 
 
+def _span_end() -> Column:
+    return F.when(F.col("end_idx") > F.col("start_idx"), F.col("end_idx")).otherwise(F.raise_error(F.lit("empty answer span")).cast("int"))
+
+
+def array_span_scores(rows: DataFrame, scores: DataFrame, keys: list[str]) -> DataFrame:
+    """As :func:`span_scores`, for scores held as one row of an option with the arrays ``losses`` and ``pred_ids`` over all positions.
+
+    Spans are slices of these arrays, so nothing is exploded, and the join has one row per option on either side.
+    """
+    n = _span_end() - F.col("start_idx")
+    both = rows.select(*keys, "ids", "start_idx", "end_idx").join(scores.select(*keys, "losses", "pred_ids"), keys)
+    losses, pred = F.slice("losses", F.col("start_idx"), n), F.slice("pred_ids", F.col("start_idx"), n)
+    actual = F.slice("ids", F.col("start_idx") + 1, n)
+    # a span that the scores do not cover has no mean
+    whole = F.size("losses") >= F.col("end_idx") - 1
+    mean = F.aggregate(losses, F.lit(0.0), lambda a, x: a + x) / n
+    hits = F.forall(F.arrays_zip(pred.alias("a"), actual.alias("b")), lambda z: z["a"] == z["b"])
+    return both.select(*keys, F.when(whole, mean).alias("mean_loss"), F.when(whole, hits).alias("all_predicted"))
+
+
 def best_option(losses: DataFrame, item: list[str], keep: list[str] | None = None) -> DataFrame:
     """Option with the lowest mean loss, ties to the lowest index; ``keep`` names more columns of that row."""
     columns = ["option_idx", *(keep or [])]

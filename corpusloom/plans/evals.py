@@ -255,13 +255,12 @@ def left_truncate_span(spark, sf):
 
 
 def token_scores(rows: DataFrame) -> DataFrame:
-    """Stand-in for model output: a loss and a predicted id at every position of every option."""
-    at = rows.select("task", "idx", "gold", "option_idx", "ids", F.explode(F.sequence(F.lit(0), F.size("ids") - 2)).alias("pos"))
-    keys = ("task", "idx", "option_idx", "pos")
-    nxt = F.element_at("ids", F.col("pos") + 2)
-    return at.select(
-        "gold", *keys, (4 * u("l", *keys)).alias("loss"), F.when(u("p", *keys) < 0.9, nxt).otherwise(F.lit(0)).alias("pred_id")
-    )
+    """Stand-in for model output: a loss and a predicted id at every position, as arrays of every option."""
+    keys = ("task", "idx", "option_idx")
+    positions = F.sequence(F.lit(0), F.size("ids") - 2)
+    losses = F.transform(positions, lambda pos: 4 * u("l", *keys, pos))
+    hits = F.zip_with(positions, F.slice("ids", F.lit(2), F.size("ids") - 1), lambda pos, nxt: F.when(u("p", *keys, pos) < 0.9, nxt).otherwise(F.lit(0)))
+    return rows.select("gold", *keys, losses.alias("losses"), hits.alias("pred_ids"))
 
 
 KEYS = ["task", "idx", "option_idx"]
@@ -283,7 +282,7 @@ def scored(spark, sf):
     # the model run reads the spans from a table, and so do the scores that stand in for it
     rows = spread(materialize(all_spans(spark, sf), "spans"), "idx")
     keys = ["task", "idx", "gold", "option_idx"]
-    return evals.span_scores(rows, token_scores(rows), keys)
+    return evals.array_span_scores(rows, token_scores(rows), keys)
 
 
 @query(

@@ -58,6 +58,24 @@ def test_scores_and_ties(spark):
         evals.span_scores(empty, scores, ["idx", "option_idx"]).collect()
 
 
+def test_scores_as_arrays(spark):
+    spans = spark.createDataFrame(
+        [(0, 0, [9, 1, 2], 1, 3), (0, 1, [9, 1, 3], 1, 3), (1, 0, [4, 5, 6, 7], 2, 3), (1, 1, [4, 5, 6, 7], 3, 4), (2, 0, [1, 2, 3], 2, 3)],
+        "idx int, option_idx int, ids array<int>, start_idx int, end_idx int",
+    )
+    scores = spark.createDataFrame(
+        [(0, 0, [1.0, 3.0, math.nan], [1, 2, 0]), (0, 1, [1.0, 3.0, math.nan], [1, 2, 0]), (1, 0, [9.0, 0.5, 9.0], [0, 6, 0]), (1, 1, [9.0, 9.0, 0.25], [0, 0, 6]), (2, 0, [1.0], [2])],
+        "idx int, option_idx int, losses array<double>, pred_ids array<int>",
+    )
+    keys = ["idx", "option_idx"]
+    got = sorted(map(tuple, evals.array_span_scores(spans, scores, keys).collect()))
+    assert got == [(0, 0, 2.0, True), (0, 1, 2.0, False), (1, 0, 0.5, True), (1, 1, 0.25, False), (2, 0, None, None)]
+    rows = scores.select(*keys, F.posexplode(F.arrays_zip("losses", "pred_ids")).alias("pos", "z")).select(*keys, "pos", F.col("z.losses").alias("loss"), F.col("z.pred_ids").alias("pred_id"))
+    assert sorted(map(tuple, evals.span_scores(spans.filter("idx < 2"), rows, keys).collect())) == got[:4]
+    with pytest.raises(Exception, match="empty answer span"):
+        evals.array_span_scores(spans.withColumn("end_idx", F.col("start_idx")), scores, keys).collect()
+
+
 def test_fewshot_partners(spark, small_buckets):
     items = spark.range(40).withColumnRenamed("id", "idx")
     rows = evals.fewshot_sample(items, "idx", 5).collect()
