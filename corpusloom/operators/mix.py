@@ -213,27 +213,43 @@ def insert_mix(
 # --- character budgets -----------------------------------------------------------------------------
 
 
-def char_budget_exclusive(docs: DataFrame, order: Sequence[str], max_chars: int, text: str = "text", **kw) -> DataFrame:
-    """Rows while the running sum including the row stays within the budget; the crossing row is dropped."""
-    return docs.filter(up_to(order, budget_cutoff(docs, order, F.length(text), max_chars, False, **kw)))
+def text_sizes(docs: DataFrame, order: Sequence[str], text: str = "text") -> DataFrame:
+    """The order columns and ``size`` in characters, written once: budgets that share the table read each text once between them."""
+    return materialize(docs.select(*order, F.length(text).cast("long").alias("size")), "text-sizes")
 
 
-def char_budget_inclusive(docs: DataFrame, order: Sequence[str], max_chars: int, text: str = "text", **kw) -> DataFrame:
+def _budget(docs: DataFrame, order: Sequence[str], max_chars: int, text: str, sizes: DataFrame | None, keep_crossing: bool, **kw) -> DataFrame:
+    sizes = text_sizes(docs, order, text) if sizes is None else sizes
+    return docs.filter(up_to(order, budget_cutoff(sizes, order, F.col("size"), max_chars, keep_crossing, **kw)))
+
+
+def char_budget_exclusive(docs: DataFrame, order: Sequence[str], max_chars: int, text: str = "text", sizes: DataFrame | None = None, **kw) -> DataFrame:
+    """Rows while the running sum including the row stays within the budget; the crossing row is dropped.
+
+    ``sizes`` is :func:`text_sizes` of ``docs`` where that is there already.
+    """
+    return _budget(docs, order, max_chars, text, sizes, False, **kw)
+
+
+def char_budget_inclusive(docs: DataFrame, order: Sequence[str], max_chars: int, text: str = "text", sizes: DataFrame | None = None, **kw) -> DataFrame:
     """As above, but the crossing row is kept and ends the corpus."""
-    return docs.filter(up_to(order, budget_cutoff(docs, order, F.length(text), max_chars, True, **kw)))
+    return _budget(docs, order, max_chars, text, sizes, True, **kw)
 
 
 def val_budget(
-    first: DataFrame, second: DataFrame, order: str, ratio: float, max_chars: int, text: str = "text", seed: int = 42
+    first: DataFrame, second: DataFrame, order: str, ratio: float, max_chars: int, text: str = "text", seed: int = 42, sizes: DataFrame | None = None
 ) -> DataFrame:
-    """Exclusive budget over the first corpus, then mixing, then stop once the mixed size reaches the budget."""
-    kept = char_budget_exclusive(first, [order], max_chars, text)
-    mixed = insert_mix(kept, second, order, ratio, seed)
-    sizes = first.select(order, F.length(text).alias("_n")).unionByName(
-        second.select(order, F.length(text).alias("_n"))
-    )
+    """Exclusive budget over the first corpus, then mixing, then stop once the mixed size reaches the budget.
+
+    Keys and sizes are all that is worked on. With ``sizes``, the :func:`text_sizes` of both corpora, no text is read here.
+    """
+    if sizes is None:
+        sizes = text_sizes(first.select(order, text).unionByName(second.select(order, text)), [order], text)
+    own = first.select(order).join(sizes.hint("merge"), order)
+    kept = char_budget_exclusive(own, [order], max_chars, sizes=own)
+    mixed = insert_mix(kept, second.select(order), order, ratio, seed)
     mixed = materialize(mixed.join(sizes, order), "val-mix")  # narrow, and read for the budget and for the result
-    groups = mixed.groupBy("group").agg(F.sum("_n").alias("_n"))
+    groups = mixed.groupBy("group").agg(F.sum("size").alias("size"))
     # a group is kept while the sum of the groups before it is still below the budget
-    last = budget_cutoff(groups, ["group"], F.col("_n"), max_chars - 1, True)
-    return mixed.filter(up_to(["group"], last)).drop("_n")
+    last = budget_cutoff(groups, ["group"], F.col("size"), max_chars - 1, True)
+    return mixed.filter(up_to(["group"], last)).drop("size")

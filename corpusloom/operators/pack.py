@@ -235,7 +235,7 @@ def packing_rates(packed: DataFrame, total_tokens: int, width: int) -> DataFrame
 def packer_function(width: int, buffer: int = 1000, refill: int = 128, crop: str = "shortest"):
     """A table function for SQL: ``SELECT * FROM pack(TABLE(docs) PARTITION BY pack_group ORDER BY doc)``.
 
-    The table has columns (doc, ids, pack_group).
+    The table has columns (doc, ids, pack_group). The function takes a partition as Arrow batches and returns its rows by the batch.
     """
 
     class Pack:
@@ -243,16 +243,22 @@ def packer_function(width: int, buffer: int = 1000, refill: int = 128, crop: str
             self.packer = Packer(width + 1, buffer, refill, crop)
             self.group, self.n = None, 0
 
-        def _emit(self, rows):
-            for ids, docs, cropped in rows:
-                yield self.group, self.n, ids.tolist(), docs, cropped
-                self.n += 1
+        def _rows(self, found) -> Iterator[pa.RecordBatch]:
+            rows = [(self.group, self.n + i, *row) for i, row in enumerate(found)]
+            self.n += len(rows)
+            if rows:
+                yield _packed_batch(rows)
 
-        def eval(self, row):
-            self.group = row["pack_group"]
-            yield from self._emit(self.packer.push(row["doc"], row["ids"]))
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            if batch.num_rows:
+                self.group = batch.column("pack_group")[0].as_py()
+                lists = batch.column("ids")
+                flat, offsets = lists.flatten().to_numpy(), np.asarray(lists.offsets)
+                offsets = offsets - offsets[0]
+                docs = batch.column("doc").to_pylist()
+                yield from self._rows(row for i, doc in enumerate(docs) for row in self.packer.push(doc, flat[offsets[i] : offsets[i + 1]]))
 
-        def terminate(self):
-            yield from self._emit(self.packer.finish())
+        def terminate(self) -> Iterator[pa.RecordBatch]:
+            yield from self._rows(self.packer.finish())
 
-    return F.udtf(Pack, returnType=PACKED_SCHEMA)
+    return F.arrow_udtf(Pack, returnType=PACKED_SCHEMA)

@@ -418,7 +418,8 @@ def char_budget_inclusive(spark, sf):
 def val_budget(spark, sf):
     first, second = pair(spark, sf)
     shard = documents(spark, sf).agg(F.max("source")).first()[0]
-    out = mix.val_budget(first.filter(F.col("source") == shard), second, "doc_id", 0.3, 60_000)
+    sizes = mix.text_sizes(documents(spark, sf), ["doc_id"])
+    out = mix.val_budget(first.filter(F.col("source") == shard), second, "doc_id", 0.3, 60_000, sizes=sizes)
     return out.select("doc_id", "is_first", "pos")
 
 

@@ -50,7 +50,10 @@ def byte_ids():
     return F.concat(F.array(F.lit(TOK.special(tx.BOS))), TOK.encode("text"))
 
 
-ORDER = streams.ShardOrder(F.col("shard"), F.col("row"), F.col("last"), GROUPS)
+def order():
+    return streams.ShardOrder(F.col("shard"), F.col("row"), F.col("last"), GROUPS)
+
+
 # the shards that the documents are written in, and the group of each
 SHARDED = f"""{SQL_DOCS}, numbered AS (SELECT key, ids, row_number() OVER (ORDER BY key) - 1 AS i, count(*) OVER () AS n FROM bytes),
   sharded AS (SELECT key, ids, CAST(i // ((n + {SHARDS - 1}) // {SHARDS}) % {GROUPS} AS BIGINT) AS grp FROM numbered)"""
@@ -67,7 +70,7 @@ def stream_shards(spark, sf):
 @query("stream_pack", f"WITH RECURSIVE {SHARDED}, {sql_packed('sharded', None, T, 64, 16, 'shortest', finish=False)} SELECT {SHOWN} FROM packed")
 def stream_pack(spark, sf):
     path, docs = documents(spark, sf, "stream-pack")
-    rows = streams.stream_pack(docs.withColumn("ids", byte_ids()), ORDER, "ids", None, T, buffer=64, refill=16, doc="doc_id")
+    rows = streams.stream_pack(docs.withColumn("ids", byte_ids()), order(), "ids", None, T, buffer=64, refill=16, doc="doc_id")
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
     return shown(spark.read.schema(pack.PACKED_SCHEMA).parquet(f"{path}/out"))
 
@@ -85,7 +88,7 @@ def stream_pack(spark, sf):
 )
 def stream_flat_rows(spark, sf):
     path, docs = documents(spark, sf, "stream-flat")
-    rows = streams.stream_flat_rows(docs.withColumn("ids", byte_ids()), ORDER, "ids", None, T, doc="doc_id")
+    rows = streams.stream_flat_rows(docs.withColumn("ids", byte_ids()), order(), "ids", None, T, doc="doc_id")
     streams.run_available(rows, f"{path}/out", f"{path}/checkpoint")
     out = spark.read.schema(streams.FLAT_SCHEMA).parquet(f"{path}/out")
     return out.select("pack_group", "row_id", F.md5(fx.joined("inputs")).alias("inputs"), F.md5(fx.joined("targets")).alias("targets"))

@@ -6,6 +6,7 @@ from pathlib import Path
 from conftest import SF
 
 from corpusloom import plans
+from corpusloom.operators import mix
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -21,3 +22,31 @@ def test_lineage_is_cut_in_the_shared_folder_only():
     code = "\n".join(p.read_text() for p in ROOT.joinpath("corpusloom").rglob("*.py"))
     assert "localCheckpoint" not in code and ".toPandas" not in code and "crossJoin" not in code
     assert len(re.findall(r"mkdtemp", code)) == 1  # only where spark.checkpoint.dir is unset
+
+
+def test_budgets_read_each_text_once(spark, monkeypatch):
+    """One scan reads texts, that of the sizes, which all budgets share; the results need keys alone."""
+    written = []
+    keep = mix.materialize
+
+    def watch(df, name):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(mix, "materialize", watch)
+    for name in ("val_budget", "char_budget_exclusive"):
+        written.clear()
+        plan = plans.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        texts = [len(re.findall(r"ReadSchema: struct<[^>]*\btext:string", p)) for p in (*written, plan)]
+        assert sum(texts) == 1 and texts[0] == 1, (name, texts)
+
+
+def test_budgets_share_sizes(spark):
+    docs = spark.createDataFrame([(i, "x" * (i % 7)) for i in range(300)], "doc_id long, text string")
+    sizes = mix.text_sizes(docs, ["doc_id"])
+    for n in (0, 5, 100, 10_000):
+        for budget in (mix.char_budget_exclusive, mix.char_budget_inclusive):
+            assert budget(docs, ["doc_id"], n, sizes=sizes).count() == budget(docs, ["doc_id"], n).count()
+    first, second = docs.filter("doc_id % 3 = 0"), docs.filter("doc_id % 3 > 0")
+    one, two = (mix.val_budget(first, second, "doc_id", 0.3, 200, sizes=s).collect() for s in (sizes, None))
+    assert sorted(one) == sorted(two) and one
