@@ -48,13 +48,18 @@ def quality_rules_sql() -> str:
     levels = ", ".join(
         f"""t{i} AS (SELECT {keys} measure, bucket, sum(sum(n)) OVER (PARTITION BY {keys} measure) AS total, sum(sum(n)) OVER (PARTITION BY {keys} measure ORDER BY bucket) AS upto
              FROM sketches GROUP BY {keys} measure, bucket),
-           q{i} AS (SELECT {keys} measure, max(total) AS total, min(bucket) FILTER (WHERE upto * 4 >= total) AS q1, min(bucket) FILTER (WHERE upto * 4 >= total * 3) AS q3
-             FROM t{i} GROUP BY {keys} measure)"""
+           m{i} AS (SELECT *, min(bucket) FILTER (WHERE upto * 4 >= total) OVER g AS q1, min(bucket) FILTER (WHERE upto * 4 >= total * 3) OVER g AS q3
+             FROM t{i} WINDOW g AS (PARTITION BY {keys} measure)),
+           b{i} AS (SELECT *, max(upto) FILTER (WHERE bucket <= q3) OVER g AS body FROM m{i} WINDOW g AS (PARTITION BY {keys} measure)),
+           q{i} AS (SELECT {keys} measure, max(total) AS total, max(q1) AS q1, max(q3) AS q3,
+               min(bucket) FILTER (WHERE bucket > q3 AND (upto - body) * 4 >= total - body) AS t1, min(bucket) FILTER (WHERE bucket > q3 AND (upto - body) * 4 >= (total - body) * 3) AS t3
+             FROM b{i} GROUP BY {keys} measure)"""
         for i, keys in enumerate(("lang, source,", "lang,", ""))
     )
     picked = lambda q: f"CASE WHEN q0.total >= {quality_rules.MIN_GROUP} THEN q0.{q} WHEN q1.total >= {quality_rules.MIN_GROUP} THEN q1.{q} ELSE q2.{q} END"
-    least = "CASE measure " + " ".join(f"WHEN '{name}' THEN {x}" for name, (_, x) in quality_rules.MEASURES.items()) + " END"
-    both = ", ".join(f"'{name}'" for name, (low, _) in quality_rules.MEASURES.items() if low)
+    marks = ", ".join(f"{picked(q)} AS {q}" for q in ("q1", "q3", "t1", "t3"))
+    width = lambda v: f"(1 << greatest(length(bin({v})) - {quality_rules.BUCKET_BITS}, 0))"
+    both = ", ".join(f"'{name}'" for name, low in quality_rules.MEASURES.items() if low)
     return f"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
       w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
       grams AS (SELECT doc_id, i, array_to_string(ws[i:i + {size - 1}], ' ') AS gram FROM w, LATERAL (SELECT unnest(range(1, len(ws) - {size - 2})) AS i)),
@@ -64,14 +69,15 @@ def quality_rules_sql() -> str:
                          length(text) - length(regexp_replace(text, '{symbols}', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
                          coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines FROM w LEFT JOIN covered USING (doc_id)),
       rates AS ({values}),
+      base AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted),
       sketches AS (SELECT lang, source, measure, (value >> {shift}) << {shift} AS bucket, count(*) AS n FROM rates
-                   WHERE doc_id IN (SELECT doc_id FROM counted WHERE n_words > 0) GROUP BY ALL),
+                   WHERE doc_id IN (SELECT doc_id FROM base WHERE NOT base_failed) GROUP BY ALL),
       {levels},
-      fences AS (SELECT q0.lang, q0.source, measure, {picked('q1')} AS q1, {picked('q3')} AS q3 FROM q0 JOIN q1 USING (lang, measure) JOIN q2 USING (measure)),
-      limits AS (SELECT *, greatest({quality_rules.FENCE} * (q3 - q1), {least}) AS reach FROM fences),
-      inside AS (SELECT doc_id, bool_and(value <= q3 + reach AND (r.measure NOT IN ({both}) OR value >= q1 - reach)) AS inside
-                 FROM rates r JOIN limits l ON r.lang IS NOT DISTINCT FROM l.lang AND r.source IS NOT DISTINCT FROM l.source AND r.measure = l.measure GROUP BY doc_id),
-      base AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
+      marks AS (SELECT q0.lang, q0.source, measure, {marks} FROM q0 JOIN q1 USING (lang, measure) JOIN q2 USING (measure)),
+      tops AS (SELECT *, CASE WHEN q1 = q3 AND t3 IS NOT NULL THEN t3 ELSE q3 END AS top, CASE WHEN q1 = q3 AND t3 IS NOT NULL THEN t3 - t1 ELSE q3 - q1 END AS spread FROM marks),
+      limits AS (SELECT *, top + greatest({quality_rules.FENCE} * spread, {width('top')}) AS high, q1 - greatest({quality_rules.FENCE} * (q3 - q1), {width('q1')}) AS low FROM tops),
+      inside AS (SELECT doc_id, bool_and(value <= high AND (r.measure NOT IN ({both}) OR value >= low)) AS inside
+                 FROM rates r JOIN limits l ON r.lang IS NOT DISTINCT FROM l.lang AND r.source IS NOT DISTINCT FROM l.source AND r.measure = l.measure GROUP BY doc_id)
     SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
            CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, true) AS kept FROM base LEFT JOIN inside USING (doc_id)"""
 

@@ -2,8 +2,10 @@
 
 Every document is measured once. The measures of a group (language and source) go into a mergeable quantile sketch: counts of
 values in buckets of a relative width of 1/32, which add up in any order, so that lost and repeated tasks change nothing.
-Quartiles read from the sketches give fences per group; groups with few documents use the merged sketch of
-their language, and languages with few documents that of the whole corpus. A join then filters the documents.
+Quartiles read from the sketches give fences per group: three interquartile ranges beyond the quartiles or, for a measure that most documents
+have the same value of, beyond the quartiles of the values above that. No fence is fixed; the least distance is the width of a bucket.
+Groups with few documents use the merged sketch of their language, and languages with few documents that of the whole corpus.
+A join then filters the documents.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ FENCE = 3
 WHITE = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 
-#: measure: whether low values are fenced too, and the least distance of a fence from its quartile
-MEASURES = {"word_size": (True, 2000), "symbol_rate": (False, 50), "dup_line_rate": (False, 300), "repeat_rate": (False, 300)}
+#: measure: whether low values are fenced too
+MEASURES = {"word_size": True, "symbol_rate": False, "dup_line_rate": False, "repeat_rate": False}
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -109,50 +111,63 @@ def bucket(value: str) -> Column:
     return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
 
 
+def width(value: Column) -> Column:
+    """The width of the value's bucket."""
+    return F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - BUCKET_BITS, F.lit(0))).cast("long")
+
+
 def sketch(measures: DataFrame) -> DataFrame:
-    """``lang, source, measure, bucket, n``: a quantile sketch per group over all documents that have words.
+    """``lang, source, measure, bucket, n``: a quantile sketch per group over all documents that pass the base rules.
 
     Sketches merge by adding ``n``; Spark adds up within each task before it shuffles, so a hot source costs no more than
     another.
     """
     found = F.array(*[F.struct(F.lit(name).alias("measure"), value.alias("value")) for name, value in rates().items()])
-    rows = measures.filter("n_words > 0").select("lang", "source", F.inline(found))
+    rows = measures.filter(~base_failed()).select("lang", "source", F.inline(found))
     return rows.groupBy("lang", "source", "measure", bucket("value").alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """The documents and the quartiles of each group's sketch, merged over what ``keys`` leave out."""
+    """The documents and the quartiles of each group's sketch, merged over what ``keys`` leave out; ``t1`` and ``t3`` are those of the values above ``q3``, if any."""
     group = [*keys, "measure"]
     rows = sketches.groupBy(*group, "bucket").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy(*group)
+    w = Window.partitionBy(*group)  # the buckets of a measure, a few hundred at most
     rows = rows.select(*group, "bucket", F.sum("n").over(w).alias("total"), F.sum("n").over(w.orderBy("bucket")).alias("upto"))
-    low, high = F.col("upto") * 4 >= F.col("total"), F.col("upto") * 4 >= F.col("total") * 3
-    at = F.col("bucket")
-    return rows.groupBy(*group).agg(F.max("total").alias("total"), F.min(F.when(low, at)).alias("q1"), F.min(F.when(high, at)).alias("q3"))
+    at, upto, total = F.col("bucket"), F.col("upto"), F.col("total")
+    rows = rows.withColumn("q1", F.min(F.when(upto * 4 >= total, at)).over(w)).withColumn("q3", F.min(F.when(upto * 4 >= total * 3, at)).over(w))
+    rows = rows.withColumn("body", F.max(F.when(at <= F.col("q3"), upto)).over(w))
+    above, tail = F.when(at > F.col("q3"), (upto - F.col("body")) * 4), total - F.col("body")
+    return rows.groupBy(*group).agg(
+        F.max("total").alias("total"), F.max("q1").alias("q1"), F.max("q3").alias("q3"),
+        F.min(F.when(above >= tail, at)).alias("t1"), F.min(F.when(above >= tail * 3, at)).alias("t3"),
+    )
 
 
 def thresholds(sketches: DataFrame) -> DataFrame:
     """``lang, source`` and, for every measure, the bounds ``<measure>_low`` and ``<measure>_high``; one row per group."""
+    marks = ["q1", "q3", "t1", "t3"]
     levels = [quartiles(sketches, keys) for keys in (["lang", "source"], ["lang"], [])]
-    found = levels[0].withColumnsRenamed({"total": "_t0", "q1": "_q10", "q3": "_q30"})
+    found = levels[0].withColumnsRenamed({"total": "_total0"} | {m: f"_{m}0" for m in marks})
     for i, keys in ((1, ["lang"]), (2, [])):
-        wider = levels[i].withColumnsRenamed({c: f"_k_{c}" for c in [*keys, "measure"]} | {"total": f"_t{i}", "q1": f"_q1{i}", "q3": f"_q3{i}"})
+        wider = levels[i].withColumnsRenamed({c: f"_k_{c}" for c in [*keys, "measure"]} | {"total": f"_total{i}"} | {m: f"_{m}{i}" for m in marks})
         on = found["measure"] == wider["_k_measure"]
         for k in keys:
             on &= found[k].eqNullSafe(wider[f"_k_{k}"])
         found = found.join(wider, on).drop("_k_measure", *[f"_k_{k}" for k in keys])
 
-    def pick(q: str) -> Column:
-        return F.when(F.col("_t0") >= MIN_GROUP, F.col(f"_{q}0")).when(F.col("_t1") >= MIN_GROUP, F.col(f"_{q}1")).otherwise(F.col(f"_{q}2"))
+    def pick(mark: str) -> Column:
+        return F.when(F.col("_total0") >= MIN_GROUP, F.col(f"_{mark}0")).when(F.col("_total1") >= MIN_GROUP, F.col(f"_{mark}1")).otherwise(F.col(f"_{mark}2"))
 
-    q1, q3 = pick("q1"), pick("q3")
+    found = found.select("lang", "source", "measure", *[pick(m).alias(m) for m in marks])
+    q1, q3, t1, t3 = (F.col(m) for m in marks)
+    flat = (q1 == q3) & t3.isNotNull()
+    top, spread = F.when(flat, t3).otherwise(q3), F.when(flat, t3 - t1).otherwise(q3 - q1)
     columns = []
-    for name, (both, least) in MEASURES.items():
-        reach = F.greatest(FENCE * (q3 - q1), F.lit(least))
+    for name, both in MEASURES.items():
         mine = F.col("measure") == name
-        columns.append(F.max(F.when(mine, q3 + reach)).alias(f"{name}_high"))
+        columns.append(F.max(F.when(mine, top + F.greatest(FENCE * spread, width(top)))).alias(f"{name}_high"))
         if both:
-            columns.append(F.max(F.when(mine, q1 - reach)).alias(f"{name}_low"))
+            columns.append(F.max(F.when(mine, q1 - F.greatest(FENCE * (q3 - q1), width(q1)))).alias(f"{name}_low"))
     return found.groupBy("lang", "source").agg(*columns)
 
 
@@ -163,7 +178,7 @@ def judge(measures: DataFrame, limits: DataFrame) -> DataFrame:
     inside = F.lit(True)
     for name, value in rates().items():
         inside &= value <= F.col(f"{name}_high")
-        if MEASURES[name][0]:
+        if MEASURES[name]:
             inside &= value >= F.col(f"{name}_low")
     joined = measures.join(limits, on, "left")
     return joined.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & F.coalesce(inside, F.lit(True))}).select(

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from conftest import SF
 
-from corpusloom.llm import components, license_scan, near_join, quality_classifier, quality_rules, queries, suffix_array, suffix_dedup
+from corpusloom.llm import common, components, license_scan, near_join, quality_classifier, quality_rules, queries, suffix_array, suffix_dedup
 
 CLASH = "doc_id long, text string, lang string, source string, n_chars long, n int, tag string, h long, k long, bands string, words int"
 
@@ -93,10 +93,11 @@ def test_dedup_repeated_and_null_keys(spark):
     check_dedup(spark, [one, one, two, two[:500], "short"], ids=[7, 7, 7, None, None])
 
 
-@pytest.mark.parametrize("group", [1, 3])
-def test_dedup_of_hot_passages(spark, monkeypatch, group):
-    """Few texts per group, so that cores and windows are split too."""
+@pytest.mark.parametrize("group, shares", [(1, 4096), (3, 4096), (1, 8), (3, 3)])
+def test_dedup_of_hot_passages(spark, monkeypatch, group, shares):
+    """Few texts per group, so that cores and windows are split too; hot hashes are joined apart from the others."""
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    monkeypatch.setattr(common, "SHARES", shares)
     passage = noise(30, 470)
     check_dedup(spark, repeat_cases() + [noise(100 + i, 20 + 11 * i % 90) + passage[i % 3 :] + noise(200 + i // 2, 300) for i in range(14)])
 
@@ -164,39 +165,75 @@ def test_measures(spark):
     assert quality_rules.quality_rules(frame(spark, ["a"]).limit(0)).collect() == []
 
 
-def test_op3_against_plain_fences(spark, docs):
-    info = {r.doc_id: r for r in docs.collect()}
+def plain_rates(text):
+    n, chars, symbols, dup, rep = plain_measures(text)
+    n_lines = len([x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
+    return {
+        "word_size": chars * 1000 // max(n, 1), "symbol_rate": symbols * 1000 // max(chars, 1), "dup_line_rate": dup * 1000 // max(n_lines, 1), "repeat_rate": rep * 1000 // max(n, 1)
+    }
+
+
+def plain_fence(values, low):
+    """The bounds that a list of values gives: three interquartile ranges, of the tail where the quartiles are equal, and a bucket's width at least."""
+    width = lambda v: 1 << max(0, v.bit_length() - quality_rules.BUCKET_BITS)
+    values = sorted(v // width(v) * width(v) for v in values)
+    part = lambda vs, k: vs[-(-len(vs) * k // 4) - 1]
+    q1, q3 = part(values, 1), part(values, 3)
+    top, spread = q3, q3 - q1
+    if q1 == q3 and (tail := [v for v in values if v > q3]):
+        top, spread = part(tail, 3), part(tail, 3) - part(tail, 1)
+    return q1 - max(quality_rules.FENCE * (q3 - q1), width(q1)) if low else -1, top + max(quality_rules.FENCE * spread, width(top))
+
+
+def check_rules(rows, info):
+    """``info``: id to row with text, lang and source."""
+    rates = {i: plain_rates(r.text) for i, r in info.items()}
+    failed = {i: (m := plain_measures(r.text))[0] < 20 or 100 * m[4] > 30 * m[0] for i, r in info.items()}
     groups = defaultdict(list)
-    rates = {}
     for i, r in info.items():
-        n, chars, symbols, dup, rep = plain_measures(r.text)
-        n_lines = len([x for x in r.text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
-        rates[i] = {
-            "word_size": chars * 1000 // max(n, 1), "symbol_rate": symbols * 1000 // max(chars, 1), "dup_line_rate": dup * 1000 // max(n_lines, 1), "repeat_rate": rep * 1000 // max(n, 1)
-        }
-        if n:
+        if not failed[i]:
             for key in ((r.lang, r.source), (r.lang,), ()):
                 groups[key].append(rates[i])
-
-    def quartile(key, name, part):
-        shift = lambda v: max(0, v.bit_length() - quality_rules.BUCKET_BITS)
-        values = sorted(x[name] >> shift(x[name]) << shift(x[name]) for x in groups[key])
-        return values[-(-len(values) * part // 4) - 1]
-
-    for r in queries.op3(spark, SF).collect():
+    for r in rows:
         doc = info[r.doc_id]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_measures(doc.text)
         inside = True
-        for name, (low, least) in quality_rules.MEASURES.items():
+        if groups[doc.lang, doc.source]:
             key = next((k for k in ((doc.lang, doc.source), (doc.lang,)) if len(groups[k]) >= quality_rules.MIN_GROUP), ())
-            if groups[key]:
-                q1, q3 = quartile(key, name, 1), quartile(key, name, 3)
-                reach = max(quality_rules.FENCE * (q3 - q1), least)
-                inside &= rates[r.doc_id][name] <= q3 + reach and (not low or rates[r.doc_id][name] >= q1 - reach)
-        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+            for name, low in quality_rules.MEASURES.items():
+                least, most = plain_fence([x[name] for x in groups[key]], low)
+                inside &= least <= rates[r.doc_id][name] <= most
+        assert r.base_failed == failed[r.doc_id]
         assert r.kept == (inside and not r.base_failed)
 
 
+def test_op3_against_plain_fences(spark, docs):
+    check_rules(queries.op3(spark, SF).collect(), {r.doc_id: r for r in docs.collect()})
+
+
+def test_fences_follow_their_group(spark):
+    """Two sources with fences of their own: what one keeps the other rejects, repeated words below the base rule's share included."""
+    rng = np.random.default_rng(3)
+    vocabulary = [f"word{i:04d}" for i in range(3000)]
+
+    def text(n_repeats, size=200):
+        words = list(rng.choice(vocabulary, size))
+        words[:8] = words[8:16] = vocabulary[:8]  # eight words twice: 80 of a thousand
+        for k in range(n_repeats - 1):
+            words[16 + 8 * k : 24 + 8 * k] = vocabulary[:8]
+        return " ".join(words)
+
+    rows = [(i, " ".join(rng.choice(vocabulary, 200)), "en", "tidy") for i in range(80)] + [(100 + i, text(1 + i % 2, 300), "en", "tidy") for i in range(10)]
+    rows += [(200 + i, text(1 + i % 6), "en", "loose") for i in range(90)]
+    rows += [(400, text(5), "en", "tidy"), (401, text(5), "en", "loose"), (402, text(1), "en", "rare"), (403, "x y", "en", "tidy"), (404, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    check_rules(got.values(), {r.doc_id: r for r in df.collect()})
+    limits = {r.source: r for r in quality_rules.thresholds(quality_rules.sketch(quality_rules.measure(df))).collect()}
+    assert limits["tidy"].repeat_rate_high < 300 and limits["tidy"].repeat_rate_high != limits["loose"].repeat_rate_high
+    assert not got[400].base_failed and not got[400].kept and got[401].kept
+
+
 # --- near copies -----------------------------------------------------------------------------------
 
 
