@@ -30,12 +30,19 @@ def strip(text: Column | str) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def pieces(text: Column | str) -> Column:
-    """The text cut by the split pattern; the pieces join back to the whole text.
+def split_pattern(digits: int = 2) -> str:
+    """The split pattern with groups of up to ``digits`` digits."""
+    if digits < 1:
+        raise ValueError("a group has at least one digit")
+    return SPLIT_PATTERN.replace(r"\p{N}{1,2}", rf"\p{{N}}{{1,{digits}}}")
+
+
+def pieces(text: Column | str, pattern: str = SPLIT_PATTERN) -> Column:
+    """The text cut by the split pattern; the pieces join back to the whole text, which any other pattern must see to.
 
     ``(?U)`` makes ``\\s`` cover all Unicode white space.
     """
-    return F.regexp_extract_all(text, F.lit("(?U)" + SPLIT_PATTERN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(0))
 
 
 def byte_symbols(text: Column | str) -> Column:

@@ -5,6 +5,8 @@ a merge is a plain string replacement and pair counts are one aggregation. Only
 vocabulary size bounds, ever reach the driver.
 """
 
+from __future__ import annotations
+
 import json
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -45,10 +47,10 @@ Pair = tuple[int, int]
 # --- counting --------------------------------------------------------------------------------------
 
 
-def piece_counts(docs: DataFrame, text: str | Column = "text") -> DataFrame:
-    """Occurrences of every distinct piece; counted inside the map tasks first."""
+def piece_counts(docs: DataFrame, text: str | Column = "text", pattern: str = tx.SPLIT_PATTERN) -> DataFrame:
+    """Occurrences of every distinct piece that ``pattern`` cuts; counted inside the map tasks first."""
     # for a plain explode Spark also filters on the list being non-empty, and cuts the text twice for it
-    pieces = docs.select(F.explode_outer(tx.pieces(text)).alias("piece")).filter("piece IS NOT NULL")
+    pieces = docs.select(F.explode_outer(tx.pieces(text, pattern)).alias("piece")).filter("piece IS NOT NULL")
     return pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -330,10 +332,10 @@ def merge_table(spark: SparkSession, merges: list[tuple[int, int]]) -> DataFrame
     return spark.createDataFrame([(i, a, b, 256 + i) for i, (a, b) in enumerate(merges)], MERGE_SCHEMA)
 
 
-def save_tokenizer(spark: SparkSession, merges: list[tuple[int, int]], path: str, mode: str = "errorifexists") -> None:
+def save_tokenizer(spark: SparkSession, merges: list[tuple[int, int]], path: str, mode: str = "errorifexists", pattern: str = tx.SPLIT_PATTERN) -> None:
     vocab_table(spark, merges).coalesce(1).write.mode(mode).parquet(f"{path}/vocab")
     merge_table(spark, merges).coalesce(1).write.mode(mode).parquet(f"{path}/merges")
-    config = json.dumps({"pattern": tx.SPLIT_PATTERN})
+    config = json.dumps({"pattern": pattern})
     spark.createDataFrame([(config,)], "value string").coalesce(1).write.mode(mode).text(f"{path}/config")
 
 
@@ -342,6 +344,12 @@ def load_merges(spark: SparkSession, path: str) -> list[tuple[int, int]]:
     return [(r["left_id"], r["right_id"]) for r in rows]
 
 
+def load_tokenizer(spark: SparkSession, path: str) -> BpeTokenizer:
+    """The tokenizer that :func:`save_tokenizer` wrote, with its split pattern."""
+    (config,) = spark.read.text(f"{path}/config").collect()
+    return BpeTokenizer(load_merges(spark, path), pattern=json.loads(config["value"])["pattern"])
+
+
 def special_id(vocab: DataFrame, name: str) -> int:
     row = vocab.filter(F.col("is_special") & (F.col("name") == name)).first()
     if row is None:
@@ -422,7 +430,8 @@ class BpeTokenizer:
     ids together by array operations. Merges and tokens go to the tasks with the function; their size is checked.
     """
 
-    def __init__(self, merges: list[tuple[int, int]], memory: int = 1 << 20):
+    def __init__(self, merges: list[tuple[int, int]], memory: int = 1 << 20, pattern: str = tx.SPLIT_PATTERN):
+        self.pattern = pattern
         self.merges = [tuple(m) for m in merges]
         self.n_base = 256 + len(self.merges)
         if (size := sum(token_sizes(self.merges))) > VOCAB_BYTES:
@@ -464,7 +473,7 @@ class BpeTokenizer:
 
     def encode(self, text: Column | str, prepend: int | None = None, append: int | None = None) -> Column:
         """Ids of the text; special token strings in it are plain text."""
-        ids = self._encode(tx.pieces(text))
+        ids = self._encode(tx.pieces(text, self.pattern))
         parts = [F.array(F.lit(prepend))] if prepend is not None else []
         parts.append(ids)
         if append is not None:
@@ -472,7 +481,7 @@ class BpeTokenizer:
         return F.concat(*parts) if len(parts) > 1 else ids
 
     def encode_each(self, texts: Column) -> Column:
-        return self._encode_nested(F.transform(texts, lambda t: tx.pieces(t)))
+        return self._encode_nested(F.transform(texts, lambda t: tx.pieces(t, self.pattern)))
 
     def decode(self, ids: Column | str) -> Column:
         return self._decode(ids)
@@ -481,7 +490,7 @@ class BpeTokenizer:
         """Make ``name(text)`` callable from SQL, and ``name_each(texts)`` for lists of texts."""
         spark.udf.register(f"{name}_pieces", self._encode)
         spark.udf.register(f"{name}_nested", self._encode_nested)
-        cut = f'regexp_extract_all(t, r"(?U){tx.SPLIT_PATTERN}", 0)'
+        cut = f'regexp_extract_all(t, r"(?U){self.pattern}", 0)'
         made = "CREATE OR REPLACE TEMPORARY FUNCTION"
         spark.sql(f"{made} {name}(t STRING) RETURNS ARRAY<INT> RETURN {name}_pieces({cut})")
         spark.sql(f"{made} {name}_each(ts ARRAY<STRING>) RETURNS ARRAY<ARRAY<INT>> RETURN {name}_nested(transform(ts, t -> {cut}))")

@@ -199,3 +199,24 @@ def test_large_vocabulary(spark):
     assert all(r["is_whole"] for r in encoded) and sum(r["n_tokens"] for r in encoded) == sum(n_tokens.values()) + docs.count()
     for r in plans.QUERIES["vocab_compression"](spark, SF).collect():
         assert (r["n_tokens"], r["n_bytes"], r["n_broken"]) == (n_tokens[r["lang"]], n_bytes[r["lang"]], 0)
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_digit_groups_are_a_choice(spark, tmp_path, digits):
+    """The pattern goes through counting, encoding, SQL and the store."""
+    tiktoken = pytest.importorskip("tiktoken")
+    pattern = tx.split_pattern(digits)
+    df = spark.createDataFrame([(i, t + " 1234567 89") for i, t in enumerate(TEXTS)], "i int, text string")
+    counts = dict(map(tuple, bpe.piece_counts(df, pattern=pattern).collect()))
+    assert max(len(p) for p in counts if p.isnumeric()) == digits
+    merges = train(counts, 40)
+    bpe.save_tokenizer(spark, merges, str(tmp_path / "t"), pattern=pattern)
+    tok = bpe.load_tokenizer(spark, str(tmp_path / "t"))
+    enc = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks={b: i for i, b in enumerate(bpe.token_bytes(merges))}, special_tokens={})
+    tok.register(spark, "digit_encode")
+    df.createOrReplaceTempView("digit_texts")
+    for r in spark.sql("SELECT text, digit_encode(text) AS by_sql FROM digit_texts").select("text", "by_sql", tok.encode("text").alias("ids")).collect():
+        assert r["ids"] == r["by_sql"] == enc.encode_ordinary(r["text"])
+    assert tx.split_pattern(2) == tx.SPLIT_PATTERN
+    with pytest.raises(ValueError, match="digit"):
+        tx.split_pattern(0)
