@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.det import draw_index
 from corpusloom.operators.prefix import prefix_sums
+from corpusloom.session import materialize
 
 PACKED_SCHEMA = "pack_group long, row_id long, ids array<int>, doc_ids array<long>, n_cropped long"
 
@@ -200,6 +201,74 @@ def bestfit_pack(
     return rows.mapInArrow(pack, PACKED_SCHEMA)
 
 
+def pack_part(
+    docs: DataFrame,
+    order: str,
+    ids: Column | str,
+    width: int,
+    group: Column,
+    state: DataFrame | None = None,
+    last: bool = False,
+    buffer: int = 1000,
+    refill: int = 128,
+    crop: str = "shortest",
+) -> tuple[DataFrame, DataFrame]:
+    """Pack one part of a corpus: the rows that it completes, and the state of every group for the next part.
+
+    Parts that follow each other along ``order`` give the rows of :func:`bestfit_pack` over all of them, wherever the corpus was cut. ``state`` is what the
+    part before returned; both tables are in the shared folder, so a job can stop between two parts. ``last`` ends the input.
+    A group's state is its buffer and open row, bounded by ``buffer`` and ``refill``.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, current, n = None, None, 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if packer is not None:
+                rows = [(current, n + i, *row) for i, row in enumerate(packer.finish() if last else [])]
+                if rows:
+                    yield _with_state(_packed_batch(rows), [None] * len(rows))
+                yield _with_state(_packed_batch([(current, n + len(rows), None, None, None)]), [packer.dump()])
+
+        for batch in batches:
+            rows = []
+            columns = (batch.column(c) for c in ("pack_group", "doc", "ids", "state", "n_rows"))
+            for g, doc, tokens, data, before in zip(*columns):
+                if packer is None or g.as_py() != current:
+                    if rows:
+                        yield _with_state(_packed_batch(rows), [None] * len(rows))
+                        rows = []
+                    yield from close()
+                    packer, current, n = Packer(width + 1, buffer, refill, crop), g.as_py(), 0
+                if data.is_valid:  # comes before the group's sequences
+                    packer, n = Packer.load(data.as_py()), before.as_py()
+                elif tokens.is_valid and len(tokens.values):
+                    for row in packer.push(doc.as_py(), tokens.values.to_numpy()):
+                        rows.append((current, n, *row))
+                        n += 1
+            if rows:
+                yield _with_state(_packed_batch(rows), [None] * len(rows))
+        yield from close()
+
+    tokens = F.col(ids) if isinstance(ids, str) else ids
+    rows = docs.withColumns({"pack_group": group.cast("long"), "doc": F.col(order).cast("long"), "state": F.lit(None).cast("binary"), "n_rows": F.lit(None).cast("long")})
+    source = [c for c in docs.columns if c not in ("pack_group", "doc", "state", "n_rows")]
+    rows = rows.select("pack_group", "doc", "state", "n_rows", F.struct(*source).alias("_row"))
+    if state is not None:
+        kind = rows.schema["_row"].dataType
+        rows = rows.unionByName(state.select("pack_group", F.lit(None).cast("long").alias("doc"), "state", "n_rows", F.lit(None).cast(kind).alias("_row")))
+    # the ids are worked out after the shuffle, which moves texts
+    rows = rows.repartition("pack_group").sortWithinPartitions("pack_group", F.col("state").isNull(), "doc")
+    rows = rows.select("pack_group", "doc", "state", "n_rows", "_row.*").select("pack_group", "doc", F.when(F.col("state").isNull(), tokens).alias("ids"), "state", "n_rows")
+    found = materialize(rows.mapInArrow(pack, f"{PACKED_SCHEMA}, state binary"), "packed-part")
+    packed = found.filter("state IS NULL").drop("state")
+    return packed, found.filter("state IS NOT NULL").select("pack_group", F.col("row_id").alias("n_rows"), "state")
+
+
+def _with_state(batch: pa.RecordBatch, state: list[bytes | None]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(state, pa.binary())], [*batch.schema.names, "state"])
+
+
 def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()]
     names = [x.split()[0] for x in PACKED_SCHEMA.split(", ")]

@@ -344,6 +344,20 @@ def bestfit_pack(spark, sf):
     return shown(packed(spark, sf))
 
 
+@query("pack_in_parts", f"WITH RECURSIVE {PACKED} SELECT {SHOWN} FROM packed")
+def pack_in_parts(spark, sf):
+    """The rows of one run, from three that go on from each other's state."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    cuts = [low, low + (high - low) // 5, low + (high - low) // 2, high + 1]
+    state, parts = None, []
+    for begin, end in zip(cuts, cuts[1:]):
+        part = docs.filter((F.col("doc_id") >= begin) & (F.col("doc_id") < end))
+        rows, state = pack.pack_part(part, "doc_id", byte_ids(), T, pack.pack_groups(PACKERS, "doc_id"), state, last=end > high)
+        parts.append(rows)
+    return shown(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
 @query(
     "bestfit_pack_conv",
     f"""WITH RECURSIVE {MERGED}, {sql_rendered('merged')}, conv AS (SELECT conv_id AS key, ids FROM rendered),

@@ -103,3 +103,19 @@ def test_rates(spark):
     packed = spark.createDataFrame([(0, 0, [1] * 5, [1], 3), (0, 1, [1] * 5, [2], 0)], pack.PACKED_SCHEMA)
     r = pack.packing_rates(packed, 15, 4).first()
     assert (r["utilization"], r["padding"], r["n_leftover"]) == (1.0, 0.0, 2) and r["crop"] == pytest.approx(3 / 13)
+
+
+@pytest.mark.parametrize("crop", ["shortest", "first"])
+def test_parts_go_on_from_each_other(spark, crop):
+    """However the corpus is cut, also in parts that some groups have no rows in."""
+    docs = random_docs(8, 160, 40)
+    df = spark.createDataFrame(docs, "doc_id long, ids array<int>").repartition(3)
+    group = F.col("doc_id") % 4
+    whole = sorted(map(tuple, pack.bestfit_pack(df, "doc_id", "ids", 20, group, 10, 4, crop).collect()))
+    for cuts in ([0, 160], [0, 3, 3, 90, 160], [0, 80, 158, 160]):
+        state, got = None, []
+        for low, high in zip(cuts, cuts[1:]):
+            rows, state = pack.pack_part(df.filter(f"doc_id >= {low} AND doc_id < {high}"), "doc_id", "ids", 20, group, state, high == 160, 10, 4, crop)
+            got += map(tuple, rows.collect())
+        assert sorted(got) == whole
+    assert pack.pack_part(df.limit(0), "doc_id", "ids", 20, group, last=True)[0].collect() == []
