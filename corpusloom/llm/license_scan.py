@@ -2,7 +2,7 @@
 
 All rolling word k-grams of all documents are joined, by hash, with the places where the templates hold the same k-gram. A
 match votes for its diagonal, the place in the document minus the place in the template. Neighbouring diagonals, which
-a few added or left out words make, are merged; what is left are spans of a document that follow a template. A span counts if
+added or left out words make, are merged, the farther apart the longer the template is; what is left are spans of a document that follow a template. A span counts if
 its matched words cover enough of the template and of the span itself.
 """
 
@@ -20,8 +20,9 @@ from corpusloom.llm.common import map_batches, sliced
 from corpusloom.session import materialize
 
 GRAM = 4
-#: diagonals so far apart, or closer, belong to one span
+#: diagonals so far apart, or closer, belong to one span: as many words, or such a part of the template's
 DIAGONAL_GAP = 3
+GAP_PART = 0.25
 #: parts of the template and of the span that matched words must cover
 MIN_TEMPLATE = 0.6
 MIN_SPAN = 0.6
@@ -37,31 +38,120 @@ PHRASE_SCORE = 0.5
 # fixed values: phrases and labels
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# fixed values: texts of public licences and notices, by label
-TEMPLATES = {
+# fixed values: sections of the texts of public licences, and notices, by label; a section found alone tells the licence too
+SECTIONS = {
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
         "(the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+        "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+        "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may "
+        "obtain a copy of the License at",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions "
+        "and limitations under the License.",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+        "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+        "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+        "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+        "You can obtain one at",
+    ],
+    "zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute "
+        "it freely, subject to the following restrictions",
+    ],
+    "boost": [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation "
+        "covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+        "works of the Software",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
     ],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0."],
     "cc-by": ["Licensed under CC BY 4.0."],
 }
 
+# fixed values: names that stand for a licence wherever they are, and names that do with a version; licences whose notices are those of another
+# one but for the name are told by the name alone
+NAMES = {
+    "gpl": ["GNU General Public License"],
+    "lgpl": ["GNU Lesser General Public License", "GNU Library General Public License"],
+    "agpl": ["GNU Affero General Public License"],
+    "mpl": ["under the Mozilla Public License"],
+    "isc": ["under the ISC License"],
+    "bsd": ["BSD 2-Clause License", "BSD 3-Clause License", "under the BSD License"],
+    "cc0": ["CC0 1.0 Universal"],
+}
+CC = ["1.0", "2.0", "2.5", "3.0", "4.0"]
+VERSIONED = {
+    "apache": (["Apache License"], ["1.1", "2.0"]),
+    "mpl": (["Mozilla Public License"], ["1.1", "2.0"]),
+    "epl": (["Eclipse Public License"], ["1.0", "2.0"]),
+    "boost": (["Boost Software License"], ["1.0"]),
+    "cc-by": (["CC BY", "Creative Commons Attribution"], CC),
+    "cc-by-sa": (["CC BY-SA", "Creative Commons Attribution-ShareAlike"], CC),
+    "cc-by-nd": (["CC BY-ND", "Creative Commons Attribution-NoDerivatives"], CC),
+    "cc-by-nc": (["CC BY-NC", "Creative Commons Attribution-NonCommercial"], CC),
+    "cc-by-nc-sa": (["CC BY-NC-SA", "Creative Commons Attribution-NonCommercial-ShareAlike"], CC),
+    "cc-by-nc-nd": (["CC BY-NC-ND", "Creative Commons Attribution-NonCommercial-NoDerivatives"], CC),
+}
+
+
+def dictionary() -> dict[str, list[str]]:
+    """All sections, names and versioned names by label."""
+    out = {label: list(bodies) for label, bodies in SECTIONS.items()}
+    for label, names in NAMES.items():
+        out.setdefault(label, []).extend(names)
+    for label, (names, versions) in VERSIONED.items():
+        joints = ["{} {}"] if label.startswith("cc-") else ["{} {}", "{} v{}", "{} version {}"]
+        out.setdefault(label, []).extend(joint.format(name, v) for name in names for v in versions for joint in joints)
+    return out
+
+
+TEMPLATES = dictionary()
+
 # lower case for A-Z, a blank for all that is no word character; bytes from 0x80 on belong to words
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -145,7 +235,8 @@ def spans(rows: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataF
     # the places on a diagonal: at most as many as the template has
     lines = votes.groupBy(*where, "diagonal").agg(F.sort_array(F.collect_set("t")).alias("ts"))
     w = Window.partitionBy(*where).orderBy("diagonal")
-    new = (F.col("diagonal") - F.lag("diagonal").over(w) <= DIAGONAL_GAP).cast("int")
+    gap = F.greatest(F.lit(float(DIAGONAL_GAP)), GAP_PART * F.col("template_words"))
+    new = (F.col("diagonal") - F.lag("diagonal").over(w) <= gap).cast("int")
     lines = lines.withColumn("_new", 1 - F.coalesce(new, F.lit(0)))
     lines = lines.withColumn("cluster", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     steps = lambda c: F.flatten(F.transform(c, lambda x: F.transform(F.array(*[F.lit(i) for i in range(GRAM)]), lambda i: x + i)))

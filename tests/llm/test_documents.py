@@ -371,7 +371,7 @@ def plain_spans_of_template(text, body):
                 lines[i - j].add(j)
     clusters, last = [], None
     for d in sorted(lines):
-        if last is None or d - last > license_scan.DIAGONAL_GAP:
+        if last is None or d - last > max(license_scan.DIAGONAL_GAP, license_scan.GAP_PART * len(t)):
             clusters.append((set(), set()))
         clusters[-1][0].update(j + x for j in lines[d] for x in range(k))
         clusters[-1][1].update(j + d + x for j in lines[d] for x in range(k))
@@ -431,3 +431,23 @@ def test_op9_on_held_out_rows(spark):
     auc = (order[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
     assert auc > 0.9, auc
     assert np.mean([r.predicted for r in rows if r.quality == 1]) > 0.95
+
+
+def test_whole_licences_and_names(spark):
+    """Sections alone, names without and with versions, and a section that ten words were put into."""
+    mit, bsd = license_scan.SECTIONS["mit"], license_scan.SECTIONS["bsd"]
+    permission = mit[1].split()
+    widened = " ".join([*permission[:30], *(f"added{i}" for i in range(10)), *permission[30:]])
+    rows = [
+        "Licensed under CC BY-NC 3.0.", "CC BY-SA 4.0", "Mozilla Public License 2.0", "before " * 40 + mit[3] + " after" * 40, bsd[1], widened,
+        "the GNU Lesser General Public License", "Apache License, Version 2.0", "released under the mozilla public license", "Creative Commons Attribution-ShareAlike 2.5",
+        " ".join(bsd), "cc by", "a public license of ours", "in no event shall the authors be there",
+    ]
+    got = {r.doc_id: r for r in license_scan.scan(frame(spark, rows)).collect()}
+    assert [got[i].labels for i in range(len(rows))] == [
+        ["cc-by-nc"], ["cc-by-sa"], ["mpl"], ["mit"], ["bsd"], ["mit"], ["gpl", "lgpl"], ["apache"], ["mpl"], ["cc-by-sa"], ["bsd"], [], [], [],
+    ]
+    assert [(s.start, s.stop) for s in got[3].spans] == [(40, 40 + len(license_scan.words_of(mit[3])))]
+    assert (got[5].spans[0].start, got[5].spans[0].stop) == (0, len(license_scan.words_of(widened)))
+    # the section on source code is also found, in part, in that on binary forms
+    assert len(license_scan.TEMPLATES) > 15 and sum(s.coverage == 1 for s in got[10].spans) == 5
