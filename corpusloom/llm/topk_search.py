@@ -84,7 +84,7 @@ def top_k(vectors: DataFrame, is_query, k: int, scale: int = 1024, key: str = "v
 
     Scores are inner products of ``floor(scale * x)``, ties go to the smaller id; a query with fewer candidates gets all. Vectors that
     are null, without an id, or hold null or non-finite components take no part; vectors are compared with
-    those of their own length. A repeated id is a candidate once per row, and a query once. Components beyond 2^27
+    those of their own length. A repeated id is a candidate once per row, and a query once, with the least of its vectors. Components beyond 2^27
     after scaling overflow as long arithmetic does. No rows give no rows.
 
     Queries go in blocks of ``QUERY_BLOCK``, so what a task gets is bounded; each block reads the candidates once.
@@ -96,7 +96,7 @@ def top_k(vectors: DataFrame, is_query, k: int, scale: int = 1024, key: str = "v
         mine = rows.filter(F.col("dim") == dim)
         chosen = mine.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
         pivots = np.array([r.vec for r in chosen], np.int64).reshape(-1, dim)
-        queries = materialize(mine.filter(is_query).select("vec_id", "vec").dropDuplicates(["vec_id"]), "topk-queries")
+        queries = materialize(mine.filter(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec")), "topk-queries")
         table = materialize(_pivot_table(mine, pivots, dim), "topk-pivots")
         bounds = _block_bounds(queries)
         for low, high in zip(bounds, bounds[1:]):

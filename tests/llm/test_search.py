@@ -78,7 +78,7 @@ def plain_top(vectors, k, scale=1024):
     out = []
     for q in good:
         if q % 100 == 0:
-            x = good[q][0]
+            x = min(good[q], key=list)
             found = sorted((-int(x @ y), i) for i, ys in good.items() if i != q for y in ys if len(y) == len(x))
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found[:k])]
     return sorted(out)
@@ -89,6 +89,7 @@ def test_top_k_odd_rows(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(1, 60)] + [(100, [0.5, 0.5, -0.25, 1.0]), (200, [0.5, 0.5, -0.25, 1.0]), (300, [0.0] * 4)]
     rows += [(400, None), (500, [nan, 0.0, 0.0, 0.0]), (600, [1.0, None, 0.0, 0.0]), (700, [inf, 0.0, 0.0, 0.0]), (None, [1.0] * 4), (800, [1.0, 2.0]), (801, [2.0, 1.0]), (900, [0.5, 0.5, -0.25, 1.0])]
+    rows += [(1000, [1.0, -2.0, 0.5, 0.0]), (1000, [1.0, -2.5, 3.0, 0.0]), (1000, [1.0, -2.0, 0.0, 9.0])]  # one id, several vectors
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, rank int, dim string")
     from pyspark.sql import functions as F
 
