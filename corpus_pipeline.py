@@ -5,9 +5,6 @@ All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +13,21 @@ from corpusloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
+#: bytes that a passage must share to be a repeat: fewer than 50 words of running text have, so that a passage of over 50 words is found
+REPEAT = 200
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be of quality."""
+    """Documents that the classifier predicts to be of quality.
+
+    Null and empty texts are scored like others, rows without an id too; of equal rows all stay or all go.
+    """
     scores = quality_classifier.quality_scores(_with_row(docs), queries.table(spark, sf_dir, "labels"), row="row")
     return _only(docs, scores.filter("predicted = 1").select("row")).select(*COLUMNS)
 
 
 def keep_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the adaptive rules keep."""
+    """Documents that the adaptive rules keep. A null text has no words, so its row goes; rows without an id are judged like others."""
     return _only(docs, quality_rules.quality_rules(_with_row(docs), row="row").filter("kept").select("row")).select(*COLUMNS)
 
 
@@ -40,20 +42,19 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without byte strings that occur elsewhere too; of a character that is cut in two both parts go."""
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("kept_columns")], ["doc_id", "text", "kept_columns"])
+    """Texts without byte strings of ``REPEAT`` bytes that occur elsewhere too; of a character that is cut in two both parts go.
 
-    rows = suffix_dedup.dedup(docs, keep=("lang", "source")).select("doc_id", "kept", "kept_columns")
-    rows = rows.mapInArrow(decode, "doc_id long, text string, kept_columns struct<lang:string,source:string>")
+    A null text becomes an empty one; a text that is all repeats stays as an empty one. Rows without an id are rows like others. No rows give no rows.
+    """
+    rows = suffix_dedup.dedup(docs, keep=("lang", "source"), length=REPEAT)
     return rows.select("doc_id", "text", "kept_columns.lang", "kept_columns.source", F.length("text").cast("long").alias("n_chars"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences."""
+    """The pieces of all documents with their places in sequences.
+
+    A null or empty text is a document of one end id. Rows without an id, or that share one, are packed like others. No rows give no rows.
+    """
     pieces = packing.token_pieces(docs, queries.vocabulary(), queries.SEQUENCE_TOKENS, queries.END_ID)
     return packing.pack(pieces, queries.SEQUENCE_TOKENS)
 
