@@ -6,7 +6,8 @@ neighbourhoods have an anchor of the same hash. Equal neighbourhoods are counted
 their number. The different texts that share an anchor come together in groups, and there their windows go by ``BLOCK``
 places: windows of a block have all but ``2 * BLOCK - 2`` bytes in common, the core, which stands as one symbol in
 the text of the block, and a suffix array of that text (:mod:`corpusloom.llm.suffix_array`) puts equal windows side by side.
-Groups of more than ``GROUP`` texts are split by their cores, and the few cores shared by more than that by single windows.
+Groups of more than ``GROUP`` texts are split by their cores; where more than that share a core, equal blocks count as one and the others go by
+single windows. Hashes that very many windows have are joined apart from the others.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_batches, sliced, stream_groups, text_bytes
+from corpusloom.llm.common import join_by_share, map_batches, sliced, stream_groups, text_bytes
 from corpusloom.llm.suffix_array import suffix_array
 from corpusloom.session import materialize
 
@@ -305,19 +306,28 @@ def cut(texts: DataFrame, length: int) -> DataFrame:
 def hot_spans(rows: DataFrame, length: int) -> DataFrame:
     """The repeated spans of blocks, whose cores any number of texts may share."""
     core = ["core", "core2"]
-    counts = rows.groupBy(*core).agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("m > 1 and _least = 1").drop("_least")
-    rows = materialize(rows.join(materialize(counts, "suffix-cores").hint("merge"), core), "suffix-blocks")
+    rows = materialize(rows, "suffix-blocks")
+    counts = rows.groupBy(*core).agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("m > 1 and _least = 1")
+    counts = materialize(counts.select(*core, "m", F.col("m").alias("_share")), "suffix-cores")
+    rows = materialize(join_by_share(rows, counts, core, "_share"), "suffix-shared-blocks")
     few = by_group(rows.filter(F.col("m") <= GROUP).withColumn("group", F.xxhash64(*core)), "group", split_cores, length)
-    # beyond that, single windows: equal ones have equal bytes on both sides of the core
-    t = F.explode(F.sequence("first", "last"))
-    windows = rows.filter(F.col("m") > GROUP).select("k", "pos", "n", "at", *core, "before", "after", t.alias("t"))
+    # beyond that, equal blocks count as one: where there are several all their windows are repeated
+    tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
+    block = [*core, "before", "after", "first", "last"]
+    many = rows.filter(F.col("m") > GROUP)
+    kinds = many.groupBy(*block).agg(F.sum("n").alias("n"), F.count("*").alias("_share"), F.min(F.struct("k", "pos", "at")).alias("one"))
+    kinds = materialize(kinds, "suffix-block-kinds")
+    same = join_by_share(many.filter("n = 1"), kinds.filter("n > 1").select(*block, "_share"), block, "_share")
+    same = same.select("k", tag.alias("tag"), (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("last") + length).alias("stop"))
+    # and the others go by single windows: equal ones have equal bytes on both sides of the core
+    windows = kinds.select("n", "one", *core, "before", "after", F.explode(F.sequence("first", "last")).alias("t"))
     sides = F.concat(F.expr("substring(before, t + 1)"), F.lit(b"|"), F.expr("substring(after, 1, t)"))
-    windows = windows.select("k", "pos", "n", "at", "t", F.md5(F.concat(F.encode(F.concat_ws(":", *core, "t"), "utf-8"), sides)).alias("w"))
+    windows = windows.select("n", "one.*", "t", F.md5(F.concat(F.encode(F.concat_ws(":", *core, "t"), "utf-8"), sides)).alias("w"))
     again = windows.groupBy("w").agg(F.sum("n").alias("_n")).filter("_n > 1").drop("_n")
-    many = windows.filter("n = 1").join(again.hint("merge"), "w")
-    tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
+    single = windows.filter("n = 1").join(again.hint("merge"), "w")
     start = F.col("at") + F.col("t")
-    return few.unionByName(many.select("k", tag.alias("tag"), start.alias("start"), (start + length).alias("stop")))
+    single = single.select("k", tag.alias("tag"), start.alias("start"), (start + length).alias("stop"))
+    return few.unionByName(same).unionByName(single)
 
 
 def split_cores(group: pa.Table, length: int) -> list[tuple]:
@@ -331,16 +341,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``k, tag, start, stop``: byte ranges of texts that are covered by repeated windows; they may overlap."""
     found = materialize(occurrences(texts, length), "suffix-occurrences")
     stats = found.groupBy("h").agg(F.count("*").alias("_n"), F.min("c").alias("_a"), F.max("c").alias("_b")).filter("_n > 1")
-    # written first: only then does Spark split the rows of a hash that very many neighbourhoods have; merge joins throughout, since all
-    # these tables grow with the corpus and are not sent to every task
-    stats = materialize(stats.select("h", (F.col("_a") != F.col("_b")).alias("mixed")), "suffix-shared").hint("merge")
-    live = materialize(found.join(stats, "h"), "suffix-live")
+    # only hashes that very many neighbourhoods have are sent to every task; the rest are merge joins, since all these tables grow with the corpus
+    stats = materialize(stats.select("h", (F.col("_a") != F.col("_b")).alias("mixed"), "_n"), "suffix-shared")
+    live = materialize(join_by_share(found, stats, ["h"], "_n"), "suffix-live")
     tag = F.col("pos").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int")
     first = F.shiftright("pos", 32)
     whole = [F.col("k"), tag.alias("tag"), first.alias("start"), (first + F.shiftright("pos", 23).bitwiseAND(F.lit(511)) + length).alias("stop")]
     kinds = live.filter("mixed").groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "pos")).alias("one"))
     kinds = materialize(kinds, "suffix-kinds")
-    copies = live.filter("mixed").join(kinds.filter("n > 1").select("h", "c").hint("merge"), ["h", "c"])
+    copies = join_by_share(live.filter("mixed"), kinds.filter("n > 1").select("h", "c", "n"), ["h", "c"], "n")
     parts = [live.filter("not mixed").select(*whole), copies.select(*whole)]
     sizes = kinds.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("_least")).filter("_least = 1").drop("_least")
     sizes = materialize(sizes, "suffix-sizes").hint("merge")

@@ -58,3 +58,38 @@ def test_classifier_judges_rows(spark):
     rows = [(new.get(r.doc_id, r.doc_id), r.text, r.lang, r.source, r.n_chars) for r in docs]
     got = kept(corpus_pipeline.keep_quality(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), SF))
     assert got == sorted(((new.get(r.doc_id, r.doc_id), r.text) for r in docs if scores[r.doc_id].predicted == 1), key=str)
+
+
+def short_words(seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 6))) for _ in range(n))
+
+
+def test_repeated_passages_go(spark):
+    """A passage of 55 short words in unlike documents, and one that starts and ends inside longer words."""
+    passage, other = short_words(30, 55), short_words(31, 60)
+    assert corpus_pipeline.REPEAT < len(passage) < 400
+    alone = [short_words(40 + i, 120) for i in range(6)]
+    rows = [
+        (1, f"{alone[0]} {passage} {alone[1]}"), (2, f"{alone[2]} {passage}"), (3, alone[3]), (None, f"{other} {alone[4]}"), (4, f"{alone[5]} {other}"),
+        (5, other), (6, None), (7, ""), (8, short_words(50, 30)), (9, short_words(50, 30)),
+    ]
+    got = dict(kept(corpus_pipeline.remove_repeats(spark, table(spark, rows), SF)))
+    assert set(got) == {i for i, _ in rows}
+    assert not any(p[k : k + 150] in got[i] for i in (1, 2, None, 4) for p in (passage, other) for k in range(0, len(p) - 150, 10))
+    assert got[5] == "" and got[6] == "" and got[7] == ""
+    assert got[3] == alone[3] and all(a[1:-1] in got[i] for a, i in zip(alone[4:], (None, 4)))
+    assert alone[0][:-1] in got[1] and alone[1][1:] in got[1] and alone[2][:-1] in got[2]
+    assert got[8] == got[9] == short_words(50, 30)  # 30 words are no passage
+    for r in corpus_pipeline.remove_repeats(spark, table(spark, rows), SF).collect():
+        assert r.n_chars == len(r.text)
+
+
+def test_stages_without_rows_and_with_extra_columns(spark):
+    docs = queries.table(spark, SF, "documents")
+    odd = docs.selectExpr("*", "doc_id AS row", "text AS h", "lang AS kept", "1 AS k", "2 AS tag", "3 AS n_bytes")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).collect() == [], name
+    few = odd.filter("doc_id < 60")
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        assert kept(stage(spark, few, SF)) == kept(stage(spark, few.select(*corpus_pipeline.COLUMNS), SF)), name
