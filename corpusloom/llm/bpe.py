@@ -3,9 +3,10 @@
 The tree holds, for every position, ``rank of the pair that starts here, position``; its root is the leftmost
 pair of the lowest rank. A merge changes three leaves, each in logarithmic time, until the root is empty.
 A word of n symbols so takes O(n log n), also where it has no white space for 100,000 characters.
+Words of one length go through their trees in step, as columns of one array; very long words go through a tree each.
 
 Words come from the public file's own normaliser and pre-tokeniser. They never reach over white space, so a text is
-cut at white space first and every distinct piece of a task is worked out once (a bounded memory).
+cut at white space first, and every distinct piece of a batch and word of a task is worked out once (a bounded memory).
 """
 
 from __future__ import annotations
@@ -13,16 +14,17 @@ from __future__ import annotations
 import gc
 import json
 import re
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import keyed_texts, sliced
+from corpusloom.llm.common import MIX, keyed_texts, sliced, text_bytes
 
 # fixed values: the characters of Unicode's White_Space, at which words end
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -30,20 +32,49 @@ SPACES = re.compile(f"[{SPACE}]+")
 # str.split() also cuts at these four, which are not white space there
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
-# pieces a task keeps, and their greatest length
+# words a task keeps, and their characters
 CACHE_WORDS = 400_000
-CACHE_CHARS = 48
-# children of a node of the segment tree; a word of so many symbols has the root above its leaves
+CACHE_CHARS = 1 << 24
+# bytes of texts that are encoded at once
+SLICE_TEXT = 16 << 20
+# words of up to so many symbols go through their trees together, so many words at a time
+PLACE_BITS = 6
+TOGETHER = 1 << PLACE_BITS
+COLUMNS = 8192
+# children of a node of the tree of a longer word
 FAN = 32
 NONE = 1 << 62
 FAR = np.int32(2**31 - 1)
-# characters whose new words are worked out together
-SLICE_CHARS = 2_000_000
 # pieces of these letters, digits and signs need no look at Unicode's tables: composed already, one lower case each
-LETTERS = "a-zß-öø-ÿ"
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-# fixed value: the pre-tokeniser's pattern, for such pieces in lower case
-PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
+PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+# kinds of the bytes of such pieces in lower case
+LETTER, DIGIT, BREAK, SIGN = 1, 2, 3, 4
+KINDS = np.full(256, SIGN, np.uint8)
+KINDS[ord("a") : ord("z") + 1] = KINDS[128:] = LETTER
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[ord("\n")] = BREAK
+# fixed values: what the pre-tokeniser cuts off with an apostrophe before it
+SHORT = [ord(c) for c in "stmd"]
+SHORT_PAIRS = [(ord(a), ord(b)) for a, b in ("re", "ve", "ll")]
+
+
+def plain_words(data: np.ndarray) -> np.ndarray:
+    """Where words begin in plain pieces in lower case that end with line breaks: runs of letters or signs, single digits and breaks."""
+    kind = KINDS[data]
+    starts = np.ones(len(data), bool)
+    starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT) | (kind[1:] == BREAK)
+    # an apostrophe that begins a run of signs takes a short ending with it; a break follows any piece, so two bytes follow any but the last
+    mark = np.flatnonzero(starts & (data == ord("'")))
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    one, two = padded[mark + 1], padded[mark + 2]
+    short = np.isin(one, SHORT)
+    pair = np.zeros(len(mark), bool)
+    for a, b in SHORT_PAIRS:
+        pair |= (one == a) & (two == b)
+    starts[mark[short | pair] + 1] = False
+    starts[mark[short] + 2] = True
+    starts[mark[pair] + 3] = True
+    return np.flatnonzero(starts)
 
 
 def white_split(text: str) -> list[str]:
@@ -74,6 +105,46 @@ class MinTree:
             level[i] = value
 
 
+class PairTable:
+    """Ranks of pairs for whole arrays: a hash table at most an eighth full, with linear probing."""
+
+    EMPTY = np.iinfo(np.int64).min
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        bits = max(8 * len(pairs), 16).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, self.EMPTY), np.full(1 << bits, FAR)
+        keys = np.array([a << 32 | b for a, b in pairs], np.int64)
+        ranks = np.array(list(pairs.values()), np.int32)
+        at = self.slots(keys)
+        while len(keys):
+            free = self.keys[at] == self.EMPTY
+            self.keys[at[free]] = keys[free]
+            put = self.keys[at] == keys
+            self.ranks[at[put]] = ranks[put]
+            keys, ranks, at = keys[~put], ranks[~put], at[~put] + 1 & self.mask
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * MIX >> self.shift).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs, ``FAR`` for what is no pair."""
+        keys = a.astype(np.int64) << 32 | b
+        at = self.slots(keys)
+        held = self.keys[at]
+        ranks = np.where(held == keys, self.ranks[at], FAR)
+        others = np.flatnonzero((held != keys) & (held != self.EMPTY))
+        at = at[others]
+        while len(others):
+            at = at + 1 & self.mask
+            held, wanted = self.keys[at], keys[others]
+            same = held == wanted
+            ranks[others[same]] = self.ranks[at[same]]
+            on = ~same & (held != self.EMPTY)
+            others, at = others[on], at[on]
+        return ranks
+
+
 class Merges:
     """Merges by rank: ``pairs[left, right]`` is the rank, ``made[rank]`` the id of the merged symbol."""
 
@@ -121,51 +192,56 @@ class Merges:
                 tree.update(p)
         return [x for x in ids if x >= 0]
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys = np.array([a << 32 | b for a, b in self.pairs], np.int64)
-        order = np.argsort(keys)
-        return keys[order], np.array(list(self.pairs.values()), np.int32)[order], np.array(self.made, np.int32)
-
-    def apply_many(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The same for many words of one length (a column each, at most ``FAN`` symbols).
+    def apply_many(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many words of one length, a column each: all their ids, word after word, and how many each has.
 
-        Every word's tree is then its root above its leaves, the ranks of its pairs. All words merge in step; those
-        that are done come out as ``columns, ids`` and the others are one symbol shorter.
+        Row ``size + i`` of the trees is leaf ``i`` and row 1 the root. Every step takes the root of all words that
+        still have one, merges there and works out the three paths to the root anew that the merge touches.
         """
         if self.lookup is None:
-            self.lookup = self.tables()
-        keys, ranks, made = self.lookup
-
-        def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            key = a.astype(np.int64) << 32 | b
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            return np.where(keys[at] == key, ranks[at], FAR)
-
-        word = np.arange(ids.shape[1])
-        leaves = rank(ids[:-1].ravel(), ids[1:].ravel()).reshape(len(ids) - 1, -1)
-        while len(leaves):
-            root = leaves.min(axis=0)
-            done = root == FAR
-            if done.any():
-                yield word[done], ids[:, done]
-                word, ids, leaves, root = word[~done], ids[:, ~done], leaves[:, ~done], root[~done]
-            if not len(word):
-                return
-            first = np.full(len(word), len(leaves) - 1)
-            for c in range(len(leaves) - 2, -1, -1):
-                first[leaves[c] == root] = c
-            columns = np.arange(len(word))
-            new = made[root]
-            ids[first, columns] = new
-            ids = np.stack([np.where(c > first, ids[c + 1], ids[c]) for c in range(len(ids) - 1)])
-            if len(leaves) == 1:
-                break
-            leaves = np.stack([np.where(c >= first, leaves[c + 1], leaves[c]) for c in range(len(leaves) - 1)])
-            left, right = np.flatnonzero(first > 0), np.flatnonzero(first < len(leaves))
-            leaves[first[left] - 1, left] = rank(ids[first[left] - 1, left], new[left])
-            leaves[first[right], right] = rank(new[right], ids[first[right] + 1, right])
-        if len(word):
-            yield word, ids
+            self.lookup = PairTable(self.pairs), np.array(self.made, np.int32)
+        table, made = self.lookup
+
+        def leaf(a: np.ndarray, b: np.ndarray, place: np.ndarray) -> np.ndarray:
+            rank = table.find(a, b)
+            return np.where(rank < FAR, rank << PLACE_BITS | place, FAR)
+
+        n, w = ids.shape
+        # one more row stands for what is beyond both ends; no pair has it
+        ids = np.vstack([ids, np.full((1, w), -1, np.int32)])
+        size = 1 << (n - 1).bit_length()
+        tree = np.full((2 * size, w), FAR, np.int32)
+        place = np.repeat(np.arange(n - 1, dtype=np.int32), w)
+        tree[size : size + n - 1] = leaf(ids[: n - 1].ravel(), ids[1:n].ravel(), place).reshape(n - 1, w)
+        for p in range(size - 1, 0, -1):
+            np.minimum(tree[2 * p], tree[2 * p + 1], out=tree[p])
+        after = np.repeat(np.arange(1, n + 2), w)
+        before = np.repeat(np.array([n, *range(n)]), w)
+        ids, tree = ids.ravel(), tree.ravel()
+        word = np.flatnonzero(tree[w : 2 * w] < FAR)
+        while len(word):
+            root = tree[w + word]
+            i, new = (root & (TOGETHER - 1)).astype(np.int64), made[root >> PLACE_BITS]
+            at = i * w + word
+            j = after[at]
+            k = after[j * w + word]
+            h = before[at]
+            ids[at], ids[j * w + word] = new, -1
+            after[at], before[k * w + word] = k, i
+            left = np.minimum(h, n - 1)  # the last leaf is no pair and stays empty
+            tree[(size + j) * w + word] = FAR
+            tree[(size + left) * w + word] = leaf(ids[h * w + word], new, left)
+            tree[(size + i) * w + word] = leaf(new, ids[k * w + word], i)
+            for p in (left, j, i):
+                node = (size + p) >> 1
+                for _ in range(size.bit_length() - 1):
+                    below = 2 * node * w + word
+                    tree[node * w + word] = np.minimum(tree[below], tree[below + w])
+                    node >>= 1
+            word = word[tree[w + word] < FAR]
+        columns = ids.reshape(n + 1, w)[:n].T
+        kept = columns >= 0
+        return columns[kept], kept.sum(axis=1)
 
 
 # fixed value: the pre-tokeniser's pattern in the file
@@ -211,45 +287,26 @@ class WordBpe:
         alphabet = byte_alphabet()
         self.inner = np.array([vocab[c] for c in alphabet], np.int32)
         self.last = np.array([vocab[c + self.end] for c in alphabet], np.int32)
-        self.words: dict[str, bytes] = {}
         self.normalize, self.cut = file.normalizer.normalize_str, file.pre_tokenizer.pre_tokenize_str
 
-    def learn(self, words: list[str]) -> None:
-        """Work out plain words, all at once, and keep them."""
+    def encode_words(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For plain words, some at a time: which ones, all their ids and how many each has."""
         coded = [w.encode() for w in words]
         sizes = np.array(list(map(len, coded)))
         starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(coded), np.uint8)
         for n in np.unique(sizes).tolist():
             chosen = np.flatnonzero(sizes == n)
-            if n > FAN:
+            if n > TOGETHER:
                 for i in chosen.tolist():
-                    self.words[words[i]] = id_bytes(self.merges.apply(self.inner[list(coded[i][:-1])].tolist() + [int(self.last[coded[i][-1]])]))
+                    found = self.merges.apply(self.inner[list(coded[i][:-1])].tolist() + [int(self.last[coded[i][-1]])])
+                    yield np.array([i]), np.array(found, np.int32), np.array([len(found)])
                 continue
-            ids = self.inner[flat[starts[chosen] + np.arange(n)[:, None]]]
-            ids[-1] = self.last[flat[starts[chosen] + n - 1]]
-            for columns, found in self.merges.apply_many(ids) if n > 1 else [(np.arange(len(chosen)), ids)]:
-                data, width = np.ascontiguousarray(found.T).tobytes(), 4 * len(found)
-                for k, i in enumerate(chosen[columns].tolist()):
-                    self.words[words[i]] = data[k * width : k * width + width]
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """For texts without white space the ids, as 4-byte little-endian integers."""
-        plain = [PLAIN_WORDS.findall(p.lower()) if PLAIN.fullmatch(p) and "<|" not in p else None for p in pieces]
-        words = self.words
-        if new := set(chain.from_iterable(x for x in plain if x)) - words.keys():
-            if len(words) >= CACHE_WORDS:
-                words.clear()
-                new = set(chain.from_iterable(x for x in plain if x))
-            self.learn(list(new))
-        out = [
-            self.encode_any(p) if x is None else words[x[0]] if len(x) == 1 else b"".join(map(words.__getitem__, x))
-            for p, x in zip(pieces, plain)
-        ]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del words[w]
-        return out
+            for at in range(0, len(chosen), COLUMNS):
+                part = chosen[at : at + COLUMNS]
+                ids = self.inner[flat[starts[part] + np.arange(n)[:, None]]]
+                ids[-1] = self.last[flat[starts[part] + n - 1]]
+                yield part, *(self.merges.apply_many(ids) if n > 1 else (ids[0], np.ones(len(part), np.int64)))
 
     def encode_any(self, piece: str) -> bytes:
         """The same for one text of any characters, by the file's own normaliser and pre-tokeniser."""
@@ -263,9 +320,11 @@ class WordBpe:
                     out += self.merges.apply(symbols)
         return id_bytes(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """Without a decoder, the tokens joined by blanks."""
-        return " ".join(map(self.names.__getitem__, ids))
+
+@lru_cache(1)
+def load(path: str) -> WordBpe:
+    """The tokenizer of a file, read once by each Python worker."""
+    return WordBpe(path)
 
 
 def calm_gc() -> None:
@@ -273,43 +332,87 @@ def calm_gc() -> None:
     gc.set_threshold(200_000, 50, 100)
 
 
-class Pieces(dict):
-    """The ids of the pieces met so far, at most ``CACHE_WORDS`` short ones beside those of the texts at hand."""
+class Lists:
+    """Lists of ids, one after the other, by number."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.n_ids = self.n = 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Append lists of these sizes; the number of the first one."""
+        first, n_ids = self.n, self.n_ids
+        if n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:n_ids], np.zeros(n_ids + 2 * len(ids), np.int32)])
+        if first + len(sizes) > len(self.sizes):
+            more = np.zeros(first + 2 * len(sizes), np.int64)
+            self.starts, self.sizes = np.concatenate([self.starts[:first], more]), np.concatenate([self.sizes[:first], more])
+        self.ids[n_ids : n_ids + len(ids)] = ids
+        self.sizes[first : first + len(sizes)] = sizes
+        self.starts[first : first + len(sizes)] = n_ids + np.cumsum(sizes) - sizes
+        self.n, self.n_ids = first + len(sizes), n_ids + len(ids)
+        return first
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these lists, one after the other, and the size of each."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.ids[places + np.arange(len(places))], sizes
+
+
+class Encoder:
+    """Encodes columns of texts; keeps the words met so far, of bounded number and length beside those of the texts at hand."""
 
     def __init__(self, bpe: WordBpe):
-        super().__init__()
         calm_gc()
-        self.bpe, self.long = bpe, []
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text, in order."""
-        held, chars = [], 0
-        for text in texts:
-            held.append(white_split(text))
-            chars += len(text)
-            if chars > SLICE_CHARS:
-                yield from self.encode_held(held)
-                held, chars = [], 0
-        yield from self.encode_held(held)
-
-    def encode_held(self, held: list[list[str]]) -> Iterator[bytes]:
-        self.learn(held)
-        for pieces in held:
-            yield b"".join(map(self.__getitem__, pieces))
-
-    def learn(self, held: list[list[str]]) -> None:
-        """Work out all pieces of these texts that are not known yet, and forget the long ones of earlier texts."""
-        for p in self.long:
-            self.pop(p, None)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        new = [p for p in set(chain.from_iterable(held)) if p not in self]
-        self.update(zip(new, self.bpe.encode_pieces(new)))
-        self.long = [p for p in new if len(p) > CACHE_CHARS]
-
-    def __missing__(self, piece: str) -> bytes:
-        """One piece alone, not kept."""
-        return self.bpe.encode_any(piece)
+        self.bpe = bpe
+        self.forget()
+
+    def forget(self) -> None:
+        # a line break is the word without ids
+        self.words, self.lists, self.chars = {"\n": 0}, Lists(), 0
+        self.lists.add(np.zeros(0, np.int32), np.zeros(1, np.int64))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text begins and the last one ends."""
+        cut = pc.ascii_split_whitespace(texts)
+        pieces = cut.flatten().dictionary_encode()
+        found, numbers = self.distinct(pieces.dictionary)
+        ids, sizes = found.take(numbers[pieces.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = cut.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
+
+    def distinct(self, pieces: pa.Array) -> tuple[Lists, np.ndarray]:
+        """The lists of ids of pieces without white space, and the number of each piece's list."""
+        plain = pc.and_not(pc.match_substring_regex(pieces, PLAIN), pc.match_substring(pieces, "<|"))
+        found, numbers = Lists(), np.zeros(len(pieces), np.int64)
+        chosen = plain.to_numpy(zero_copy_only=False)
+        found.add(*self.encode_plain(pieces.filter(plain)))
+        others = [self.bpe.encode_any(p) for p in pieces.filter(pc.invert(plain)).to_pylist()]
+        found.add(np.frombuffer(b"".join(others), "<i4"), np.array([len(x) // 4 for x in others], np.int64))
+        numbers[chosen] = np.arange(n := int(chosen.sum()))
+        numbers[~chosen] = np.arange(n, len(pieces))
+        return found, numbers
+
+    def encode_plain(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain pieces, one after the other, and how many each has."""
+        if len(self.words) >= CACHE_WORDS or self.chars >= CACHE_CHARS:
+            self.forget()
+        words = self.words
+        data, _ = text_bytes(pc.binary_join_element_wise(pc.utf8_lower(pieces), "", "\n"))
+        ends = np.append(plain_words(data), len(data)).astype(np.int32)
+        cut = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+        met = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in met if w not in words]
+        for chosen, ids, sizes in self.bpe.encode_words(new) if new else ():
+            first = self.lists.add(ids, sizes)
+            words.update(zip(map(new.__getitem__, chosen.tolist()), range(first, first + len(chosen))))
+        self.chars += sum(map(len, new))
+        numbers = np.fromiter(map(words.__getitem__, met), np.int64, len(met))[cut.indices.to_numpy()]
+        ids, sizes = self.lists.take(numbers)
+        return ids, np.diff(np.cumsum(sizes)[numbers == 0], prepend=0)
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
@@ -321,15 +424,15 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
-        pieces = Pieces(bpe)
-        for batch in sliced(batches):
-            found = list(pieces.encode(batch.column("text").to_pylist()))
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int64)
-            ids = np.frombuffer(b"".join(found), "<i4")
-            columns = [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))]
+        bpe = load(path)
+        coder = Encoder(bpe)
+        names = pa.array(map(bpe.names.get, range(max(bpe.names) + 1)), pa.string()) if decoded else None
+        for batch in sliced(batches, SLICE_TEXT):
+            ids, ends = coder.encode(batch.column("text"))
+            ends = pa.array(ends.astype(np.int32))
+            columns = [batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(ids))]
             if decoded:
-                columns.append(pa.array([bpe.decode(np.frombuffer(x, "<i4").tolist()) for x in found], pa.string()))
+                columns.append(pc.binary_join(pa.ListArray.from_arrays(ends, names.take(pa.array(ids))), " "))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
     return keyed_texts(docs, key, text).mapInArrow(run, schema)
@@ -339,7 +442,7 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") ->
     """``doc_id, text`` that the ids decode to; a null list counts as empty, a null id in a list is skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = WordBpe(path).names
+        names = load(path).names
         for batch in batches:
             texts = [" ".join(names[i] for i in x or () if i is not None) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])

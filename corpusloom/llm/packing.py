@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import Pieces, WordBpe
+from corpusloom.llm.bpe import SLICE_TEXT, Encoder, load
 from corpusloom.llm.common import keyed_texts, sliced
 from corpusloom.session import materialize
 
@@ -43,11 +43,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: st
     closing = np.array([end_id], "<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, width = Pieces(WordBpe(path)), 4 * capacity
-        for batch in sliced(batches):
+        coder, width = Encoder(load(path)), 4 * capacity
+        for batch in sliced(batches, SLICE_TEXT):
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), pieces.encode(batch.column("text").to_pylist())):
-                ids += closing
+            found, ends = coder.encode(batch.column("text"))
+            found, ends = found.astype("<i4").tobytes(), (4 * ends).tolist()
+            for doc, start, end in zip(batch.column("doc_id").to_pylist(), ends, ends[1:]):
+                ids = found[start:end] + closing
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -12,10 +12,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import SLICE_CHARS, SPACE, Pieces, WordBpe, white_split
+from corpusloom.llm.bpe import SPACE, Encoder, load, white_split
 from corpusloom.llm.common import sliced
 
 # characters of a leaf, unless one pre-token is longer
@@ -135,22 +136,23 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     schema = "doc_id long, n_edits long, n_tokens long, n_tokens_edited long, n_chars_edited long, n_chars_encoded long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(WordBpe(path))
+        bpe = load(path)
+        coder = Encoder(bpe)
+        known: dict[str, int] = {}
 
         def count(text: str) -> int:
-            return sum(map(len, map(pieces.__getitem__, white_split(text)))) // 4
+            return sum(known[p] if p in known else len(bpe.encode_any(p)) // 4 for p in white_split(text))
 
         for batch in sliced(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows, known = [], 0
-            for k, (doc, edits) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("edits").to_pylist())):
-                if k == known:  # pieces are worked out for many texts at once
-                    at, chars = known, 0
-                    while known < len(texts) and chars <= SLICE_CHARS:
-                        chars += len(texts[known])
-                        known += 1
-                    pieces.learn([white_split(t) for t in texts[at:known]])
-                tree = SegmentTree(texts[k], count)
+            rows = []
+            # the pieces of a batch are worked out together, those that edits make one by one
+            pieces = pc.ascii_split_whitespace(pa.array(texts, pa.string())).flatten().unique()
+            found, numbers = coder.distinct(pieces)
+            known.clear()
+            known.update(zip(pieces.to_numpy(zero_copy_only=False), found.sizes[numbers].tolist()))
+            for text, doc, edits in zip(texts, batch.column("doc_id").to_pylist(), batch.column("edits").to_pylist()):
+                tree = SegmentTree(text, count)
                 n_tokens = tree.tokens[1]
                 done = [e for e in edits or () if e is not None]
                 for e in done:

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from tokenizers import Tokenizer
@@ -54,7 +55,34 @@ def test_merge_tree_of_a_long_word(lib):
     coder = bpe.WordBpe(queries.vocabulary())
     for word in ("ab" * 5000, "the" * 4000 + "aaaa" * 1000):
         assert np.frombuffer(coder.encode_any(word), "<i4").tolist() == lib.encode(word, add_special_tokens=False).ids
-        assert np.frombuffer(coder.encode_pieces([word])[0], "<i4").tolist() == lib.encode(word, add_special_tokens=False).ids
+        (_, ids, sizes), *more = coder.encode_words([word])
+        assert not more and len(ids) == sizes[0] and ids.tolist() == lib.encode(word, add_special_tokens=False).ids
+
+
+def test_trees_in_step(lib):
+    """Words of every length up to that of the long ones, many that repeat few symbols, in one column each."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abeth'nrs!e"[: 2 + n % 9]), n)).replace("'", "i") for n in range(1, 2 * bpe.TOGETHER) for _ in range(12)]
+    words = sorted({w for w in words if w.isalpha()})
+    coder = bpe.WordBpe(queries.vocabulary())
+    found = {}
+    for chosen, ids, sizes in coder.encode_words(words):
+        ends = np.cumsum(sizes)
+        found |= {words[i]: ids[end - size : end].tolist() for i, end, size in zip(chosen.tolist(), ends, sizes)}
+    assert found == {w: lib.encode(w, add_special_tokens=False).ids for w in words}
+
+
+def test_words_beyond_the_memory(lib, monkeypatch):
+    """What a task forgets it works out again; texts of few and of many new pieces, cut columns and empty ones."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    coder = bpe.Encoder(bpe.WordBpe(queries.vocabulary()))
+    rng = np.random.default_rng(9)
+    marks = ["".join(rng.choice(list("''sStTmdrevl1!éÀÿ "), 60)) for _ in range(300)]
+    texts = [*(x or "" for x in ODD), *marks, " ".join(f"Word{i}'s e{i}, {i}%" for i in range(200)), "", "again Word7's"]
+    for column in (pa.array(texts), pa.array(texts).slice(3), pa.array(texts[-1:]), pa.array([], pa.string())):
+        ids, ends = coder.encode(column)
+        want = [lib.encode(t, add_special_tokens=False).ids for t in column.to_pylist()]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
 
 
 def plain_edit(text, edits):
