@@ -35,7 +35,7 @@ SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 # words a task keeps, and their characters
 CACHE_WORDS = 400_000
 CACHE_CHARS = 1 << 24
-# bytes of texts that are encoded at once
+# bytes of texts that are encoded at once where only sums of their ids go on
 SLICE_TEXT = 16 << 20
 # words of up to so many symbols go through their trees together, so many words at a time
 PLACE_BITS = 6
@@ -427,7 +427,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         bpe = load(path)
         coder = Encoder(bpe)
         names = pa.array(map(bpe.names.get, range(max(bpe.names) + 1)), pa.string()) if decoded else None
-        for batch in sliced(batches, SLICE_TEXT):
+        for batch in sliced(batches):
             ids, ends = coder.encode(batch.column("text"))
             ends = pa.array(ends.astype(np.int32))
             columns = [batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(ids))]
