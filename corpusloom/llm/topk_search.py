@@ -4,6 +4,9 @@ The distances of every vector to a fixed number of pivots are worked out once. F
 ``|d(q, p) - d(x, p)|`` over all pivots is a lower bound of their distance, and ``(|q|^2 + |x|^2 - bound^2) / 2`` an
 upper bound of their inner product. Candidates are evaluated in the order of that bound until it falls below the k-th
 best score found, which makes the result exact. Vectors are whole numbers, so scores are exact too.
+
+Pivots lie far apart: from a bounded sample, each one is the vector farthest from those chosen before. The same sample gives every
+query a first k-th score, which the k-th score over all candidates can only exceed, so that each task leaves out from its start.
 """
 
 from __future__ import annotations
@@ -18,7 +21,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import top_by
 from corpusloom.session import materialize
 
-PIVOTS = 24
+PIVOTS = 48
+#: vectors, picked by hash, that the pivots are chosen from and that give first k-th scores
+SAMPLE = 4096
 #: queries per pass over the candidates; a pass ships at most so many vectors with its tasks
 QUERY_BLOCK = 1024
 #: candidates whose bounds are worked out together, and evaluated together
@@ -46,11 +51,35 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(square.astype(np.float64))
 
 
+def far_apart(x: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` different rows: the first one, then always the one farthest from those chosen, ties to the earlier row."""
+    chosen = x[:1]
+    nearest = np.full(len(x), np.inf)
+    while 0 < len(chosen) < n:
+        nearest = np.minimum(nearest, distances(x, chosen[-1:])[:, 0])
+        i = int(nearest.argmax())
+        if not nearest[i] > 0:
+            break
+        chosen = np.vstack([chosen, x[i]])
+    return chosen
+
+
+def first_limits(ids: np.ndarray, queries: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th best score over the sample's other rows, a score that its k-th best of all is not below."""
+    out = np.full(len(ids), -np.inf)
+    for i, query in enumerate(ids):
+        scores = (sample @ queries[i])[sample_ids != query]
+        if len(scores) >= k:
+            out[i] = np.partition(scores, len(scores) - k)[len(scores) - k]
+    return out
+
+
 class Best:
-    """The ``k`` best candidates of each query so far, ties to the smaller id."""
+    """The ``k`` best candidates of each query so far, ties to the smaller id; ``limits`` are scores that they are known not to be below."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, k: int, limits: np.ndarray | None = None):
         self.ids, self.queries, self.pivots, self.k = ids, queries, pivots, k
+        self.limits = np.full(len(ids), -np.inf) if limits is None else limits
         self.square = (queries * queries).sum(axis=1)
         self.to_pivots = distances(queries, pivots)
         self.found: list[list[tuple[int, int]]] = [[] for _ in ids]  # (-score, vec_id), in order
@@ -65,7 +94,7 @@ class Best:
         high = (total - low * low) / 2 + (1 + 1e-9 * total)  # the margin is far above the rounding errors
         for i, query in enumerate(self.ids):
             best = self.found[i]
-            limit = -best[-1][0] if len(best) == self.k else -np.inf
+            limit = max(-best[-1][0], self.limits[i]) if len(best) == self.k else self.limits[i]
             open_ = np.flatnonzero(high[i] >= limit)
             order = open_[np.argsort(-high[i][open_], kind="stable")]
             for at in range(0, len(order), STEP):
@@ -94,15 +123,17 @@ def top_k(vectors: DataFrame, is_query, k: int, scale: int = 1024, key: str = "v
     parts = []
     for (dim,) in rows.select("dim").distinct().orderBy("dim").collect():  # lengths of vectors, a handful
         mine = rows.filter(F.col("dim") == dim)
-        chosen = mine.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
-        pivots = np.array([r.vec for r in chosen], np.int64).reshape(-1, dim)
+        drawn = mine.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE).select("vec_id", "vec").toArrow().combine_chunks()
+        sample_ids, sample = drawn.column("vec_id").to_numpy(), np.array(drawn.column("vec").to_pylist(), np.int64).reshape(-1, dim)
+        pivots = far_apart(sample, PIVOTS)
         queries = materialize(mine.filter(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec")), "topk-queries")
         table = materialize(_pivot_table(mine, pivots, dim), "topk-pivots")
         bounds = _block_bounds(queries)
         for low, high in zip(bounds, bounds[1:]):
             block = queries.filter((F.col("vec_id") >= low) & (F.col("vec_id") < high)).collect()  # at most a few QUERY_BLOCKs
             ids = np.array([r.vec_id for r in block], np.int64)
-            found = _search(table, ids, np.array([r.vec for r in block], np.int64).reshape(-1, dim), pivots, dim, k)
+            vecs = np.array([r.vec for r in block], np.int64).reshape(-1, dim)
+            found = _search(table, ids, vecs, pivots, dim, k, first_limits(ids, vecs, sample_ids, sample, k))
             best = top_by(found, ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
             parts.append(materialize(best.select("query_id", F.col("_rn").alias("rank"), "vec_id", "score"), "topk-found"))
     if not parts:
@@ -133,9 +164,9 @@ def _pivot_table(rows: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
     return rows.select("vec_id", "vec").mapInArrow(run, "vec_id long, vec array<long>, far array<double>")
 
 
-def _search(table: DataFrame, ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, dim: int, k: int) -> DataFrame:
+def _search(table: DataFrame, ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, dim: int, k: int, limits: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(ids, queries, pivots, k)
+        best = Best(ids, queries, pivots, k, limits)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)

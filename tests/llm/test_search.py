@@ -121,6 +121,29 @@ def test_elimination_leaves_candidates_out():
     assert best.evaluated < len(x) / 4
 
 
+def test_pivots_and_first_limits_on_clusters():
+    """Twenty clusters: the pivots reach all of them, the first limits hold, and under half of the candidates are evaluated."""
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-1000, 1000, (20, 16))
+    x = centres[rng.integers(0, 20, 6000)] + rng.integers(-20, 21, (6000, 16))
+    ids = np.arange(len(x))
+    pivots = topk_search.far_apart(x[:1000], 48)
+    nearest = topk_search.distances(pivots, centres).argmin(axis=1)
+    assert len(pivots) == 48 and len(set(nearest.tolist())) == 20
+    assert len(topk_search.far_apart(np.array([[1, 2], [1, 2], [3, 4]]), 5)) == 2 and len(topk_search.far_apart(x[:0], 5)) == 0
+    asked = ids[::100]
+    limits = topk_search.first_limits(asked, x[asked], ids[:1000], x[:1000], 10)
+    assert np.isneginf(topk_search.first_limits(asked, x[asked], ids[:5], x[:5], 10)).all()
+    best = topk_search.Best(asked, x[asked], pivots, 10, limits)
+    for at in range(0, len(x), 1500):
+        part = slice(at, at + 1500)
+        best.offer(ids[part], x[part], topk_search.distances(x[part], pivots))
+    for query, limit, found in zip(asked, limits, best.found):
+        want = sorted((-s, i) for i, s in enumerate((x @ x[query]).tolist()) if i != query)[:10]
+        assert found == want and limit <= -want[-1][0]
+    assert best.evaluated < 0.5 * len(asked) * len(x)
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs = queries.table(spark, SF, "documents")
