@@ -24,6 +24,8 @@ from corpusloom.sources.scan import spread
 
 TOK = tx.ByteTokenizer()
 SHOTS = 3
+#: bytes of the file of ``part`` for a task; every row makes several
+PART_BYTES = 1 << 20
 DELIM = " "
 
 # --- items -----------------------------------------------------------------------------------------
@@ -555,7 +557,7 @@ SAMPLES = f"""samples AS (SELECT p_partkey, s AS sample, {sql_u('o', 'p_partkey'
 
 
 def samples(spark, sf):
-    rows = table(spark, sf, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("sample"))
+    rows = spread(table(spark, sf, "part"), "p_partkey", PART_BYTES).select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("sample"))
     rows = rows.withColumn("sample", F.col("sample").cast("long"))
     return rows.withColumns(
         {

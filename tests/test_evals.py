@@ -130,3 +130,26 @@ def test_passes(spark):
     assert evals.pass_at_any(df, "item").first()["n_passed"] == 2
     with pytest.raises(ValueError, match="unknown evaluator"):
         evals.evaluate("other", F.lit("a"), F.lit("b"))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_means_of_examples_are_not_broadcast(spark):
+    """There is a mean per example, as many as the table has, so neither side may go to the driver and to every task."""
+    rewards = spark.createDataFrame([(i % 3, float(i)) for i in range(9)], "item long, reward double")
+    got = evals.group_advantage(rewards, "item")
+    assert "Broadcast" not in plan_of(got)
+    assert sorted(map(tuple, got.collect())) == sorted((i % 3, float(i), float(i - 3 - i % 3)) for i in range(9))
+
+
+def test_tasks_of_a_spread_table_do_not_grow_with_it(spark, tmp_path):
+    from corpusloom.sources import scan
+
+    path = str(tmp_path / "a b")
+    spark.range(20_000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert scan.spread(df, "id").rdd.getNumPartitions() == 8
+    assert scan.spread(df, "id", 4096).rdd.getNumPartitions() > 8
+    assert scan.spread(df, "id", 4096).distinct().count() == 20_000
