@@ -232,8 +232,9 @@ def best_option(losses: DataFrame, item: list[str], keep: list[str] | None = Non
 
 def best_letter(scores: DataFrame, problems: DataFrame, key: str) -> DataFrame:
     """Letter with the highest score among the letters of the problem, ties to the first letter."""
-    allowed = problems.select(key, F.posexplode("letters").alias("_pos", "letter"))
-    hit = allowed.join(scores, [key, "letter"])
+    # problems grow with the table: they meet their scores before anything is exploded or sorted, and go to no other task
+    hit = scores.join(problems.select(key, "letters").hint("merge"), key)
+    hit = hit.withColumn("_pos", F.array_position("letters", F.col("letter"))).filter("_pos > 0")
     best = hit.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("_pos"), F.col("letter"))).alias("_b"))
     return best.select(key, F.col("_b.letter").alias("letter"))
 

@@ -330,19 +330,19 @@ LETTERED = f"""{fx.CHOICE},
 
 
 def problems(spark, sf):
-    rows = fx.choice(spark, sf).withColumn("letters", an.strings(an.LETTERS))
+    rows = spread(fx.choice(spark, sf), "p_partkey", PART_BYTES).withColumn("letters", an.strings(an.LETTERS))
     return rows.withColumn("reference", an.mc_answer_by_index(F.col("choices"), F.col("answer")))
 
 
 def picked(spark, sf):
     six = an.strings(["A", "B", "C", "D", "E", "F"])
-    scores = table(spark, sf, "part").select("p_partkey", F.explode(six).alias("letter"))
+    scores = spread(table(spark, sf, "part"), "p_partkey", PART_BYTES).select("p_partkey", F.explode(six).alias("letter"))
     scores = scores.withColumn("score", F.floor(5 * u("k", "p_partkey", "letter")))
     return evals.best_letter(scores, problems(spark, sf), "p_partkey")
 
 
 def judged(spark, sf):
-    rows = picked(spark, sf).join(problems(spark, sf), "p_partkey")
+    rows = picked(spark, sf).join(problems(spark, sf).hint("merge"), "p_partkey")
     return rows.withColumn("is_correct", an.letter_correct(F.col("letters"), F.col("letter"), F.col("reference")))
 
 
@@ -464,7 +464,7 @@ def extract_answer(spark, sf):
 def checked(spark, sf):
     """Completions against the questions they answer; keys are unique, one row each."""
     known = fx.math(spark, sf).select("key", "answer")
-    rows = fx.completions(spark, sf).join(known, "key")
+    rows = fx.completions(spark, sf).join(known.hint("merge"), "key")
     return rows.withColumn("is_correct", an.answer_correct(F.col("completion"), F.col("answer")))
 
 
@@ -690,12 +690,12 @@ def task_adapter(spark, sf):
         UNION ALL SELECT 'generative', count(*), count(*) FILTER (is_correct) FROM checked""",
 )
 def evaluator(spark, sf):
-    letters = picked(spark, sf).join(problems(spark, sf), "p_partkey").select(
+    letters = picked(spark, sf).join(problems(spark, sf).hint("merge"), "p_partkey").select(
         F.lit("categorical").alias("kind"),
         evals.evaluate("categorical", F.col("letter"), F.col("reference"), F.col("letters")).alias("ok"),
     )
     known = fx.math(spark, sf).select("key", "answer")
-    texts = fx.completions(spark, sf).join(known, "key").select(
+    texts = fx.completions(spark, sf).join(known.hint("merge"), "key").select(
         F.lit("generative").alias("kind"), evals.evaluate("generative", F.col("completion"), F.col("answer")).alias("ok")
     )
     return letters.unionByName(texts).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("n_passed"))

@@ -144,6 +144,15 @@ def test_means_of_examples_are_not_broadcast(spark):
     assert sorted(map(tuple, got.collect())) == sorted((i % 3, float(i), float(i - 3 - i % 3)) for i in range(9))
 
 
+def test_problems_are_not_broadcast_to_their_scores(spark):
+    """Letters of a problem are looked up in its own row; a letter that it does not offer does not count, ties go to the first."""
+    problems = spark.createDataFrame([(0, ["B", "A"]), (1, ["A", "B", "A"]), (2, ["C"])], "key long, letters array<string>")
+    scores = spark.createDataFrame([(k, x, s) for k in range(3) for x, s in (("A", 2), ("B", 2), ("Z", 9))], "key long, letter string, score long")
+    got = evals.best_letter(scores, problems, "key")
+    assert "Broadcast" not in plan_of(got)
+    assert sorted(map(tuple, got.collect())) == [(0, "B"), (1, "A")]
+
+
 def test_tasks_of_a_spread_table_do_not_grow_with_it(spark, tmp_path):
     from corpusloom.sources import scan
 
