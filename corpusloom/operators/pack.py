@@ -69,7 +69,7 @@ class Packer:
             raise ValueError("crop must be 'shortest' or 'first'")
         self.capacity, self.buffer, self.refill, self.crop = capacity, buffer, refill, crop
         self.pending: list[tuple[int, int]] = []  # (arrival number, length) of those that are not in the buffer yet
-        self.docs: dict[int, tuple] = {}  # arrival number -> (doc id, ids)
+        self.docs: dict[int, tuple] = {}  # arrival number -> (doc id, as many of the ids as fit in a row)
         self.sizes: list[tuple[int, int]] = []  # (length, -arrival) of the buffer, sorted: ties give the first arrival
         self.length: dict[int, int] = {}  # arrival number -> length of the buffer
         self.queue: deque[int] = deque()
@@ -92,7 +92,8 @@ class Packer:
 
     def push(self, doc_id, ids):
         """Take one sequence; yields the rows that it completes."""
-        self.docs[self.arrived] = (doc_id, np.asarray(ids, dtype="int32"))
+        # a copy, as a view would keep all of the batch it lies in; a row takes no more than its capacity of one sequence
+        self.docs[self.arrived] = (doc_id, np.array(ids[: self.capacity], dtype="int32"))
         self.pending.append((self.arrived, len(ids)))
         self.arrived += 1
         if len(self.pending) >= self.refill:
@@ -134,7 +135,7 @@ class Packer:
             self.sizes.remove(key)
         del self.length[-key[1]]
         doc_id, ids = self.docs.pop(-key[1])
-        self.row_cropped += max(len(ids) - room, 0)
+        self.row_cropped += max(key[0] - room, 0)
         self.row.append(ids[:room])
         self.filled += len(self.row[-1])
         self.row_docs.append(doc_id)

@@ -165,9 +165,10 @@ class PackStream(InOrder):
         for n in waiting.taken:
             self.waiting.removeKey((n,))
             self.sizes.removeKey((n,))
+        lengths = packer.length | dict(packer.pending)
         for n, (doc, ids) in waiting.items():
             self.waiting.updateValue((n,), (doc, ids.tobytes()))
-            self.sizes.updateValue((n,), (len(ids),))
+            self.sizes.updateValue((n,), (lengths[n],))
         pieces = [(doc, ids.tobytes()) for doc, ids in zip(packer.row_docs, packer.row)]
         if out:
             self.row.clear()

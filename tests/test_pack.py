@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,13 @@ def test_parts_go_on_from_each_other(spark, crop):
             got += map(tuple, rows.collect())
         assert sorted(got) == whole
     assert pack.pack_part(df.limit(0), "doc_id", "ids", 20, group, last=True)[0].collect() == []
+
+
+def test_packer_holds_no_batches():
+    """What waits in the buffer is a copy of no more ids than a row takes, not a view of the batch it came in."""
+    packer = pack.Packer(11, buffer=4, refill=2)
+    batch = np.arange(1000, dtype="int32")
+    rows = [row for i in range(6) for row in packer.push(i, batch[100 * i : 100 * i + 50 + i])]
+    assert packer.docs and all(ids.base is None and len(ids) <= 11 for _, ids in packer.docs.values())
+    rows += packer.finish()
+    assert [(row.tolist(), docs, cropped) for row, docs, cropped in rows] == [(list(range(100 * i, 100 * i + 11)), [i], 39 + i) for i in range(6)]
