@@ -220,3 +220,21 @@ def test_digit_groups_are_a_choice(spark, tmp_path, digits):
     assert tx.split_pattern(2) == tx.SPLIT_PATTERN
     with pytest.raises(ValueError, match="digit"):
         tx.split_pattern(0)
+
+
+def test_texts_are_encoded_in_slices(spark, monkeypatch):
+    """Batches are cut by bytes, so a task's memory does not depend on how many texts, or how long ones, a batch holds."""
+    import pyarrow as pa
+
+    for texts in (["aaa", None, "bb", "", "cccc"] * 3, [["a", "bb"], [], None, ["ccc"], ["", ""]] * 2, [[["a"], ["bb", "c"]], [], [["ddd"]], [[]]]):
+        whole = pa.array(texts).slice(1)
+        parts = list(tx.text_slices(whole, 2))
+        assert [x for part in parts for x in part.to_pylist()] == texts[1:] and len(parts) > 1
+    lists = pa.array([[1, 2], None, [], [3] * 9, [4]]).slice(1)
+    monkeypatch.setattr(bpe, "SLICE_IDS", 2)
+    assert [x.to_pylist() for x in bpe._id_slices(lists)] == [[None, []], [[3] * 9], [[4]]]
+    monkeypatch.setattr(tx, "SLICE_BYTES", 2)
+    known = bpe.Known(3, 10_000)
+    for piece in "abcde":
+        known.add(piece, b"1234")
+    assert list(known) == ["d", "e"] and known.held == 2 * 208
