@@ -50,3 +50,12 @@ def test_budgets_share_sizes(spark):
     first, second = docs.filter("doc_id % 3 = 0"), docs.filter("doc_id % 3 > 0")
     one, two = (mix.val_budget(first, second, "doc_id", 0.3, 200, sizes=s).collect() for s in (sizes, None))
     assert sorted(one) == sorted(two) and one
+
+
+def test_questions_have_a_task_per_piece_of_their_table(spark, monkeypatch):
+    """The rows of one task do not grow with ``lineitem``."""
+    from corpusloom.plans import fixtures as fx
+
+    few = fx.math(spark, SF).rdd.getNumPartitions()
+    monkeypatch.setattr(fx, "LINE_BYTES", 4096)
+    assert fx.math(spark, SF).rdd.getNumPartitions() > few
