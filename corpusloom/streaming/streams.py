@@ -20,6 +20,10 @@ from corpusloom.operators.pack import PACKED_SCHEMA, Packer
 from corpusloom.sources import scan
 
 FLAT_SCHEMA = "pack_group long, row_id long, inputs array<int>, targets array<int>"
+#: bytes of sequences of a group that wait for others of their micro-batch outside the state
+EARLY_BYTES = 32 << 20
+#: ids that a task gathers before it hands on the rows they fill
+CHUNK_IDS = 1 << 20
 METRIC_SCHEMA = "run_id long, step long, smooth_loss double, best double, n_passed long, n_total long"
 
 
@@ -94,23 +98,30 @@ class InOrder(StatefulProcessor):
         here: dict[tuple[int, int], tuple] = {}
         for pdf in batches:
             here.update(zip(zip(pdf["shard"].tolist(), pdf["row"].tolist()), zip(pdf["doc"].tolist(), pdf["ids"], pdf["last"].tolist())))
-        while True:
-            if (found := here.pop(at, None)) is not None:
-                doc, ids, last = found
-            elif self.early.containsKey(at):
-                doc, data, last = self.early.getValue(at)
-                ids = np.frombuffer(data, "int32")
-                self.early.removeKey(at)
-            else:
-                break
-            at = (at[0] + self.stride, 0) if last else (at[0], at[1] + 1)
-            yield int(doc), ids
-        for place, (doc, ids, last) in here.items():
-            if place >= at:  # a row that was handed on before is a repeat
-                self.early.updateValue(place, (int(doc), np.asarray(ids, "int32").tobytes(), bool(last)))
+            while True:
+                if (found := here.pop(at, None)) is not None:
+                    doc, ids, last = found
+                elif self.early.containsKey(at):
+                    doc, data, last = self.early.getValue(at)
+                    ids = np.frombuffer(data, "int32")
+                    self.early.removeKey(at)
+                else:
+                    break
+                at = (at[0] + self.stride, 0) if last else (at[0], at[1] + 1)
+                yield int(doc), ids
+            # what waits is copied, as a view would keep its whole batch, and goes to the state when it is too much
+            here = {place: (doc, np.array(ids, "int32"), last) for place, (doc, ids, last) in here.items() if place >= at}
+            if sum(ids.nbytes for _, ids, _ in here.values()) > EARLY_BYTES:
+                self._keep(here)
+                here = {}
+        self._keep(here)
         if at != start:
             self.next.update(at)
 
+    def _keep(self, rows: dict[tuple[int, int], tuple]) -> None:
+        for place, (doc, ids, last) in rows.items():
+            self.early.updateValue(place, (int(doc), ids.tobytes(), bool(last)))
+
 
 class _Waiting(dict):
     """Sequences by arrival number: those of this micro-batch in memory, the others in the state until they are taken."""
@@ -158,10 +169,14 @@ class PackStream(InOrder):
             packer.row.append(np.frombuffer(data, "int32"))
             packer.filled += len(packer.row[-1])
         begun = len(packer.row)
-        out = []
+        out, done = [], n_rows
         for doc, ids in self.sequences(key, rows):
             if len(ids):
                 out += packer.push(doc, ids)
+            if len(out) * packer.capacity > CHUNK_IDS:
+                yield self._rows(key, n_rows, out)
+                n_rows, out = n_rows + len(out), []
+        n_rows, last = n_rows + len(out), n_rows
         for n in waiting.taken:
             self.waiting.removeKey((n,))
             self.sizes.removeKey((n,))
@@ -170,15 +185,18 @@ class PackStream(InOrder):
             self.waiting.updateValue((n,), (doc, ids.tobytes()))
             self.sizes.updateValue((n,), (lengths[n],))
         pieces = [(doc, ids.tobytes()) for doc, ids in zip(packer.row_docs, packer.row)]
-        if out:
+        if n_rows > done:
             self.row.clear()
             begun = 0
         if pieces[begun:]:
             self.row.appendList(pieces[begun:])
-        self.counts.update((packer.arrived, len(packer.pending), n_rows + len(out), packer.row_cropped))
+        self.counts.update((packer.arrived, len(packer.pending), n_rows, packer.row_cropped))
         if out:
-            rows = [(key[0], n_rows + i, ids.tolist(), docs, cropped) for i, (ids, docs, cropped) in enumerate(out)]
-            yield pd.DataFrame(rows, columns=[x.split()[0] for x in PACKED_SCHEMA.split(", ")])
+            yield self._rows(key, last, out)
+
+    def _rows(self, key: tuple, first: int, out: list[tuple]) -> pd.DataFrame:
+        rows = [(key[0], first + i, ids, docs, cropped) for i, (ids, docs, cropped) in enumerate(out)]
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in PACKED_SCHEMA.split(", ")])
 
 
 class FlatStream(InOrder):
@@ -194,11 +212,26 @@ class FlatStream(InOrder):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data, n = self.rest.get() if self.rest.exists() else (b"", 0)
-        rest, width = np.concatenate([np.frombuffer(data, "int32"), *(ids for _, ids in self.sequences(key, rows))]), self.width
-        full = max(len(rest) - 1, 0) // width
-        self.rest.update((rest[full * width :].astype("int32").tobytes(), n + full))
-        if full:
-            out = [(key[0], n + i, rest[i * width : (i + 1) * width], rest[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
+        parts = [np.frombuffer(data, "int32")]
+        size, width = len(parts[0]), self.width
+
+        def cut() -> tuple[np.ndarray, list[tuple]]:
+            """What is left over of the parts, and the rows they fill."""
+            ids = np.concatenate(parts)
+            full = max(len(ids) - 1, 0) // width
+            out = [(key[0], n + i, ids[i * width : (i + 1) * width], ids[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
+            return ids[full * width :].astype("int32"), out
+
+        for _, ids in self.sequences(key, rows):
+            parts.append(ids)
+            size += len(ids)
+            if size > max(CHUNK_IDS, width):
+                rest, out = cut()
+                yield pd.DataFrame(out, columns=["pack_group", "row_id", "inputs", "targets"])
+                parts, size, n = [rest], len(rest), n + len(out)
+        rest, out = cut()
+        self.rest.update((rest.tobytes(), n + len(out)))
+        if out:
             yield pd.DataFrame(out, columns=["pack_group", "row_id", "inputs", "targets"])
 
 

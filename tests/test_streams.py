@@ -1,6 +1,8 @@
 import random
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,49 @@ def test_latest_table_stays_compact(spark, tmp_path):
     assert all(r["n_total"] == r["step"] + 1 and round(r["smooth_loss"], 9) == 1.0 + i for i, r in found.items())
     with pytest.raises(ValueError, match="no micro-batch"):
         streams.current(spark, str(tmp_path / "none"))
+
+
+class Held:
+    """A state of one group, as the processors use it."""
+
+    def __init__(self):
+        self.rows, self.value, self.most = {}, None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def containsKey(self, key):
+        return key in self.rows
+
+    def getValue(self, key):
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+        self.most = max(self.most, len(self.rows))
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+
+def test_flat_rows_are_handed_on_in_parts(monkeypatch):
+    """A group's micro-batch is not gathered as a whole: rows come out as they fill, and much that came early waits in the state."""
+    monkeypatch.setattr(streams, "CHUNK_IDS", 50)
+    monkeypatch.setattr(streams, "EARLY_BYTES", 400)
+    rng = random.Random(1)
+    shards = {s: [[rng.randrange(256) for _ in range(rng.randrange(1, 30))] for _ in range(20)] for s in (0, 1, 2)}
+    rows = [(s, r, 20 * s + r, np.array(ids, "int32"), r == 19) for s in (0, 2, 1) for r, ids in enumerate(shards[s])]
+    frames = [pd.DataFrame(rows[i : i + 7], columns=["shard", "row", "doc", "ids", "last"]) for i in range(0, 60, 7)]
+    flat = streams.FlatStream(1, 8)
+    flat.early, flat.next, flat.rest = Held(), Held(), Held()
+    parts = list(flat.handleInputRows((0,), iter(frames), None))
+    stream = [t for s in (0, 1, 2) for ids in shards[s] for t in ids]
+    got = [(n, list(a), list(b)) for pdf in parts for n, a, b in zip(pdf["row_id"], pdf["inputs"], pdf["targets"])]
+    assert got == [(n, stream[8 * n : 8 * n + 8], stream[8 * n + 1 : 8 * n + 9]) for n in range((len(stream) - 1) // 8)]
+    assert len(parts) > 5 and flat.early.most > 5 and not flat.early.rows and flat.next.value == (3, 0)
