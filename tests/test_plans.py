@@ -59,3 +59,14 @@ def test_questions_have_a_task_per_piece_of_their_table(spark, monkeypatch):
     few = fx.math(spark, SF).rdd.getNumPartitions()
     monkeypatch.setattr(fx, "LINE_BYTES", 4096)
     assert fx.math(spark, SF).rdd.getNumPartitions() > few
+
+
+def test_answers_are_checked_in_a_task_per_piece_of_their_tables(spark, monkeypatch):
+    """Completions meet their questions, and letters their problems, where the rows were dealt to, not in a fixed number of tasks."""
+    from corpusloom.plans import evals as ev
+    from corpusloom.plans import fixtures as fx
+
+    monkeypatch.setattr(fx, "LINE_BYTES", 4096)
+    monkeypatch.setattr(ev, "PART_BYTES", 256)
+    for rows, dealt in ((ev.checked(spark, SF), fx.math(spark, SF)), (ev.judged(spark, SF), ev.problems(spark, SF))):
+        assert rows.rdd.getNumPartitions() == dealt.rdd.getNumPartitions() > 8
