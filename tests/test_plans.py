@@ -70,3 +70,16 @@ def test_answers_are_checked_in_a_task_per_piece_of_their_tables(spark, monkeypa
     monkeypatch.setattr(ev, "PART_BYTES", 256)
     for rows, dealt in ((ev.checked(spark, SF), fx.math(spark, SF)), (ev.judged(spark, SF), ev.problems(spark, SF))):
         assert rows.rdd.getNumPartitions() == dealt.rdd.getNumPartitions() > 8
+
+
+def test_letters_meet_their_problems_in_a_task_per_piece_of_a_table_in_many_files(spark, monkeypatch, tmp_path):
+    """Many small files are no reason to leave the join to a fixed number of tasks."""
+    from corpusloom.plans import evals as ev
+
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    part.repartition(40).write.parquet(str(tmp_path / "part.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "part.parquet").glob("*.parquet"))
+    monkeypatch.setattr(ev, "PART_BYTES", size // 20)
+    few, many = ev.judged(spark, SF), ev.judged(spark, str(tmp_path))
+    assert 20 <= many.rdd.getNumPartitions() <= 21
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
