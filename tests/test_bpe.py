@@ -238,3 +238,29 @@ def test_texts_are_encoded_in_slices(spark, monkeypatch):
     for piece in "abcde":
         known.add(piece, b"1234")
     assert list(known) == ["d", "e"] and known.held == 2 * 208
+
+
+def test_comparison_takes_a_whole_vocabulary(spark, tmp_path):
+    """Merges go on until every piece of a small corpus is one token, as they do one at a time."""
+    texts = [" ".join(corpus(seed)) for seed in (1, 2, 3)]
+    spark.createDataFrame([(i, f"l{i}", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = dict(map(tuple, bpe.piece_counts(tokens.collapsed(spark, str(tmp_path))).collect()))
+    ranks = {m: i for i, m in enumerate(train(counts, tokens.FULL_VOCAB))}
+    assert 200 < len(ranks) and all(len(bpe.merge_piece(p.encode(), ranks)) == 1 for p in counts)
+    found = {r["lang"]: r for r in plans.QUERIES["tokenizer_compare"](spark, str(tmp_path)).collect()}
+    assert sum(r["our_tokens"] for r in found.values()) == sum(counts.values()) and len(found) == 3
+    assert all(r["baseline_tokens"] > r["our_tokens"] and r["better"] == "ours" for r in found.values())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_statement_of_training_equals_one_merge_at_a_time(seed):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, lang VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, 'x', ?)", [(i, " ".join([w] * n)) for i, (w, n) in enumerate(corpus(seed).items())])
+    for n in (7, 40, 5000):
+        words = con.execute(f"WITH RECURSIVE {tokens.sql_trained(256 + 9 + n)} SELECT piece, n, w FROM words").fetchall()
+        merges = train({p: k for p, k, _ in words if p}, n)
+        ranks = {m: i for i, m in enumerate(merges)}
+        assert ("", len(merges), "") in words and (len(merges) == n or n == 5000)
+        assert all([ord(c) for c in w] == bpe.merge_piece(p.encode(), ranks) for p, _, w in words if p)
