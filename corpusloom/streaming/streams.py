@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,8 +23,12 @@ from corpusloom.sources import scan
 FLAT_SCHEMA = "pack_group long, row_id long, inputs array<int>, targets array<int>"
 #: bytes of sequences of a group that wait for others of their micro-batch outside the state
 EARLY_BYTES = 32 << 20
+#: entries that so many bytes take in the state at least
+EARLY_PARTS = 16
 #: ids that a task gathers before it hands on the rows they fill
 CHUNK_IDS = 1 << 20
+#: rows that a task makes into lists at once
+ROWS = 1 << 10
 METRIC_SCHEMA = "run_id long, step long, smooth_loss double, best double, n_passed long, n_total long"
 
 
@@ -56,6 +61,34 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "app
     query.awaitTermination()
 
 
+def _id_bytes(ids: np.ndarray) -> tuple[bytes, int]:
+    """The ids as bytes and how many bytes each takes: two where all fit, else four."""
+    n = 2 if not len(ids) or (ids.min() >= 0 and ids.max() <= 0xFFFF) else 4
+    return ids.astype("<u2" if n == 2 else "<i4").tobytes(), n
+
+
+def _pack(ids: np.ndarray) -> bytes:
+    """The ids as bytes, the last of which tells how many bytes each takes."""
+    data, n = _id_bytes(ids)
+    return data + bytes([n])
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    n = data[-1]
+    return np.frombuffer(data, "<u2" if n == 2 else "<i4", len(data) // n)
+
+
+def _pack_lists(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Lists of ids as bytes, which move between the JVM and Python without a look at each id; null is no ids."""
+    for column in columns:
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        ends, start = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())]), 0
+        while start < len(column):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK_IDS, "right")) - 1)
+            yield pa.array([_pack(flat[a:b]) for a, b in zip(ends[start:stop], ends[start + 1 : stop + 1])], pa.binary())
+            start = stop
+
+
 def _ordered(batches: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
     """The rows of one group in one micro-batch; the files per trigger bound them."""
     return pd.concat(list(batches)).sort_values(by)
@@ -78,7 +111,7 @@ class ShardOrder:
 class InOrder(StatefulProcessor):
     """Hands sequences on in the order of their group: by shard and row, or sorted within each micro-batch where no shards are given.
 
-    The state holds what came early, one sequence under one key, and the place of the sequence that comes next.
+    The state holds what came early, runs of rows that follow each other under the place of the first, and the place of the sequence that comes next.
     """
 
     def __init__(self, stride: int | None):
@@ -86,41 +119,58 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         if self.stride:
-            self.early = handle.getMapState("early", "shard long, row long", "doc long, ids binary, last boolean")
+            self.early = handle.getMapState("early", "shard long, row long", "docs binary, sizes binary, ids binary, last boolean")
             self.next = handle.getValueState("next", "shard long, row long")
 
     def sequences(self, key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray]]:
         if not self.stride:
             pdf = _ordered(batches, "doc")
-            yield from zip(pdf["doc"].tolist(), pdf["ids"])
+            yield from zip(pdf["doc"].tolist(), map(_unpack, pdf["ids"]))
             return
         start = at = self.next.get() if self.next.exists() else (int(key[0]), 0)
         here: dict[tuple[int, int], tuple] = {}
         for pdf in batches:
-            here.update(zip(zip(pdf["shard"].tolist(), pdf["row"].tolist()), zip(pdf["doc"].tolist(), pdf["ids"], pdf["last"].tolist())))
+            packed = (ids if isinstance(ids, bytes) else _pack(ids) for ids in pdf["ids"])
+            here.update(zip(zip(pdf["shard"].tolist(), pdf["row"].tolist()), zip(pdf["doc"].tolist(), packed, pdf["last"].tolist())))
             while True:
-                if (found := here.pop(at, None)) is not None:
-                    doc, ids, last = found
-                elif self.early.containsKey(at):
-                    doc, data, last = self.early.getValue(at)
-                    ids = np.frombuffer(data, "int32")
+                if at not in here:
+                    if not self.early.containsKey(at):
+                        break
+                    here.update(self._run(at, *self.early.getValue(at)))
                     self.early.removeKey(at)
-                else:
-                    break
+                doc, data, last = here.pop(at)
                 at = (at[0] + self.stride, 0) if last else (at[0], at[1] + 1)
-                yield int(doc), ids
-            # what waits is copied, as a view would keep its whole batch, and goes to the state when it is too much
-            here = {place: (doc, np.array(ids, "int32"), last) for place, (doc, ids, last) in here.items() if place >= at}
-            if sum(ids.nbytes for _, ids, _ in here.values()) > EARLY_BYTES:
+                yield int(doc), _unpack(data)
+            # what waits goes to the state when it is too much
+            here = {place: row for place, row in here.items() if place >= at}
+            if sum(len(data) for _, data, _ in here.values()) > EARLY_BYTES:
                 self._keep(here)
                 here = {}
         self._keep(here)
         if at != start:
             self.next.update(at)
 
+    def _run(self, first: tuple[int, int], docs: bytes, sizes: bytes, ids: bytes, last: bool) -> Iterator[tuple[tuple[int, int], tuple]]:
+        """The rows of a run, by their places."""
+        ends = np.cumsum(np.frombuffer(sizes, "int64")).tolist()
+        for i, (doc, a, b) in enumerate(zip(np.frombuffer(docs, "int64").tolist(), [0, *ends], ends)):
+            yield (first[0], first[1] + i), (doc, ids[a:b], last and i == len(ends) - 1)
+
     def _keep(self, rows: dict[tuple[int, int], tuple]) -> None:
-        for place, (doc, ids, last) in rows.items():
-            self.early.updateValue(place, (int(doc), ids.tobytes(), bool(last)))
+        run: list[tuple[int, int]] = []
+        size = 0
+        for place in sorted(rows):
+            if run and (place != (run[-1][0], run[-1][1] + 1) or size > EARLY_BYTES // EARLY_PARTS):
+                self._save(run, [rows[x] for x in run])
+                run, size = [], 0
+            run.append(place)
+            size += len(rows[place][1])
+        if run:
+            self._save(run, [rows[x] for x in run])
+
+    def _save(self, places: list[tuple[int, int]], rows: list[tuple]) -> None:
+        docs, ids, last = zip(*rows)
+        self.early.updateValue(places[0], (np.array(docs, "int64").tobytes(), np.array(list(map(len, ids)), "int64").tobytes(), b"".join(ids), bool(last[-1])))
 
 
 class _Waiting(dict):
@@ -200,11 +250,11 @@ class PackStream(InOrder):
 
 
 class FlatStream(InOrder):
-    """Rows of the concatenated sequences; the ids that fill no row yet are carried."""
+    """Rows of the concatenated sequences; the ids that fill no row yet are carried. With ``packed`` a row is the bytes of its ids and the next one, ``ids``."""
 
-    def __init__(self, stride: int | None, width: int):
+    def __init__(self, stride: int | None, width: int, packed: bool = False):
         super().__init__(stride)
-        self.width = width
+        self.width, self.packed = width, packed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
@@ -213,33 +263,50 @@ class FlatStream(InOrder):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         data, n = self.rest.get() if self.rest.exists() else (b"", 0)
         parts = [np.frombuffer(data, "int32")]
-        size, width = len(parts[0]), self.width
-
-        def cut() -> tuple[np.ndarray, list[tuple]]:
-            """What is left over of the parts, and the rows they fill."""
-            ids = np.concatenate(parts)
-            full = max(len(ids) - 1, 0) // width
-            out = [(key[0], n + i, ids[i * width : (i + 1) * width], ids[i * width + 1 : (i + 1) * width + 1]) for i in range(full)]
-            return ids[full * width :].astype("int32"), out
-
+        size = len(parts[0])
         for _, ids in self.sequences(key, rows):
             parts.append(ids)
             size += len(ids)
-            if size > max(CHUNK_IDS, width):
-                rest, out = cut()
-                yield pd.DataFrame(out, columns=["pack_group", "row_id", "inputs", "targets"])
+            if size > max(CHUNK_IDS, self.width):
+                rest, out = self._cut(key, n, parts)
+                yield out
                 parts, size, n = [rest], len(rest), n + len(out)
-        rest, out = cut()
+        rest, out = self._cut(key, n, parts)
         self.rest.update((rest.tobytes(), n + len(out)))
-        if out:
-            yield pd.DataFrame(out, columns=["pack_group", "row_id", "inputs", "targets"])
+        if len(out):
+            yield out
+
+    def _cut(self, key: tuple, n: int, parts: list[np.ndarray]) -> tuple[np.ndarray, pd.DataFrame]:
+        """What is left over of the parts, and the rows they fill, from number ``n``."""
+        ids, width = np.concatenate(parts), self.width
+        starts = range(0, max(len(ids) - 1, 0) // width * width, width)
+        out = {"pack_group": key[0], "row_id": range(n, n + len(starts))}
+        if self.packed:
+            data, size = _id_bytes(ids)
+            mark = bytes([size])
+            out["ids"] = [data[i * size : (i + width + 1) * size] + mark for i in starts]
+        else:
+            out["inputs"] = [ids[i : i + width] for i in starts]
+            out["targets"] = [ids[i + 1 : i + width + 1] for i in starts]
+        return ids[len(starts) * width :].astype("int32"), pd.DataFrame(out)
+
+
+def _flat_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed rows as lists of inputs and targets."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            ids = np.array([_unpack(x) for x in part.column("ids").to_pylist()], "int32")
+            ends = pa.array(np.arange(len(ids) + 1, dtype="int32") * (ids.shape[1] - 1))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (ids[:, :-1], ids[:, 1:])]
+            yield pa.RecordBatch.from_arrays([part.column("pack_group"), part.column("row_id"), *lists], [x.split()[0] for x in FLAT_SCHEMA.split(", ")])
 
 
 def _keyed(docs: DataFrame, order: str | ShardOrder, ids: str, group: Column | None, doc: str, processor: InOrder, schema: str) -> DataFrame:
     # keyed state needs this store; with change logs a micro-batch writes only the keys that it changed
     docs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     docs.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    columns = [F.col(doc).cast("long").alias("doc"), F.col(ids).alias("ids")]
+    columns = [F.col(doc).cast("long").alias("doc"), F.arrow_udf(_pack_lists, "binary")(F.col(ids)).alias("ids")]
     if isinstance(order, ShardOrder):
         group = F.pmod(order.shard.cast("long"), F.lit(order.groups))
         columns += [order.shard.cast("long").alias("shard"), order.row.cast("long").alias("row"), order.last.alias("last")]
@@ -261,9 +328,13 @@ def stream_pack(
 
 
 def stream_flat_rows(docs: DataFrame, order: str | ShardOrder, ids: str, group: Column | None, width: int, doc: str | None = None) -> DataFrame:
-    """Rows of the concatenated sequences of every group, in an order as for :func:`stream_pack`."""
+    """Rows of the concatenated sequences of every group, in an order as for :func:`stream_pack`.
+
+    A group's task only cuts bytes; its rows are dealt to all tasks, which make them into lists and write them.
+    """
     stride = order.groups if isinstance(order, ShardOrder) else None
-    return _keyed(docs, order, ids, group, doc or order, FlatStream(stride, width), FLAT_SCHEMA)
+    rows = _keyed(docs, order, ids, group, doc or order, FlatStream(stride, width, packed=True), "pack_group long, row_id long, ids binary")
+    return rows.repartition("pack_group", "row_id").mapInArrow(_flat_lists, FLAT_SCHEMA)
 
 
 def stream_metrics(steps: DataFrame, beta: float = 0.9) -> DataFrame:

@@ -200,3 +200,33 @@ def test_flat_rows_are_handed_on_in_parts(monkeypatch):
     got = [(n, list(a), list(b)) for pdf in parts for n, a, b in zip(pdf["row_id"], pdf["inputs"], pdf["targets"])]
     assert got == [(n, stream[8 * n : 8 * n + 8], stream[8 * n + 1 : 8 * n + 9]) for n in range((len(stream) - 1) // 8)]
     assert len(parts) > 5 and flat.early.most > 5 and not flat.early.rows and flat.next.value == (3, 0)
+
+
+def test_what_comes_early_waits_in_few_entries():
+    """A row that waits for its turn does not cost a visit to the state of its own."""
+    rng = random.Random(2)
+    rows = [(s, r, 300 * s + r, np.array([rng.randrange(-5, 90_000 if r % 3 else 200) for _ in range(r % 7)], "int32"), r == 299) for s in (2, 1) for r in range(300)]
+    late = [(0, r, r, np.array([r], "int32"), r == 299) for r in range(300)]
+    flat = streams.FlatStream(1, 8)
+    flat.early, flat.next, flat.rest = Held(), Held(), Held()
+    got = []
+    for part in (rows[450:] + rows[:200], rows[200:450], late[:150], late[150:]):
+        pdf = pd.DataFrame(part, columns=["shard", "row", "doc", "ids", "last"])
+        got += [(list(a), list(b)) for out in flat.handleInputRows((0,), iter([pdf]), None) for a, b in zip(out["inputs"], out["targets"])]
+    stream = [int(t) for _, _, _, ids, _ in sorted(late + rows, key=lambda x: x[:2]) for t in ids]
+    assert got == [(stream[i : i + 8], stream[i + 1 : i + 9]) for i in range(0, (len(stream) - 1) // 8 * 8, 8)]
+    assert 0 < flat.early.most < 10 and not flat.early.rows and flat.next.value == (3, 0)
+
+
+def test_rows_of_one_group_are_written_by_many_tasks(spark, tmp_path):
+    """A group's task only cuts its rows; ids of any size come out as they were."""
+    path, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rng = random.Random(4)
+    part = [(d, [rng.randrange(-3 if d > 50 else 0, 1 << (31 if d > 70 else 9)) for _ in range(d % 30)] if d else None) for d in range(100)]
+    spark.createDataFrame(part, "doc_id long, ids array<int>").coalesce(1).write.parquet(path)
+    stream = streams.stream_shards(spark, path, "doc_id long, ids array<int>")
+    streams.run_available(streams.stream_flat_rows(stream, "doc_id", "ids", F.lit(0), 8), out, state)
+    rows = spark.read.schema(streams.FLAT_SCHEMA).parquet(out).select("*", F.input_file_name().alias("file")).orderBy("row_id").collect()
+    ids = [t for _, some in part for t in some or []]
+    assert [(r["row_id"], r["inputs"], r["targets"]) for r in rows] == [(i // 8, ids[i : i + 8], ids[i + 1 : i + 9]) for i in range(0, (len(ids) - 1) // 8 * 8, 8)]
+    assert len({r["file"] for r in rows}) > 4
